@@ -74,7 +74,23 @@ def weighted_ratio(a: str, b: str) -> int:
     ))
 
 
-SCORERS: dict[str, Callable[[str, str], int]] = {"ratio": ratio, "weighted": weighted_ratio}
+def ratio_against(other: str) -> Callable[[str], int]:
+    """``ratio`` with the analysis of the second text done once."""
+    if not other:
+        return lambda text: 0
+    matcher = SequenceMatcher(None, "", other)
+
+    def score(text: str) -> int:
+        matcher.set_seq1(text)
+        return round(100 * matcher.ratio()) if text else 0
+
+    return score
+
+
+SCORERS: dict[str, Callable[[str], Callable[[str], int]]] = {
+    "ratio": ratio_against,
+    "weighted": lambda other: lambda text: weighted_ratio(text, other),
+}
 
 
 def overlap_bounds(text: str, others: list[str]) -> np.ndarray:

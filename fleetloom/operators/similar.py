@@ -20,6 +20,8 @@ from fleetloom.session import materialize, shuffle_partitions
 
 LEFT_CHUNK, RIGHT_CHUNK = 32, 256
 HOT_CHUNKS, SPREAD = 256, 32
+# Rows (demands and options) per group of picking demands, give or take one chunk.
+GROUP_ROWS = 20_000
 HITS = "array<struct<text:string, other:string, score:int>>"
 
 
@@ -52,34 +54,38 @@ def _tiles(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def _shortlist(scorer: str):
     """Per left text, the right texts whose better-scored ones cannot cover its need."""
-    score, bounded = SCORERS[scorer], scorer == "ratio"
+    against, bounded = SCORERS[scorer], scorer == "ratio"
 
     @F.pandas_udf(HITS)
     def shortlist(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for lefts, rights in batches:
-            yield pd.Series([_tile_hits(l, r, score, bounded) for l, r in zip(lefts, rights)])
+            yield pd.Series([_tile_hits(l, r, against, bounded) for l, r in zip(lefts, rights)])
 
     return shortlist
 
 
-def _tile_hits(lefts, rights, score, bounded: bool) -> list[dict]:
+def _tile_hits(lefts, rights, against, bounded: bool) -> list[dict]:
     others = [clean(r["text"]) for r in rights]
+    scores = [against(o) for o in others]
     hits = []
     for left in lefts:
-        text = clean(left["text"])
+        text, need = clean(left["text"]), left["weight"]
         bounds = overlap_bounds(text, others) if bounded else [100] * len(others)
+        supply = [0] * 101  # capacity seen per score
         seen: list[tuple[int, int]] = []
         for i in sorted(range(len(others)), key=lambda i: -bounds[i]):
-            if bounded and sum(rights[k]["weight"] for s, k in seen if s > bounds[i]) >= left["weight"]:
-                break
-            seen.append((score(text, others[i]), i))
+            if sum(supply[bounds[i] + 1:]) >= need:
+                break  # whatever is left scores lower than enough others
+            score = scores[i](text)
+            supply[score] += rights[i]["weight"]
+            seen.append((score, i))
         covered, level = 0, None
-        for s, i in sorted(seen, reverse=True):
-            if s != level and covered >= left["weight"]:
+        for score, i in sorted(seen, reverse=True):
+            if score != level and covered >= need:
                 break
-            level = s
+            level = score
             covered += rights[i]["weight"]
-            hits.append({"text": left["text"], "other": rights[i]["text"], "score": s})
+            hits.append({"text": left["text"], "other": rights[i]["text"], "score": score})
     return hits
 
 
@@ -172,7 +178,7 @@ def blended_score(
 
 
 def similar_match(
-    demand: DataFrame, supply: DataFrame, scorer: str = "ratio", batch: int = 20_000,
+    demand: DataFrame, supply: DataFrame, scorer: str = "ratio", group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Demands in order take the most similar unused unit of their block (ties: the first unit).
 
@@ -180,54 +186,62 @@ def similar_match(
     ``similar_text``, NULL where the block ran out.
 
     Taking turns is the one stable matching when every unit prefers the earlier demand, so it
-    can be found in parallel: in each round the free demands propose, a unit holds the earliest
-    demand that asked, later ones are free again. Demands with the same text want the same
-    units, so one round lets the i-th of them ask for the i-th unit it could still get. Units of
-    one text are taken in order, hence "held" is a count per text. Whoever is not served in a
-    round (beyond ``batch``, or beyond the candidates loaded so far) waits for the next.
+    can be found in parallel. Demands are cut into groups of a bounded number of rows, of
+    neighbouring texts, which tend to want the same units. Every group settles its own order of
+    picks around the units that earlier demands of other groups hold; where two groups pick one
+    unit, the earlier demand keeps it and the other group settles again. Whatever a demand
+    passes over stays out of its reach for good, so any cut into groups gives the same result.
+    The k-th demand of a text cannot end above the k-th option of that text, which is where
+    its chunk starts looking.
     """
-    d = materialize(number_rows(
-        demand.select("id", "ord", "block", "text").filter("block is not null and text is not null"),
-        ["block"], ["ord", "id"], "dpos",
-    ))
-    placed = number_rows(
-        supply.select("id", "ord", "block", "text").filter("block is not null and text is not null"),
-        ["block"], ["ord", "id"], "vpos",
+    texts = ["block", "text"]
+    present = "block is not null and text is not null"
+    queued = number_rows(
+        demand.select("id", "ord", *texts).filter(present), ["block"], ["ord", "id"], "dpos"
+    )
+    d = number_rows(queued, texts, ["dpos"], "turn").withColumn(
+        "chunk", F.floor((F.col("turn") - 1) / (group_rows // 4))
+    )
+    d = materialize(d)
+    chunks = _group_chunks(d, group_rows)
+    d = materialize(d.join(chunks.select(*texts, "chunk", "grp"), [*texts, "chunk"]).select("id", *texts, "dpos", "grp"))
+    stocked = number_rows(
+        supply.select("id", "ord", *texts).filter(present), ["block"], ["ord", "id"], "vpos"
     )
     # No more units of one text than its block has demands can ever be used.
+    waiting = d.groupBy("block").agg(F.count(F.lit(1)).alias("demands"))
     v = materialize(
-        number_rows(placed, ["block", "text"], ["vpos"], "nth")
-        .join(d.groupBy("block").agg(F.count(F.lit(1)).alias("demands")), "block")
-        .filter(F.col("nth") <= F.col("demands"))
+        number_rows(stocked, texts, ["vpos"], "nth").join(waiting, "block").filter("nth <= demands")
     )
-    stock = materialize(v.groupBy("block", "text").agg(F.count(F.lit(1)).alias("capacity")))
-    wants = d.groupBy("block", "text").agg(F.count(F.lit(1)).alias("n"))
-    reach = materialize(wants.withColumn("need", F.col("n") * 4 + 64).drop("n"))
-    menu = materialize(candidates(reach, stock, scorer))
-    held = materialize(d.select("block", F.col("dpos").alias("vpos"), "dpos", "text").limit(0))
-    state = (0, 0)
+    stock = materialize(v.groupBy(*texts).agg(F.count(F.lit(1)).alias("capacity")))
+    options = _options(chunks, stock, v, scorer)
+    held = d.select("block", F.col("dpos").alias("vpos"), "dpos", "grp").limit(0)
+    dirty = chunks.select("block", "grp").distinct()
     while True:
-        held = materialize(_round(d, v, menu, stock, held, batch))
-        now = held.agg(F.count(F.lit(1)), F.coalesce(F.sum("dpos"), F.lit(0))).first()
-        if (now[0], now[1]) != state:
-            state = (now[0], now[1])
+        picks = materialize(_settle(d, chunks, options, held, dirty))
+        held = picks.filter("rank = 1").drop("rank")
+        dirty = picks.filter("rank > 1").select("block", "grp").distinct()
+        if not dirty.isEmpty():
             continue
-        # Nobody could propose: load further candidates for texts that ran out of them.
-        free = d.join(held, ["block", "dpos"], "left_anti").select("block", "text").distinct()
-        loaded = menu.groupBy("block", "text").agg(F.count(F.lit(1)).alias("loaded"))
-        total = stock.groupBy("block").agg(F.count(F.lit(1)).alias("total"))
-        starved = free.join(loaded, ["block", "text"]).join(total, "block").filter("loaded < total")
-        starved = materialize(starved.select("block", "text"))
-        if starved.isEmpty():
+        # All picks stand. Demands without one may only have seen too few options.
+        free = d.join(held, ["block", "dpos"], "left_anti").select(*texts, "grp").distinct()
+        total = stock.groupBy("block").agg(F.sum("capacity").alias("total"))
+        short = materialize(
+            chunks.join(free, [*texts, "grp"], "left_semi").join(total, "block")
+            .filter("first_place + want <= total").select(*texts, "chunk")
+        )
+        if short.isEmpty():
             break
-        wider = F.when(F.col("hit").isNotNull(), F.col("need") * 16).otherwise(F.col("need"))
-        reach = materialize(
-            reach.join(starved.withColumn("hit", F.lit(1)), ["block", "text"], "left")
-            .withColumn("need", wider).drop("hit")
+        wider = F.when(F.col("hit").isNotNull(), F.col("want") * 16).otherwise(F.col("want"))
+        chunks = materialize(
+            chunks.join(short.withColumn("hit", F.lit(1)), [*texts, "chunk"], "left")
+            .withColumn("want", wider).drop("hit")
         )
-        more = candidates(reach.join(starved, ["block", "text"], "left_semi"), stock, scorer)
-        menu = materialize(menu.join(starved, ["block", "text"], "left_anti").unionByName(more))
-    given = held.select("block", "dpos", "vpos").join(
+        grown = chunks.join(short.select(*texts), texts, "left_semi")
+        more = _options(grown, stock, v, scorer)
+        options = materialize(options.join(short, texts, "left_anti").unionByName(more))
+        dirty = grown.select("block", "grp").distinct()
+    given = held.join(
         v.select("block", "vpos", F.col("id").alias("similar_id"), F.col("text").alias("similar_text")),
         ["block", "vpos"],
     )
@@ -235,63 +249,68 @@ def similar_match(
     return demand.join(matched, "id", "left")
 
 
-def _round(d: DataFrame, v: DataFrame, menu: DataFrame, stock: DataFrame, held: DataFrame, batch: int) -> DataFrame:
-    """One round of proposals; returns the new holders (block, vpos, dpos, text of the unit)."""
-    # Filters on row_number let Spark drop the rows beyond the batch before the shuffle.
-    turn = Window.partitionBy("block", "text").orderBy("dpos")
-    free = (
-        d.join(held.select("block", "dpos"), ["block", "dpos"], "left_anti")
-        .select("block", "text", "dpos")
-        .withColumn("turn", F.row_number().over(turn))
-        .filter(F.col("turn") <= batch)
-    )
-    asking = free.groupBy("block", "text").agg(
-        F.count(F.lit(1)).alias("asked"), F.min("dpos").alias("first_pos")
+def _group_chunks(d: DataFrame, group_rows: int) -> DataFrame:
+    """Chunks of one text with the options they look at, packed into groups in text order."""
+    sized = d.groupBy("block", "text", "chunk").agg(
+        F.min("turn").alias("first_place"), F.count(F.lit(1)).alias("n")
+    ).withColumn("want", F.col("n") * 2 + 16).withColumn("rows", F.col("n") + F.col("want"))
+    packed = number_rows(materialize(sized), ["block"], ["text", "chunk"], "_n", {"upto": "rows"})
+    return materialize(
+        packed.select("block", "text", "chunk", "first_place", "want", F.floor(F.col("upto") / group_rows).alias("grp"))
     )
-    taken = held.groupBy("block", "text").agg(F.count(F.lit(1)).alias("taken"))
-    left = stock.join(taken, ["block", "text"], "left").select(
-        "block", F.col("text").alias("other"), F.coalesce("taken", F.lit(0)).alias("taken"),
-        (F.col("capacity") - F.coalesce("taken", F.lit(0))).alias("open"),
+
+
+def _options(chunks: DataFrame, stock: DataFrame, v: DataFrame, scorer: str) -> DataFrame:
+    """(block, text, place, vpos): per text its first units, best score first."""
+    reach = materialize(
+        chunks.groupBy("block", "text").agg(F.max(F.col("first_place") + F.col("want")).alias("need"))
     )
+    menu = candidates(reach, stock, scorer)
+    units = menu.select("block", "text", "need", "score", "other").join(
+        v.select("block", F.col("text").alias("other"), "vpos", "nth"), ["block", "other"]
+    ).filter("nth <= need")
+    ranked = number_rows(units, ["block", "text"], [F.desc("score"), F.col("vpos")], "place")
+    return materialize(ranked.filter("place <= need").select("block", "text", "place", "vpos"))
+
+
+def _settle(d: DataFrame, chunks: DataFrame, options: DataFrame, held: DataFrame, dirty: DataFrame) -> DataFrame:
+    """The dirty groups pick anew; ranks all claims on each unit (1 = the earliest, who holds it)."""
+    group = ["block", "grp"]
+    asking = d.join(dirty, group, "left_semi").select("block", F.col("grp").alias("d_grp"), "text", "dpos")
+    holders = held.select("block", "vpos", F.col("dpos").alias("holder"), F.col("grp").alias("holder_grp"))
+    seen = chunks.join(dirty, group, "left_semi").select("block", "text", "grp", "first_place", "want")
     offers = (
-        menu.select("block", "text", "other", "score")
-        .join(asking, ["block", "text"])
-        .join(left, ["block", "other"])
-        .withColumnRenamed("open", "capacity")
+        options.join(seen, ["block", "text"])
+        .filter("place >= first_place and place < first_place + want")
+        .join(holders, ["block", "vpos"], "left")
+        .select("block", F.col("grp").alias("o_grp"), "text", "place", "vpos",
+                F.expr("case when holder_grp <> grp then holder end").alias("holder"))
     )
-    offers = _cut_levels(offers, "asked")
-    upto = offers.groupBy("block", "other").agg(
-        F.max(F.col("taken") + F.least("asked", "capacity")).alias("upto")
+    picks = (
+        asking.groupBy("block", "d_grp").cogroup(offers.groupBy("block", "o_grp"))
+        .applyInPandas(_pick, "block string, vpos int, dpos int, grp long")
     )
-    units = v.select("block", F.col("text").alias("other"), "vpos", "nth").join(upto, ["block", "other"])
-    units = units.filter(F.col("nth") <= F.col("upto")).join(
-        held.select("block", "vpos", F.col("dpos").alias("holder")), ["block", "vpos"], "left"
-    )
-    best_first = Window.partitionBy("block", "text").orderBy(F.desc("score"), "vpos")
-    options = (
-        offers.join(units, ["block", "other"])
-        .filter((F.col("nth") <= F.col("taken") + F.col("asked"))
-                & (F.col("holder").isNull() | (F.col("holder") > F.col("first_pos"))))
-        .select("block", "text", "other", "score", "vpos", "holder")
-        .withColumn("place", F.row_number().over(best_first))
-        .filter(F.col("place") <= 2 * batch)
-    )
-    asks = free.groupBy("block", "text").cogroup(options.groupBy("block", "text")).applyInPandas(
-        _ask, "block string, vpos int, dpos int, text string"
-    )
-    return held.unionByName(asks).groupBy("block", "vpos").agg(
-        F.min("dpos").alias("dpos"), F.first("text").alias("text")
-    )
-
-
-def _ask(free: pd.DataFrame, options: pd.DataFrame) -> pd.DataFrame:
-    """Demands of one text (at most a batch) in order each ask for the best unit still open to them."""
-    demands = free.sort_values("dpos")["dpos"].tolist()
-    out, i = [], 0
-    for row in options.sort_values("place").itertuples(index=False):
-        if i == len(demands):
-            break
-        if pd.isna(row.holder) or row.holder > demands[i]:
-            out.append((row.block, row.vpos, demands[i], row.other))
-            i += 1
-    return pd.DataFrame(out, columns=["block", "vpos", "dpos", "text"])
+    claims = held.join(dirty, group, "left_anti").unionByName(picks)
+    # As many claims on a unit as groups want it.
+    return claims.withColumn("rank", F.row_number().over(Window.partitionBy("block", "vpos").orderBy("dpos")))
+
+
+def _pick(key: tuple, demands: pd.DataFrame, offers: pd.DataFrame) -> pd.DataFrame:
+    """The demands of one group, in order, each pick the best unit still open to them."""
+    offers = offers.drop_duplicates(["text", "vpos"]).sort_values("place")
+    lists = {
+        text: list(zip(rows["vpos"], rows["holder"].fillna(float("inf"))))
+        for text, rows in offers.groupby("text", sort=False)
+    }
+    at = dict.fromkeys(lists, 0)
+    picked: dict[int, int] = {}
+    for text, dpos in demands.sort_values("dpos")[["text", "dpos"]].itertuples(index=False):
+        mine = lists.get(text, [])
+        # What this demand passes over, later demands with the same text pass over as well.
+        while at.get(text, 0) < len(mine):
+            vpos, holder = mine[at[text]]
+            at[text] += 1
+            if holder > dpos and vpos not in picked:
+                picked[vpos] = dpos
+                break
+    return pd.DataFrame({"block": key[0], "vpos": list(picked), "dpos": list(picked.values()), "grp": key[1]})

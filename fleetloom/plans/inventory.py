@@ -22,15 +22,15 @@ def build_plan(spark: SparkSession, root: str) -> DataFrame:
     """Planned units per model: a tenth of the model's forecast lines, none for one model."""
     units = F.floor(F.count(F.lit(1)) / 10)
     plan = D.forecast(spark, root).groupBy("model_powertrain").agg(units.alias("n"))
-    return plan.select(
-        "model_powertrain", F.when(F.col("model_powertrain") == "M2 PROMO", 0).otherwise(F.col("n")).alias("units")
-    )
+    planned = F.when(F.col("model_powertrain") == "M2 PROMO", 0).otherwise(F.col("n"))
+    # A row per model, used by every step below: written once instead of recounted.
+    return materialize(plan.select("model_powertrain", planned.alias("units")))
 
 
 def _context(spark: SparkSession, root: str):
     plan = build_plan(spark, root)
     models = SD.active_keys(plan)
-    items = SD.eligible_items(D.item_master(spark, root), models)
+    items = materialize(SD.eligible_items(D.item_master(spark, root), models))
     return plan, models, items
 
 
@@ -56,7 +56,11 @@ def demand_velocity(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _state(spark: SparkSession, root: str, basis: str = "supply") -> DataFrame:
-    _, models, items = _context(spark, root)
+    return _state_and_plan(spark, root, basis)[0]
+
+
+def _state_and_plan(spark: SparkSession, root: str, basis: str = "supply") -> tuple[DataFrame, DataFrame]:
+    plan, models, items = _context(spark, root)
     supply = SD.supply_by_config(
         D.vehicles(spark, root), items, models, P.TARGET, P.EXCLUDE_SOURCE, compliant_only=True
     )
@@ -66,7 +70,7 @@ def _state(spark: SparkSession, root: str, basis: str = "supply") -> DataFrame:
     excluded = D.item_master(spark, root).filter(
         (F.col("paint_id") == P.EXCLUDED_PAINT) & (F.col("wheels_id") == "WHL-0")
     )
-    return SD.days_of_supply(items, supply, demand, P.DAILY_RATE, excluded, basis)
+    return SD.days_of_supply(items, supply, demand, P.DAILY_RATE, excluded, basis), plan
 
 
 def days_of_supply(spark: SparkSession, root: str) -> DataFrame:
@@ -80,7 +84,7 @@ def days_of_net_supply(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _allocated(spark: SparkSession, root: str) -> DataFrame:
-    return A.allocate_units(_state(spark, root), build_plan(spark, root))
+    return A.allocate_units(*_state_and_plan(spark, root))
 
 
 def allocate_units(spark: SparkSession, root: str) -> DataFrame:
@@ -91,8 +95,8 @@ def allocate_units(spark: SparkSession, root: str) -> DataFrame:
 
 
 def unplaced_units(spark: SparkSession, root: str) -> DataFrame:
-    few = _state(spark, root).filter(~F.col("model_powertrain").like("M1 L%"))
-    return A.unplaced_units(few, build_plan(spark, root))
+    state, plan = _state_and_plan(spark, root)
+    return A.unplaced_units(state.filter(~F.col("model_powertrain").like("M1 L%")), plan)
 
 
 def expand_units(spark: SparkSession, root: str) -> DataFrame:

@@ -6,11 +6,10 @@ engine derives the same values; ``plans/views_sql.py`` holds the SQL twin of eac
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetloom.functions import labels as L
-from fleetloom.functions.config_key import encode_config
 from fleetloom.sources.tables import load_table
 
 STATUSES = (
@@ -28,38 +27,46 @@ SERVICE_LEVELS = (
 )
 
 
-def _pick(values: tuple, index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
-
-
-def _item_columns() -> dict[str, Column]:
-    size, brand = F.col("p_size"), F.substr(F.col("p_brand"), F.lit(7)).cast("int")
-    model = F.when(F.col("p_partkey") % 2 == 0, "M1").otherwise("M2")
-    wheels, interior = size % 5, brand % 3
-    return {
-        "model": model,
-        "powertrain": F.col("p_type"),
-        "model_powertrain": F.concat(model, F.lit(" "), F.col("p_type")),
-        "paint_id": F.concat(F.lit("EXP-"), F.upper(F.split_part("p_name", F.lit(" "), F.lit(1)))),
-        "interior_id": F.concat(F.lit("INT-"), interior.cast("string")),
-        "wheels_id": F.concat(F.lit("WHL-"), wheels.cast("string")),
-        "audio_id": F.when(interior == 2, "AUD-P01").otherwise("AUD-STD"),
-        "roof_id": F.when(size % 2 == 0, "ROOF-FGP").otherwise("ROOF-DGP"),
-        "tonneau_id": F.when(size % 2 == 0, "TON-NULL").otherwise("TON-P02"),
-        "accents_and_badging_id": F.when(wheels < 2, "ACTBDG-DRK").otherwise("ACTBDG-BRT"),
-        "utility_panel_id": F.when(wheels == 4, "UTL-NULL")
-        .when(model == "M1", "UTL-S01")
-        .otherwise("UTL-T01"),
-        "is_inventory_policy_eligible": F.when(wheels != 4, 1).otherwise(0),
-        "is_product_plan_eligible": F.when(interior != 1, 1).otherwise(0),
-        "sku_classification": F.when(wheels == 0, "A1").when(wheels < 3, "B1").otherwise("C1"),
-    }
+UNIT_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+OPTIONS = (
+    "model_powertrain", "paint_id", "interior_id", "wheels_id", "audio_id", "roof_id",
+    "tonneau_id", "accents_and_badging_id", "utility_panel_id",
+)
+OPTIONS_KEY = " || '_' || ".join(OPTIONS)
+
+
+def _pick(values: tuple, index: str) -> str:
+    items = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+    return f"get(array({items}), cast({index} as int))"
+
+
+STATUS = _pick(STATUSES, "(l_orderkey * 7 + l_partkey) % 8")
+COUNTRY = "case when l_suppkey % 31 = 1 then null when l_suppkey % 10 = 0 then 'CA' else 'US' end"
+SHIPPED = "cast(l_shipdate as date)"
+BUILT = f"case when l_returnflag <> 'N' then {SHIPPED} end"
 
 
 def parts(spark: SparkSession, root: str) -> DataFrame:
     """One row per part with the option attributes it stands for."""
-    part = load_table(spark, "part", root)
-    return part.select("p_partkey", *[c.alias(n) for n, c in _item_columns().items()])
+    model = "if(p_partkey % 2 = 0, 'M1', 'M2')"
+    brand = "cast(substr(p_brand, 7) as int) % 3"
+    return load_table(spark, "part", root).selectExpr(
+        "p_partkey",
+        f"{model} as model",
+        "p_type as powertrain",
+        f"{model} || ' ' || p_type as model_powertrain",
+        "'EXP-' || upper(split_part(p_name, ' ', 1)) as paint_id",
+        f"'INT-' || {brand} as interior_id",
+        "'WHL-' || p_size % 5 as wheels_id",
+        f"if({brand} = 2, 'AUD-P01', 'AUD-STD') as audio_id",
+        "if(p_size % 2 = 0, 'ROOF-FGP', 'ROOF-DGP') as roof_id",
+        "if(p_size % 2 = 0, 'TON-NULL', 'TON-P02') as tonneau_id",
+        "if(p_size % 5 < 2, 'ACTBDG-DRK', 'ACTBDG-BRT') as accents_and_badging_id",
+        f"case when p_size % 5 = 4 then 'UTL-NULL' when {model} = 'M1' then 'UTL-S01' else 'UTL-T01' end as utility_panel_id",
+        "if(p_size % 5 <> 4, 1, 0) as is_inventory_policy_eligible",
+        f"if({brand} <> 1, 1, 0) as is_product_plan_eligible",
+        "case when p_size % 5 = 0 then 'A1' when p_size % 5 < 3 then 'B1' else 'C1' end as sku_classification",
+    )
 
 
 def item_master(spark: SparkSession, root: str) -> DataFrame:
@@ -68,151 +75,129 @@ def item_master(spark: SparkSession, root: str) -> DataFrame:
         parts(spark, root)
         .drop("p_partkey")
         .distinct()
-        .withColumns({"model_year": F.lit("2026"), "country": F.lit("US")})
-        .withColumn("config_string", encode_config())
+        .selectExpr("*", "'2026' as model_year", "'US' as country", f"'2026_US_' || {OPTIONS_KEY} as config_string")
     )
 
 
-def _unit_id() -> Column:
-    keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return F.concat_ws("-", *[F.col(k).cast("string") for k in keys])
+def _lines_with_parts(spark: SparkSession, root: str, where: str = "true") -> DataFrame:
+    line = load_table(spark, "lineitem", root).filter(where)
+    return line.join(parts(spark, root), line.l_partkey == F.col("p_partkey"))
 
 
 def vehicles(spark: SparkSession, root: str) -> DataFrame:
     """One row per vehicle. Even line numbers carry the new port and are stored as 2025."""
-    line = load_table(spark, "lineitem", root)
     nation = load_table(spark, "nation", root)
     region = load_table(spark, "region", root)
-    supplier = load_table(spark, "supplier", root)
-    sites = supplier.join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")).join(
-        F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")
-    ).select("s_suppkey", "s_nationkey", "n_name", "r_regionkey", "r_name")
-    supp, part, order = F.col("l_suppkey"), F.col("l_partkey"), F.col("l_orderkey")
-    number, shipped = F.col("l_linenumber"), F.col("l_shipdate").cast("date")
-    built = F.when(F.col("l_returnflag") != "N", shipped)
-    status = _pick(STATUSES, (order * 7 + part) % 8)
-    qty = F.col("l_quantity").cast("int") % 4
-    year = F.when((number % 2 == 0) | (number == 7), "2025").otherwise("2026")
-    centre = (
-        F.when(supp % 23 == 1, F.lit(None))
-        .when(supp % 3 == 0, "8101")
-        .otherwise((F.lit(8000) + supp % 20).cast("string"))
+    # 25 nations and 5 regions, whatever the scale.
+    sites = (
+        load_table(spark, "supplier", root)
+        .join(F.broadcast(nation), F.expr("s_nationkey = n_nationkey"))
+        .join(F.broadcast(region), F.expr("n_regionkey = r_regionkey"))
+        .select("s_suppkey", "s_nationkey", "n_name", "r_regionkey", "r_name")
     )
+    year = "if(l_linenumber % 2 = 0 or l_linenumber = 7, '2025', '2026')"
+    centre = "case when l_suppkey % 23 = 1 then null when l_suppkey % 3 = 0 then '8101' else cast(8000 + l_suppkey % 20 as string) end"
     return (
-        line.join(parts(spark, root), F.col("l_partkey") == F.col("p_partkey"))
-        .join(sites, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            _unit_id().alias("vehicle_id"),
-            F.when(F.col("l_returnflag") != "N", F.concat(F.lit("VIN"), _unit_id())).alias("vin"),
-            "model", "powertrain", "model_powertrain", "paint_id", "interior_id", "wheels_id",
-            "audio_id", "roof_id", "tonneau_id", "accents_and_badging_id", "utility_panel_id",
-            year.alias("model_year"),
-            F.when(supp % 31 == 1, F.lit(None)).when(supp % 10 == 0, "CA").otherwise("US").alias("country"),
-            F.when(number % 2 == 0, "CHRG-NACS01").otherwise("CHRG-CCS01").alias("charging_port_id"),
-            status.alias("vehicle_status"),
-            F.when(supp % 11 == 1, "CANCELED").otherwise("ACTIVE").alias("vehicle_record_status"),
-            F.when(part % 13 == 1, "INTERNAL").otherwise("CUSTOMER_DELIVERY").alias("vehicle_usage"),
-            F.when(part % 53 == 1, "GEN-1").otherwise("GEN-2").alias("vehicle_generation"),
-            F.when(supp % 19 == 1, F.lit(None)).when(supp % 17 == 1, "NON_SALEABLE")
-            .otherwise("SALEABLE").alias("vin_salability"),
-            F.when(number == 5, F.concat(centre, F.lit(".0"))).otherwise(centre).alias("distribution_center"),
-            F.when(F.col("l_linestatus") == "F", "REAL").alias("match_status"),
-            F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("is_matched"),
-            F.when(status == "DELIVERED", 1).otherwise(0).alias("is_delivered"),
-            F.when(part % 29 == 1, "US_FLEET_20250201").when(qty == 0, "US_Custom_20250101")
-            .when(qty == 1, "US_Inventory_20250115").when(qty == 2, "US_Launch-Order_soon")
-            .alias("metadata_source_order"),
-            F.when(part % 41 == 1, "BLD-LAUNCH").otherwise(F.concat(F.lit("BLD-"), F.col("model"))).alias("build_id"),
-            shipped.alias("expected_ga_in_date"),
-            built.alias("actual_ga_in_date"),
-            F.date_add(shipped, 7).alias("expected_factory_gate_date"),
-            F.date_add(built, 7).alias("actual_factory_gate_date"),
-            F.date_sub(shipped, 14).alias("expected_build_date_ip"),
-            F.concat(F.lit("L"), F.col("s_nationkey").cast("string")).alias("location_id"),
-            F.col("n_name").alias("location_name"),
-            F.when(F.col("r_regionkey") < 3, F.concat(F.lit("US"), F.col("r_name")))
-            .when(F.col("r_regionkey") == 3, F.col("r_name")).alias("comm_ops_region"),
-        )
-        .withColumn(
-            "config_string",
-            F.concat(F.col("model_year"), F.lit("_US_"), encode_config(_OPTIONS)),
+        _lines_with_parts(spark, root)
+        .join(sites, F.expr("l_suppkey = s_suppkey"))
+        .selectExpr(
+            f"{UNIT_ID} as vehicle_id",
+            f"case when l_returnflag <> 'N' then 'VIN' || {UNIT_ID} end as vin",
+            "model", "powertrain", *OPTIONS,
+            f"{year} as model_year",
+            f"{year} || '_US_' || {OPTIONS_KEY} as config_string",
+            f"{COUNTRY} as country",
+            "if(l_linenumber % 2 = 0, 'CHRG-NACS01', 'CHRG-CCS01') as charging_port_id",
+            f"{STATUS} as vehicle_status",
+            "if(l_suppkey % 11 = 1, 'CANCELED', 'ACTIVE') as vehicle_record_status",
+            "if(l_partkey % 13 = 1, 'INTERNAL', 'CUSTOMER_DELIVERY') as vehicle_usage",
+            "if(l_partkey % 53 = 1, 'GEN-1', 'GEN-2') as vehicle_generation",
+            "case when l_suppkey % 19 = 1 then null when l_suppkey % 17 = 1 then 'NON_SALEABLE' else 'SALEABLE' end as vin_salability",
+            f"{centre} || if(l_linenumber = 5, '.0', '') as distribution_center",
+            "case when l_linestatus = 'F' then 'REAL' end as match_status",
+            "if(l_linestatus = 'F', 1, 0) as is_matched",
+            f"if({STATUS} = 'DELIVERED', 1, 0) as is_delivered",
+            "case when l_partkey % 29 = 1 then 'US_FLEET_20250201' when cast(l_quantity as int) % 4 = 0 then 'US_Custom_20250101'"
+            " when cast(l_quantity as int) % 4 = 1 then 'US_Inventory_20250115'"
+            " when cast(l_quantity as int) % 4 = 2 then 'US_Launch-Order_soon' end as metadata_source_order",
+            "if(l_partkey % 41 = 1, 'BLD-LAUNCH', 'BLD-' || model) as build_id",
+            f"{SHIPPED} as expected_ga_in_date",
+            f"{BUILT} as actual_ga_in_date",
+            f"date_add({SHIPPED}, 7) as expected_factory_gate_date",
+            f"date_add({BUILT}, 7) as actual_factory_gate_date",
+            f"date_sub({SHIPPED}, 14) as expected_build_date_ip",
+            "'L' || s_nationkey as location_id",
+            "n_name as location_name",
+            "case when r_regionkey < 3 then 'US' || r_name when r_regionkey = 3 then r_name end as comm_ops_region",
         )
     )
 
 
-_OPTIONS = (
-    "model_powertrain", "paint_id", "interior_id", "wheels_id", "audio_id", "roof_id",
-    "tonneau_id", "accents_and_badging_id", "utility_panel_id",
-)
-
-
 def forecast(spark: SparkSession, root: str) -> DataFrame:
     """Forecast order lines; ``id`` numbers the forecast run."""
-    line = load_table(spark, "lineitem", root).filter(F.col("l_linestatus") == "O")
-    supp = F.col("l_suppkey")
-    return line.join(parts(spark, root), F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("l_linenumber").alias("id"),
-        _unit_id().alias("order_id"),
-        F.col("l_shipdate").cast("date").alias("order_date"),
-        F.concat(F.lit("2026_US_"), encode_config(_OPTIONS)).alias("config_string"),
+    return _lines_with_parts(spark, root, "l_linestatus = 'O'").selectExpr(
+        "l_linenumber as id",
+        f"{UNIT_ID} as order_id",
+        f"{SHIPPED} as order_date",
+        f"'2026_US_' || {OPTIONS_KEY} as config_string",
         "model_powertrain",
-        F.lit("2026").alias("model_year"),
-        F.when(supp % 31 == 1, F.lit(None)).when(supp % 10 == 0, "CA").otherwise("US").alias("country"),
+        "'2026' as model_year",
+        f"{COUNTRY} as country",
     )
 
 
 def order_lines(spark: SparkSession, root: str) -> DataFrame:
     """Customer orders at unit grain with configuration and zip code."""
-    line = load_table(spark, "lineitem", root)
-    orders = load_table(spark, "orders", root)
-    supp, number = F.col("l_suppkey"), F.col("l_linenumber")
-    year = F.when(number % 2 == 0, "2025").otherwise("2026")
-    zip5 = F.lpad((F.col("o_custkey") % 100000).cast("string"), 5, "0")
+    orders = load_table(spark, "orders", root).select("o_orderkey", "o_custkey", "o_orderdate")
+    year = "if(l_linenumber % 2 = 0, '2025', '2026')"
     return (
-        line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts(spark, root), F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            _unit_id().alias("order_id"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
-            F.when(number == 7, "Reservation").otherwise("Order").alias("order_type"),
-            F.when(supp % 9 == 1, "CUSTOMER_UNRESPONSIVE").when(supp % 9 == 2, "CANCELLED")
-            .when(supp % 9 == 3, F.lit(None)).otherwise("IN_PROGRESS").alias("fulfillment_status"),
-            F.when(F.col("l_partkey") % 17 == 1, 1).otherwise(0).alias("is_cancelled"),
-            F.when(supp % 10 == 0, "CA").otherwise("US").alias("country"),
-            F.when(F.col("o_custkey") % 7 == 0, F.concat(zip5, F.lit("-1234"))).otherwise(zip5).alias("zip_code"),
-            year.alias("model_year"),
-            F.when(F.col("l_partkey") % 53 == 1, "GEN-1").otherwise("GEN-2").alias("vehicle_generation"),
-            F.concat(year, F.lit("_US_"), encode_config(_OPTIONS)).alias("config_string"),
-            "model", "powertrain", *_OPTIONS,
+        _lines_with_parts(spark, root)
+        .join(orders, F.expr("l_orderkey = o_orderkey"))
+        .selectExpr(
+            f"{UNIT_ID} as order_id",
+            "cast(o_orderdate as date) as order_date",
+            "if(l_linenumber = 7, 'Reservation', 'Order') as order_type",
+            "case when l_suppkey % 9 = 1 then 'CUSTOMER_UNRESPONSIVE' when l_suppkey % 9 = 2 then 'CANCELLED'"
+            " when l_suppkey % 9 = 3 then null else 'IN_PROGRESS' end as fulfillment_status",
+            "if(l_partkey % 17 = 1, 1, 0) as is_cancelled",
+            "if(l_suppkey % 10 = 0, 'CA', 'US') as country",
+            "lpad(o_custkey % 100000, 5, '0') || if(o_custkey % 7 = 0, '-1234', '') as zip_code",
+            f"{year} as model_year",
+            "if(l_partkey % 53 = 1, 'GEN-1', 'GEN-2') as vehicle_generation",
+            f"{year} || '_US_' || {OPTIONS_KEY} as config_string",
+            "model", "powertrain", *OPTIONS,
         )
     )
 
 
 def zip_map(spark: SparkSession, root: str) -> DataFrame:
     """Customer zip → service centre; at most 100,000 rows by construction."""
-    customer = load_table(spark, "customer", root)
     nation = load_table(spark, "nation", root)
-    site = customer.groupBy(
-        F.lpad((F.col("c_custkey") % 100000).cast("string"), 5, "0").alias("zip5")
-    ).agg(F.min("c_nationkey").alias("nationkey"))
-    normal = F.col("nationkey") % 5 == 0
-    return site.join(F.broadcast(nation), F.col("nationkey") == F.col("n_nationkey")).select(
-        L.normalize_zip("zip5").alias("customer_zip_code"),
-        F.when(normal, "8101").otherwise((F.lit(8100) + F.col("nationkey")).cast("string")).alias("sap_sc_code"),
-        F.when(normal, "Normal").otherwise(F.concat(F.lit("SC-"), F.col("n_name"))).alias("sc_name"),
+    site = (
+        load_table(spark, "customer", root)
+        .selectExpr("lpad(c_custkey % 100000, 5, '0') as zip5", "c_nationkey")
+        .groupBy("zip5")
+        .agg(F.min("c_nationkey").alias("nationkey"))
+    )
+    return (
+        site.join(F.broadcast(nation), F.expr("nationkey = n_nationkey"))
+        .withColumn("customer_zip_code", L.normalize_zip("zip5"))
+        .selectExpr(
+            "customer_zip_code",
+            "if(nationkey % 5 = 0, '8101', cast(8100 + nationkey as string)) as sap_sc_code",
+            "if(nationkey % 5 = 0, 'Normal', 'SC-' || n_name) as sc_name",
+        )
     )
 
 
 def lanes(spark: SparkSession, root: str) -> DataFrame:
     """Contracted lead time in days per service centre and month."""
-    nation = load_table(spark, "nation", root)
-    key = F.col("n_nationkey")
-    return nation.select(
-        (F.lit(8100) + key).cast("double").alias("location_id"),
-        F.concat(F.lit("SC-"), F.col("n_name")).alias("location_name"),
-        F.when(key % 6 == 5, "Spot").otherwise("Contracted").alias("lane_type"),
-        F.lit("2001-06-01").cast("date").alias("month"),
-        (key * 3 + 7).cast("double").alias("total_lead_time"),
+    return load_table(spark, "nation", root).selectExpr(
+        "cast(8100 + n_nationkey as double) as location_id",
+        "'SC-' || n_name as location_name",
+        "if(n_nationkey % 6 = 5, 'Spot', 'Contracted') as lane_type",
+        "date '2001-06-01' as month",
+        "cast(n_nationkey * 3 + 7 as double) as total_lead_time",
     )
 
 
@@ -226,117 +211,112 @@ def service_levels(spark: SparkSession) -> DataFrame:
 
 def revenue(spark: SparkSession, root: str) -> DataFrame:
     """Money per order and forecast version; several versions of one order occur."""
-    line = load_table(spark, "lineitem", root)
-    number, price = F.col("l_linenumber"), F.col("l_extendedprice")
-    return line.select(
-        F.col("l_orderkey").alias("oms_order_id"),
-        _unit_id().alias("row_id"),
-        _pick(VERSIONS, number % 6).alias("forecast_version"),
-        F.when(number % 6 != 5, F.lit(2024) + F.col("l_suppkey").cast("int") % 2).alias("forecast_version_year"),
-        price.alias("revenue"),
-        price.alias("base_price"),
-        F.when(F.col("l_suppkey") % 8 != 1, F.col("l_tax") * 1000).alias("options"),
-        (-price * F.col("l_discount")).alias("total_discount"),
-        F.when(F.col("l_suppkey") % 5 != 1, F.col("l_discount") * 100).alias("referral_discount"),
+    return load_table(spark, "lineitem", root).selectExpr(
+        "l_orderkey as oms_order_id",
+        f"{UNIT_ID} as row_id",
+        f"{_pick(VERSIONS, 'l_linenumber % 6')} as forecast_version",
+        "case when l_linenumber % 6 <> 5 then 2024 + cast(l_suppkey as int) % 2 end as forecast_version_year",
+        "l_extendedprice as revenue",
+        "l_extendedprice as base_price",
+        "case when l_suppkey % 8 <> 1 then l_tax * 1000 end as options",
+        "-l_extendedprice * l_discount as total_discount",
+        "case when l_suppkey % 5 <> 1 then l_discount * 100 end as referral_discount",
     )
 
 
 def placed_orders(spark: SparkSession, root: str) -> DataFrame:
     """Orders as the volume model sees them."""
-    o = load_table(spark, "orders", root)
-    key = F.col("o_orderkey")
-    return o.select(
-        key.alias("order_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        F.when(key % 11 == 1, "Reservation").otherwise("Order").alias("order_type"),
-        F.when(key % 23 == 1, "GEN-1").otherwise("GEN-2").alias("vehicle_generation"),
-        F.concat(F.lit("M"), (key % 2 + 1).cast("string"), F.lit(" "), F.col("o_orderpriority")).alias("model_powertrain"),
-        F.when(F.col("o_orderstatus") == "F", "Lease").when(F.col("o_orderstatus") == "O", "Loan").alias("payment_type"),
-        F.when(F.col("o_custkey") % 10 == 0, "CA").otherwise("US").alias("country"),
+    return load_table(spark, "orders", root).selectExpr(
+        "o_orderkey as order_id",
+        "cast(o_orderdate as date) as order_date",
+        "if(o_orderkey % 11 = 1, 'Reservation', 'Order') as order_type",
+        "if(o_orderkey % 23 = 1, 'GEN-1', 'GEN-2') as vehicle_generation",
+        "'M' || (o_orderkey % 2 + 1) || ' ' || o_orderpriority as model_powertrain",
+        "case o_orderstatus when 'F' then 'Lease' when 'O' then 'Loan' end as payment_type",
+        "if(o_custkey % 10 = 0, 'CA', 'US') as country",
     )
 
 
 def marketing_daily(spark: SparkSession, root: str) -> DataFrame:
     """One row per day with metric columns, pre-totalled ones included."""
-    line = load_table(spark, "lineitem", root)
-    flag, price = F.col("l_returnflag"), F.col("l_extendedprice")
     # Whole cents in integer arithmetic: sums do not depend on the order of the rows.
-    cents = F.round(price * 100).cast("long")
-    return line.groupBy(F.col("l_shipdate").cast("date").alias("date_pt")).agg(
-        F.sum(F.when(flag == "A", cents)).alias("spend_search"),
-        F.sum(F.when(flag == "R", cents)).alias("spend_social"),
-        F.count(F.when(flag == "A", 1)).alias("clicks_search"),
-        F.count(F.when(flag == "R", 1)).alias("clicks_social"),
-        F.sum(F.col("l_quantity").cast("long")).alias("impressions_search"),
-        F.count(F.when(F.col("l_linestatus") == "F", 1)).alias("drives_demo"),
-        F.count(F.when(F.col("l_linestatus") == "O", 1)).alias("drives_total"),
-        F.count_distinct("l_suppkey").alias("leads_web"),
-        F.sum(F.col("l_linenumber").cast("long")).alias("leads_total"),
-        F.sum(F.col("l_suppkey") % 50).alias("opens_email"),
-        F.sum(F.col("l_partkey") % 20).alias("foot_traffic"),
-        F.sum(F.col("l_orderkey") % 30).alias("web_traffic_total"),
-        F.count_distinct("l_orderkey").alias("orders_total"),
+    cents = "cast(round(l_extendedprice * 100) as bigint)"
+    metrics = {
+        "spend_search": f"sum(case when l_returnflag = 'A' then {cents} end)",
+        "spend_social": f"sum(case when l_returnflag = 'R' then {cents} end)",
+        "clicks_search": "count(case when l_returnflag = 'A' then 1 end)",
+        "clicks_social": "count(case when l_returnflag = 'R' then 1 end)",
+        "impressions_search": "sum(cast(l_quantity as bigint))",
+        "drives_demo": "count(case when l_linestatus = 'F' then 1 end)",
+        "drives_total": "count(case when l_linestatus = 'O' then 1 end)",
+        "leads_web": "count(distinct l_suppkey)",
+        "leads_total": "sum(l_linenumber)",
+        "opens_email": "sum(l_suppkey % 50)",
+        "foot_traffic": "sum(l_partkey % 20)",
+        "web_traffic_total": "sum(l_orderkey % 30)",
+        "orders_total": "count(distinct l_orderkey)",
+    }
+    return (
+        load_table(spark, "lineitem", root)
+        .groupBy(F.expr(SHIPPED).alias("date_pt"))
+        .agg(*[F.expr(e).alias(n) for n, e in metrics.items()])
     )
 
 
 def matching_run(spark: SparkSession, root: str) -> DataFrame:
     """Daily matching run: order and vehicle rows with their option columns."""
-    line = load_table(spark, "lineitem", root)
     orders = load_table(spark, "orders", root).select("o_orderkey", "o_custkey")
-    supp, part, order = F.col("l_suppkey"), F.col("l_partkey"), F.col("l_orderkey")
-    number = F.col("l_linenumber")
-    wheels = F.substr(F.col("wheels_id"), F.lit(5)).cast("int")
     return (
-        line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts(spark, root), F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            _unit_id().alias("oms_order_id"),
-            _pick(("Unallocated", "Customer Configured", "Shop"), number % 3).alias("build_type_internal"),
-            _pick(("CONFIGURED", "CONFIGURED", "ORDERED", "RESERVED"), order % 4).alias("financial_status"),
-            F.when(supp % 9 == 1, "CUSTOMER_UNRESPONSIVE").when(supp % 9 == 2, "CUSTOMER_NOT_READY_TO_CONFIRM")
-            .when(supp % 9 == 3, F.lit(None)).otherwise("IN_PROGRESS").alias("fulfillment_status"),
-            F.when(F.col("l_linestatus") == "F", F.when(number % 2 == 0, "PREDICTIVE").otherwise("REAL")).alias("match_status"),
-            _pick(STATUS_CODES, (order + part) % 14).alias("vehicle_status_code"),
-            _pick(STATUSES, (order * 7 + part) % 8).alias("vehicle_status"),
-            F.when(part % 13 == 1, "INTERNAL").otherwise("CUSTOMER_DELIVERY").alias("vehicle_usage"),
-            F.when(supp % 7 == 1, "QUALITY").alias("hold_type"),
-            F.when(part % 25 == 1, -2).otherwise((part % 25).cast("int")).alias("build_batch"),
-            F.when(part % 53 == 1, "GEN-1").otherwise("GEN-2").alias("vehicle_architecture"),
-            F.when(part % 53 == 1, "GEN-1").otherwise("GEN-2").alias("items_vehicle_generation_id"),
-            F.col("l_shipdate").cast("date").alias("expected_general_assembly_date"),
-            F.when(number == 5, "8101.0").when(supp % 3 == 0, "8101")
-            .otherwise((F.lit(8000) + supp % 20).cast("string")).alias("distribution_center"),
-            F.lpad((F.col("o_custkey") % 100000).cast("string"), 5, "0").alias("ship_to_zipcode"),
-            F.concat(F.lit("Site "), (supp % 12).cast("string")).alias("delivery_location_name"),
-            F.when(part % 7 != 1, _unit_id()).alias("unique_build_id"),
-            F.when(number == 1, _pick(("The price is not what I expected", "Delivery isn't soon enough", "Other"), part % 3)).alias("question1_response"),
-            F.when(number == 2, _pick(("Pricing", "Delivery date", "Other"), part % 3)).alias("cancel_code"),
-            F.col("model").alias("sku"),
-            F.col("powertrain").alias("trim"),
-            F.concat(F.lit("MOT-"), F.substr(F.col("interior_id"), F.lit(5))).alias("motor"),
-            F.when(F.col("powertrain").isin("LARGE", "MEDIUM"), "BAT-MAX").otherwise("BAT-STD").alias("battery"),
-            F.col("paint_id").alias("exterior"),
-            F.col("interior_id").alias("interior"),
-            F.col("wheels_id").alias("wheels"),
-            F.when(wheels == 3, "ORD-001").alias("offroad"),
-            F.when(wheels == 3, "ATP-001").when(wheels != 2, "ATP-NULL").alias("atp"),
-            F.col("tonneau_id").alias("tonneau"),
-            F.when(supp % 10 == 0, "RGN-CAN").otherwise("RGN-USA").alias("build_country"),
-            F.col("roof_id").alias("roof"),
-            F.col("audio_id").alias("audio"),
-            F.col("utility_panel_id").alias("utility"),
-            F.col("accents_and_badging_id").alias("badging"),
+        _lines_with_parts(spark, root)
+        .join(orders, F.expr("l_orderkey = o_orderkey"))
+        .selectExpr(
+            f"{UNIT_ID} as oms_order_id",
+            f"{_pick(('Unallocated', 'Customer Configured', 'Shop'), 'l_linenumber % 3')} as build_type_internal",
+            f"{_pick(('CONFIGURED', 'CONFIGURED', 'ORDERED', 'RESERVED'), 'l_orderkey % 4')} as financial_status",
+            "case when l_suppkey % 9 = 1 then 'CUSTOMER_UNRESPONSIVE' when l_suppkey % 9 = 2 then 'CUSTOMER_NOT_READY_TO_CONFIRM'"
+            " when l_suppkey % 9 = 3 then null else 'IN_PROGRESS' end as fulfillment_status",
+            "case when l_linestatus = 'F' then if(l_linenumber % 2 = 0, 'PREDICTIVE', 'REAL') end as match_status",
+            f"{_pick(STATUS_CODES, '(l_orderkey + l_partkey) % 14')} as vehicle_status_code",
+            f"{STATUS} as vehicle_status",
+            "if(l_partkey % 13 = 1, 'INTERNAL', 'CUSTOMER_DELIVERY') as vehicle_usage",
+            "case when l_suppkey % 7 = 1 then 'QUALITY' end as hold_type",
+            "if(l_partkey % 25 = 1, -2, l_partkey % 25) as build_batch",
+            "if(l_partkey % 53 = 1, 'GEN-1', 'GEN-2') as vehicle_architecture",
+            "if(l_partkey % 53 = 1, 'GEN-1', 'GEN-2') as items_vehicle_generation_id",
+            f"{SHIPPED} as expected_general_assembly_date",
+            "case when l_linenumber = 5 then '8101.0' when l_suppkey % 3 = 0 then '8101'"
+            " else cast(8000 + l_suppkey % 20 as string) end as distribution_center",
+            "lpad(o_custkey % 100000, 5, '0') as ship_to_zipcode",
+            "'Site ' || l_suppkey % 12 as delivery_location_name",
+            f"case when l_partkey % 7 <> 1 then {UNIT_ID} end as unique_build_id",
+            """case when l_linenumber = 1 then case l_partkey % 3 when 0 then 'The price is not what I expected'
+               when 1 then "Delivery isn't soon enough" else 'Other' end end as question1_response""",
+            "case when l_linenumber = 2 then case l_partkey % 3 when 0 then 'Pricing' when 1 then 'Delivery date' else 'Other' end end as cancel_code",
+            "model as sku",
+            "powertrain as trim",
+            "'MOT-' || substr(interior_id, 5) as motor",
+            "if(powertrain in ('LARGE', 'MEDIUM'), 'BAT-MAX', 'BAT-STD') as battery",
+            "paint_id as exterior",
+            "interior_id as interior",
+            "wheels_id as wheels",
+            "case when wheels_id = 'WHL-3' then 'ORD-001' end as offroad",
+            "case when wheels_id = 'WHL-3' then 'ATP-001' when wheels_id <> 'WHL-2' then 'ATP-NULL' end as atp",
+            "tonneau_id as tonneau",
+            "if(l_suppkey % 10 = 0, 'RGN-CAN', 'RGN-USA') as build_country",
+            "roof_id as roof",
+            "audio_id as audio",
+            "utility_panel_id as utility",
+            "accents_and_badging_id as badging",
         )
     )
 
 
 def dc_map(spark: SparkSession, root: str) -> DataFrame:
     """Customer zip → distribution centre; some zips are missing on purpose."""
-    customer = load_table(spark, "customer", root)
-    z = customer.select((F.col("c_custkey") % 100000).alias("n")).distinct().filter("n % 4 <> 1")
-    return z.select(
-        F.lpad(F.col("n").cast("string"), 5, "0").alias("customer_zip"),
-        F.when(F.col("n") % 3 == 0, "8101").otherwise((F.lit(8000) + F.col("n") % 20).cast("string")).alias("dc"),
+    zips = load_table(spark, "customer", root).selectExpr("c_custkey % 100000 as n").distinct()
+    return zips.filter("n % 4 <> 1").selectExpr(
+        "lpad(n, 5, '0') as customer_zip",
+        "if(n % 3 = 0, '8101', cast(8000 + n % 20 as string)) as dc",
     )
 
 
