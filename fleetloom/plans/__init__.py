@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from fleetloom.plans import inventory
+from fleetloom.plans import compliance, inventory
 
-REGISTRY = {**inventory.QUERIES}
+REGISTRY = {**inventory.QUERIES, **compliance.QUERIES}
