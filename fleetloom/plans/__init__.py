@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from fleetloom.plans import compliance, inventory
+from fleetloom.plans import compliance, inventory, safety
 
-REGISTRY = {**inventory.QUERIES, **compliance.QUERIES}
+REGISTRY = {**inventory.QUERIES, **compliance.QUERIES, **safety.QUERIES}
