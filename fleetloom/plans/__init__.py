@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from fleetloom.plans import compliance, inventory, safety
+from fleetloom.plans import compliance, inventory, regression, safety
 
-REGISTRY = {**inventory.QUERIES, **compliance.QUERIES, **safety.QUERIES}
+REGISTRY = {**inventory.QUERIES, **compliance.QUERIES, **safety.QUERIES, **regression.QUERIES}
