@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
-from fleetloom.plans import compliance, inventory, regression, safety
+from fleetloom.plans import compliance, inventory, matching, regression, safety
 
-REGISTRY = {**inventory.QUERIES, **compliance.QUERIES, **safety.QUERIES, **regression.QUERIES}
+REGISTRY = {
+    **inventory.QUERIES,
+    **compliance.QUERIES,
+    **matching.QUERIES,
+    **safety.QUERIES,
+    **regression.QUERIES,
+}
