@@ -99,7 +99,7 @@ def add_distribution_center(orders: DataFrame, dc_map: DataFrame, default: str =
 
 
 def add_region(df: DataFrame, regions: DataFrame) -> DataFrame:
-    return enrich(df, small(regions), {"distribution_center": "distribution_center_text"})
+    return enrich(df, small(regions, computed=False), {"distribution_center": "distribution_center_text"})
 
 
 def _last_saved(orders: DataFrame, inputs: CohortInputs) -> DataFrame:

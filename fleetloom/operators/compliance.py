@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetloom.functions import labels as L
 from fleetloom.functions.config_key import roll_model_year
 from fleetloom.operators.joins import enrich, small
+from fleetloom.sources.tables import inline_table
 
 
 def compliant(col: str = "inventory_policy_compliance") -> Column:
@@ -100,7 +101,7 @@ def cohort_kpis(df: DataFrame, cohorts: Mapping[str, tuple] = COHORTS) -> DataFr
         .groupBy("cohort")
         .agg(F.sum("compliant_qty").alias("compliant_qty"), F.sum("total_qty").alias("total_qty"))
     )
-    names = df.sparkSession.createDataFrame([(n,) for n in cohorts], "cohort string")
+    names = inline_table(df.sparkSession, [(n,) for n in cohorts], "cohort string")
     full = names.join(summed, "cohort", "left").fillna(0, ["compliant_qty", "total_qty"])
     ratio = F.coalesce(F.try_divide("compliant_qty", "total_qty"), F.lit(0.0))
     return full.withColumn("ratio", ratio).withColumn("percent_text", percent_text(F.col("ratio")))

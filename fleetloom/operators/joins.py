@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetloom.session import materialize
+
 # Dimensions up to this many rows are broadcast; larger ones are shuffled (AQE splits skew).
 BROADCAST_ROWS = 200_000
 
@@ -22,10 +24,14 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "dimension") -
         raise ValueError(f"{what} has more than one row for {bad[0].asDict()}")
 
 
-def small(dim: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``dim`` with a broadcast hint if a look at ``limit + 1`` rows proves it small."""
-    rows = dim.limit(limit + 1).count()
-    return F.broadcast(dim) if rows <= limit else dim
+def small(dim: DataFrame, limit: int = BROADCAST_ROWS, computed: bool = True) -> DataFrame:
+    """``dim`` with a broadcast hint if its row count allows it, plain otherwise.
+
+    A computed dimension is written first: it is derived once instead of once for the count
+    and once for the join. Pass ``computed=False`` for literal or stored tables.
+    """
+    dim = materialize(dim) if computed else dim
+    return F.broadcast(dim) if dim.count() <= limit else dim
 
 
 def enrich(

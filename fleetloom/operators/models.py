@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetloom.functions.distributions import f_upper, t_two_sided
+from fleetloom.sources.tables import inline_table
 
 
 def correlate(df: DataFrame, x: str, y: str, level: float = 0.05) -> DataFrame:
@@ -28,7 +29,7 @@ def correlate(df: DataFrame, x: str, y: str, level: float = 0.05) -> DataFrame:
         t = float("inf") if abs(r) >= 1 else r * ((n - 2) / (1 - r * r)) ** 0.5
         p = t_two_sided(t, n - 2)
     row = (r, n, t, p, None if p is None else p < level)
-    return df.sparkSession.createDataFrame([row], "r double, n long, t double, p_value double, significant boolean")
+    return inline_table(df.sparkSession, [row], "r double, n long, t double, p_value double, significant boolean")
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], threshold: float = 0.7) -> DataFrame:
@@ -50,7 +51,7 @@ def simple_ols(df: DataFrame, x: str, y: str) -> DataFrame:
     se = ((1 - r2) * syy / (n - 2) / sxx) ** 0.5
     row = (a, b, se, b / se, t_two_sided(b / se, n - 2), r2, 1 - (1 - r2) * (n - 1) / (n - 2), n)
     schema = "intercept double, slope double, slope_se double, t double, p_value double, r2 double, adj_r2 double, n long"
-    return df.sparkSession.createDataFrame([row], schema)
+    return inline_table(df.sparkSession, [row], schema)
 
 
 def _assembled(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
@@ -70,7 +71,7 @@ def multiple_ols(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
         [*xs, "const"], [*map(float, model.coefficients), float(model.intercept)],
         s.coefficientStandardErrors, s.tValues, s.pValues,
     )
-    return df.sparkSession.createDataFrame(
+    return inline_table(df.sparkSession, 
         [tuple(r) for r in rows], "term string, coefficient double, std_err double, t double, p_value double"
     )
 
@@ -102,7 +103,7 @@ def fit_diagnostics(df: DataFrame, y: str, xs: Sequence[str], order: str) -> Dat
         "durbin_watson": dw / sse, "jarque_bera": jb, "jarque_bera_p_value": exp(-jb / 2),
         "skew": skew, "kurtosis": kurt, "condition_number": _condition_number(res, xs),
     }
-    return df.sparkSession.createDataFrame([(a, float(b)) for a, b in values.items()], "statistic string, value double")
+    return inline_table(df.sparkSession, [(a, float(b)) for a, b in values.items()], "statistic string, value double")
 
 
 def _condition_number(df: DataFrame, xs: Sequence[str]) -> float:
@@ -121,7 +122,7 @@ def lasso_select(df: DataFrame, y: str, xs: Sequence[str], alpha: float = 100.0)
     ).fit(data)
     spread = df.dropna(subset=[y, *xs]).agg(*[F.stddev_pop(x) for x in xs]).first()
     rows = [(x, float(b) * float(s), bool(b != 0)) for x, b, s in zip(xs, model.coefficients, spread)]
-    return df.sparkSession.createDataFrame(rows, "feature string, coefficient double, selected boolean")
+    return inline_table(df.sparkSession, rows, "feature string, coefficient double, selected boolean")
 
 
 def selected_ols(df: DataFrame, y: str, xs: Sequence[str], alpha: float = 100.0) -> DataFrame | None:

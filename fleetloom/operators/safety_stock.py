@@ -167,9 +167,9 @@ def add_parameters(
         "sku_class_letter": F.substring("sku_classification", 1, 1),
     })
     on = {"location_type": "location_type", "model": "model", "sku_class_letter": "sku_class"}
-    levelled = enrich(keyed, small(levels), on, check_unique=True)
+    levelled = enrich(keyed, small(levels, computed=False), on, check_unique=True)
     lane = lanes.select("location_id", "total_lead_time")
-    return enrich(levelled, small(lane), {"sap_sc_code": "location_id"}, check_unique=True)
+    return enrich(levelled, small(lane, computed=False), {"sap_sc_code": "location_id"}, check_unique=True)
 
 
 def assign_lead_time(
@@ -194,7 +194,7 @@ def service_level_z(levels: DataFrame) -> DataFrame:
 
 def raw_safety_stock(df: DataFrame, z: DataFrame) -> DataFrame:
     """z · sqrt(LT · σ² + (σ_LT · μ)²), rounded half-even as the calculator does."""
-    with_z = enrich(df, small(z), {"service_level": "service_level"})
+    with_z = enrich(df, F.broadcast(z), {"service_level": "service_level"})
     sigma, mean = F.col("standard_deviation_of_weekly_demand"), F.col("average_weekly_demand")
     noise = F.col("lead_time") * sigma * sigma + F.pow(F.col("lead_time_std") * mean, F.lit(2.0))
     units = F.col("z") * F.sqrt(noise)

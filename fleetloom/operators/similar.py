@@ -18,7 +18,7 @@ from fleetloom.functions.text import SCORERS, clean, levenshtein_score, overlap_
 from fleetloom.operators.ordered import hottest_group, number_rows
 from fleetloom.session import materialize, shuffle_partitions
 
-LEFT_CHUNK, RIGHT_CHUNK = 32, 256
+LEFT_CHUNK, RIGHT_CHUNK = 16, 256
 HOT_CHUNKS, SPREAD = 256, 32
 # Rows (demands and options) per group of picking demands, give or take one chunk.
 GROUP_ROWS = 20_000
@@ -138,13 +138,9 @@ def nearest_config(
     for c in block:
         present = F.col(c).isNotNull() if present is None else present & F.col(c).isNotNull()
     texts = units.filter(present).select(_block(block).alias("block"), F.col("config_string").alias("text"))
-    left = texts.distinct().withColumn("need", F.lit(1))
-    right = (
-        catalog.filter(present)
-        .select(_block(block).alias("block"), F.col("config_string").alias("text"))
-        .distinct()
-        .withColumn("capacity", F.lit(1))
-    )
+    left = materialize(texts.distinct()).withColumn("need", F.lit(1))
+    choices = catalog.filter(present).select(_block(block).alias("block"), F.col("config_string").alias("text"))
+    right = materialize(choices.distinct()).withColumn("capacity", F.lit(1))
     if scorer == "levenshtein":
         best_of = F.transform("l", lambda a: F.struct(
             a["text"].alias("text"),
@@ -196,18 +192,16 @@ def similar_match(
     """
     texts = ["block", "text"]
     present = "block is not null and text is not null"
-    queued = number_rows(
-        demand.select("id", "ord", *texts).filter(present), ["block"], ["ord", "id"], "dpos"
-    )
+    wanted = materialize(demand.select("id", "ord", *texts).filter(present))
+    queued = number_rows(wanted, ["block"], ["ord", "id"], "dpos")
     d = number_rows(queued, texts, ["dpos"], "turn").withColumn(
         "chunk", F.floor((F.col("turn") - 1) / (group_rows // 4))
     )
     d = materialize(d)
     chunks = _group_chunks(d, group_rows)
     d = materialize(d.join(chunks.select(*texts, "chunk", "grp"), [*texts, "chunk"]).select("id", *texts, "dpos", "grp"))
-    stocked = number_rows(
-        supply.select("id", "ord", *texts).filter(present), ["block"], ["ord", "id"], "vpos"
-    )
+    on_hand = materialize(supply.select("id", "ord", *texts).filter(present))
+    stocked = number_rows(on_hand, ["block"], ["ord", "id"], "vpos")
     # No more units of one text than its block has demands can ever be used.
     waiting = d.groupBy("block").agg(F.count(F.lit(1)).alias("demands"))
     v = materialize(

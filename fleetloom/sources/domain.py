@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetloom.functions import labels as L
-from fleetloom.sources.tables import load_table
+from fleetloom.sources.tables import inline_table, load_table
 
 STATUSES = (
     "PRODUCTION_CONTROL_FROZEN", "DELIVERED", "PRODUCTION_STARTED", "FACTORY_GATED",
@@ -202,8 +202,8 @@ def lanes(spark: SparkSession, root: str) -> DataFrame:
 
 
 def service_levels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        SERVICE_LEVELS,
+    return inline_table(
+        spark, SERVICE_LEVELS,
         "location_type string, model string, sku_class string, service_level double,"
         " annual_demand_threshold double, ss_coverage_max double",
     )
@@ -323,4 +323,4 @@ def dc_map(spark: SparkSession, root: str) -> DataFrame:
 def dc_regions(spark: SparkSession) -> DataFrame:
     """Distribution centre → delivery region."""
     rows = [("8101", "Central")] + [(str(8000 + i), ("East", "West")[i % 2]) for i in range(18)]
-    return spark.createDataFrame(rows, "distribution_center_text string, dc_region string")
+    return inline_table(spark, rows, "distribution_center_text string, dc_region string")

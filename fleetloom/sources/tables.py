@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +43,22 @@ def save(
     writer.save(path)
 
 
+def inline_table(spark: SparkSession, rows: Sequence[Sequence[Any]], schema: str) -> DataFrame:
+    """A few literal rows as a table (``schema`` in ``name type, …`` form), without a Python RDD."""
+    fields = [f.strip().split(" ", 1) for f in schema.split(",")]
+
+    def value(v: Any, kind: str) -> str:
+        text = "null" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"cast({text} as {kind})"
+
+    structs = [
+        "struct(" + ", ".join(f"{value(v, kind)} as {name}" for v, (name, kind) in zip(row, fields)) + ")"
+        for row in rows
+    ]
+    one = spark.range(1).selectExpr(f"inline(array({', '.join(structs)}))") if rows else None
+    return one if one is not None else spark.createDataFrame([], schema)
+
+
 def run_sql(
     spark: SparkSession, sql: str, params: Mapping[str, Any] | None = None,
     views: Mapping[str, DataFrame] | None = None,
