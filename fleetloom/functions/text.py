@@ -93,11 +93,14 @@ SCORERS: dict[str, Callable[[str], Callable[[str], int]]] = {
 }
 
 
-def overlap_bounds(text: str, others: list[str]) -> np.ndarray:
-    """Upper bound of ``ratio`` per other text: shared characters, order ignored."""
-    alphabet = sorted(set(text))
-    counts = np.array([text.count(c) for c in alphabet])
-    table = np.array([[o.count(c) for c in alphabet] for o in others])
-    shared = np.minimum(table, counts).sum(axis=1)
-    lengths = np.array([len(text) + len(o) for o in others])
+def overlap_bounds(texts: list[str], others: list[str]) -> np.ndarray:
+    """Upper bounds of ``ratio``, texts × others: shared characters, order ignored."""
+    alphabet = sorted(set("".join(texts)))
+
+    def counts(rows: list[str]) -> np.ndarray:
+        return np.array([[row.count(c) for c in alphabet] for row in rows], dtype=np.int32).reshape(len(rows), -1)
+
+    left, right = counts(texts), counts(others)
+    shared = np.minimum(left[:, None, :], right[None, :, :]).sum(axis=2)
+    lengths = np.add.outer([len(t) for t in texts], [len(o) for o in others])
     return np.rint(200.0 * shared / np.maximum(lengths, 1)).astype(int)

@@ -67,10 +67,11 @@ def _shortlist(scorer: str):
 def _tile_hits(lefts, rights, against, bounded: bool) -> list[dict]:
     others = [clean(r["text"]) for r in rights]
     scores = [against(o) for o in others]
+    texts = [clean(left["text"]) for left in lefts]
+    all_bounds = overlap_bounds(texts, others).tolist() if bounded else [[100] * len(others)] * len(texts)
     hits = []
-    for left in lefts:
-        text, need = clean(left["text"]), left["weight"]
-        bounds = overlap_bounds(text, others) if bounded else [100] * len(others)
+    for left, text, bounds in zip(lefts, texts, all_bounds):
+        need = left["weight"]
         supply = [0] * 101  # capacity seen per score
         seen: list[tuple[int, int]] = []
         for i in sorted(range(len(others)), key=lambda i: -bounds[i]):

@@ -32,7 +32,7 @@ SPLIT_BUCKETS = {
 
 def _base(spark: SparkSession, root: str) -> DataFrame:
     return C.dashboard_vehicles(
-        D.vehicles(spark, root), D.item_master(spark, root), P.EXCLUDE_SOURCE, P.LAUNCH_SOURCE, P.LAUNCH_BUILDS
+        D.vehicles(spark, root, sites=True), D.item_master(spark, root), P.EXCLUDE_SOURCE, P.LAUNCH_SOURCE, P.LAUNCH_BUILDS
     )
 
 
@@ -83,12 +83,12 @@ def vins_by_flag(spark: SparkSession, root: str) -> DataFrame:
 
 
 def site_compliance(spark: SparkSession, root: str) -> DataFrame:
-    field = C.field_vehicles(D.vehicles(spark, root), D.item_master(spark, root))
+    field = C.field_vehicles(D.vehicles(spark, root, sites=True), D.item_master(spark, root))
     return C.compliance_table(field, ["location_name", "location_id", "location_region"])
 
 
 def region_compliance(spark: SparkSession, root: str) -> DataFrame:
-    field = C.field_vehicles(D.vehicles(spark, root), D.item_master(spark, root), "other")
+    field = C.field_vehicles(D.vehicles(spark, root, sites=True), D.item_master(spark, root), "other")
     return C.compliance_table(field, ["location_region"]).orderBy("location_region")
 
 

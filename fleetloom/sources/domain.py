@@ -46,6 +46,13 @@ SHIPPED = "cast(l_shipdate as date)"
 BUILT = f"case when l_returnflag <> 'N' then {SHIPPED} end"
 
 
+SITE_COLUMNS = (
+    "'L' || s_nationkey as location_id",
+    "n_name as location_name",
+    "case when r_regionkey < 3 then 'US' || r_name when r_regionkey = 3 then r_name end as comm_ops_region",
+)
+
+
 def parts(spark: SparkSession, root: str) -> DataFrame:
     """One row per part with the option attributes it stands for."""
     model = "if(p_partkey % 2 = 0, 'M1', 'M2')"
@@ -84,52 +91,51 @@ def _lines_with_parts(spark: SparkSession, root: str, where: str = "true") -> Da
     return line.join(parts(spark, root), line.l_partkey == F.col("p_partkey"))
 
 
-def vehicles(spark: SparkSession, root: str) -> DataFrame:
-    """One row per vehicle. Even line numbers carry the new port and are stored as 2025."""
-    nation = load_table(spark, "nation", root)
-    region = load_table(spark, "region", root)
-    # 25 nations and 5 regions, whatever the scale.
-    sites = (
-        load_table(spark, "supplier", root)
-        .join(F.broadcast(nation), F.expr("s_nationkey = n_nationkey"))
-        .join(F.broadcast(region), F.expr("n_regionkey = r_regionkey"))
-        .select("s_suppkey", "s_nationkey", "n_name", "r_regionkey", "r_name")
-    )
+def vehicles(spark: SparkSession, root: str, sites: bool = False) -> DataFrame:
+    """One row per vehicle. Even line numbers carry the new port and are stored as 2025.
+
+    ``sites`` adds the location columns, which cost another join.
+    """
     year = "if(l_linenumber % 2 = 0 or l_linenumber = 7, '2025', '2026')"
     centre = "case when l_suppkey % 23 = 1 then null when l_suppkey % 3 = 0 then '8101' else cast(8000 + l_suppkey % 20 as string) end"
-    return (
-        _lines_with_parts(spark, root)
-        .join(sites, F.expr("l_suppkey = s_suppkey"))
-        .selectExpr(
-            f"{UNIT_ID} as vehicle_id",
-            f"case when l_returnflag <> 'N' then 'VIN' || {UNIT_ID} end as vin",
-            "model", "powertrain", *OPTIONS,
-            f"{year} as model_year",
-            f"{year} || '_US_' || {OPTIONS_KEY} as config_string",
-            f"{COUNTRY} as country",
-            "if(l_linenumber % 2 = 0, 'CHRG-NACS01', 'CHRG-CCS01') as charging_port_id",
-            f"{STATUS} as vehicle_status",
-            "if(l_suppkey % 11 = 1, 'CANCELED', 'ACTIVE') as vehicle_record_status",
-            "if(l_partkey % 13 = 1, 'INTERNAL', 'CUSTOMER_DELIVERY') as vehicle_usage",
-            "if(l_partkey % 53 = 1, 'GEN-1', 'GEN-2') as vehicle_generation",
-            "case when l_suppkey % 19 = 1 then null when l_suppkey % 17 = 1 then 'NON_SALEABLE' else 'SALEABLE' end as vin_salability",
-            f"{centre} || if(l_linenumber = 5, '.0', '') as distribution_center",
-            "case when l_linestatus = 'F' then 'REAL' end as match_status",
-            "if(l_linestatus = 'F', 1, 0) as is_matched",
-            f"if({STATUS} = 'DELIVERED', 1, 0) as is_delivered",
-            "case when l_partkey % 29 = 1 then 'US_FLEET_20250201' when cast(l_quantity as int) % 4 = 0 then 'US_Custom_20250101'"
-            " when cast(l_quantity as int) % 4 = 1 then 'US_Inventory_20250115'"
-            " when cast(l_quantity as int) % 4 = 2 then 'US_Launch-Order_soon' end as metadata_source_order",
-            "if(l_partkey % 41 = 1, 'BLD-LAUNCH', 'BLD-' || model) as build_id",
-            f"{SHIPPED} as expected_ga_in_date",
-            f"{BUILT} as actual_ga_in_date",
-            f"date_add({SHIPPED}, 7) as expected_factory_gate_date",
-            f"date_add({BUILT}, 7) as actual_factory_gate_date",
-            f"date_sub({SHIPPED}, 14) as expected_build_date_ip",
-            "'L' || s_nationkey as location_id",
-            "n_name as location_name",
-            "case when r_regionkey < 3 then 'US' || r_name when r_regionkey = 3 then r_name end as comm_ops_region",
+    base = _lines_with_parts(spark, root)
+    if sites:
+        supplier = load_table(spark, "supplier", root).select("s_suppkey", "s_nationkey")
+        # 25 nations and 5 regions, whatever the scale.
+        nation = F.broadcast(load_table(spark, "nation", root))
+        region = F.broadcast(load_table(spark, "region", root))
+        base = (
+            base.join(supplier, F.expr("l_suppkey = s_suppkey"))
+            .join(nation, F.expr("s_nationkey = n_nationkey"))
+            .join(region, F.expr("n_regionkey = r_regionkey"))
         )
+    return base.selectExpr(
+        f"{UNIT_ID} as vehicle_id",
+        f"case when l_returnflag <> 'N' then 'VIN' || {UNIT_ID} end as vin",
+        "model", "powertrain", *OPTIONS,
+        f"{year} as model_year",
+        f"{year} || '_US_' || {OPTIONS_KEY} as config_string",
+        f"{COUNTRY} as country",
+        "if(l_linenumber % 2 = 0, 'CHRG-NACS01', 'CHRG-CCS01') as charging_port_id",
+        f"{STATUS} as vehicle_status",
+        "if(l_suppkey % 11 = 1, 'CANCELED', 'ACTIVE') as vehicle_record_status",
+        "if(l_partkey % 13 = 1, 'INTERNAL', 'CUSTOMER_DELIVERY') as vehicle_usage",
+        "if(l_partkey % 53 = 1, 'GEN-1', 'GEN-2') as vehicle_generation",
+        "case when l_suppkey % 19 = 1 then null when l_suppkey % 17 = 1 then 'NON_SALEABLE' else 'SALEABLE' end as vin_salability",
+        f"{centre} || if(l_linenumber = 5, '.0', '') as distribution_center",
+        "case when l_linestatus = 'F' then 'REAL' end as match_status",
+        "if(l_linestatus = 'F', 1, 0) as is_matched",
+        f"if({STATUS} = 'DELIVERED', 1, 0) as is_delivered",
+        "case when l_partkey % 29 = 1 then 'US_FLEET_20250201' when cast(l_quantity as int) % 4 = 0 then 'US_Custom_20250101'"
+        " when cast(l_quantity as int) % 4 = 1 then 'US_Inventory_20250115'"
+        " when cast(l_quantity as int) % 4 = 2 then 'US_Launch-Order_soon' end as metadata_source_order",
+        "if(l_partkey % 41 = 1, 'BLD-LAUNCH', 'BLD-' || model) as build_id",
+        f"{SHIPPED} as expected_ga_in_date",
+        f"{BUILT} as actual_ga_in_date",
+        f"date_add({SHIPPED}, 7) as expected_factory_gate_date",
+        f"date_add({BUILT}, 7) as actual_factory_gate_date",
+        f"date_sub({SHIPPED}, 14) as expected_build_date_ip",
+        *(SITE_COLUMNS if sites else ()),
     )
 
 
