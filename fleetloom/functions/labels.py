@@ -59,7 +59,7 @@ DASHBOARD_ZONES = ZoneLabels(
 )
 PLAIN_ZONES = ZoneLabels(
     "Firm",
-    "Frozen/ VINned",
+    "Frozen/VINned",
     "Already Built/ WIP at Normal",
     "Already Built/ WIP in Field",
     "Liquid",
@@ -173,21 +173,23 @@ def normalize_zip(col: str) -> Column:
     )
 
 
-def available_supply(cutoff: str, exclude_source: str, require_active: bool = True) -> Column:
+def available_supply(cutoff: str, exclude_source: str | None, require_active: bool = True) -> Column:
     """Units that can still be sold and leave the factory before ``cutoff``.
 
-    SQL three-valued logic is meant: a NULL source order, saleability or status drops the row.
+    SQL three-valued logic is meant: a NULL source order (where one is excluded), saleability or
+    status drops the row.
     """
     gate = F.coalesce(F.col("actual_factory_gate_date"), F.col("expected_factory_gate_date"))
     keep = (
-        ~F.col("metadata_source_order").like(exclude_source)
-        & F.col("match_status").isNull()
+        F.col("match_status").isNull()
         & (F.col("is_delivered") == 0)
         & (F.col("vin_salability") != "NON_SALEABLE")
         & ~F.col("vehicle_status").isin(*UNAVAILABLE_STATUSES)
         & (F.col("vehicle_usage") == "CUSTOMER_DELIVERY")
         & (gate < F.lit(cutoff).cast("date"))
     )
+    if exclude_source is not None:
+        keep = keep & ~F.col("metadata_source_order").like(exclude_source)
     return keep & (F.col("vehicle_record_status") == "ACTIVE") if require_active else keep
 
 

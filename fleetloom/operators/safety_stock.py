@@ -143,7 +143,9 @@ def weekly_stats(weekly: DataFrame, weeks: DataFrame, calendar: str = "observed"
         KEY, "mapped_config_string", "sap_sc_code", "sc_name",
         F.round(average, 4).alias("average_weekly_demand"),
         F.round(average * 52, 4).alias("annualized_demand"),
-        F.round(F.sqrt(F.greatest(variance, F.lit(0.0))), 4).alias("standard_deviation_of_weekly_demand"),
+        # Rounding may leave a tiny negative variance; a single week has none at all.
+        F.round(F.when(F.col("W") > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))), 4)
+        .alias("standard_deviation_of_weekly_demand"),
     )
 
 
@@ -194,7 +196,7 @@ def service_level_z(levels: DataFrame) -> DataFrame:
 
 def raw_safety_stock(df: DataFrame, z: DataFrame) -> DataFrame:
     """z · sqrt(LT · σ² + (σ_LT · μ)²), rounded half-even as the calculator does."""
-    with_z = enrich(df, F.broadcast(z), {"service_level": "service_level"})
+    with_z = enrich(df, small(z), {"service_level": "service_level"})
     sigma, mean = F.col("standard_deviation_of_weekly_demand"), F.col("average_weekly_demand")
     noise = F.col("lead_time") * sigma * sigma + F.pow(F.col("lead_time_std") * mean, F.lit(2.0))
     units = F.col("z") * F.sqrt(noise)

@@ -84,6 +84,24 @@ def supply_by_config(
     return _flag(counted, items, compliant_only)
 
 
+# Columns of the unit-level supply list behind the stage.
+UNIT_COLUMNS = (
+    "model_powertrain", "model", "powertrain", "country", "paint_id", "interior_id", "wheels_id", "tonneau_id",
+    "accents_and_badging_id", "roof_id", "audio_id", "utility_panel_id",
+)
+
+
+def current_supply(vehicles: DataFrame, models: DataFrame, cutoff: str, model_year: str = "2026") -> DataFrame:
+    """Unit list of the supply, whatever its record status and source, with its stage."""
+    units = vehicles.filter(L.available_supply(cutoff, None, require_active=False)).select(
+        "vehicle_id", L.production_zone(L.PLAIN_ZONES).alias("production_zone"),
+        roll_model_year("config_string").alias("config_string"),
+        roll_model_year("model_year").alias("model_year"), *UNIT_COLUMNS,
+    )
+    kept = units.filter(F.col("model_year") == model_year).drop("model_year")
+    return kept.join(models, "model_powertrain", "left_semi")
+
+
 def _flag(df: DataFrame, items: DataFrame, compliant_only: bool) -> DataFrame:
     """Compliance of a configuration; unknown ones are not compliant."""
     flags = items.select("config_string", "inventory_policy_compliance")

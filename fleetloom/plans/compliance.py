@@ -10,7 +10,7 @@ from fleetloom.functions.config_key import short_config
 from fleetloom.operators import compliance as C
 from fleetloom.operators.joins import option_list
 from fleetloom.plans import params as P
-from fleetloom.plans.views_sql import with_views
+from fleetloom.plans.views_sql import with_views, zone_sql
 from fleetloom.sources import domain as D
 
 SELECTED = (L.DASHBOARD_ZONES.frozen_vin, L.DASHBOARD_ZONES.frozen_no_vin)
@@ -136,21 +136,6 @@ def zone_options(spark: SparkSession, root: str) -> DataFrame:
     return option_list(_base(spark, root), "production_zone")
 
 
-_BUILT = ("'PRODUCTION_STARTED','ARRIVED_AT_DISTRIBUTION_CENTER','FACTORY_GATED','FACTORY_OK','GENERAL_ASSEMBLY_COMPLETED',"
-          "'IN_TRANSIT_TO_DISTRIBUTION_CENTER','INTERNAL_RECEIVED','PDI_COMPLETED','PDI_STARTED','RETURNED','STAGED_FOR_PDI','VEHICLE_PREPPED'")
-
-
-def zone_sql(no_vin: str, with_vin: str, normal: str, field: str | None, liquid: str) -> str:
-    built = f"vehicle_status in ({_BUILT}) and vin is not null"
-    dc = "regexp_replace(distribution_center, '\\.0$', '')"
-    stage = f"when {built} then '{normal}'" if field is None else (
-        f"when {built} and {dc} = '8101' then '{normal}' when {built} and {dc} <> '8101' then '{field}'")
-    return f"""case when vehicle_status = 'PRODUCTION_CONTROL_FROZEN' and vin is null then '{no_vin}'
-  when vehicle_status = 'PRODUCTION_CONTROL_FROZEN' then '{with_vin}' when vehicle_status = 'DELIVERED' then 'Delivered'
-  {stage} when vehicle_status = 'DECOMMISSIONED' then 'Decommissioned'
-  when vehicle_status = 'CREATED' and vehicle_record_status = 'ACTIVE' then '{liquid}' else 'Investigate' end"""
-
-
 PLANNING_SQL = zone_sql("Frozen", "Firm/ VINned", "Already Built/ WIP", None, "Liquid")
 DASHBOARD_SQL = zone_sql("4. Firm", "3. Frozen/VINned", "1. Already Built/ WIP at Normal", "2. Already Built/ WIP in Field", "5. Liquid")
 STORED_SQL = zone_sql("Firm", "Frozen/ VINned", "Already Built/ WIP", None, "Liquid")

@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetloom.functions import labels as L
-from fleetloom.functions.config_key import decode_config, encode_config, roll_model_year
+from fleetloom.functions.config_key import (
+    build_option_id, decode_config, encode_config, region_code, roll_model_year,
+)
 from fleetloom.operators import allocate as A
 from fleetloom.operators import supply_demand as SD
-from fleetloom.operators.joins import enrich
+from fleetloom.operators.joins import enrich, small
 from fleetloom.operators.pairing import exact_match
 from fleetloom.operators.similar import similar_match
 from fleetloom.plans import params as P
-from fleetloom.plans.views_sql import with_views
+from fleetloom.plans.views_sql import with_views, zone_sql
 from fleetloom.session import materialize
 from fleetloom.sources import domain as D
 
@@ -103,6 +105,31 @@ def expand_units(spark: SparkSession, root: str) -> DataFrame:
     return A.expand_units(_allocated(spark, root)).select("config_string", "unit")
 
 
+BUILD_OPTIONS = {"M1 LARGE": "BLD-DM1", "M1 PROMO": "BLD-TM1", "M2 LARGE": "BLD-DM2", "M2 SMALL": "BLD-QM2"}
+PAINT_BUILDS = {("M1", "EXP-GREEN"): "BLD-TDM1", ("M2", "EXP-GREEN"): "BLD-TDM2"}
+SKU_PARTS = ("model_powertrain", "paint_id", "interior_id", "wheels_id", "tonneau_id",
+             "accents_and_badging_id", "roof_id", "audio_id", "utility_panel_id")
+
+
+def planned_units(spark: SparkSession, root: str) -> DataFrame:
+    """Planned units with the attributes of their configuration."""
+    items = D.item_master(spark, root).filter("is_inventory_policy_eligible = 1")
+    attributes = items.select("config_string", "model", "powertrain", "country", *SKU_PARTS[1:])
+    units = enrich(_planned(spark, root).drop("ord"), small(attributes), {"config_string": "config_string"})
+    return units.withColumns({
+        "production_zone": F.lit("Liquid/To Freeze"),
+        "build_country": region_code(F.col("country")),
+        "build_option_id": build_option_id(BUILD_OPTIONS, PAINT_BUILDS),
+        "sku_string": encode_config(SKU_PARTS, " - "),
+    }).select("id", "production_zone", "config_string", "model_powertrain", "powertrain", "build_country",
+              "build_option_id", "sku_string")
+
+
+def current_supply(spark: SparkSession, root: str) -> DataFrame:
+    _, models, _ = _context(spark, root)
+    return SD.current_supply(D.vehicles(spark, root), models, P.TARGET)
+
+
 def liquid_vehicles(spark: SparkSession, root: str) -> DataFrame:
     """Units still liquid, with rolled-forward keys; a 2026 key keeps the planned year only."""
     return (
@@ -289,6 +316,22 @@ select * from plan where units > 0 and model_powertrain not in (
   select model_powertrain from state where model_powertrain not like 'M1 L%')""", _STATE)),
     "expand_units": (expand_units, _sql("""
 select config_string, cast(unnest(generate_series(1, added_volume)) as int) as unit from allocated where added_volume > 0""", _ALLOC)),
+    "planned_units": (planned_units, _sql("""
+select id, 'Liquid/To Freeze' as production_zone, p.config_string, p.model_powertrain, powertrain, 'RGN-USA' as build_country,
+  case when paint_id = 'EXP-GREEN' then 'BLD-TD'||model when p.model_powertrain = 'M1 LARGE' then 'BLD-DM1'
+    when p.model_powertrain = 'M1 PROMO' then 'BLD-TM1' when p.model_powertrain = 'M2 LARGE' then 'BLD-DM2'
+    when p.model_powertrain = 'M2 SMALL' then 'BLD-QM2' end as build_option_id,
+  p.model_powertrain||' - '||paint_id||' - '||interior_id||' - '||wheels_id||' - '||tonneau_id||' - '||accents_and_badging_id
+    ||' - '||roof_id||' - '||audio_id||' - '||utility_panel_id as sku_string
+from planned p join item_master i on i.config_string = p.config_string""", _EXACT)),
+    "current_supply": (current_supply, _sql(f"""
+select vehicle_id, {zone_sql('Firm', 'Frozen/VINned', 'Already Built/ WIP at Normal', 'Already Built/ WIP in Field', 'Liquid')} as production_zone,
+  case when charging_port_id = 'CHRG-NACS01' then replace(config_string,'2025','2026') else config_string end as config_string,
+  {', '.join(SD.UNIT_COLUMNS)} from vehicles where match_status is null and is_delivered = 0 and vin_salability <> 'NON_SALEABLE'
+  and vehicle_status not in ('CREATED','DECOMMISSIONED','RETURNED','INTERNAL_RECEIVED','DELIVERED') and vehicle_usage = 'CUSTOMER_DELIVERY'
+  and coalesce(actual_factory_gate_date, expected_factory_gate_date) < date '{P.TARGET}'
+  and model_powertrain in (select model_powertrain from models)
+  and (case when charging_port_id = 'CHRG-NACS01' then replace(model_year,'2025','2026') else model_year end) = '2026'""", _BASE)),
     "exact_match": (exact_match_planned, _sql("select id, vehicle_id from matched", _EXACT)),
     "freeze_summary": (freeze_summary, _sql("""
 select model_powertrain, config_string, count(vehicle_id) as vehicle_id_count from matched group by 1,2""", _EXACT)),

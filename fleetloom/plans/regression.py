@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetloom.operators import models as M
 from fleetloom.operators import order_facts as O
+from fleetloom.operators.joins import enrich, small
 from fleetloom.plans.views_sql import with_views
 from fleetloom.session import materialize
 from fleetloom.sources import domain as D
@@ -23,6 +24,15 @@ def version_ranking(spark: SparkSession, root: str) -> DataFrame:
     return O.version_ranking(D.revenue(spark, root))
 
 
+def rows_per_version(spark: SparkSession, root: str) -> DataFrame:
+    """Revenue rows by version rank; versions join on NULL-safe keys."""
+    revenue = D.revenue(spark, root)
+    ranks = small(O.version_ranking(revenue))
+    keys = {c: c for c in ("forecast_version", "forecast_version_year")}
+    ranked = enrich(revenue, ranks, keys, null_safe=True)
+    return ranked.groupBy("forecast_version_rank").agg(F.count(F.lit(1)).alias("n"), F.count("forecast_version").alias("named"))
+
+
 def latest_version(spark: SparkSession, root: str) -> DataFrame:
     latest = O.latest_version(D.revenue(spark, root))
     return latest.select("oms_order_id", "row_id", "forecast_version", "forecast_version_year")
@@ -210,6 +220,11 @@ QUERIES = {
     "version_ranking": (version_ranking, with_views("revenue", f"""
 select *, row_number() over (order by {_ORDER}) as forecast_version_rank from (
   select distinct forecast_version, forecast_version_year from revenue)""")),
+    "rows_per_version": (rows_per_version, with_views("revenue", f"""
+select forecast_version_rank, count(*) as n, count(r.forecast_version) as named from revenue r join (
+  select *, row_number() over (order by {_ORDER}) as forecast_version_rank from (
+  select distinct forecast_version, forecast_version_year from revenue)) v on r.forecast_version is not distinct from v.forecast_version
+  and r.forecast_version_year is not distinct from v.forecast_version_year group by 1""")),
     "latest_version": (latest_version, _sql("select oms_order_id, row_id, forecast_version, forecast_version_year from latest")),
     "order_fact": (order_fact, _sql("select * replace (" + ", ".join(
         f"round({c},4) as {c}" for c in ("revenue", "base_price", "options_price", "total_price", "total_discount", "referral_discount")) + ") from fact")),

@@ -88,6 +88,16 @@ def lane_lead_time(spark: SparkSession, root: str) -> DataFrame:
     return S.lane_weeks(D.lanes(spark, root), P.LANE_MONTH)
 
 
+def service_level_z(spark: SparkSession, root: str) -> DataFrame:
+    """z per service level and how many configurations of the item master use it."""
+    levels = D.service_levels(spark)
+    classes = D.item_master(spark, root).selectExpr("model", "substr(sku_classification, 1, 1) as sku_class")
+    used = classes.join(F.broadcast(levels), ["model", "sku_class"]).groupBy("service_level").agg(
+        F.count(F.lit(1)).alias("configs")
+    )
+    return used.join(S.service_level_z(levels), "service_level").withColumn("z", F.round("z", 6))
+
+
 def safety_stock(spark: SparkSession, root: str) -> DataFrame:
     levels = D.service_levels(spark)
     keyed = S.add_parameters(
@@ -192,6 +202,9 @@ select {S.KEY}, order_week, x as weekly_orders, cast(sum(x) over (partition by {
 select s.{S.KEY}, mu as average_weekly_demand, annual as annualized_demand, round(sd, 3) as sigma
 from stats s join sigmas g on g.{S.KEY} = s.{S.KEY}""")),
     "lane_lead_time": (lane_lead_time, with_views("lanes", "select * from lane_weeks", {"lane_weeks": _STEPS["lane_weeks"]})),
+    "service_level_z": (service_level_z, _sql("""
+select service_level, count(*) as configs, round(any_value(z), 6) as z from item_master i join service_levels s
+  on s.model = i.model and s.sku_class = substr(i.sku_classification, 1, 1) join z_table on sl = service_level group by 1""")),
     "safety_stock": (safety_stock, _sql(f"""
 select {S.KEY}, letter as sku_class_letter, service_level, z_score, lt as lead_time, round(lt_sd, 6) as lead_time_std,
   raw as raw_safety_stock_units, units as rounded_safety_stock_units, cover as rounded_safety_stock_coverage,
