@@ -15,10 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetloom.functions.text import SCORERS, clean, levenshtein_score, overlap_bounds
-from fleetloom.operators.ordered import hottest_group, number_rows
+from fleetloom.operators.ordered import number_rows
 from fleetloom.session import materialize, shuffle_partitions
 
-LEFT_CHUNK, RIGHT_CHUNK = 16, 256
+# Long right chunks prune better, short left chunks spread the work better.
+LEFT_CHUNK, RIGHT_CHUNK = 8, 1024
+# Tiles per task: bounds the Arrow batches that tasks hold.
+TASK_TILES = 16
 HOT_CHUNKS, SPREAD = 256, 32
 # Rows (demands and options) per group of picking demands, give or take one chunk.
 GROUP_ROWS = 20_000
@@ -38,9 +41,14 @@ def _chunks(texts: DataFrame, size: int, name: str, weight: str) -> DataFrame:
 
 def _tiles(left: DataFrame, right: DataFrame) -> DataFrame:
     """left (block, text, need) × right (block, text, capacity), chunk by chunk."""
+    spark = left.sparkSession
     ls = _chunks(left, LEFT_CHUNK, "l", "need")
     rs = _chunks(right, RIGHT_CHUNK, "r", "capacity")
-    if hottest_group(ls, ["block"]) > HOT_CHUNKS:
+    per_block = ls.groupBy("block").agg(F.count(F.lit(1)).alias("a")).join(
+        rs.groupBy("block").agg(F.count(F.lit(1)).alias("b")), "block"
+    )
+    most, tiles = per_block.agg(F.max("a"), F.sum(F.col("a") * F.col("b"))).first()
+    if (most or 0) > HOT_CHUNKS:
         ls = ls.withColumn("_salt", F.col("l_chunk") % SPREAD)
         rs = rs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
         pairs = ls.join(rs, ["block", "_salt"])
@@ -48,7 +56,7 @@ def _tiles(left: DataFrame, right: DataFrame) -> DataFrame:
         pairs = ls.join(rs, "block")
     # A fixed number of partitions: tiles are small in bytes but heavy to score, so they must
     # not be coalesced.
-    tasks = max(shuffle_partitions(left.sparkSession), left.sparkSession.sparkContext.defaultParallelism)
+    tasks = max(shuffle_partitions(spark), spark.sparkContext.defaultParallelism, (tiles or 0) // TASK_TILES)
     return pairs.repartition(tasks, "block", "l_chunk", "r_chunk").select("block", "l", "r")
 
 
@@ -249,7 +257,7 @@ def _group_chunks(d: DataFrame, group_rows: int) -> DataFrame:
     sized = d.groupBy("block", "text", "chunk").agg(
         F.min("turn").alias("first_place"), F.count(F.lit(1)).alias("n")
     ).withColumn("want", F.col("n") * 2 + 16).withColumn("rows", F.col("n") + F.col("want"))
-    packed = number_rows(materialize(sized), ["block"], ["text", "chunk"], "_n", {"upto": "rows"})
+    packed = number_rows(sized, ["block"], ["text", "chunk"], "_n", {"upto": "rows"})
     return materialize(
         packed.select("block", "text", "chunk", "first_place", "want", F.floor(F.col("upto") / group_rows).alias("grp"))
     )
@@ -257,9 +265,7 @@ def _group_chunks(d: DataFrame, group_rows: int) -> DataFrame:
 
 def _options(chunks: DataFrame, stock: DataFrame, v: DataFrame, scorer: str) -> DataFrame:
     """(block, text, place, vpos): per text its first units, best score first."""
-    reach = materialize(
-        chunks.groupBy("block", "text").agg(F.max(F.col("first_place") + F.col("want")).alias("need"))
-    )
+    reach = chunks.groupBy("block", "text").agg(F.max(F.col("first_place") + F.col("want")).alias("need"))
     menu = candidates(reach, stock, scorer)
     units = menu.select("block", "text", "need", "score", "other").join(
         v.select("block", F.col("text").alias("other"), "vpos", "nth"), ["block", "other"]

@@ -152,7 +152,8 @@ def _exact(spark: SparkSession, root: str) -> DataFrame:
     stock = liquid_vehicles(spark, root).select(
         F.col("vehicle_id").alias("id"), F.col("vehicle_id").alias("ord"), "config_string"
     )
-    return exact_match(_planned(spark, root), stock, "config_string")
+    # Read twice below; written once so that the allocation does not run twice.
+    return exact_match(materialize(_planned(spark, root)), stock, "config_string")
 
 
 def exact_match_planned(spark: SparkSession, root: str) -> DataFrame:
