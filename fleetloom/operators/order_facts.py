@@ -26,7 +26,9 @@ def version_ranking(revenue: DataFrame) -> DataFrame:
     """All versions ranked. The window is global but runs over the distinct versions only."""
     versions = revenue.select("forecast_version", "forecast_version_year").distinct()
     order = [*version_order(), F.col("forecast_version")]
-    return versions.withColumn("forecast_version_rank", F.row_number().over(Window.orderBy(*order)))
+    return versions.withColumn(
+        "forecast_version_rank", F.row_number().over(Window.orderBy(*order)).cast("long")
+    )
 
 
 def latest_version(revenue: DataFrame, key: str = "oms_order_id", tie: str = "row_id") -> DataFrame:
