@@ -3,9 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetloom.llm import quality_rules
-from fleetloom.llm.common import documents
+from fleetloom.llm import quality_rules, sharding
+from fleetloom.llm.common import documents, written
+
+N_SHARDS = 8
+
+
+def op1_histogram_shards(spark: SparkSession, root: str) -> DataFrame:
+    text = F.col("text")
+    rows = written(documents(spark, root, "doc_id", "text").select(
+        "doc_id", sharding.utf8_size(text).alias("size"), F.crc32(text).alias("text_crc32"),
+        sharding.spread_key(text, F.col("doc_id")).alias("place"),
+    ))
+    sharded = sharding.shard(rows, N_SHARDS, F.col("place"), F.col("size"), ("doc_id", "size", "text_crc32"))
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
 
 
 def op10_quality_rules(spark: SparkSession, root: str) -> DataFrame:
@@ -27,7 +43,7 @@ with t as (
   select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents
 ), w as (
   select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as ws,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
+         [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as ls
   from t
 ), windows as (
   select rid, i, array_to_string(ws[i:i + 7], ' ') as win
@@ -44,8 +60,8 @@ with t as (
     cast(len(ls) as bigint) as n_lines,
     cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines,
     coalesce(covered.n, 0) as n_repeat_words,
-    len(list_filter(ws, x -> x in {_STOP_SQL}
-      or (x = upper(left(x, 1)) || lower(substr(x, 2)) and lower(x) in {_STOP_SQL}))) as n_stop
+    len([x for x in ws if x in {_STOP_SQL}
+      or (x = upper(left(x, 1)) || lower(substr(x, 2)) and lower(x) in {_STOP_SQL})]) as n_stop
   from w left join covered using (rid)
 ), b as (
   select *, (n_words < 20 or 100 * n_repeat_words > 30 * n_words) as base_failed from m
@@ -58,5 +74,6 @@ from b
 """
 
 QUERIES = {
+    "op1_histogram_shards": (op1_histogram_shards, None),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
 }
