@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetloom.session import materialize
+from fleetloom.session import scratch_dir
 
 # The white space that separates words, and one or more of it as a pattern.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -52,8 +53,11 @@ def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back; the shuffle files that it took are
     removed as soon as the table stands, so that only tables take space between steps."""
-    with _shuffle_files_removed(df.sparkSession):
-        return materialize(df)
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark).rstrip('/')}/fleetloom/{uuid.uuid4().hex}"
+    with _shuffle_files_removed(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def dropped(*tables: DataFrame) -> None:

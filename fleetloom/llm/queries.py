@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetloom.llm import quality_rules, sharding
+from fleetloom.llm import packing, quality_rules, sharding, token_counts
 from fleetloom.llm.common import documents, written
+from fleetloom.llm.tokens import vocabulary
 
 N_SHARDS = 8
 
@@ -24,6 +25,22 @@ def op1_histogram_shards(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op7_tiered_packing(spark: SparkSession, root: str) -> DataFrame:
+    return packed(documents(spark, root, "doc_id", "text"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = packing.pack(docs, vocabulary("word_bpe_49k.json"), end_id=1, keys=("doc_id",))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "context", "step_group",
+    )
+
+
+def op8_token_counts(spark: SparkSession, root: str) -> DataFrame:
+    docs = documents(spark, root, "doc_id", "text")
+    return token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"), limit=1024)
+
+
 def op10_quality_rules(spark: SparkSession, root: str) -> DataFrame:
     judged = quality_rules.judge(documents(spark, root, "doc_id", "text"))
     return judged.select(
@@ -75,5 +92,7 @@ from b
 
 QUERIES = {
     "op1_histogram_shards": (op1_histogram_shards, None),
+    "op7_tiered_packing": (op7_tiered_packing, None),
+    "op8_token_counts": (op8_token_counts, None),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
 }
