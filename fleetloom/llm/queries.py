@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetloom.llm import packing, quality_rules, sharding, token_counts
+from fleetloom.llm import packing, quality_rules, sharding, token_counts, wrapper
 from fleetloom.llm.common import documents, written
 from fleetloom.llm.tokens import vocabulary
 
@@ -41,6 +41,11 @@ def op8_token_counts(spark: SparkSession, root: str) -> DataFrame:
     return token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"), limit=1024)
 
 
+def op9_wrapper_induction(spark: SparkSession, root: str) -> DataFrame:
+    pages = spark.read.parquet(f"{root}/pages.parquet").select("page_id", "url", "html")
+    return wrapper.main_text(pages, ("page_id", "url"))
+
+
 def op10_quality_rules(spark: SparkSession, root: str) -> DataFrame:
     judged = quality_rules.judge(documents(spark, root, "doc_id", "text"))
     return judged.select(
@@ -94,5 +99,6 @@ QUERIES = {
     "op1_histogram_shards": (op1_histogram_shards, None),
     "op7_tiered_packing": (op7_tiered_packing, None),
     "op8_token_counts": (op8_token_counts, None),
+    "op9_wrapper_induction": (op9_wrapper_induction, None),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
 }
