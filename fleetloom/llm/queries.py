@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetloom.llm import packing, quality_rules, sharding, token_counts, wrapper
+from fleetloom.llm import decontaminate, packing, quality_rules, sharding, token_counts, wrapper
 from fleetloom.llm.common import documents, written
 from fleetloom.llm.tokens import vocabulary
 
@@ -25,6 +25,14 @@ def op1_histogram_shards(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op4_qgram_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    return decontaminate.matches(documents(spark, root, "doc_id", "text"), benchmark(spark, root))
+
+
+def benchmark(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/benchmark.parquet").select("item_id", "text")
+
+
 def op7_tiered_packing(spark: SparkSession, root: str) -> DataFrame:
     return packed(documents(spark, root, "doc_id", "text"))
 
@@ -97,6 +105,7 @@ from b
 
 QUERIES = {
     "op1_histogram_shards": (op1_histogram_shards, None),
+    "op4_qgram_decontamination": (op4_qgram_decontamination, None),
     "op7_tiered_packing": (op7_tiered_packing, None),
     "op8_token_counts": (op8_token_counts, None),
     "op9_wrapper_induction": (op9_wrapper_induction, None),
