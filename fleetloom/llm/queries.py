@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetloom.llm import decontaminate, packing, quality_rules, sharding, token_counts, wrapper
+from fleetloom.llm import decontaminate, packing, quality_rules, secret_scan, sharding, token_counts, wrapper
 from fleetloom.llm.common import documents, written
 from fleetloom.llm.tokens import vocabulary
 
@@ -25,6 +25,14 @@ def op1_histogram_shards(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op2_secret_scan(spark: SparkSession, root: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, root, "doc_id", "text", "source"), ("doc_id",), path="source")
+    return found.select(
+        "doc_id", "n_at", F.sha2("value", 256).alias("value_sha256"), F.col("length").cast("long").alias("length"),
+        F.round("score", 6).alias("score"), "is_secret",
+    )
+
+
 def op4_qgram_decontamination(spark: SparkSession, root: str) -> DataFrame:
     return decontaminate.matches(documents(spark, root, "doc_id", "text"), benchmark(spark, root))
 
@@ -105,6 +113,7 @@ from b
 
 QUERIES = {
     "op1_histogram_shards": (op1_histogram_shards, None),
+    "op2_secret_scan": (op2_secret_scan, None),
     "op4_qgram_decontamination": (op4_qgram_decontamination, None),
     "op7_tiered_packing": (op7_tiered_packing, None),
     "op8_token_counts": (op8_token_counts, None),
