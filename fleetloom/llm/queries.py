@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetloom.llm import decontaminate, packing, quality_rules, secret_scan, sharding, token_counts, wrapper
+from fleetloom.llm import decontaminate, kneser_ney, packing, quality_rules, secret_scan, sharding, token_counts, wrapper
 from fleetloom.llm.common import documents, written
 from fleetloom.llm.tokens import vocabulary
 
@@ -33,6 +33,11 @@ def op2_secret_scan(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op3_kneser_ney_quality(spark: SparkSession, root: str) -> DataFrame:
+    labels = spark.read.parquet(f"{root}/labels.parquet").select("doc_id", "quality")
+    return kneser_ney.score(documents(spark, root, "doc_id", "lang", "text"), labels)
+
+
 def op4_qgram_decontamination(spark: SparkSession, root: str) -> DataFrame:
     return decontaminate.matches(documents(spark, root, "doc_id", "text"), benchmark(spark, root))
 
@@ -114,6 +119,7 @@ from b
 QUERIES = {
     "op1_histogram_shards": (op1_histogram_shards, None),
     "op2_secret_scan": (op2_secret_scan, None),
+    "op3_kneser_ney_quality": (op3_kneser_ney_quality, None),
     "op4_qgram_decontamination": (op4_qgram_decontamination, None),
     "op7_tiered_packing": (op7_tiered_packing, None),
     "op8_token_counts": (op8_token_counts, None),
