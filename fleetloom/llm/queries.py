@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetloom.llm import decontaminate, kneser_ney, packing, quality_rules, secret_scan, sharding, token_counts, wrapper
+from fleetloom.llm import decontaminate, jaccard, kneser_ney, packing, quality_rules, secret_scan, sharding, token_counts, wrapper
 from fleetloom.llm.common import documents, written
 from fleetloom.llm.tokens import vocabulary
 
@@ -46,6 +46,10 @@ def benchmark(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/benchmark.parquet").select("item_id", "text")
 
 
+def op5_parity_sketch_join(spark: SparkSession, root: str) -> DataFrame:
+    return jaccard.near_duplicates(documents(spark, root, "doc_id", "text"), n=3, percent=90)
+
+
 def op7_tiered_packing(spark: SparkSession, root: str) -> DataFrame:
     return packed(documents(spark, root, "doc_id", "text"))
 
@@ -116,11 +120,39 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from b
 """
 
+OP5_SQL = r"""
+with recursive w as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
+  from documents
+), s as (
+  select distinct rid, array_to_string(ws[i:i + 2], ' ') as g
+  from (select rid, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) as i from w where len(ws) > 0)
+), n as (select rid, count(*) as c from s group by rid),
+pairs as (
+  select a.rid as a, b.rid as b, count(*) as shared
+  from s a join s b on a.g = b.g and a.rid < b.rid group by 1, 2
+), edges as (
+  select a, b from pairs join n x on x.rid = a join n y on y.rid = b
+  where 100 * shared >= 90 * (x.c + y.c - shared)
+), ways as (select a, b from edges union all select b, a from edges),
+reach as (
+  select rid as a, rid as b from w
+  union
+  select reach.a, ways.b from reach join ways on reach.b = ways.a
+), smallest as (
+  select reach.a as rid, min(w.doc_id) as component_id from reach join w on w.rid = reach.b group by 1
+)
+select doc_id, coalesce(n.c, 0) as n_shingles, component_id
+from w left join n using (rid) join smallest using (rid)
+"""
+
 QUERIES = {
     "op1_histogram_shards": (op1_histogram_shards, None),
     "op2_secret_scan": (op2_secret_scan, None),
     "op3_kneser_ney_quality": (op3_kneser_ney_quality, None),
     "op4_qgram_decontamination": (op4_qgram_decontamination, None),
+    "op5_parity_sketch_join": (op5_parity_sketch_join, OP5_SQL),
     "op7_tiered_packing": (op7_tiered_packing, None),
     "op8_token_counts": (op8_token_counts, None),
     "op9_wrapper_induction": (op9_wrapper_induction, None),
