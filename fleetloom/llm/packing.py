@@ -17,6 +17,7 @@ ids and repeated ids are separate documents. Only the named key columns are retu
 
 from __future__ import annotations
 
+import re
 from collections import deque
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetloom.llm.tokens import Cache, content, load
+from fleetloom.llm.tokens import Cache, byte_letters, content, load
 
 SIZES = (256, 512, 1024, 2048)
 BUFFER_TOKENS = 4_000_000
@@ -50,23 +51,44 @@ class Piece:
         return Piece(self.row, self.start, self.ids[:n]), Piece(self.row, self.start + n, self.ids[n:])
 
 
+# The vocabulary's own splitting rule, written out for the first 256 characters.
+_PIECES = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºÀ-ÖØ-öø-ÿ]+|[0-9²³¹¼½¾]|[^\sa-zªµºÀ-ÖØ-öø-ÿ0-9²³¹¼½¾]+"
+)
+
+
 class Encoder:
-    """Ids of a text whose vocabulary drops white space: words are encoded one by one, from a cache."""
+    """Ids of a text whose vocabulary drops white space and case: words are encoded one by one from
+    a cache. New words within the first 256 characters are split here and go straight to the
+    merges; any other word goes through the whole library."""
 
     def __init__(self, json_text: str):
         self.tokenizer = load(json_text)
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.words = Cache(self._encode)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters, self.merge = byte_letters(self.tokenizer), self.tokenizer.model.tokenize
+        self.words, self.pieces = Cache(self._word), Cache(self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        return np.asarray([t.id for t in self.merge(piece.translate(self.letters))], self.kind).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        try:
+            word.encode("latin-1")
+        except UnicodeEncodeError:
+            return self._whole(word)
+        if any(s in word for s in self.special):
+            return self._whole(word)
+        return b"".join([self.pieces[p] for p in _PIECES.findall(word.lower())])
 
-    def _encode(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return np.asarray(ids, self.kind).tobytes()
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def __call__(self, text: str, end: int) -> np.ndarray:
         if any(c in text for c in _SEPARATORS):
-            parts = [self._encode(text)]
+            parts = [self._whole(text)]
         else:
-            parts = [self.words[w] for w in text.split()]
+            parts = list(map(self.words.__getitem__, text.split()))
         parts.append(np.asarray([end], self.kind).tobytes())
         return np.frombuffer(b"".join(parts), self.kind)
 

@@ -10,7 +10,8 @@ from pathlib import Path
 
 import public_tokenizers
 
-# Entries of a worker's cache; beyond it the cache starts anew, which costs time, not results.
+# Entries of each of the two generations of a worker's cache; what has not been asked for during a
+# whole generation is forgotten, which costs time, not results.
 CACHE_ENTRIES = 400_000
 
 
@@ -34,10 +35,22 @@ class Cache(dict):
 
     def __init__(self, make, entries: int = CACHE_ENTRIES):
         super().__init__()
-        self.make, self.entries = make, entries
+        self.make, self.entries, self.old = make, entries, {}
 
     def __missing__(self, piece):
         if len(self) >= self.entries:
+            self.old = dict(self)
             self.clear()
-        value = self[piece] = self.make(piece)
+        value = self.old.get(piece)
+        if value is None:
+            value = self.make(piece)
+        self[piece] = value
         return value
+
+
+def byte_letters(tokenizer) -> dict[int, str]:
+    """How byte-level vocabularies write the first 256 characters, for ``str.translate``."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    write = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+    return {code: write(chr(code))[0][0] for code in range(256)}
