@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetloom.llm import decontaminate, jaccard, kneser_ney, packing, quality_rules, secret_scan, sharding, token_counts, wrapper
+from fleetloom.llm import decontaminate, jaccard, kneser_ney, packing, quality_rules, secret_scan, sharding, substring, token_counts, wrapper
 from fleetloom.llm.common import documents, written
 from fleetloom.llm.tokens import vocabulary
 
@@ -50,6 +50,10 @@ def op5_parity_sketch_join(spark: SparkSession, root: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, root, "doc_id", "text"), n=3, percent=90)
 
 
+def op6_de_bruijn_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return substring.dedup(documents(spark, root, "doc_id", "text"))
+
+
 def op7_tiered_packing(spark: SparkSession, root: str) -> DataFrame:
     return packed(documents(spark, root, "doc_id", "text"))
 
@@ -147,12 +151,35 @@ select doc_id, coalesce(n.c, 0) as n_shingles, component_id
 from w left join n using (rid) join smallest using (rid)
 """
 
+OP6_SQL = r"""
+with w as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws
+  from documents
+), windows as (
+  select rid, doc_id, i, array_to_string(ws[i:i + 12], ' ') as win
+  from (select rid, doc_id, ws, unnest(range(1, len(ws) - 11)) as i from w where len(ws) >= 13)
+), hits as (
+  select rid, i from (select rid, doc_id, i, min(doc_id) over (partition by win) as first_id from windows)
+  where first_id < doc_id
+), gone as (select distinct rid, unnest(range(i, i + 13)) as at from hits),
+words as (select rid, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as at from w),
+kept as (
+  select words.rid, string_agg(word, ' ' order by words.at) as body, count(*) as n
+  from words left join gone on gone.rid = words.rid and gone.at = words.at
+  where gone.at is null group by 1
+)
+select doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(kept.n, 0) as bigint) as n_removed,
+  sha256(coalesce(body, '')) as kept_sha256
+from w left join kept using (rid)
+"""
+
 QUERIES = {
     "op1_histogram_shards": (op1_histogram_shards, None),
     "op2_secret_scan": (op2_secret_scan, None),
     "op3_kneser_ney_quality": (op3_kneser_ney_quality, None),
     "op4_qgram_decontamination": (op4_qgram_decontamination, None),
     "op5_parity_sketch_join": (op5_parity_sketch_join, OP5_SQL),
+    "op6_de_bruijn_dedup": (op6_de_bruijn_dedup, OP6_SQL),
     "op7_tiered_packing": (op7_tiered_packing, None),
     "op8_token_counts": (op8_token_counts, None),
     "op9_wrapper_induction": (op9_wrapper_induction, None),
