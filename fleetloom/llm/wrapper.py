@@ -36,8 +36,9 @@ from fleetloom.llm.dom import Node, parse, read, tree_match
 
 # A container is template if its text is the same on at least so many pages, and on all.
 TEMPLATE_PAGES = 3
-# The wrapper descends into a child that holds this share of the text that varies.
-DESCEND_SHARE = 0.8
+# The wrapper descends into a child that holds this share of the text that varies; an article or
+# main element needs less.
+DESCEND_SHARE, ARTICLE_SHARE = 0.8, 0.5
 
 _PARSED = "host string, tree string, blocks array<struct<node int, text string>>, " \
           "nodes array<struct<node int, size long, print long>>"
@@ -84,6 +85,10 @@ def parsed(pages: DataFrame, keys: Sequence[str], html: str = "html", url: str =
     return source.mapInArrow(run, schema)
 
 
+def _is_article(node: Node) -> bool:
+    return node.label.split(".")[0] in ("article", "main")
+
+
 def _root(tree: Node, size: dict[int, int], varies: dict[int, bool]) -> int:
     """The number of the smallest container that holds most of the text, varying text if there is any."""
     if not any(size.get(k, 0) for k, v in varies.items() if v):
@@ -96,9 +101,11 @@ def _root(tree: Node, size: dict[int, int], varies: dict[int, bool]) -> int:
         return own + sum(map(mass, node.children))
 
     node = tree
-    while not node.label.startswith(("article", "main")) or not mass(node):
+    while not _is_article(node) or not mass(node):
         inside = max(node.children, key=mass, default=None)
-        if inside is None or not mass(inside) or mass(inside) < DESCEND_SHARE * mass(node):
+        if inside is None or not mass(inside):
+            break
+        if mass(inside) < (ARTICLE_SHARE if _is_article(inside) else DESCEND_SHARE) * mass(node):
             break
         node = inside
     return node.id
