@@ -542,7 +542,8 @@ def test_kneser_ney_tells_held_out_texts_apart(spark, none):
     got = kneser_ney.score(df, marks, quantile=1.0).collect()
     assert len(got) == len(source)
     kept = {r.doc_id: r.kept for r in got}
-    assert all(kept[i] == (i % 5 != 0) for i in range(200, 400))
+    assert not any(kept[i] for i in range(200, 400, 5))
+    assert sum(kept[i] for i in range(200, 400)) >= 0.95 * 160
     assert not kept[900] and not kept[901] and {r.lang for r in got if r.doc_id == 902} == {"xx"}
     assert kneser_ney.score(none, marks).count() == 0
     assert kneser_ney.score(df, marks.limit(0)).filter("kept").count() == len(source) - 2
@@ -553,7 +554,8 @@ def test_kneser_ney_tells_held_out_texts_apart(spark, none):
 def test_pipeline_stages(spark, docs, rows, none, tmp_path):
     import corpus_pipeline
 
-    words = [f"word{i} the and" for i in range(40)]
+    letters = random.Random(12)
+    words = ["".join(letters.choice("abcdefghijklmnop") for _ in range(9)) + " the and" for _ in range(40)]
     clean = [(1000 + i, " ".join(random.Random(i).sample(words, 30)), "en", "s", 0) for i in range(5)]
     leak = random.Random(99).sample(words, 20)
     source = [*rows, *clean, (2000, clean[0][1], "en", "s", 0), (2001, clean[1][1] + " end", "en", "s", 0),
