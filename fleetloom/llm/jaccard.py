@@ -8,8 +8,9 @@ laid out per size band; a set takes part in its own band and, if smaller partner
 band below, with as many parts as its own size demands. Parts without elements prove nothing: a
 few parts more are used, so that they can be left out.
 
-Equal part words meet in buckets. First each bucket links its members to its smallest one; sketches
-as a whole (1024 bits) and sizes rule pairs out before the sets are compared exactly. Then members
+Equal part words meet in buckets. First each bucket links its members to its smallest one; sizes
+and sketches (1024 bits in the join, then about a bit per element) rule pairs out before the sets
+are compared exactly. Then members
 of a bucket that are still in different components are paired, so a large group of near copies
 costs its members and not its pairs, and no link between different components is lost.
 
@@ -143,16 +144,22 @@ class Bands:
 
 
 def sketch(elements: np.ndarray) -> np.ndarray:
+    """Parity of about a bit per element, in a power of two of words: halves fold into a smaller one."""
+    words = max(SKETCH_WORDS, 1 << (-(-len(elements) // 64) - 1).bit_length())
     place = mixed(elements ^ _B)
-    word = (place % np.uint64(SKETCH_WORDS)).astype(np.int64)
+    word = (place & np.uint64(words - 1)).astype(np.int64)
     bits = np.uint64(1) << ((place >> np.uint64(32)) & np.uint64(63))
     order = np.argsort(word, kind="stable")
     filled, starts = np.unique(word[order], return_index=True)
-    found = np.zeros(SKETCH_WORDS, np.uint64)
+    found = np.zeros(words, np.uint64)
     found[filled] = np.bitwise_xor.reduceat(bits[order], starts)
     return found
 
 
+def folded(fine: np.ndarray) -> np.ndarray:
+    return np.bitwise_xor.reduce(fine.reshape(-1, SKETCH_WORDS), axis=0)
+
+
 def _sets(df: DataFrame, n: int, percent: int) -> DataFrame:
     """Per document: id, hash of the text, size and hash of its set, signatures and sketch."""
     kind = df.schema["doc_id"].dataType.simpleString()
@@ -160,7 +167,7 @@ def _sets(df: DataFrame, n: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, bands, longs = Cache(word_hash), Bands(percent), pa.list_(pa.int64())
         for batch in batches:
-            sizes, nodes, signs, sketches = [], [], [], []
+            sizes, nodes, signs, sketches, fine = [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 elements = shingles(words_of(text or ""), hashes, n)
                 sizes.append(len(elements))
@@ -168,19 +175,20 @@ def _sets(df: DataFrame, n: int, percent: int) -> DataFrame:
                     nodes.append(int.from_bytes(
                         hashlib.blake2b(elements.tobytes(), digest_size=8).digest(), "little", signed=True))
                     signs.append(bands.signatures(elements).view(np.int64))
-                    sketches.append(sketch(elements).view(np.int64))
+                    whole = sketch(elements)
+                    sketches.append(folded(whole).view(np.int64))
+                    fine.append(whole.view(np.int64) if len(whole) > SKETCH_WORDS else None)
                 else:
-                    nodes.append(None)
-                    signs.append(None)
-                    sketches.append(None)
+                    for column in (nodes, signs, sketches, fine):
+                        column.append(None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                 pa.array(signs, longs), pa.array(sketches, longs)],
-                names=["doc_id", "text_hash", "n", "node", "signs", "sketch"],
+                 pa.array(signs, longs), pa.array(sketches, longs), pa.array(fine, longs)],
+                names=["doc_id", "text_hash", "n", "node", "signs", "sketch", "fine"],
             )
 
     return df.mapInArrow(
-        run, f"doc_id {kind}, text_hash long, n long, node long, signs array<long>, sketch array<long>"
+        run, f"doc_id {kind}, text_hash long, n long, node long, signs array<long>, sketch array<long>, fine array<long>"
     )
 
 
@@ -200,16 +208,38 @@ def _elements(df: DataFrame, n: int) -> DataFrame:
     return df.select("text").mapInArrow(run, "node long, elements array<long>")
 
 
+def _allowed(na: Column, nb: Column, percent: int) -> Column:
+    """The most elements in which linked sets of these sizes differ."""
+    return (na + nb) - 2 * F.ceil(percent * (na + nb) / F.lit(100 + percent))
+
+
 def _near(a: str, b: str, percent: int) -> Column:
-    """Sizes and sketches of two sets allow a link."""
+    """Sizes and small sketches of two sets allow a link."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    shared = F.ceil(percent * (na + nb) / F.lit(100 + percent))
-    differ = (na + nb) - 2 * shared
     apart = None
     for k in range(SKETCH_WORDS):
         d = F.bit_count(F.get(f"{a}.sketch", F.lit(k)).bitwiseXOR(F.get(f"{b}.sketch", F.lit(k))))
         apart = d if apart is None else apart + d
-    return (100 * na >= percent * nb) & (100 * nb >= percent * na) & (apart <= differ)
+    return (100 * na >= percent * nb) & (100 * nb >= percent * na) & (apart <= _allowed(na, nb, percent))
+
+
+def _nearer(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose whole sketches allow a link: long sets outgrow the small ones."""
+    own = known.select("node", "n", F.coalesce("fine", "sketch").alias("s"))
+    both = pairs.join(own.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa")), "a").join(
+        own.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb")), "b")
+
+    def halved(s: Column, other: Column) -> Column:
+        half = F.size(other)
+        return F.when(F.size(s) > half, F.zip_with(
+            F.slice(s, F.lit(1), half), F.slice(s, half + 1, half), lambda x, y: x.bitwiseXOR(y))).otherwise(s)
+
+    sa, sb = F.col("sa"), F.col("sb")
+    apart = F.aggregate(
+        F.zip_with(halved(sa, sb), halved(sb, sa), lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")),
+        F.lit(0).cast("long"), lambda t, d: t + d,
+    )
+    return both.filter(apart <= _allowed(F.col("na"), F.col("nb"), percent)).select("a", "b")
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -282,7 +312,7 @@ def link(df: DataFrame, n: int, percent: int) -> DataFrame:
     single = sets.filter("node is not null").join(_few(copies), "row", "left_anti")
     buckets = written(_buckets(single))
     known = written(
-        single.select("node", "n", "sketch").join(buckets.select("node").distinct(), "node", "left_semi")
+        single.select("node", "n", "sketch", "fine").join(buckets.select("node").distinct(), "node", "left_semi")
     )
 
     # Every member with the smallest of its bucket.
@@ -291,7 +321,7 @@ def link(df: DataFrame, n: int, percent: int) -> DataFrame:
     one = known.select(F.col("node").alias("a"), F.struct("n", "sketch").alias("x"))
     two = known.select(F.col("node").alias("b"), F.struct("n", "sketch").alias("y"))
     pairs = written(stars.join(one, "a").join(two, "b").filter(_near("x", "y", percent)).select("a", "b"))
-    edges = _verified(pairs, docs, sets, n, percent)
+    edges = _verified(written(_nearer(pairs, known, percent)), docs, sets, n, percent)
     labels = components(edges)
 
     # Members of a bucket in different components, each pair of them once.
@@ -308,7 +338,7 @@ def link(df: DataFrame, n: int, percent: int) -> DataFrame:
         x.join(y, (x["sign"] == y["sign"]) & (F.col("a") < F.col("b")) & (F.col("x.label") != F.col("y.label")) & _near("x", "y", percent))
         .select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
     )
-    more = _verified(rest, docs, sets, n, percent)
+    more = _verified(written(_nearer(rest, known, percent)), docs, sets, n, percent)
     labels = components(edges.union(more))
     result = sets.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "node").join(labels, "node", "left").select(
         "doc_id", "text_hash", "n_shingles", "node", F.coalesce("label", "node").alias("label")
