@@ -3,10 +3,10 @@
 A document's set holds its distinct word n-grams. Every element flips one bit of a sketch, so the
 bits in which two sketches differ are at most the elements in which the sets differ. Linked sets
 of sizes a and b differ in at most d(a + b) elements; elements are dealt into parts by their hash,
-and of d + 1 parts at least one has the same parity word in both sketches (pigeonhole). Parts are
+and of d + 1 parts at least one has the same parity in both (pigeonhole). Parts are
 laid out per size band; a set takes part in its own band and, if smaller partners can link, in the
 band below, with as many parts as its own size demands. Parts without elements prove nothing: a
-few parts more are used, so that they can be left out.
+few parts more are used, so that as many empty ones can be left out.
 
 Equal part words meet in buckets. First each bucket links its members to its smallest one; sizes
 and sketches (1024 bits in the join, then about a bit per element) rule pairs out before the sets
@@ -42,6 +42,8 @@ from fleetloom.llm.tokens import Cache
 
 SKETCH_WORDS = 16
 BAND_RATIO = 1.5
+# Parts to spare for empty ones, in standard deviations of their number.
+SPARE_SIGMAS = 2.2
 # Rows up to which a list of text hashes is broadcast; longer lists meet the texts in a shuffle.
 BROADCAST_ROWS = 1_000_000
 # Bits of the map of shared signatures that every task holds (16 MB).
@@ -108,7 +110,7 @@ class Bands:
         spare = 0
         while spare < need:
             empty = (need + spare) * math.exp(-least / (need + spare))
-            if empty + 1.5 * math.sqrt(empty) <= spare + 0.2:
+            if empty + SPARE_SIGMAS * math.sqrt(empty) <= spare + 0.2:
                 break
             spare += 1
         return need + spare, spare
@@ -122,22 +124,24 @@ class Bands:
         return found
 
     def signatures(self, elements: np.ndarray) -> np.ndarray:
-        """One 64-bit value per part used: band, number and parity word of the part."""
+        """One 64-bit value per part used: band, number and XOR of the elements of the part."""
         out = []
-        bits = np.uint64(1) << (elements & np.uint64(63))
+        # Whole hashes are XORed here: the one bit that an element has in the sketch tells few apart.
+        hashes = mixed(elements + _B)
         for band, need in self.places(len(elements)):
             parts, spare = self.layout(band)
             part = ((elements >> np.uint64(6)) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             filled, starts = np.unique(part[order], return_index=True)
             words = np.zeros(parts, np.uint64)
-            words[filled] = np.bitwise_xor.reduceat(bits[order], starts)
+            words[filled] = np.bitwise_xor.reduceat(hashes[order], starts)
             used = min(need + spare, parts)
             full = np.zeros(parts, bool)
             full[filled] = True
-            pick = np.flatnonzero(full[:used])
-            if used - len(pick) > spare:
-                pick = np.arange(used)
+            empty = np.flatnonzero(~full[:used])
+            # More empty parts than spare ones: a partner with which only empty parts agree shares
+            # more than ``spare`` of them, and so one of these.
+            pick = np.concatenate([np.flatnonzero(full[:used]), empty[:max(len(empty) - spare, 0)]])
             tag = mixed(np.uint64(band << 32) + pick.astype(np.uint64) + _B)
             out.append(mixed(words[pick] * _A + tag))
         return np.unique(np.concatenate(out))
