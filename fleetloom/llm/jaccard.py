@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from fleetloom.llm.common import dropped, written
 from fleetloom.llm.components import components
+from fleetloom.llm.shared import shared_values
 from fleetloom.llm.tokens import Cache
 
 SKETCH_WORDS = 16
@@ -46,8 +47,6 @@ BAND_RATIO = 1.5
 SPARE_SIGMAS = 2.2
 # Rows up to which a list of text hashes is broadcast; longer lists meet the texts in a shuffle.
 BROADCAST_ROWS = 1_000_000
-# Bits of the map of shared signatures that every task holds (16 MB).
-MAP_BITS = 27
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -251,41 +250,6 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _buckets(sets: DataFrame) -> DataFrame:
-    """(sign, node) for the signatures that several sets have.
-
-    Signatures are counted first; most are unique. A bitmap of the others, of fixed size, lets the
-    sets send only what can be shared, and the join settles it.
-    """
-    spark = sets.sparkSession
-    common = written(
-        sets.select(F.explode("signs").alias("sign")).groupBy("sign").agg(F.count(F.lit(1)).alias("c"))
-        .filter("c > 1").select("sign")
-    )
-    # At most 2 ** MAP_BITS / 64 numbers, however many signatures there are.
-    place = F.col("sign").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
-    words = common.groupBy(F.shiftright(place, 6).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))).alias("bits")
-    ).toArrow()
-    bitmap = np.zeros(1 << (MAP_BITS - 6), np.int64)
-    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    sent = spark.sparkContext.broadcast(bitmap)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = sent.value
-        for batch in batches:
-            signs = batch.column(1)
-            flat = signs.flatten().to_numpy()
-            owner = np.repeat(batch.column(0).to_numpy(), signs.value_lengths().to_numpy())
-            at = flat & ((1 << MAP_BITS) - 1)
-            found = (bitmap[at >> 6] >> (at & 63)) & 1 == 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[found]), pa.array(owner[found])], names=["sign", "node"]
-            )
-
-    return sets.select("node", "signs").mapInArrow(run, "sign long, node long").join(common, "sign")
-
-
 def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets really reach the similarity."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
@@ -314,7 +278,7 @@ def link(df: DataFrame, n: int, percent: int) -> DataFrame:
     first_row = sets.filter("node is not null").groupBy("node").agg(F.min("row").alias("_r"), F.count(F.lit(1)).alias("c"))
     copies = written(sets.select("node", "row").join(first_row.filter("c > 1"), "node").filter("row > _r").select("row"))
     single = sets.filter("node is not null").join(_few(copies), "row", "left_anti")
-    buckets = written(_buckets(single))
+    buckets = written(shared_values(single, ("node",), "signs").withColumnRenamed("value", "sign"))
     known = written(
         single.select("node", "n", "sketch", "fine").join(buckets.select("node").distinct(), "node", "left_semi")
     )

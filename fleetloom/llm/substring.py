@@ -30,10 +30,13 @@ from pyspark.sql import functions as F
 
 from fleetloom.llm.common import dropped, written
 from fleetloom.llm.jaccard import BROADCAST_ROWS, mixed, word_hash
+from fleetloom.llm.shared import shared_values
 from fleetloom.llm.tokens import Cache
 
+# Words of a window and of the runs that its minimizer is chosen from; the hashes below are put
+# together from parts for just these lengths.
 K = 13
-M = 4
+M = 5
 LAST = (1 << 63) - 1
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x165667B19E3779F9)
 
@@ -42,25 +45,35 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def _runs(h: np.ndarray, size: int, seed: np.uint64) -> np.ndarray:
-    found = np.full(len(h) - size + 1, seed, np.uint64)
-    for k in range(size):
-        found = mixed(found * _A + h[k:len(h) - size + 1 + k])
-    return found
+def _next(left: np.ndarray, right: np.ndarray, seed: np.uint64) -> np.ndarray:
+    """Hashes of runs, each of a left and a right part."""
+    n = len(right)
+    return mixed((left[:n] + seed) * _A + right)
 
 
-def windows(words: list[bytes], hashes: Cache) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and minimizer of every window of ``K`` words."""
-    if len(words) < K:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    least, width, want = _runs(h, M, _B), 1, K - M + 1
+def minimizers(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From the hashes of the words: the hashes of runs of two, and every window's minimizer."""
+    pairs = _next(h, h[1:], _A)
+    least, width, want = _next(pairs, _next(pairs, h[2:], _B)[2:], _B), 1, K - M + 1
     while width * 2 <= want:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
     if width < want:
         least = np.minimum(least[:width - want], least[want - width:])
-    return _runs(h, K, _A), least
+    return pairs, least
+
+
+def windows(words: list[bytes], hashes: Cache, both: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hash (if asked for ``both``) and minimizer of every window of ``K`` words."""
+    if len(words) < K:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    pairs, least = minimizers(h)
+    if not both:
+        return np.empty(0, np.uint64), least
+    fours = _next(pairs, pairs[2:], _A)
+    twelves = _next(_next(fours, fours[4:], _A), fours[8:], _A)
+    return _next(twelves, h[12:], _A), least
 
 
 def _sha(words: list[bytes]) -> str:
@@ -77,15 +90,15 @@ def _read(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Cache(word_hash)
         for batch in batches:
-            n, shas, minimizers = [], [], []
+            n, shas, named = [], [], []
             for text in batch.column(2).to_pylist():
                 words = words_of(text)
                 n.append(len(words))
                 shas.append(_sha(words))
-                minimizers.append(np.unique(windows(words, hashes)[1]).view(np.int64))
+                named.append(np.unique(windows(words, hashes, both=False)[1]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(shas, pa.string()),
-                 pa.array(minimizers, pa.list_(pa.int64()))],
+                 pa.array(named, pa.list_(pa.int64()))],
                 names=["ord", "th", "n_words", "sha", "minimizers"],
             )
 
@@ -183,9 +196,10 @@ def paths(found: DataFrame) -> DataFrame:
     joint = sides.filter("before is not null").select("edge", "owner", F.col("before").alias("left")).join(
         sides.select(F.col("edge").alias("left"), F.col("next").alias("edge_"), F.col("owner").alias("owner_")), "left"
     ).filter("edge = edge_ and owner = owner_").select("edge", "left")
-    source = found.filter("ord = owner").groupBy("edge").agg(F.min(F.struct("ord", "th", "at")).alias("s")).select(
-        "edge", F.col("s.ord").alias("from_ord"), F.col("s.th").alias("from_th"), F.col("s.at").alias("from_at")
-    )
+    # Any place in the owner will do; the table written in the end holds the choice.
+    source = found.filter("ord = owner").select(
+        "edge", F.col("ord").alias("from_ord"), F.col("th").alias("from_th"), F.col("at").alias("from_at")
+    ).dropDuplicates(["edge"])
     along = Window.partitionBy("from_ord", "from_th").orderBy("from_at")
     goes_on = (F.lag("edge").over(along) == F.col("left")) & (F.lag("from_at").over(along) == F.col("from_at") - 1)
     begun = source.join(joint, "edge", "left").withColumn("_new", ~F.coalesce(goes_on, F.lit(False)))
@@ -215,23 +229,26 @@ def dedup(df: DataFrame, with_text: bool = False) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` per row of ``df`` (doc_id, text); with
     ``with_text`` also ``kept`` (the words left, joined by one space)."""
     docs = df.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.xxhash64("text").alias("th"), "text")
-    read = written(_read(docs.select("ord", "th", "text")))
+    whole = written(_read(docs.select("ord", "th", "text")))
+    read = written(whole.drop("minimizers"))
     # Copies: the same words stand in a document with a smaller id.
     first = read.filter(F.col("n_words") >= K).groupBy("sha").agg(F.min("ord").alias("first"), F.count(F.lit(1)).alias("c"))
     copies = written(
         read.select("ord", "th", "sha").join(first.filter("c > 1"), "sha").filter("ord > first").select("ord", "th").distinct()
     )
-    shared = read.select("ord", "th", F.explode("minimizers").alias("m"))
-    counted = shared.groupBy("m").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("m")
     # At most the minimizers of one document per row.
     per_doc = written(
-        shared.join(counted, "m").join(copies, ["ord", "th"], "left_anti")
-        .groupBy("ord", "th").agg(F.collect_set("m").alias("minimizers"))
+        shared_values(whole.join(_few(copies), ["ord", "th"], "left_anti"), ("ord", "th"), "minimizers")
+        .groupBy("ord", "th").agg(F.collect_set("value").alias("minimizers"))
     )
+    dropped(whole)
     ids = written(per_doc.select("ord", "th"))
     texts = docs.select("ord", "th", "text").join(_few(ids), ["ord", "th"], "left_semi").dropDuplicates(["ord", "th"])
     work = written(texts.join(per_doc, ["ord", "th"]))
-    found = written(edges(written(_windows(work))))
+    dropped(per_doc, ids)
+    rows = written(_windows(work))
+    found = written(edges(rows))
+    dropped(rows)
     placed = written(paths(found))
     runs = written(spans(found, placed))
     wanted = runs.select("from_ord", "from_th", "from_at", "n").distinct().groupBy("from_ord", "from_th").agg(
@@ -256,7 +273,7 @@ def dedup(df: DataFrame, with_text: bool = False) -> DataFrame:
             *([F.when(F.col("copy"), F.lit("")).otherwise(F.col("kept")).alias("kept")] if with_text else []),
         )
     )
-    dropped(per_doc, ids, work, found, placed, runs, digests)
+    dropped(work, found, placed, runs, digests)
     if with_text:
         rest = result.select("ord", "th", "n_removed", "kept_sha256", "kept", "n_words").dropDuplicates(["ord", "th"])
         words = F.array_join(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""), " ")
