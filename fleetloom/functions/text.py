@@ -31,49 +31,6 @@ def ratio(a: str, b: str) -> int:
     return round(100 * SequenceMatcher(None, a, b).ratio()) if a and b else 0
 
 
-def partial_ratio(a: str, b: str) -> int:
-    """Best ratio of the shorter text against equally long windows of the longer one."""
-    short, long = (a, b) if len(a) <= len(b) else (b, a)
-    if not short:
-        return 0
-    best = 0.0
-    for i, j, _ in SequenceMatcher(None, short, long).get_matching_blocks():
-        start = max(0, j - i)
-        found = SequenceMatcher(None, short, long[start:start + len(short)]).ratio()
-        if found > 0.995:
-            return 100
-        best = max(best, found)
-    return round(100 * best)
-
-
-def _token_sort(a: str, b: str, base: Callable[[str, str], int]) -> int:
-    return base(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
-
-
-def _token_set(a: str, b: str, base: Callable[[str, str], int]) -> int:
-    x, y = set(a.split()), set(b.split())
-    common = " ".join(sorted(x & y))
-    with_x = f"{common} {' '.join(sorted(x - y))}".strip()
-    with_y = f"{common} {' '.join(sorted(y - x))}".strip()
-    return max(base(common, with_x), base(common, with_y), base(with_x, with_y))
-
-
-def weighted_ratio(a: str, b: str) -> int:
-    """Maximum of the plain ratio and discounted token ratios; partial ones for unequal lengths."""
-    if not a or not b:
-        return 0
-    lengths = max(len(a), len(b)) / min(len(a), len(b))
-    if lengths < 1.5:
-        return round(max(ratio(a, b), 0.95 * _token_sort(a, b, ratio), 0.95 * _token_set(a, b, ratio)))
-    scale = 0.6 if lengths > 8 else 0.9
-    return round(max(
-        ratio(a, b),
-        scale * partial_ratio(a, b),
-        scale * 0.95 * _token_sort(a, b, partial_ratio),
-        scale * 0.95 * _token_set(a, b, partial_ratio),
-    ))
-
-
 def ratio_against(other: str) -> Callable[[str], int]:
     """``ratio`` with the analysis of the second text done once."""
     if not other:
@@ -89,7 +46,6 @@ def ratio_against(other: str) -> Callable[[str], int]:
 
 SCORERS: dict[str, Callable[[str], Callable[[str], int]]] = {
     "ratio": ratio_against,
-    "weighted": lambda other: lambda text: weighted_ratio(text, other),
 }
 
 

@@ -82,5 +82,5 @@ def unplaced_units(state: DataFrame, plan: DataFrame) -> DataFrame:
 def expand_units(df: DataFrame, n_col: str = "added_volume") -> DataFrame:
     """One row per unit, numbered 1 … n."""
     return df.filter(F.col(n_col) > 0).withColumn(
-        "unit", F.explode(F.sequence(F.lit(1), F.col(n_col).cast("int")))
+        "unit", F.explode(F.sequence(F.lit(1).cast("long"), F.col(n_col).cast("long")))
     )

@@ -133,7 +133,7 @@ def compliance_table(df: DataFrame, by: Sequence[str]) -> DataFrame:
         F.count_if(compliant()).alias("compliant_vehicles"),
         F.count_if(F.col("inventory_policy_compliance") == L.NOT_COMPLIANT).alias("non_compliant_vehicles"),
         F.count("vehicle_id").alias("total_vehicles"),
-        F.round(F.count_if(compliant()) * F.lit(100.0) / F.count("vehicle_id"), 2).alias("percent_compliant"),
+        F.round(F.try_divide(F.count_if(compliant()) * F.lit(100.0), F.count("vehicle_id")), 2).alias("percent_compliant"),
     )
 
 

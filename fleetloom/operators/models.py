@@ -48,8 +48,12 @@ def simple_ols(df: DataFrame, x: str, y: str) -> DataFrame:
         F.regr_slope(y, x), F.regr_intercept(y, x), F.regr_r2(y, x), F.count(F.lit(1)),
         F.regr_sxx(y, x), F.regr_syy(y, x),
     ).first()
-    se = ((1 - r2) * syy / (n - 2) / sxx) ** 0.5
-    row = (a, b, se, b / se, t_two_sided(b / se, n - 2), r2, 1 - (1 - r2) * (n - 1) / (n - 2), n)
+    # Two points or fewer leave no error, a perfect fit no t: what is undefined is NULL.
+    se = ((1 - r2) * syy / (n - 2) / sxx) ** 0.5 if n > 2 and sxx and r2 is not None else None
+    t = b / se if se else None
+    p = t_two_sided(t, n - 2) if t is not None else None
+    adjusted = 1 - (1 - r2) * (n - 1) / (n - 2) if n > 2 and r2 is not None else None
+    row = (a, b, se, t, p, r2, adjusted, n)
     schema = "intercept double, slope double, slope_se double, t double, p_value double, r2 double, adj_r2 double, n long"
     return inline_table(df.sparkSession, [row], schema)
 

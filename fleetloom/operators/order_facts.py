@@ -43,7 +43,8 @@ def latest_version(revenue: DataFrame, key: str = "oms_order_id", tie: str = "ro
     return best.select(key, "row.*")
 
 
-MONEY = ("revenue", "base_price", "referral_discount")
+MONEY = ("revenue", "base_price", "referral_discount", "price_adjustments", "lease_down_payment_credit",
+         "lease_subvention", "apr_subvention")
 
 
 def normalize_money(df: DataFrame, key: str = "oms_order_id") -> DataFrame:

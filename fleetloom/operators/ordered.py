@@ -41,7 +41,7 @@ def number_rows(
 def _running(keys: list[str], order: list[Column], name: str, totals: dict[str, str]) -> dict[str, Column]:
     w = Window.partitionBy(*keys).orderBy(*order)
     rows = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return {name: F.row_number().over(w)} | {n: F.sum(c).over(rows) for n, c in totals.items()}
+    return {name: F.count(F.lit(1)).over(rows)} | {n: F.sum(c).over(rows) for n, c in totals.items()}
 
 
 def _number_ranges(
@@ -68,7 +68,6 @@ def _number_ranges(
     local = ranged.withColumns(_running([*keys, "_range"], order, name, totals))
     shifted = local.join(shifts, same, "left")
     result = {n: F.col(n) + F.coalesce(F.col(f"_{n}"), F.lit(0)) for n in added}
-    result[name] = result[name].cast("int")
     return shifted.withColumns(result).select(*df.columns, *added)
 
 

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from statistics import NormalDist
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fleetloom.functions import labels as L
 from fleetloom.functions.config_key import CONFIG_PARTS
+from fleetloom.functions.distributions import normal_quantile
 from fleetloom.operators.joins import enrich, small
 
 FACTORY = "8101"
@@ -78,15 +75,20 @@ def daily_orders(
     )
     return (
         locate(mapped, zips, factory)
-        .groupBy(KEY, "mapped_config_string", "sap_sc_code", "sc_name", "order_date")
-        .agg(F.sum("n").alias("num_orders_on_date"))
+        .groupBy(KEY, "order_date")
+        .agg(F.sum("n").alias("num_orders_on_date"), *_labels())
     )
 
 
+def _labels() -> list[Column]:
+    """What names a key. Centres with several codes keep the first, so that no key is split."""
+    return [F.min(c).alias(c) for c in ("mapped_config_string", "sap_sc_code", "sc_name")]
+
+
 def weekly_orders(daily: DataFrame) -> DataFrame:
-    return daily.groupBy(
-        KEY, "mapped_config_string", "sap_sc_code", "sc_name", F.trunc("order_date", "week").alias("order_week")
-    ).agg(F.sum("num_orders_on_date").alias("weekly_orders"))
+    return daily.groupBy(KEY, F.trunc("order_date", "week").alias("order_week")).agg(
+        F.sum("num_orders_on_date").alias("weekly_orders"), *_labels()
+    )
 
 
 def weekly_view(weekly: DataFrame, weeks: DataFrame) -> DataFrame:
@@ -95,7 +97,7 @@ def weekly_view(weekly: DataFrame, weeks: DataFrame) -> DataFrame:
     return (
         weekly.select(KEY, "order_week", "weekly_orders")
         .join(totals, KEY)
-        .join(F.broadcast(weeks))  # one row
+        .withColumn("num_of_weeks", weeks.scalar())
         .withColumn("avg_orders_per_week", F.col("total_orders") / F.col("num_of_weeks"))
     )
 
@@ -120,7 +122,7 @@ def dense_demand(weekly: DataFrame, calendar: str = "observed") -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("order_week", "weekly_orders"))).alias("orders")
     )
     return (
-        by_key.join(F.broadcast(week_calendar(weekly, calendar)))  # one row
+        by_key.withColumn("weeks", week_calendar(weekly, calendar).scalar())
         .select(KEY, "orders", F.explode("weeks").alias("order_week"))
         .select(KEY, "order_week", F.coalesce(F.try_element_at("orders", "order_week"), F.lit(0)).alias("weekly_orders"))
     )
@@ -134,12 +136,10 @@ def weekly_stats(weekly: DataFrame, weeks: DataFrame, calendar: str = "observed"
     """
     span = week_calendar(weekly, calendar).select(F.size("weeks").alias("W"))
     x = F.col("weekly_orders").cast("double")
-    sums = weekly.groupBy(KEY, "mapped_config_string", "sap_sc_code", "sc_name").agg(
-        F.sum(x).alias("S"), F.sum(x * x).alias("Q")
-    )
+    sums = weekly.groupBy(KEY).agg(F.sum(x).alias("S"), F.sum(x * x).alias("Q"), *_labels())
     variance = F.try_divide(F.col("Q") - F.col("S") * F.col("S") / F.col("W"), F.col("W") - 1)
     average = F.col("S") / F.col("num_of_weeks")
-    return sums.join(F.broadcast(span)).join(F.broadcast(weeks)).select(
+    return sums.withColumns({"W": span.scalar(), "num_of_weeks": weeks.scalar()}).select(
         KEY, "mapped_config_string", "sap_sc_code", "sc_name",
         F.round(average, 4).alias("average_weekly_demand"),
         F.round(average * 52, 4).alias("annualized_demand"),
@@ -183,15 +183,10 @@ def assign_lead_time(
     return df.withColumn("lead_time", weeks).withColumn("lead_time_std", sigma * F.col("lead_time"))
 
 
-@F.pandas_udf(T.DoubleType())
-def _normal_quantile(p: pd.Series) -> pd.Series:
-    return p.map(NormalDist().inv_cdf, na_action="ignore")
-
-
 def service_level_z(levels: DataFrame) -> DataFrame:
     """z of every distinct service level."""
     known = levels.select("service_level").distinct().filter("service_level > 0 and service_level < 1")
-    return known.withColumn("z", _normal_quantile("service_level"))
+    return known.withColumn("z", normal_quantile(F.col("service_level")))
 
 
 def raw_safety_stock(df: DataFrame, z: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ HITS = "array<struct<text:string, other:string, score:int>>"
 def _chunks(texts: DataFrame, size: int, name: str, weight: str) -> DataFrame:
     """Rows (block, chunk, list of ``size`` (text, weight))."""
     numbered = number_rows(texts, ["block"], ["text"], "_n")
-    chunk = F.floor((F.col("_n") - 1) / size).cast("int")
+    chunk = F.floor((F.col("_n") - 1) / size)
     return materialize(
         numbered.groupBy("block", chunk.alias(f"{name}_chunk")).agg(
             F.collect_list(F.struct("text", F.col(weight).alias("weight"))).alias(name)
@@ -289,7 +289,7 @@ def _settle(d: DataFrame, chunks: DataFrame, options: DataFrame, held: DataFrame
     )
     picks = (
         asking.groupBy("block", "d_grp").cogroup(offers.groupBy("block", "o_grp"))
-        .applyInPandas(_pick, "block string, vpos int, dpos int, grp long")
+        .applyInPandas(_pick, "block string, vpos long, dpos long, grp long")
     )
     claims = held.join(dirty, group, "left_anti").unionByName(picks)
     # As many claims on a unit as groups want it.

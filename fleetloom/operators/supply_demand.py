@@ -57,7 +57,7 @@ def demand_velocity(
         .agg(F.count("order_id").alias("demand"))
         .join(models, "model_powertrain", "left_semi")
     )
-    return _flag(counted, items, compliant_only).withColumn("velocity", F.col("demand") / days)
+    return _flag(counted, items, compliant_only).withColumn("velocity", F.try_divide("demand", days))
 
 
 def supply_by_config(

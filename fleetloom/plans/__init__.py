@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetloom.plans import compliance, inventory, matching, regression, safety
+from fleetloom.plans import compliance, files, inventory, matching, regression, safety
 
 REGISTRY = {
     **inventory.QUERIES,
@@ -10,4 +10,5 @@ REGISTRY = {
     **matching.QUERIES,
     **safety.QUERIES,
     **regression.QUERIES,
+    **files.QUERIES,
 }

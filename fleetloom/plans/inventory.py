@@ -12,6 +12,7 @@ from fleetloom.functions.config_key import (
 from fleetloom.operators import allocate as A
 from fleetloom.operators import supply_demand as SD
 from fleetloom.operators.joins import enrich, small
+from fleetloom.operators.ordered import number_rows
 from fleetloom.operators.pairing import exact_match
 from fleetloom.operators.similar import similar_match
 from fleetloom.plans import params as P
@@ -142,10 +143,15 @@ def liquid_vehicles(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _planned(spark: SparkSession, root: str) -> DataFrame:
-    """Planned units with ids that sort in planning order."""
+    """Planned units; ``ord`` sorts in planning order, by configuration and number."""
     units = A.expand_units(_allocated(spark, root))
-    ident = F.concat("config_string", F.lit("#"), F.lpad(F.col("unit").cast("string"), 9, "0"))
-    return units.select(ident.alias("id"), ident.alias("ord"), "config_string", "model_powertrain")
+    number = F.col("unit").cast("string")
+    # The number of digits (19 at most) in front makes numbers of any size sort as text.
+    ranked = F.concat(F.lpad(F.length(number).cast("string"), 2, "0"), number)
+    return units.select(
+        F.concat("config_string", F.lit("#"), number).alias("id"),
+        F.concat("config_string", F.lit("#"), ranked).alias("ord"), "config_string", "model_powertrain",
+    )
 
 
 def _exact(spark: SparkSession, root: str) -> DataFrame:
@@ -160,24 +166,27 @@ def exact_match_planned(spark: SparkSession, root: str) -> DataFrame:
     return _exact(spark, root).select("id", F.col("supply_id").alias("vehicle_id"))
 
 
+def _unused(spark: SparkSession, root: str, exact: DataFrame) -> DataFrame:
+    """Liquid vehicles of compliant configurations that no exact match took."""
+    items = D.item_master(spark, root).filter("is_inventory_policy_eligible = 1").select("config_string")
+    used = exact.filter("supply_id is not null").select(F.col("supply_id").alias("vehicle_id"))
+    return liquid_vehicles(spark, root).join(items, "config_string", "left_semi").join(used, "vehicle_id", "left_anti")
+
+
 def _similar(spark: SparkSession, root: str) -> DataFrame:
     """Exact matches plus, for the rest, the most similar unused compliant vehicle."""
     exact = materialize(_exact(spark, root))
-    items = D.item_master(spark, root).filter("is_inventory_policy_eligible = 1").select("config_string")
-    used = exact.filter("supply_id is not null").select(F.col("supply_id").alias("vehicle_id"))
-    stock = liquid_vehicles(spark, root).join(items, "config_string", "left_semi").join(
-        used, "vehicle_id", "left_anti"
-    )
+    stock = _unused(spark, root, exact)
 
-    def split(df: DataFrame, key: str) -> DataFrame:
+    def split(df: DataFrame, key: str, order: str) -> DataFrame:
         year = F.split_part("config_string", F.lit("_"), F.lit(1))
         return df.select(
-            F.col(key).alias("id"), F.col(key).alias("ord"), year.alias("block"),
+            F.col(key).alias("id"), F.col(order).alias("ord"), year.alias("block"),
             F.trim(F.substr("config_string", F.length(year) + 1)).alias("text"),
         )
 
     wanting = exact.filter("supply_id is null")
-    close = similar_match(split(wanting, "id"), split(stock, "vehicle_id"))
+    close = similar_match(split(wanting, "id", "ord"), split(stock, "vehicle_id", "vehicle_id"))
     return enrich(
         exact, close.select("id", "similar_id", F.concat("block", "similar_text").alias("similar_config")), {"id": "id"}
     )
@@ -215,9 +224,22 @@ def freeze_instructions(spark: SparkSession, root: str) -> DataFrame:
 
 
 def freeze_summary(spark: SparkSession, root: str) -> DataFrame:
-    """Exactly matched units per model and configuration, most first."""
+    """Units with a vehicle, exact or similar, per model and configuration, most first.
+
+    Demands of a model year take similar vehicles in order, and any vehicle will do when no
+    better one is left: the first as many as there are unused vehicles get one. Which one does
+    not matter for the count.
+    """
+    exact = materialize(_exact(spark, root))
+    year = F.split_part("config_string", F.lit("_"), F.lit(1)).alias("block")
+    unused = _unused(spark, root, exact).groupBy(year).agg(F.count(F.lit(1)).alias("unused"))
+    wanting = exact.filter("supply_id is null").select("id", "ord", "config_string", "model_powertrain", year)
+    turns = number_rows(wanting, ["block"], ["ord", "id"], "turn").join(unused, "block", "left")
+    taken = turns.withColumn("supply_id", F.when(F.col("turn") <= F.col("unused"), F.lit("similar")))
+    columns = ["id", "supply_id", "config_string", "model_powertrain"]
+    every = exact.filter("supply_id is not null").select(*columns).unionByName(taken.select(*columns))
     return (
-        _instruction(_exact(spark, root), None)
+        _instruction(every, None)
         .filter("model_powertrain is not null and configuration_string is not null")
         .groupBy("model_powertrain", F.col("configuration_string").alias("config_string"))
         .agg(F.count("vehicle_id").alias("vehicle_id_count"))
@@ -279,13 +301,13 @@ _ALLOC = _STATE | {
   left join taken t on t.config_string = st.config_string where p.units > 0""",
 }
 _EXACT = _ALLOC | {
-    "planned": """select config_string||'#'||lpad(cast(unit as varchar), 9, '0') as id, config_string, model_powertrain
+    "planned": """select config_string||'#'||unit as id, unit, config_string, model_powertrain
   from (select *, unnest(generate_series(1, added_volume)) as unit from allocated where added_volume > 0)""",
     "liquid": """select vehicle_id,
   case when charging_port_id = 'CHRG-NACS01' then replace(config_string,'2025','2026') else config_string end as config_string
   from vehicles where vehicle_generation = 'GEN-2' and vehicle_status = 'CREATED' and vehicle_record_status = 'ACTIVE'""",
-    "matched": """select d.id, d.config_string, d.model_powertrain, v.vehicle_id from
-  (select *, row_number() over (partition by config_string order by id) as rn from planned) d left join
+    "matched": """select d.id, d.unit, d.config_string, d.model_powertrain, v.vehicle_id from
+  (select *, row_number() over (partition by config_string order by unit) as rn from planned) d left join
   (select *, row_number() over (partition by config_string order by vehicle_id) as rn from liquid) v
   on v.config_string = d.config_string and v.rn = d.rn""",
 }
@@ -316,7 +338,7 @@ select config_string, model_powertrain, net_supply, added_volume, new_net_supply
 select * from plan where units > 0 and model_powertrain not in (
   select model_powertrain from state where model_powertrain not like 'M1 L%')""", _STATE)),
     "expand_units": (expand_units, _sql("""
-select config_string, cast(unnest(generate_series(1, added_volume)) as int) as unit from allocated where added_volume > 0""", _ALLOC)),
+select config_string, cast(unnest(generate_series(1, added_volume)) as bigint) as unit from allocated where added_volume > 0""", _ALLOC)),
     "planned_units": (planned_units, _sql("""
 select id, 'Liquid/To Freeze' as production_zone, p.config_string, p.model_powertrain, powertrain, 'RGN-USA' as build_country,
   case when paint_id = 'EXP-GREEN' then 'BLD-TD'||model when p.model_powertrain = 'M1 LARGE' then 'BLD-DM1'
@@ -335,7 +357,13 @@ select vehicle_id, {zone_sql('Firm', 'Frozen/VINned', 'Already Built/ WIP at Nor
   and (case when charging_port_id = 'CHRG-NACS01' then replace(model_year,'2025','2026') else model_year end) = '2026'""", _BASE)),
     "exact_match": (exact_match_planned, _sql("select id, vehicle_id from matched", _EXACT)),
     "freeze_summary": (freeze_summary, _sql("""
-select model_powertrain, config_string, count(vehicle_id) as vehicle_id_count from matched group by 1,2""", _EXACT)),
+select model_powertrain, config_string, count(*) filter (where vehicle_id is not null or turn <= n) as vehicle_id_count
+from (select *, split_part(config_string, '_', 1) as block, row_number() over (
+    partition by vehicle_id is null, split_part(config_string, '_', 1) order by config_string, unit) as turn from matched) m
+left join (select split_part(config_string, '_', 1) as block, count(*) as n from liquid
+  where config_string in (select config_string from item_master where is_inventory_policy_eligible = 1)
+  and vehicle_id not in (select vehicle_id from matched where vehicle_id is not null) group by 1) u using (block)
+group by 1,2""", _EXACT)),
     "similar_match": (similar_match_planned, None),
     "freeze_instructions": (freeze_instructions, None),
     "config_roundtrip": (config_roundtrip, with_views("item_master", """

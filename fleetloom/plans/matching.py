@@ -34,15 +34,14 @@ def _inputs(spark: SparkSession, root: str, run: DataFrame) -> H.CohortInputs:
         retry_ids=run.filter("hold_type = 'QUALITY'").select("oms_order_id"),
         delayed=run.filter("expected_general_assembly_date < date '1997-01-01'").select("oms_order_id"),
         cancelled=run.filter("question1_response is not null or cancel_code is not null"),
-        last_saved=run.withColumn("financial_status", F.lit("CONFIGURED")).dropDuplicates(["oms_order_id"]),
+        last_saved=run.withColumn("financial_status", F.lit("CONFIGURED")),
         overrides=OVERRIDES,
     )
 
 
 def _cohort(spark: SparkSession, root: str, purpose: str) -> DataFrame:
     run = D.matching_run(spark, root)
-    source = run.dropDuplicates(["oms_order_id"]) if purpose.startswith("last_saved") else run
-    return H.select_cohort(source, purpose, _inputs(spark, root, run))
+    return H.select_cohort(run, purpose, _inputs(spark, root, run))
 
 
 def cohort(spark: SparkSession, root: str, purpose: str) -> DataFrame:
@@ -119,10 +118,6 @@ def nearest_without_paint(spark: SparkSession, root: str) -> DataFrame:
     return _nearest(spark, root, BLOCK[:3], no_candidate=None).select(*_RESULT)
 
 
-def nearest_weighted(spark: SparkSession, root: str) -> DataFrame:
-    return _nearest(spark, root, scorer="weighted").select(*_RESULT)
-
-
 # Suggested option → option of the vehicle.
 PAIRS = {
     "marketing_exterior": "paint_id",
@@ -351,7 +346,6 @@ from matching_run where items_vehicle_generation_id <> 'GEN-2' or build_batch =
   coalesce(other, '{NO_CANDIDATE}') as best_match_config_string, score as best_match_score from near""")),
     "nearest_config_without_paint": (nearest_without_paint, _near_sql(
         "select vehicle_id, cfg as config_string, other as best_match_config_string, score as best_match_score from near", False)),
-    "nearest_config_weighted": (nearest_weighted, None),
     "attribute_diff": (attribute_diff, _diff_sql()),
     "configs_before": (configs_before, _near_sql("select cfg as config_string, count(*) as vehicle_id_count from near group by 1")),
     "configs_after": (configs_after, _near_sql(

@@ -17,6 +17,8 @@ MODELS = ("M1 1-URGENT", "M1 2-HIGH", "M2 1-URGENT", "M2 5-LOW", "M1 5-LOW")
 PREDICTORS = ("avg_total_discount", "total_spend", "total_clicks", "total_drives", "total_leads",
               "email_opens", "foot_traffic")
 LAGGED = PREDICTORS[1:]
+MONEY = ("revenue", "base_price", "options_price", "total_price", "total_discount", "referral_discount",
+         "price_adjustments", "lease_down_payment_credit", "lease_subvention", "apr_subvention")
 X, Y = "avg_total_discount", "total_orders"
 
 
@@ -43,8 +45,7 @@ def _fact(spark: SparkSession, root: str) -> DataFrame:
 
 
 def order_fact(spark: SparkSession, root: str) -> DataFrame:
-    money = ("revenue", "base_price", "options_price", "total_price", "total_discount", "referral_discount")
-    return _fact(spark, root).withColumns({c: F.round(c, 4) for c in money}).drop("order_type", "vehicle_generation")
+    return _fact(spark, root).withColumns({c: F.round(c, 4) for c in MONEY}).drop("order_type", "vehicle_generation")
 
 
 def monthly_orders(spark: SparkSession, root: str) -> DataFrame:
@@ -176,10 +177,13 @@ _STEPS = {
     "fact": f"""select p.order_id, p.order_date, p.model_powertrain, coalesce(p.payment_type,'Cash') as payment_type, p.country,
   cast(date_trunc('month', order_date) as date) as order_month, cast(date_trunc('quarter', order_date) as date) as order_quarter,
   cast(date_trunc('week', order_date) as date) as order_week,
-  revenue, base_price, options_price, total_price, total_discount, referral_discount from placed_orders p left join (
+  revenue, base_price, options_price, total_price, total_discount, referral_discount, price_adjustments,
+  lease_down_payment_credit, lease_subvention, apr_subvention from placed_orders p left join (
   select oms_order_id, coalesce(revenue,0) as revenue, coalesce(base_price,0) as base_price, coalesce(options,0) as options_price,
   coalesce(base_price + options,0) as total_price, coalesce(abs(total_discount),0) as total_discount,
-  coalesce(referral_discount,0) as referral_discount from latest) l on l.oms_order_id = p.order_id
+  coalesce(referral_discount,0) as referral_discount, coalesce(price_adjustments,0) as price_adjustments,
+  coalesce(lease_down_payment_credit,0) as lease_down_payment_credit, coalesce(lease_subvention,0) as lease_subvention,
+  coalesce(apr_subvention,0) as apr_subvention from latest) l on l.oms_order_id = p.order_id
   where order_type = 'Order' and vehicle_generation = 'GEN-2' and order_date >= date '{SINCE}'
   and model_powertrain in ({', '.join(f"'{m}'" for m in MODELS)})""",
     "monthly": "select order_month, count(distinct order_id) as total_orders, round_even(avg(total_discount), 0) as avg_total_discount from fact group by 1",
@@ -227,7 +231,7 @@ select forecast_version_rank, count(*) as n, count(r.forecast_version) as named
   and r.forecast_version_year is not distinct from v.forecast_version_year group by 1""")),
     "latest_version": (latest_version, _sql("select oms_order_id, row_id, forecast_version, forecast_version_year from latest")),
     "order_fact": (order_fact, _sql("select * replace (" + ", ".join(
-        f"round({c},4) as {c}" for c in ("revenue", "base_price", "options_price", "total_price", "total_discount", "referral_discount")) + ") from fact")),
+        f"round({c},4) as {c}" for c in MONEY) + ") from fact")),
     "period_rollup_month": (monthly_orders, _sql("select * from monthly")),
     "period_rollup_week": (weekly_orders, _sql("select order_week, count(distinct order_id) as total_orders, round_even(avg(total_discount), 0) as avg_total_discount from fact group by 1")),
     "event_rollup": (event_rollup, """select cast(date_trunc('week', ts) as date) as week, event_type, count(distinct user_id) as users,

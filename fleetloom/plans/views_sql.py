@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fleetloom.sources.domain import SERVICE_LEVELS
 
-UNIT_ID = "l_orderkey||'-'||l_linenumber||'-'||l_partkey||'-'||l_suppkey"
+UNIT_ID = "l_orderkey||'-'||l_linenumber||'-'||l_partkey||'-'||l_suppkey||'-'||strftime(l_shipdate, '%Y%m%d')"
 OPTIONS_KEY = (
     "model_powertrain||'_'||paint_id||'_'||interior_id||'_'||wheels_id||'_'||audio_id||'_'||"
     "roof_id||'_'||tonneau_id||'_'||accents_and_badging_id||'_'||utility_panel_id"
@@ -107,7 +107,11 @@ select l_orderkey as oms_order_id, {UNIT_ID} as row_id,
   l_extendedprice as revenue, l_extendedprice as base_price,
   case when l_suppkey % 8 <> 1 then l_tax * 1000 end as options,
   -l_extendedprice * l_discount as total_discount,
-  case when l_suppkey % 5 <> 1 then l_discount * 100 end as referral_discount
+  case when l_suppkey % 5 <> 1 then l_discount * 100 end as referral_discount,
+  case when l_suppkey % 7 <> 1 then -l_tax * 200 end as price_adjustments,
+  case when l_partkey % 4 = 1 then l_tax * 500 end as lease_down_payment_credit,
+  case when l_partkey % 6 = 1 then l_discount * 300 end as lease_subvention,
+  case when l_partkey % 9 = 1 then l_discount * 400 end as apr_subvention
 from lineitem""",
     "placed_orders": """
 select o_orderkey as order_id, cast(o_orderdate as date) as order_date,

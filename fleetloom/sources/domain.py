@@ -27,7 +27,7 @@ SERVICE_LEVELS = (
 )
 
 
-UNIT_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+UNIT_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date_format(l_shipdate, 'yyyyMMdd'))"
 OPTIONS = (
     "model_powertrain", "paint_id", "interior_id", "wheels_id", "audio_id", "roof_id",
     "tonneau_id", "accents_and_badging_id", "utility_panel_id",
@@ -227,6 +227,10 @@ def revenue(spark: SparkSession, root: str) -> DataFrame:
         "case when l_suppkey % 8 <> 1 then l_tax * 1000 end as options",
         "-l_extendedprice * l_discount as total_discount",
         "case when l_suppkey % 5 <> 1 then l_discount * 100 end as referral_discount",
+        "case when l_suppkey % 7 <> 1 then -l_tax * 200 end as price_adjustments",
+        "case when l_partkey % 4 = 1 then l_tax * 500 end as lease_down_payment_credit",
+        "case when l_partkey % 6 = 1 then l_discount * 300 end as lease_subvention",
+        "case when l_partkey % 9 = 1 then l_discount * 400 end as apr_subvention",
     )
 
 

@@ -104,7 +104,8 @@ def test_versions(spark):
 
 
 def test_money_and_rollup(spark):
-    df = spark.createDataFrame([(1, 5.0, 2.0, None, -3.0, None)], "oms_order_id int, revenue double, base_price double, options double, total_discount double, referral_discount double")
+    df = spark.createDataFrame([(1, 5.0, 2.0, None, -3.0, None, None, 4.0, None, 1.5)], "oms_order_id int, revenue double, base_price double, options double, total_discount double,"
+                               " referral_discount double, price_adjustments double, lease_down_payment_credit double, lease_subvention double, apr_subvention double")
     r = O.normalize_money(df).first()
     assert (r.total_price, r.base_price, r.total_discount, r.referral_discount) == (0.0, 2.0, 3.0, 0.0)
     fact = spark.createDataFrame([(1, dt.date(2025, 1, 1), 2.0), (1, dt.date(2025, 1, 1), 3.0), (2, None, 1.0), (3, dt.date(2025, 1, 1), None)],
