@@ -38,9 +38,12 @@ def eligible_items(
 def demand_velocity(
     forecast: DataFrame, items: DataFrame, models: DataFrame, as_of: str, target: str,
     forecast_id: int, model_year: str = "2026", exclude_countries: Sequence[str] = ("CA",),
-    compliant_only: bool = False,
+    compliant_only: bool = False, roll: bool = True,
 ) -> DataFrame:
-    """Forecast orders after ``as_of`` up to ``target`` and their daily rate, per configuration."""
+    """Forecast orders after ``as_of`` up to ``target`` and their daily rate, per configuration.
+
+    With ``roll`` keys of the year before count as this year's.
+    """
     due = (
         (F.col("model_year") == model_year)
         & (F.col("id") == forecast_id)
@@ -53,6 +56,7 @@ def demand_velocity(
     # Count first: the joins below then see one row per configuration.
     counted = (
         forecast.filter(due)
+        .withColumn("config_string", roll_model_year("config_string", port=None) if roll else F.col("config_string"))
         .groupBy("config_string", "model_powertrain")
         .agg(F.count("order_id").alias("demand"))
         .join(models, "model_powertrain", "left_semi")

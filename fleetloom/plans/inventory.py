@@ -271,7 +271,7 @@ _AVAILABLE = f"""select vehicle_id, model_powertrain, country, metadata_source_o
   and vehicle_record_status = 'ACTIVE' and vehicle_usage = 'CUSTOMER_DELIVERY'
   and coalesce(actual_factory_gate_date, expected_factory_gate_date) < date '{P.TARGET}'
   and model_powertrain in (select model_powertrain from models)"""
-_DUE = f"""select * from forecast where model_year = '2026' and id = {P.FORECAST_ID}
+_DUE = f"""select * replace (replace(config_string, '2025', '2026') as config_string) from forecast where model_year = '2026' and id = {P.FORECAST_ID}
   and order_date > date '{P.AS_OF}' and order_date <= date '{P.TARGET}'
   and model_powertrain in (select model_powertrain from models)"""
 _DAYS = f"datediff('day', date '{P.AS_OF}', date '{P.TARGET}')"

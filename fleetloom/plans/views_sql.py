@@ -69,7 +69,8 @@ from lineitem join parts on l_partkey = p_partkey join supplier on l_suppkey = s
   join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey)""",
     "forecast": f"""
 select l_linenumber as id, {UNIT_ID} as order_id, cast(l_shipdate as date) as order_date,
-  '2026_US_'||{OPTIONS_KEY} as config_string, model_powertrain, '2026' as model_year,
+  case when l_suppkey % 4 = 1 then '2025' else '2026' end||'_US_'||{OPTIONS_KEY} as config_string, model_powertrain,
+  '2026' as model_year,
   case when l_suppkey % 31 = 1 then null when l_suppkey % 10 = 0 then 'CA' else 'US' end as country
 from lineitem join parts on l_partkey = p_partkey where l_linestatus = 'O'""",
     "order_lines": f"""

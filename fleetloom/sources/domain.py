@@ -145,7 +145,8 @@ def forecast(spark: SparkSession, root: str) -> DataFrame:
         "l_linenumber as id",
         f"{UNIT_ID} as order_id",
         f"{SHIPPED} as order_date",
-        f"'2026_US_' || {OPTIONS_KEY} as config_string",
+        # Some lines still carry the key of the year before.
+        f"if(l_suppkey % 4 = 1, '2025', '2026') || '_US_' || {OPTIONS_KEY} as config_string",
         "model_powertrain",
         "'2026' as model_year",
         f"{COUNTRY} as country",
