@@ -23,6 +23,7 @@ STEP_ORDER = (
     "powertrain_constant_ext_int_whl_grouped_accessories_agnostic",
     "powertrain_constant_ext_int_grouped_accessories_agnostic", "powertrain_constant",
 )
+# Attributes that the steps group or leave out.
 _ACCESSORIES = ("utility", "badging")
 _BODY = ("exterior", "interior", "wheels", "atp", "offroad", "roof", "audio", "utility", "badging")
 _ALL_GROUPS = (

@@ -131,6 +131,7 @@ def _block(cols: Sequence[str]) -> Column:
     return F.concat_ws("\x1f", *[F.col(c).cast("string") for c in cols])
 
 
+# Fixed value: the sentence for units without any candidate.
 NO_CANDIDATE = (
     "Best Matching config_string could not be found; Does compliant config_string with exact "
     "model_powertrain, model_year, or country exist"

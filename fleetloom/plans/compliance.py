@@ -21,6 +21,7 @@ COHORTS = dict(list(C.COHORTS.items())[:8]) | {
     "asia": (None, None, "ASIA"),
     "canada": (None, None, "Canada"),
 }
+# Zone names of the stored table.
 STORED_ZONES = L.ZoneLabels("Firm", "Frozen/ VINned", "Already Built/ WIP", None, "Liquid")
 STORED_BUCKETS = {"built": ["Already Built/ WIP"], "frozen": ["Frozen/ VINned"], "firm": ["Firm"]}
 SPLIT_BUCKETS = {
@@ -142,6 +143,7 @@ STORED_SQL = zone_sql("Firm", "Frozen/ VINned", "Already Built/ WIP", None, "Liq
 REGION_SQL = "case when substr(comm_ops_region,1,2) = 'US' then substr(comm_ops_region,3) else comm_ops_region end"
 ROLLED_SQL = "case when charging_port_id = 'CHRG-NACS01' then replace(config_string,'2025','2026') else config_string end"
 LAUNCH_SQL = f"(metadata_source_order like '{P.LAUNCH_SOURCE}' or build_id in ('BLD-LAUNCH'))"
+# Statuses and usages of the scope.
 SCOPE_SQL = """vehicle_generation = 'GEN-2' and vehicle_status not in ('DECOMMISSIONED','DELIVERED')
   and vehicle_record_status = 'ACTIVE' and vehicle_usage = 'CUSTOMER_DELIVERY'"""
 _PAIR = ("country||' | '||model||' | '||(case when paint_id = 'EXP-BLUE' and interior_id = 'INT-2' then 'Blue x Slate' "
@@ -187,6 +189,7 @@ from {source} where {LAUNCH_SQL} and vehicle_status <> 'CREATED' and vehicle_rec
 _TABLE = """count(*) filter (where comp = 'Inventory Policy Compliant') as compliant_vehicles,
   count(*) filter (where comp = 'Not Compliant') as non_compliant_vehicles, count(*) as total_vehicles,
   round(count(*) filter (where comp = 'Inventory Policy Compliant') * 100.0::double / count(*), 2) as percent_compliant from field"""
+# Zone names, and the date that places a unit of each.
 _SEQ = f"""case when zone in ('Frozen','Firm/ VINned') then expected_ga_in_date
   when vehicle_status in ('GENERAL_ASSEMBLY_COMPLETED','FACTORY_OK','PRODUCTION_STARTED') or zone = 'Already Built/ WIP' then actual_ga_in_date
   when zone = 'Liquid' then expected_build_date_ip else date '{P.RUN_DATE}' end"""

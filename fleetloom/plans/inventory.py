@@ -262,12 +262,14 @@ _MODELS = "select model_powertrain from plan where units <> 0"
 _ITEMS = """select config_string, model_powertrain, compliance as inventory_policy_compliance from item_master
   where model_year = '2026' and is_inventory_policy_eligible = 1 and country not in ('CA')
   and model_powertrain in (select model_powertrain from models)"""
+# Statuses of units that are not available.
+_GONE = "('CREATED','DECOMMISSIONED','RETURNED','INTERNAL_RECEIVED','DELIVERED')"
 _AVAILABLE = f"""select vehicle_id, model_powertrain, country, metadata_source_order,
   case when charging_port_id = 'CHRG-NACS01' then replace(config_string,'2025','2026') else config_string end as config_string,
   case when charging_port_id = 'CHRG-NACS01' then replace(model_year,'2025','2026') else model_year end as model_year
   from vehicles where metadata_source_order not like '{P.EXCLUDE_SOURCE}' and match_status is null and is_delivered = 0
   and vin_salability <> 'NON_SALEABLE'
-  and vehicle_status not in ('CREATED','DECOMMISSIONED','RETURNED','INTERNAL_RECEIVED','DELIVERED')
+  and vehicle_status not in {_GONE}
   and vehicle_record_status = 'ACTIVE' and vehicle_usage = 'CUSTOMER_DELIVERY'
   and coalesce(actual_factory_gate_date, expected_factory_gate_date) < date '{P.TARGET}'
   and model_powertrain in (select model_powertrain from models)"""
@@ -351,7 +353,7 @@ from planned p join item_master i on i.config_string = p.config_string""", _EXAC
 select vehicle_id, {zone_sql('Firm', 'Frozen/VINned', 'Already Built/ WIP at Normal', 'Already Built/ WIP in Field', 'Liquid')} as production_zone,
   case when charging_port_id = 'CHRG-NACS01' then replace(config_string,'2025','2026') else config_string end as config_string,
   {', '.join(SD.UNIT_COLUMNS)} from vehicles where match_status is null and is_delivered = 0 and vin_salability <> 'NON_SALEABLE'
-  and vehicle_status not in ('CREATED','DECOMMISSIONED','RETURNED','INTERNAL_RECEIVED','DELIVERED') and vehicle_usage = 'CUSTOMER_DELIVERY'
+  and vehicle_status not in {_GONE} and vehicle_usage = 'CUSTOMER_DELIVERY'
   and coalesce(actual_factory_gate_date, expected_factory_gate_date) < date '{P.TARGET}'
   and model_powertrain in (select model_powertrain from models)
   and (case when charging_port_id = 'CHRG-NACS01' then replace(model_year,'2025','2026') else model_year end) = '2026'""", _BASE)),

@@ -190,6 +190,7 @@ def with_views(views: str, body: str, steps: dict[str, str] | None = None) -> st
     return "with " + ",\n".join(f"{n} as ({sql})" for n, sql in ctes.items()) + "\n" + body
 
 
+# Statuses of built units.
 _BUILT = ("'PRODUCTION_STARTED','ARRIVED_AT_DISTRIBUTION_CENTER','FACTORY_GATED','FACTORY_OK','GENERAL_ASSEMBLY_COMPLETED',"
           "'IN_TRANSIT_TO_DISTRIBUTION_CENTER','INTERNAL_RECEIVED','PDI_COMPLETED','PDI_STARTED','RETURNED','STAGED_FOR_PDI','VEHICLE_PREPPED'")
 
