@@ -1,13 +1,17 @@
-"""Quality by an interpolated modified Kneser-Ney model over symbols.
+"""Quality by two interpolated modified Kneser-Ney models: of words and of symbols.
 
-Texts are read as symbols: small letters, common accented letters, any capital, any digit, blank,
+The words (``word_model.py``) see order and vocabulary in every script; their count tables grow
+with the trusted texts and meet the documents' runs in joins. The symbols see spelling.
+
+For the symbols, texts are read as symbols: small letters, common accented letters, any capital, any digit, blank,
 line end and a few groups of punctuation, ``len(SYMBOLS)`` in all. Trusted documents give the
 counts of all runs of ``ORDER`` symbols per language; the lower orders count in how many contexts
 a run continues. Discounts, totals per context and interpolated probabilities are Spark joins of
 count tables, sharded by language and context. A language's model has at most
 ``len(SYMBOLS) ** ORDER`` entries whatever the corpus holds, so models travel to the documents
-(in blocks of languages), and no text is shuffled. A document is kept if its perplexity is at most
-the chosen quantile of its language's trusted documents.
+(in blocks of languages), and no text is shuffled. A document is kept if both its perplexities are
+at most the chosen quantile of its language's trusted documents; without trusted texts in another
+fold there is no perplexity of words, and the symbols decide.
 
 Defined results: a null or empty text has no perplexity and is not kept. A null language, or one
 without trusted text, uses the model and threshold of all trusted text together. Equal rows are
@@ -24,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetloom.llm import word_model
 from fleetloom.llm.common import written
 
 ORDER = 4
@@ -101,10 +106,10 @@ def counts(docs: DataFrame) -> DataFrame:
     return written(own.filter(F.col("lang") != ALL).union(pooled))
 
 
-def _discounts(level: DataFrame) -> DataFrame:
+def _discounts(level: DataFrame, model: str = "lang", count: str = "c") -> DataFrame:
     """The three discounts of a language from its counts of counts."""
-    n = [F.sum(F.when(F.col("c") == k, 1).otherwise(0)).cast("double") for k in (1, 2, 3, 4)]
-    found = level.groupBy("lang").agg(*[x.alias(f"n{k}") for k, x in enumerate(n, 1)])
+    n = [F.sum(F.when(F.col(count) == k, 1).otherwise(0)).cast("double") for k in (1, 2, 3, 4)]
+    found = level.groupBy(model).agg(*[x.alias(f"n{k}") for k, x in enumerate(n, 1)])
     y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
 
     def discount(k: int) -> Column:
@@ -114,7 +119,7 @@ def _discounts(level: DataFrame) -> DataFrame:
             F.greatest(F.lit(0.1 * k), F.least(F.lit(0.9 * k), F.coalesce(k - value, F.lit(0.5 * k))))
         )
 
-    return found.select("lang", *[discount(k).alias(f"d{k}") for k in (1, 2, 3)])
+    return found.select(model, *[discount(k).alias(f"d{k}") for k in (1, 2, 3)])
 
 
 def model(full: DataFrame) -> DataFrame:
@@ -191,7 +196,8 @@ def _trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def score(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """``doc_id``, ``lang``, ``perplexity``, ``threshold`` and ``kept`` per document."""
+    """``doc_id``, ``lang``, ``perplexity``, ``threshold``, ``word_perplexity``, ``word_threshold``
+    and ``kept`` per document."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", F.coalesce("lang", F.lit(ALL)).alias("lang"), "text")
     trusted = _trusted_ids(labels)
@@ -200,10 +206,10 @@ def score(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Dat
     if not size:
         return docs.select(
             "doc_id", "lang", F.lit(None).cast("double").alias("perplexity"),
-            F.lit(None).cast("double").alias("threshold"), (F.coalesce(F.length("text"), F.lit(0)) > 0).alias("kept"),
+            *[F.lit(None).cast("double").alias(c) for c in ("threshold", "word_perplexity", "word_threshold")], (F.coalesce(F.length("text"), F.lit(0)) > 0).alias("kept"),
         )
     used = F.when(F.col("lang").isin(list(size)), F.col("lang")).otherwise(F.lit(ALL))
-    texts = texts.withColumn("used", used)
+    texts = texts.withColumn("used", used).withColumn("row", F.xxhash64("used", "text"))
     scored = None
     for block in _blocks(size):
         part = texts.filter(F.col("used").isin(block)) if len(block) < len(size) else texts
@@ -217,23 +223,28 @@ def score(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Dat
                     for lang, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), batch.column(2), pa.array(found, pa.float64())],
-                    names=["doc_id", "lang", "used", "perplexity"],
+                    [*[batch.column(k) for k in (0, 1, 2, 4)], pa.array(found, pa.float64())],
+                    names=["doc_id", "lang", "used", "row", "perplexity"],
                 )
 
         kind = docs.schema["doc_id"].dataType.simpleString()
-        found = part.select("doc_id", "lang", "used", "text").mapInArrow(
-            run, f"doc_id {kind}, lang string, used string, perplexity double"
+        found = part.select("doc_id", "lang", "used", "text", "row").mapInArrow(
+            run, f"doc_id {kind}, lang string, used string, row long, perplexity double"
         )
         scored = found if scored is None else scored.union(found)
-    scored = written(scored)
+    readable = texts.filter(F.length("text") > 0)
+    by_words = word_model.perplexities(readable, readable.join(trusted, "doc_id", "left_semi"), _discounts)
+    scored = written(written(scored).join(by_words, "row", "left"))
     good = scored.join(trusted, "doc_id", "left_semi")
-    limit = F.percentile_approx("perplexity", quantile, 100_000).alias("threshold")
-    own = good.filter(F.col("used") != ALL).groupBy("used").agg(limit)
-    limits = own.union(good.agg(limit).select(F.lit(ALL), "threshold"))
+    limit = [F.percentile_approx(c, quantile, 100_000).alias(t) for c, t in (
+        ("perplexity", "threshold"), ("word_perplexity", "word_threshold"))]
+    own = good.filter(F.col("used") != ALL).groupBy("used").agg(*limit)
+    limits = own.union(good.agg(*limit).select(F.lit(ALL), "threshold", "word_threshold"))
     return scored.join(limits, "used", "left").select(
         "doc_id", F.when(F.col("lang") != ALL, F.col("lang")).alias("lang"), "perplexity", "threshold",
-        F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)).alias("kept"),
+        "word_perplexity", "word_threshold",
+        (F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False))
+         & F.coalesce(F.col("word_perplexity") <= F.col("word_threshold"), F.lit(True))).alias("kept"),
     )
 
 

@@ -549,6 +549,39 @@ def test_kneser_ney_tells_held_out_texts_apart(spark, none):
     assert kneser_ney.score(df, marks.limit(0)).filter("kept").count() == len(source) - 2
 
 
+def test_word_order_and_every_script_count(spark):
+    """Shuffled words and junk of a non-Latin script have the symbols of good texts."""
+    rng = random.Random(21)
+    cyrillic = [chr(c) for c in range(0x430, 0x450)]
+    chains = {
+        "en": [f"{a}{b}" for a in ("tha", "ing", "er", "no") for b in ("s", "nd", "ra", "el", "mo")],
+        "ru": ["".join(rng.choice(cyrillic) for _ in range(6)) for _ in range(20)],
+    }
+
+    def good(lang):
+        at, out = rng.randrange(20), []
+        for _ in range(80):
+            out.append(chains[lang][at])
+            at = (at + rng.choice((1, 2, 3))) % 20
+        return out
+
+    source, labels, bad = [], [], []
+    for i in range(240):
+        lang = ("en", "ru")[i % 2]
+        text = good(lang)
+        if i >= 200:
+            bad.append(i)
+            text = rng.sample(text, len(text)) if lang == "en" else ["".join(rng.choice(cyrillic) for _ in range(6)) for _ in range(80)]
+        elif i < 150:
+            labels.append((i, 1))
+        source.append((i, " ".join(text), lang, "s", 0))
+    marks = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = {r.doc_id: r for r in kneser_ney.score(spark.createDataFrame(source, SCHEMA), marks, quantile=1.0).collect()}
+    assert not any(got[i].kept for i in bad)
+    assert sum(got[i].kept for i in range(150, 200)) >= 45
+    assert kneser_ney.word_model.words("Тест 漢字, it's") == ["тест", "漢", "字", ",", "it", "'", "s"]
+
+
 # Pipeline and registered queries
 
 def test_pipeline_stages(spark, docs, rows, none, tmp_path):
