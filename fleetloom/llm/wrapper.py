@@ -2,8 +2,9 @@
 
 Every page is read into a tree of containers and a list of text blocks. Per host the commonest
 tree is the pattern; the other trees of the host are aligned with it by simple tree matching.
-Over all pages of the host, a container whose text never changes is template, one whose text
-varies is content. The wrapper is the path from the root to the smallest container that holds most
+Over the different pages of the host (copies count once), a container whose text is nearly always
+the same is template, one whose text varies is content; where nothing varies, nothing is template.
+The wrapper is the path from the root to the smallest container that holds most
 of the varying text; a page's main text are the blocks in it, without templates inside it and
 without containers that by their element or name surround an article (menus, adverts, forms,
 comments, …).
@@ -34,8 +35,9 @@ from pyspark.sql import types as T
 from fleetloom.llm.common import written
 from fleetloom.llm.dom import Node, parse, read, tree_match
 
-# A container is template if its text is the same on at least so many pages, and on all.
-TEMPLATE_PAGES = 3
+# A container is template if at least so many different pages have it, and this share of them
+# with the same text.
+TEMPLATE_PAGES, TEMPLATE_SHARE = 3, 0.9
 # The wrapper descends into a child that holds this share of the text that varies; an article or
 # main element needs less.
 DESCEND_SHARE, ARTICLE_SHARE = 0.8, 0.5
@@ -148,9 +150,12 @@ def _chosen(slots: DataFrame) -> DataFrame:
         for frame in frames:
             out = []
             for host, pattern, slots in zip(frame["host"], frame["pattern"], frame["slots"]):
-                varies = {s["slot"]: bool(s["varies"]) or s["pages"] < TEMPLATE_PAGES for s in slots}
+                varies = {
+                    s["slot"]: s["pages"] < TEMPLATE_PAGES or s["commonest"] < TEMPLATE_SHARE * s["pages"] for s in slots
+                }
                 root = _root(parse(pattern), {s["slot"]: s["size"] for s in slots}, varies)
-                out.append((host, root, [k for k, v in varies.items() if not v and k != root]))
+                templates = [k for k, v in varies.items() if not v and k != root] if any(varies.values()) else []
+                out.append((host, root, templates))
             yield pd.DataFrame(out, columns=["host", "root", "templates"])
 
     return slots.mapInPandas(run, "host string, root int, templates array<int>")
@@ -158,28 +163,31 @@ def _chosen(slots: DataFrame) -> DataFrame:
 
 def wrappers(pages: DataFrame) -> DataFrame:
     """For each (host, tree) the numbers of the containers whose blocks are main text."""
-    counted = written(
-        pages.select("host", "tree", F.explode_outer("nodes").alias("n"))
-        .groupBy("host", "tree", F.col("n.node").alias("node")).agg(
-            F.count(F.lit(1)).alias("pages"), F.sum("n.size").alias("size"),
-            F.min("n.print").alias("low"), F.max("n.print").alias("high"),
-        )
+    # Copies of a page tell nothing about its host.
+    pages = pages.select("host", "tree", "nodes", F.xxhash64("host", "tree").alias("t"), F.xxhash64("blocks").alias("page"))
+    different = written(pages.dropDuplicates(["t", "page"]))
+    trees = written(different.groupBy("t").agg(
+        F.min("host").alias("host"), F.min("tree").alias("tree"), F.count(F.lit(1)).alias("pages")))
+    prints = written(
+        different.select("t", F.explode("nodes").alias("n")).groupBy("t", "n.node", "n.print")
+        .agg(F.count(F.lit(1)).alias("pages"), F.sum("n.size").alias("size"))
     )
-    trees = counted.groupBy("host", "tree").agg(F.max("pages").alias("pages"))
     pattern = trees.groupBy("host").agg(F.max_by("tree", F.struct("pages", "tree")).alias("pattern"))
     aligned = written(_aligned(trees.join(pattern, "host").select("host", "tree", "pattern")))
-    slots = aligned.join(counted, ["host", "tree", "node"]).groupBy("host", "pattern", "slot").agg(
-        F.sum("pages").alias("pages"), F.sum("size").alias("size"),
-        (F.min("low") != F.max("high")).alias("varies"),
+    named = aligned.withColumn("t", F.xxhash64("host", "tree"))
+    slots = (
+        named.select("t", "node", "host", "pattern", "slot").join(prints, ["t", "node"])
+        .groupBy("host", "pattern", "slot", "print").agg(F.sum("pages").alias("pages"), F.sum("size").alias("size"))
+        .groupBy("host", "pattern", "slot").agg(
+            F.sum("pages").alias("pages"), F.sum("size").alias("size"), F.max("pages").alias("commonest"))
     )
     # As many entries per host as its pattern has containers.
     per_host = slots.groupBy("host", "pattern").agg(
-        F.collect_list(F.struct("slot", "pages", "size", "varies")).alias("slots")
+        F.collect_list(F.struct("slot", "pages", "size", "commonest")).alias("slots")
     )
     chosen = _chosen(per_host)
-    own = counted.filter("node is not null").groupBy("host", "tree").agg(
-        F.collect_list(F.struct("node", "size")).alias("own")
-    )
+    sizes = prints.groupBy("t", "node").agg(F.sum("size").alias("size"))
+    own = sizes.groupBy("t").agg(F.collect_list(F.struct("node", "size")).alias("own")).join(trees, "t").drop("t", "pages")
     pairs = aligned.groupBy("host", "tree").agg(F.collect_list(F.struct("node", "slot")).alias("pairs"))
     joined = own.join(pairs, ["host", "tree"], "left").join(chosen, "host", "left")
 

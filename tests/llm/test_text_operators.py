@@ -433,6 +433,22 @@ def test_main_text_by_wrapper(spark):
     assert wrapper.main_text(df.limit(0), ("page_id", "url")).count() == 0
 
 
+def test_copies_and_odd_pages_do_not_decide(spark):
+    body = "<div class=page><section class=text><p>{}</section><div class=box><p>{}</div></div>"
+    pages = [(i, "http://copies.example", body.format("the same article", "its box")) for i in range(4)]
+    # A slot that only copies have, on a host with other pages.
+    pages += [(10 + i, "http://some.example", body.format(f"article {i} " * 9, "box")) for i in range(6)]
+    pages += [(20 + i, "http://some.example", body.format("one article " * 9, "box") + "<div class=late><p>only here " + "x " * 300 + "</div>") for i in range(4)]
+    # One odd page among many.
+    pages += [(100 + i, "http://large.example", body.format(f"text {i} " * 9, "odd" if i == 7 else "box")) for i in range(60)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrapper.main_text(df, ("page_id", "url")).collect()}
+    assert all(got[i] == "the same article its box" for i in range(4))
+    assert all("article" in got[i] and "box" not in got[i] for i in range(10, 16))
+    assert all("one article" in got[i] for i in range(20, 24))
+    assert all(got[100 + i] == (f"text {i} " * 9).strip() for i in range(60))
+
+
 def test_tree_match():
     a, b = dom.parse("body(div(p(),p()),main(div()),footer())"), dom.parse("body(main(div(),div()),footer())")
     size, pairs = dom.tree_match(a, b)
