@@ -8,12 +8,13 @@ trained on labelled findings and scores all candidates. No user function runs on
 Labels: pass ``labelled`` findings, or leave it out and the scan labels a bounded sample of its
 own candidates by strong evidence (a key word that assigns the value, a vendor's key shape, or a
 shape that is known to be harmless) and the forest generalises to candidates without it. The
-sample takes the ``TRAINING_ROWS`` candidates with the smallest hash; everything else covers all
-rows.
+sample takes, of each class, up to half of ``TRAINING_ROWS`` distinct findings (value and words
+before it) with the smallest hash; everything else covers all rows.
 
 Defined results: null, empty and blank texts have no candidates. Equal rows yield equal findings,
-one set per row. A null path counts as plain. If the sample holds one class only, all candidates
-get that class; without any candidate the result is empty.
+one set per row. A null path counts as plain. If the labels hold one class only, candidates get
+that class, but those whose own evidence says otherwise keep their own; without any candidate the
+result is empty.
 """
 
 from __future__ import annotations
@@ -132,6 +133,18 @@ def trained(labelled: DataFrame):
     return Pipeline(stages=[VectorAssembler(inputCols=list(FEATURES), outputCol="_v"), forest]).fit(labelled)
 
 
+def sample(found: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
+    """Features and ``label`` of candidates with strong evidence: of each class up to half of
+    ``rows``, copies of a finding once."""
+    sure = (
+        found.withColumn("label", evidence()).filter("label is not null")
+        .groupBy("value", "before").agg(*[F.min(c).alias(c) for c in (*FEATURES, "label")])
+    )
+    order = (F.xxhash64("value", "before"), "value", "before")
+    parts = [sure.filter(F.col("label") == c).orderBy(*order).limit(max(rows // 2, 1)) for c in (0.0, 1.0)]
+    return parts[0].unionByName(parts[1]).select(*FEATURES, "label")
+
+
 def scan(
     df: DataFrame, keys: Sequence[str], text: str = "text", path: str | None = None,
     labelled: DataFrame | None = None, rows: int = TRAINING_ROWS,
@@ -139,13 +152,10 @@ def scan(
     """All candidates with ``score`` and ``is_secret``: keys, ``value``, ``before``, ``n_at``, features."""
     found = written(candidates(df, keys, text, path))
     if labelled is None:
-        labelled = written(
-            found.withColumn("label", evidence()).filter("label is not null")
-            .orderBy(F.xxhash64("value", "before"), "value", "before").limit(rows).select(*FEATURES, "label")
-        )
+        labelled = written(sample(found, rows))
     model = trained(labelled)
     if isinstance(model, float):
-        scored = found.withColumn("score", F.lit(model))
+        scored = found.withColumn("score", F.coalesce(evidence(), F.lit(model)))
     else:
         scored = model.transform(found).withColumn("score", F.get(vector_to_array("_p"), F.lit(1)))
         scored = scored.drop("_v", "_p", "_raw", "_class")

@@ -487,6 +487,28 @@ def test_secrets(spark, none):
     assert secret_scan.scan(none, ("doc_id",)).count() == 0 and secret_scan.redacted(none, "doc_id").count() == 0
 
 
+def test_copies_do_not_fill_the_training_sample(spark):
+    rng = random.Random(31)
+
+    def run():
+        return "a7" + "".join(rng.choice("0123456789abcdef") for _ in range(38))
+
+    groups = [f"token = {run()}" if i < 2 else f"commit {run()}" for i in range(10)]
+    texts = [(i, f"some words {groups[i % 10]} and", "en", "src", 0) for i in range(500)]
+    df = spark.createDataFrame(texts, SCHEMA)
+    found = secret_scan.candidates(df, ("doc_id",))
+    for rows in (20, 6):
+        labels = Counter(r.label for r in secret_scan.sample(found, rows).collect())
+        assert labels == {0.0: min(8, rows // 2), 1.0: 2}
+    got = secret_scan.scan(df, ("doc_id",), rows=6).collect()
+    assert all(r.is_secret == (int(r.doc_id) % 10 < 2) for r in got) and len(got) == 500
+    # Labels of one class do not overrule evidence of the other.
+    for label in (0.0, 1.0):
+        one = found.limit(5).withColumn("label", F.lit(label))
+        got = secret_scan.scan(df, ("doc_id",), labelled=one).collect()
+        assert all(r.is_secret == (int(r.doc_id) % 10 < 2) for r in got)
+
+
 # Kneser-Ney
 
 def plain_model(texts):
