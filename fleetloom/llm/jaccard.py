@@ -119,7 +119,10 @@ class Bands:
         own = self.of(size)
         found = [(own, self.differ(size + self.partner(size)) + 1)]
         if own and self.partner(self.edge(own) - 1) >= size:
-            found.append((own - 1, self.differ(size + self.edge(own) - 1) + 1))
+            # ``differ`` has the parity of its argument: the largest partner may differ in one less
+            # than the one below it.
+            most = size + self.edge(own) - 1
+            found.append((own - 1, max(self.differ(most), self.differ(most - 1)) + 1))
         return found
 
     def signatures(self, elements: np.ndarray) -> np.ndarray:

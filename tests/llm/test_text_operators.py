@@ -300,6 +300,16 @@ def test_signatures_keep_every_link():
                     assert apart <= len(a) + len(b) - 2 * shared <= bands.differ(len(a) + len(b))
 
 
+def test_parts_suffice_for_every_pair_of_sizes():
+    for percent in (80, 90):
+        bands = jaccard.Bands(percent)
+        for large in range(1, 500):
+            for small in range(-(-percent * large // 100), large + 1):
+                places = dict(bands.places(large))
+                band = bands.of(small)
+                assert min(places[band], dict(bands.places(small))[band]) > bands.differ(small + large), (percent, small, large)
+
+
 def test_components(spark):
     rng = random.Random(4)
     chain = [(i, i + 1) for i in range(60)]
