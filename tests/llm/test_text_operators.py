@@ -630,6 +630,20 @@ def test_word_order_and_every_script_count(spark):
     assert kneser_ney.word_model.words("Тест 漢字, it's") == ["тест", "漢", "字", ",", "it", "'", "s"]
 
 
+def test_outliers_among_labels_do_not_open_the_filter(spark):
+    rng = random.Random(41)
+    vocab = ["the", "and", "thing", "of", "nation"]
+
+    def text(good):
+        return " ".join(rng.choice(vocab) for _ in range(60)) if good else "".join(rng.choice("XQZ%$#|9 ") for _ in range(300))
+
+    source = [(i, text(i >= 2 and i < 500), "en", "s", 0) for i in range(540)]
+    marks = spark.createDataFrame([(i, 1) for i in range(400)], "doc_id long, quality int")
+    kept = {r.doc_id: r.kept for r in kneser_ney.score(spark.createDataFrame(source, SCHEMA), marks).collect()}
+    assert not any(kept[i] for i in range(500, 540))
+    assert sum(kept[i] for i in range(400, 500)) >= 92
+
+
 # Pipeline and registered queries
 
 def test_pipeline_stages(spark, docs, rows, none, tmp_path):
