@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetloom.llm import decontaminate, jaccard, kneser_ney, packing, quality_rules, secret_scan, sharding, substring, token_counts, wrapper
+from fleetloom.llm import (
+    collocations, decontaminate, jaccard, kneser_ney, packing, quality_rules, secret_scan, sharding, spelling, substring,
+    token_counts, wrapper,
+)
 from fleetloom.llm.common import documents, written
 from fleetloom.llm.tokens import vocabulary
 
@@ -83,6 +86,14 @@ def op10_quality_rules(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op11_prefix_free_collocations(spark: SparkSession, root: str) -> DataFrame:
+    return collocations.collocations(documents(spark, root, "lang", "text"))
+
+
+def op13_q_chunk_spelling(spark: SparkSession, root: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(documents(spark, root, "doc_id", "text")))
+
+
 # The measures and bounds written out once more, independent of the rule table.
 _STOP_SQL = """('the','of','and','to','in','is','that','it','was','for','on','with','as','are','be','this','by',
  'from','at','or','an','der','die','das','und','den','von','mit','ist','des','im','dem','nicht','ein','eine','als',
@@ -173,6 +184,40 @@ select doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(kept.
 from w left join kept using (rid)
 """
 
+OP11_SQL = r"""
+with p as (
+  select coalesce(lang, 'und') as lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws
+  from (select lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents)
+), g as (
+  select lang, k, array_to_string(ws[i:i + k - 1], ' ') as phrase
+  from (select lang, ws, k, unnest(range(1, len(ws) - k + 2)) as i from p, (values (1), (2), (3)) as sizes(k))
+), f as (select lang, k, phrase, count(*) as f from g group by 1, 2, 3),
+n as (select lang, cast(sum(f) as bigint) as n from f where k = 1 group by 1),
+c as (select lang, k, phrase, f as a, string_split(phrase, ' ') as ws from f where k > 1 and f >= 10),
+cut as (
+  select lang, k, phrase, a, j, array_to_string(ws[1:j], ' ') as head, array_to_string(ws[j + 1:], ' ') as rest
+  from (select *, unnest(range(1, k)) as j from c)
+), s as (
+  select cut.lang, cut.phrase, a, j, h.f as l, r.f as r,
+    (1000000::hugeint * a * a) // (h.f::hugeint * r.f) as score
+  from cut join f h on h.lang = cut.lang and h.phrase = head and h.k = j
+  join f r on r.lang = cut.lang and r.phrase = rest and r.k = cut.k - j
+), best as (
+  select * from s qualify row_number() over (partition by lang, phrase order by score, j) = 1
+), longer as (
+  select lang, part, max(a) as a from (
+    select lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) as part from c where k = 3
+  ) group by 1, 2
+), ranked as (
+  select best.*, row_number() over (partition by best.lang order by score desc, best.a desc, encode(phrase)) as rank
+  from best left join longer on longer.lang = best.lang and longer.part = best.phrase
+  where longer.a is null or 100 * longer.a < 50 * best.a
+)
+select ranked.lang, rank, phrase, a, l, r, n.n, cast(score as bigint) as score
+from ranked join n on n.lang = ranked.lang where rank <= 2000
+"""
+
 QUERIES = {
     "op1_histogram_shards": (op1_histogram_shards, None),
     "op2_secret_scan": (op2_secret_scan, None),
@@ -184,4 +229,6 @@ QUERIES = {
     "op8_token_counts": (op8_token_counts, None),
     "op9_wrapper_induction": (op9_wrapper_induction, None),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
+    "op11_prefix_free_collocations": (op11_prefix_free_collocations, OP11_SQL),
+    "op13_q_chunk_spelling": (op13_q_chunk_spelling, None),
 }
