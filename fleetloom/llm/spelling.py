@@ -4,9 +4,11 @@ A word asks with two disjoint chunks, its halves of q = length // 2 code points;
 its positional grams of that q. One inserted, deleted or replaced code point leaves one of the two
 chunks whole, the first in place, the second shifted by the difference of the lengths, so at most by
 one. An offer therefore names the length it is meant for, and only the grams that stand where a chunk
-of such a word can have gone are sent: two per length, three lengths. Pairs that meet are verified;
-one that meets by both chunks counts by the first. Nothing but words (not their texts) is joined,
-and a task returns near pairs only.
+of such a word can have gone are sent, for three lengths. As halves of short words are common, the rule is
+used twice: where one half stays whole the edit lies in the other, of whose two chunks again one
+stays whole, so a key is a half and a quarter. Pairs that meet are verified; one that meets by several
+keys counts by the first. Nothing but words (not their texts) is joined, and a task returns near pairs
+only.
 
 Forms are followed to the root by doubling: each round every chain halves, so a few rounds settle
 it. A form stands at least ``ratio`` times as often, so there are no circles.
@@ -76,33 +78,49 @@ def vocabulary(docs: DataFrame, text: str = "text", key: str = "doc_id", min_len
     return written(sent.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count))
 
 
-def _chunk(word: Column, start: Column, q: Column) -> Column:
-    return F.substr(word, start + 1, q)
+def _chunks(word: Column, own: Column, shift: Column | int) -> list[list[tuple[Column, Column]]]:
+    """Where ``word`` has the chunks that a word of ``own`` code points, ``shift`` fewer than it, asks for:
+    [[(half, quarter)]] by the half that stays whole and the quarter of the other that does."""
+    def part(at: Column, size: Column, moved: bool) -> Column:
+        return F.substr(word, at + 1 + (shift if moved else 0), size)
+
+    q = F.floor(own / 2).cast("int")
+    tail, head = F.floor((own - q) / 2).cast("int"), F.floor(q / 2).cast("int")
+    zero = F.lit(0)
+    first, second = part(zero, q, False), part(q, q, True)
+    return [
+        [(first, part(q, tail, False)), (first, part(q + tail, tail, True))],
+        [(second, part(zero, head, False)), (second, part(head, head, True))],
+    ]
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n) for all ordered pairs of ``words`` (word, n) that differ by one edit."""
     word, length = F.col("word"), F.char_length("word")
 
-    def keys(own: Column, shift: Column) -> Column:
-        """What stands where the chunks of a word of ``own`` code points are, the second one shifted."""
-        q = F.floor(own / 2).cast("int")
-        return F.array(*[
-            F.struct(own.alias("length"), F.lit(side).alias("side"), _chunk(word, at, q).alias("gram"))
-            for side, at in ((0, F.lit(0)), (1, q + shift))
-        ])
+    def keys(own: Column, shift: int) -> list[Column]:
+        return [
+            F.xxhash64(own, F.lit(2 * side + k), *grams)
+            for side, pairs in enumerate(_chunks(word, own, shift)) for k, grams in enumerate(pairs)
+        ]
 
-    asks = words.select("word", "n", F.explode(keys(length, F.lit(0))).alias("k"))
+    asks = words.select("word", "n", F.posexplode(F.array(*keys(length, 0))).alias("by", "key"))
     offers = words.select(
         F.col("word").alias("near"), F.col("n").alias("near_n"),
-        F.explode(F.flatten(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d: keys(length - d, d)))).alias("k"),
+        F.explode(F.array(*[k for d in (-1, 0, 1) for k in keys(length - d, d)])).alias("key"),
+    )
+    # A pair may meet by several keys; the first of them counts.
+    own, moved = F.char_length("word"), F.char_length("near") - F.char_length("word")
+    mine, theirs = _chunks(word, own, 0), _chunks(F.col("near"), own, moved)
+    same = [[(a[0] == b[0], a[1] == b[1]) for a, b in zip(x, y)] for x, y in zip(mine, theirs)]
+    half = same[0][0][0]
+    once = (
+        F.when(F.col("by") == 0, True).when(F.col("by") == 1, ~same[0][0][1])
+        .when(F.col("by") == 2, ~half).otherwise(~half & ~same[1][0][1])
     )
-    asks, offers = (df.select(*[c for c in df.columns if c != "k"], "k.*") for df in (asks, offers))
-    q = F.floor(F.col("length") / 2).cast("int")
-    once = (F.col("side") == 0) | (_chunk(F.col("near"), F.lit(0), q) != _chunk(word, F.lit(0), q))
     return (
-        asks.join(offers, ["length", "side", "gram"])
-        .filter((word != F.col("near")) & once & (F.levenshtein("word", "near", 1) == 1))
+        asks.join(offers, "key")
+        .filter((word != F.col("near")) & (F.levenshtein("word", "near", 1) == 1) & once)
         .select("word", "n", "near", "near_n")
     )
 
