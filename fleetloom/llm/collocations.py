@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetloom.llm.byte_words import WordHasher, column_bytes, spans
 from fleetloom.llm.common import dropped, written
 from fleetloom.llm.jaccard import _A, mixed, word_hash
-from fleetloom.llm.packed import HELD_KEYS, coded, range_bits, ranges, summed
-from fleetloom.llm.tokens import Cache
+from fleetloom.llm.packed import HELD_KEYS, range_bits, ranges, summed
 from fleetloom.session import shuffle_partitions
 
 MAX_WORDS, MIN_COUNT, TOP, INSIDE_PERCENT = 3, 10, 2000, 50
@@ -42,58 +42,65 @@ STRIDE = 16
 HELD_CHUNKS = 300_000
 # The map of frequent hashes has this many bits per hash, and 64 MB at most.
 BITS_PER_KEY, MAP_BITS = 16, 29
+# Bytes of the dictionary that a task counts at a time.
+HELD_BYTES = 1 << 24
 # What ends a piece becomes a line end, other white space a blank, A-Z small.
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _READ = bytes.maketrans(bytes(range(65, 91)) + _BREAKS + b"\t", bytes(range(97, 123)) + b"\n" * len(_BREAKS) + b" ")
 
 
-def flat_words(texts: list[str]) -> list[bytes]:
-    """The words of all texts in order, with a line end wherever a piece ends."""
-    blob = b"\n".join(t.encode("utf-8", "surrogatepass").translate(_READ) for t in texts)
-    return list(filter(None, blob.replace(b"\n", b" \n ").split(b" ")))
-
-
-def chunks(words: list[bytes], hashes: Cache, overlap: int, stride: int = STRIDE) -> list[bytes]:
-    """The chunks of a list of ``flat_words``: ``+`` or ``.`` (another chunk of the piece follows, or
-    none), then the words joined by blanks."""
-    if not words:
-        return []
-    h, numbers, distinct = coded(words, hashes)
-    gap = numbers == distinct.index(b"\n") if b"\n" in distinct else np.zeros(len(words), bool)
-    n = len(words)
-    # Where each word's piece ends: the next gap, or the end.
-    ends = np.append(np.flatnonzero(gap), n)
-    end = ends[np.searchsorted(ends, np.arange(n))]
+def chunks(texts: pa.Array, hasher: WordHasher, overlap: int, stride: int = STRIDE) -> tuple[list[bytes], np.ndarray]:
+    """The chunks of all texts: ``+`` or ``.`` (another chunk of the piece follows, or none), then the
+    bytes of its words and the blanks between; and the row of each."""
+    data, offsets = column_bytes(texts)
+    data = np.frombuffer(_READ, np.uint8)[data]
+    breaks = data == 10
+    starts, ends = spans(~breaks & (data != 32), offsets)
+    n = len(starts)
+    if not n:
+        return [], np.empty(0, np.int64)
+    # A word is its piece's first if a row or a break lies between it and the word before.
+    row = np.searchsorted(offsets, starts, "right") - 1
+    gaps = np.flatnonzero(breaks)
+    before = np.searchsorted(gaps, starts)
+    first = np.ones(n, bool)
+    first[1:] = (row[1:] != row[:-1]) | (before[1:] != before[:-1])
+    h = hasher(data, starts, ends)
     window = h.copy()
     for k in range(1, overlap):
         window[:n - k] = mixed(window[:n - k] * _A + h[k:])
-    first = ~gap & np.concatenate([[True], gap[:-1]])
-    trigger = ~gap & (mixed(window) % np.uint64(stride) == 0) & (np.arange(n) + overlap <= end)
+    heads = np.append(np.flatnonzero(first), n)
+    trigger = (mixed(window) % np.uint64(stride) == 0) & (np.arange(n) + overlap <= heads[np.cumsum(first)])
     start = np.flatnonzero(first | trigger)
-    if not len(start):
-        return []
     follows = np.append(~first[start[1:]], False)
-    stop = np.where(follows, np.append(start[1:], n) + overlap, end[start])
-    return [(b"+" if more else b".") + b" ".join(words[a:b]) for a, b, more in zip(start.tolist(), stop.tolist(), follows.tolist())]
+    stop = np.append(start[1:], n) + np.where(follows, overlap, 0)
+    body = data.tobytes()
+    found = [
+        (b"+" if more else b".") + body[a:b]
+        for a, b, more in zip(starts[start].tolist(), ends[stop - 1].tolist(), follows.tolist())
+    ]
+    return found, row[start]
 
 
 def dictionary(docs: DataFrame, overlap: int) -> DataFrame:
     """(lang, chunk, n) over ``lang`` and ``text``; tasks add up what they read before they send."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size = Cache(word_hash), {}, 0
+        hasher, held, size = WordHasher(), {}, 0
         for batch in batches:
-            texts: dict[str, list[str]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                texts.setdefault(lang, []).append(text)
-            for lang, own in texts.items():
+            found, row = chunks(batch.column(1), hasher, overlap)
+            known = batch.column(0).dictionary_encode()
+            number = known.indices.to_numpy()[row]
+            order = np.argsort(number, kind="stable")
+            edges = np.searchsorted(number[order], np.arange(len(known.dictionary) + 1))
+            for k, lang in enumerate(known.dictionary.to_pylist()):
                 counter = held.setdefault(lang, Counter())
                 size -= len(counter)
-                counter.update(chunks(flat_words(own), hashes, overlap))
+                counter.update(map(found.__getitem__, order[edges[k]:edges[k + 1]].tolist()))
                 size += len(counter)
-                if size > HELD_CHUNKS:
-                    yield from send(held)
-                    held, size = {}, 0
+            if size > HELD_CHUNKS:
+                yield from send(held)
+                held, size = {}, 0
         yield from send(held)
 
     def send(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
@@ -108,28 +115,52 @@ def dictionary(docs: DataFrame, overlap: int) -> DataFrame:
     return written(sent.groupBy("lang", "chunk").agg(F.sum("n").alias("n")))
 
 
-def _own(batch: pa.RecordBatch, hashes: Cache, most: int, overlap: int):
-    """Of a batch of the dictionary: its words, and for each size of n-gram its hash and weight where
-    one begins in a chunk's own part: [(size, at, keys, weights)]."""
-    langs, bodies, n = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_numpy()
-    split = [b[1:].split(b" ") for b in bodies]
-    words = [w for s in split for w in s]
-    lengths = np.fromiter(map(len, split), np.int64, len(split))
-    h, _, _ = coded(words, hashes)
-    base = {lang: word_hash(lang.encode()) for lang in set(langs)}
-    seed = np.repeat(np.fromiter((base[x] for x in langs), np.uint64, len(langs)), lengths)
-    weight = np.repeat(n, lengths)
-    end = np.repeat(np.cumsum(lengths), lengths)
-    shared = np.fromiter((overlap if b[:1] == b"+" else 0 for b in bodies), np.int64, len(bodies))
-    at = np.arange(len(words))
-    own = at < end - np.repeat(shared, lengths)
-    key, out = seed, []
-    for size in range(1, most + 1):
-        key = mixed(key[:len(words) - size + 1] * _A + h[size - 1:])
-        found = np.flatnonzero(own[:len(key)] & (at[:len(key)] + size <= end[:len(key)]))
-        out.append((size, found, key[found], weight[found]))
-        own, end = own[:len(key)], end[:len(key)]
-    return words, out
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``HELD_BYTES``."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size > HELD_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+class _Grams:
+    """The n-grams of a batch of the dictionary, each of a chunk's own part."""
+
+    def __init__(self, batch: pa.RecordBatch, hasher: WordHasher, overlap: int):
+        self.langs = batch.column(0).dictionary_encode()
+        self.data, self.offsets = column_bytes(batch.column(1))
+        inside = self.data != 32
+        inside[self.offsets[:-1]] = False
+        self.starts, self.ends = spans(inside, self.offsets)
+        self.row = np.searchsorted(self.offsets, self.starts, "right") - 1
+        last = np.searchsorted(self.row, np.arange(batch.num_rows), "right")
+        self.end = last[self.row]
+        more = self.data[self.offsets[:-1]] == ord("+")
+        self.own = np.arange(len(self.row)) < self.end - np.where(more, overlap, 0)[self.row]
+        self.h = hasher(self.data, self.starts, self.ends)
+        self.n = batch.column(2).to_numpy()
+
+    def sizes(self, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(size, first word, key, weight) of the n-grams up to ``most`` words."""
+        seeds = np.array([word_hash(x.encode()) for x in self.langs.dictionary.to_pylist()], np.uint64)
+        key = seeds[self.langs.indices.to_numpy()][self.row]
+        for size in range(1, most + 1):
+            left = max(len(self.h) - size + 1, 0)
+            key = mixed(key[:left] * _A + self.h[size - 1:])
+            at = np.flatnonzero(self.own[:left] & (np.arange(left) + size <= self.end[:left]))
+            yield size, at, key[at], self.n[self.row[at]]
+
+    def texts(self, at: np.ndarray, size: int) -> list[bytes]:
+        body = self.data.tobytes()
+        parts = [
+            [body[a:b] for a, b in zip(self.starts[at + k].tolist(), self.ends[at + k].tolist())] for k in range(size)
+        ]
+        return [b" ".join(ws) for ws in zip(*parts)]
 
 
 def frequent_hashes(chunk: DataFrame, most: int, min_count: int, n_words: int) -> DataFrame:
@@ -147,17 +178,10 @@ def frequent_hashes(chunk: DataFrame, most: int, min_count: int, n_words: int) -
             )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, keys, weights, size = Cache(word_hash), [], [], 0
-        for batch in batches:
-            for _, _, key, weight in _own(batch, hashes, most, most - 1)[1]:
-                keys.append(key)
-                weights.append(weight)
-                size += len(key)
-            if size > HELD_KEYS:
-                yield from send(keys, weights)
-                keys, weights, size = [], [], 0
-        if size:
-            yield from send(keys, weights)
+        hasher = WordHasher()
+        for batch in _blocks(batches):
+            found = list(_Grams(batch, hasher, most - 1).sizes(most))
+            yield from send([key for _, _, key, _ in found], [n for _, _, _, n in found])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Sums of what has come are kept, so a task holds its distinct keys.
@@ -196,31 +220,20 @@ def counted(chunk: DataFrame, keys: DataFrame, most: int, min_count: int) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = sent.value
         shift = np.uint64(64 - (len(bitmap) * 64).bit_length() + 1)
-        hashes, held = Cache(word_hash), {}
-        for batch in batches:
-            langs = batch.column(0).to_pylist()
-            words, grams = _own(batch, hashes, most, most - 1)
-            lengths = [b.count(b" ") + 1 for b in batch.column(1).to_pylist()]
-            owner = np.repeat(np.arange(len(langs)), lengths)
-            for size, at, key, weight in grams:
+        hasher = WordHasher()
+        for batch in _blocks(batches):
+            grams = _Grams(batch, hasher, most - 1)
+            for size, at, key, weight in grams.sizes(most):
                 place = key >> shift
                 hit = np.flatnonzero((bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)).astype(np.int64)) & 1)
-                found, first, n = summed(key[hit], weight[hit])
+                _, first, n = summed(key[hit], weight[hit])
                 first = at[hit[first]]
-                for row, a, c in zip(owner[first].tolist(), first.tolist(), n.tolist()):
-                    gram = (langs[row], b" ".join(words[a:a + size]), size)
-                    held[gram] = held.get(gram, 0) + c
-            if len(held) > HELD_CHUNKS:
-                yield send(held)
-                held = {}
-        yield send(held)
-
-    def send(held: dict[tuple[str, bytes, int], int]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.binary()).cast(pa.string()),
-             pa.array([k[2] for k in held], pa.int32()), pa.array(list(held.values()), pa.int64())],
-            names=["lang", "gram", "size", "f"],
-        )
+                yield pa.RecordBatch.from_arrays(
+                    [grams.langs.take(pa.array(grams.row[first])).cast(pa.string()),
+                     pa.array(grams.texts(first, size), pa.binary()).cast(pa.string()),
+                     pa.array(np.full(len(first), size, np.int32)), pa.array(n)],
+                    names=["lang", "gram", "size", "f"],
+                )
 
     found = chunk.mapInArrow(run, "lang string, gram string, size int, f long")
     return written(found.groupBy("lang", "gram", "size").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count))
@@ -263,7 +276,7 @@ def collocations(
     """(lang, rank, phrase, a, l, r, n, score): the first ``top`` phrases of each language."""
     spark = docs.sparkSession
     chunk = dictionary(docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")), most - 1)
-    own = F.size(F.split(F.decode("chunk", "utf-8"), " ")) - F.when(F.substring("chunk", 1, 1) == F.lit(b"+"), most - 1).otherwise(0)
+    own = F.size(F.split(F.decode("chunk", "utf-8"), " +")) - F.when(F.substring("chunk", 1, 1) == F.lit(b"+"), most - 1).otherwise(0)
     words = written(chunk.groupBy("lang").agg(F.sum(F.col("n") * own).alias("n"), F.sum(own).alias("distinct")))
     n_words = words.agg(F.sum("distinct")).first()[0] or 0
     keys = frequent_hashes(chunk, most, min_count, n_words)

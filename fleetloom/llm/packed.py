@@ -10,9 +10,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-
-from fleetloom.llm.tokens import Cache
 
 # Keys that one task holds at a time, on both sides of an exchange.
 HELD_KEYS = 2_000_000
@@ -42,13 +39,3 @@ def ranges(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
     edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(keys) else []
     for at, to in zip(edges[:-1], edges[1:]):
         yield int(bucket[at]), int(at), int(to)
-
-
-def coded(words: list[bytes], hashes: Cache) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """The hash of each word, its number among the distinct ones, and these; every distinct word is
-    hashed once."""
-    known = pa.array(words, pa.binary()).dictionary_encode()
-    distinct = known.dictionary.to_pylist()
-    numbers = known.indices.to_numpy()
-    found = np.fromiter((hashes[w] for w in distinct), np.uint64, len(distinct))
-    return found[numbers], numbers, distinct

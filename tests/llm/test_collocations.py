@@ -4,12 +4,13 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from fleetloom.llm import collocations, queries
-from fleetloom.llm.jaccard import word_hash
-from fleetloom.llm.tokens import Cache
+from fleetloom.llm.byte_words import WordHasher, numbered, spans
 from tests.llm.test_text_operators import SCHEMA, awkward
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -68,12 +69,12 @@ def test_matches_literal_counts(spark, most, min_count, inside):
 
 def test_each_occurrence_belongs_to_one_chunk():
     rng = random.Random(5)
-    hashes = Cache(word_hash)
+    hasher = WordHasher()
     for stride in (1, 2, 5, 10**9):
         texts = [" ".join(rng.choice("abcd") for _ in range(rng.randrange(0, 40))) + rng.choice(("", ". x", "\n\ny z")) for _ in range(50)]
         got, expected = Counter(), Counter()
-        for chunk in collocations.chunks(collocations.flat_words(texts), hashes, 2, stride):
-            words = chunk[1:].decode().split(" ")
+        for chunk in collocations.chunks(pa.array(texts), hasher, 2, stride)[0]:
+            words = chunk[1:].decode().split()
             own = len(words) - (2 if chunk[:1] == b"+" else 0)
             assert own > 0
             got.update(tuple(words[i:i + 3]) for i in range(own))
@@ -84,11 +85,27 @@ def test_each_occurrence_belongs_to_one_chunk():
         assert got == expected
 
 
+def test_hashes_of_spans(monkeypatch):
+    from fleetloom.llm import byte_words
+
+    words = [b"a", b"b", b"ab", b"ba", b"abc" * 50, b"\x00", b"\x00\x00", b"ab"]
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    starts, ends = spans(data != 32, np.array([0, len(data)]))
+    assert [data[a:b].tobytes() for a, b in zip(starts, ends)] == words
+    found = WordHasher()(data, starts, ends)
+    assert len(set(found.tolist())) == 7 and found[2] == found[7]
+    monkeypatch.setattr(byte_words, "SLICE", 4)
+    assert (WordHasher()(data, starts, ends) == found).all()
+    numbers, distinct, first = numbered(found)
+    assert (distinct[numbers] == found).all() and first.tolist() == list(range(7))
+
+
 def test_sends_and_full_maps_change_nothing(spark, monkeypatch):
     rows = made(9)
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
     monkeypatch.setattr(collocations, "HELD_CHUNKS", 7)
     monkeypatch.setattr(collocations, "HELD_KEYS", 50)
+    monkeypatch.setattr(collocations, "HELD_BYTES", 200)
     monkeypatch.setattr(collocations, "MAP_BITS", 8)
     assert rows_of(collocations.collocations(docs, min_count=8)) == plain(rows, min_count=8)
 
