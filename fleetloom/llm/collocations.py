@@ -43,7 +43,7 @@ HELD_CHUNKS = 300_000
 # The map of frequent hashes has this many bits per hash, and 64 MB at most.
 BITS_PER_KEY, MAP_BITS = 16, 29
 # Bytes of the dictionary that a task counts at a time.
-HELD_BYTES = 1 << 24
+HELD_BYTES = 1 << 23
 # What ends a piece becomes a line end, other white space a blank, A-Z small.
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _READ = bytes.maketrans(bytes(range(65, 91)) + _BREAKS + b"\t", bytes(range(97, 123)) + b"\n" * len(_BREAKS) + b" ")

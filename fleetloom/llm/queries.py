@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetloom.llm import (
-    collocations, decontaminate, jaccard, kneser_ney, packing, quality_rules, secret_scan, sharding, spelling, substring,
+    collocations, decontaminate, jaccard, kneser_ney, packing, pitman_yor, quality_rules, secret_scan, sharding, spelling, substring,
     token_counts, wrapper,
 )
 from fleetloom.llm.common import documents, written
@@ -90,6 +90,10 @@ def op11_prefix_free_collocations(spark: SparkSession, root: str) -> DataFrame:
     return collocations.collocations(documents(spark, root, "lang", "text"))
 
 
+def op12_pitman_yor_scores(spark: SparkSession, root: str) -> DataFrame:
+    return pitman_yor.score(documents(spark, root, "doc_id", "text"))
+
+
 def op13_q_chunk_spelling(spark: SparkSession, root: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(documents(spark, root, "doc_id", "text")))
 
@@ -230,5 +234,6 @@ QUERIES = {
     "op9_wrapper_induction": (op9_wrapper_induction, None),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
     "op11_prefix_free_collocations": (op11_prefix_free_collocations, OP11_SQL),
+    "op12_pitman_yor_scores": (op12_pitman_yor_scores, None),
     "op13_q_chunk_spelling": (op13_q_chunk_spelling, None),
 }
