@@ -18,10 +18,10 @@ RANGES_PER_TASK = 8
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys in order, where each stands first, and the sums of its counts."""
+    """Distinct keys in order, a place where each stands, and the sums of its counts."""
     if not len(keys):
         return keys, np.empty(0, np.int64), counts
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ordered = keys[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     return ordered[first], order[first], np.add.reduceat(counts[order], first)
