@@ -17,9 +17,13 @@ from pyspark.sql import functions as F
 
 
 def levenshtein_score(a: Column, b: Column) -> Column:
-    longest = F.greatest(F.length(a), F.length(b))
-    share = F.lit(100.0) * (longest - F.levenshtein(a, b)) / longest
-    return F.floor(share + 0.5).cast("int")
+    return rounded_score(F.greatest(F.length(a), F.length(b)), F.levenshtein(a, b))
+
+
+def rounded_score(longest: Column, edits: Column) -> Column:
+    """Two empty texts score 0, as texts without anything in common do."""
+    share = F.try_divide(F.lit(100.0) * (longest - edits), longest)
+    return F.floor(F.coalesce(share, F.lit(0.0)) + 0.5).cast("int")
 
 
 def clean(text: str) -> str:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetloom.functions.text import SCORERS, clean, levenshtein_score, overlap_bounds
+from fleetloom.functions.text import SCORERS, clean, levenshtein_score, overlap_bounds, rounded_score
 from fleetloom.operators.ordered import number_rows
 from fleetloom.session import materialize, shuffle_partitions
 
@@ -138,6 +138,45 @@ NO_CANDIDATE = (
 )
 
 
+def _options_of(text: Column) -> Column:
+    return F.split(text, "_")
+
+
+def _nearest_by_edits(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(block, text, best (loss, other)) by ``levenshtein_score``; both sides are (block, text).
+
+    First, an index over the options of a key: keys that agree in all options but one meet by a hash of
+    the others, and the best of them is a score that the answer reaches at least. Then every key of the
+    block is asked, but only for the edits that such a score allows: keys whose lengths or sets of options
+    rule it out are passed over (an edit changes two options at most), and the distance is computed in
+    a band of that width.
+    """
+    def without_one(df: DataFrame, name: str) -> DataFrame:
+        parts = _options_of(F.col("text"))
+        others = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.xxhash64(
+            i, F.array_join(F.slice(parts, F.lit(1), i - 1), "_"), F.array_join(F.slice(parts, i + 1, F.size(parts)), "_")))
+        return df.withColumn("key", F.explode(others)).select("block", F.col("text").alias(name), "key")
+
+    close = without_one(left, "text").join(without_one(right, "other"), ["block", "key"])
+    first = close.groupBy("block", "text").agg(F.max(levenshtein_score(F.col("text"), F.col("other"))).alias("reached"))
+    asked = left.join(first, ["block", "text"], "left").withColumns({
+        "reached": F.coalesce("reached", F.lit(0)), "options": _options_of(F.col("text"))})
+    choices = right.select("block", F.col("text").alias("other"), _options_of(F.col("text")).alias("other_options"))
+    a, b = F.length("text"), F.length("other")
+    longest = F.greatest(a, b)
+    # A score of ``reached`` or more, by the rounding of the score.
+    limit = F.floor(longest * (100.5 - F.col("reached")) / 100).cast("int")
+    apart = F.size(F.array_except("options", "other_options"))
+    edits = F.call_function("levenshtein", F.col("text"), F.col("other"), F.col("limit"))
+    near = (
+        asked.join(choices, "block").withColumn("limit", limit)
+        .filter((F.abs(a - b) <= F.col("limit")) & (apart <= 2 * F.col("limit")))
+        .withColumn("edits", edits).filter("edits >= 0")
+    )
+    loss = -rounded_score(longest, F.col("edits"))
+    return near.groupBy("block", "text").agg(F.min(F.struct(loss.alias("loss"), "other")).alias("best"))
+
+
 def nearest_config(
     units: DataFrame, catalog: DataFrame, block: Sequence[str], scorer: str = "levenshtein",
     no_candidate: str | None = NO_CANDIDATE,
@@ -148,19 +187,13 @@ def nearest_config(
     for c in block:
         present = F.col(c).isNotNull() if present is None else present & F.col(c).isNotNull()
     texts = units.filter(present).select(_block(block).alias("block"), F.col("config_string").alias("text"))
-    left = materialize(texts.distinct()).withColumn("need", F.lit(1))
     choices = catalog.filter(present).select(_block(block).alias("block"), F.col("config_string").alias("text"))
-    right = materialize(choices.distinct()).withColumn("capacity", F.lit(1))
+    left, right = materialize(texts.distinct()), materialize(choices.distinct())
     if scorer == "levenshtein":
-        best_of = F.transform("l", lambda a: F.struct(
-            a["text"].alias("text"),
-            F.array_min(F.transform("r", lambda b: F.struct(
-                (-levenshtein_score(a["text"], b["text"])).alias("loss"), b["text"].alias("other")
-            ))).alias("best"),
-        ))
-        hits = _tiles(left, right).select("block", F.inline(best_of))
+        hits = _nearest_by_edits(left, right)
     else:
-        hits = _tiles(left, right).select("block", F.inline(_shortlist(scorer)("l", "r"))).select(
+        tiles = _tiles(left.withColumn("need", F.lit(1)), right.withColumn("capacity", F.lit(1)))
+        hits = tiles.select("block", F.inline(_shortlist(scorer)("l", "r"))).select(
             "block", "text", F.struct((-F.col("score")).alias("loss"), "other").alias("best")
         )
     best = hits.groupBy("block", "text").agg(F.min("best").alias("best")).select(

@@ -99,7 +99,8 @@ def _firm_and_catalog(spark: SparkSession, root: str) -> tuple[DataFrame, DataFr
         (F.col("inventory_policy_compliance") == L.NOT_COMPLIANT)
         & (F.col("production_zone") == L.DASHBOARD_ZONES.frozen_no_vin)
     )
-    return firm, D.item_master(spark, root).filter("is_inventory_policy_eligible = 1")
+    # Read for its keys and for the answer: written once instead of joined twice.
+    return materialize(firm), D.item_master(spark, root).filter("is_inventory_policy_eligible = 1")
 
 
 def _nearest(spark: SparkSession, root: str, block=BLOCK, **options) -> DataFrame:

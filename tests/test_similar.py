@@ -70,6 +70,30 @@ def test_nearest_config(spark, scorer, monkeypatch):
         assert r.best_match_score == (score(r.config_string, best) if best else 0)
 
 
+def test_nearest_by_edits_equals_all_pairs(spark):
+    """Keys of different lengths and numbers of options, near ties, and blocks without a close key."""
+    from fleetloom.functions.text import levenshtein_score
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+
+    def key():
+        parts = [rng.choice(("US", "CA", "")), rng.choice(("A", "AB", "ABC", "B")), rng.choice(("x", "xy", "yx", "É漢")), rng.choice("0123")]
+        return "_".join(parts[:rng.randrange(1, 5)]) * rng.choice((1, 1, 1, 4))
+
+    left = spark.createDataFrame(sorted({(str(i % 3), key()) for i in range(150)}), "block string, text string")
+    right = spark.createDataFrame(sorted({(str(i % 2), key()) for i in range(80)} | {("2", "Z" * 40)}), "block string, text string")
+    got = {(r.block, r.text): (r.best.other, -r.best.loss) for r in S._nearest_by_edits(left, right).collect()}
+    pairs = left.join(right.withColumnRenamed("text", "other"), "block").select("block", "text", "other", levenshtein_score(F.col("text"), F.col("other")).alias("score"))
+    expected = {}
+    for r in pairs.collect():
+        now = expected.get((r.block, r.text))
+        if now is None or r.score > now[1] or r.score == now[1] and r.other.encode() < now[0].encode():
+            expected[r.block, r.text] = (r.other, r.score)
+    assert got == expected
+    assert len(got) > 80
+
+
 def test_scorers():
     assert clean("A-b_C ") == "a b_c"
     assert ratio("abcd", "bcde") == 75 and ratio("", "a") == 0
