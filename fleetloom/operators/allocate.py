@@ -9,7 +9,7 @@ the upper one is taken, and only about one pair per configuration in between is
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetloom.operators.ordered import number_rows
@@ -84,3 +84,27 @@ def expand_units(df: DataFrame, n_col: str = "added_volume") -> DataFrame:
     return df.filter(F.col(n_col) > 0).withColumn(
         "unit", F.explode(F.sequence(F.lit(1).cast("long"), F.col(n_col).cast("long")))
     )
+
+
+def covered_counts(planned: DataFrame, stock: DataFrame, compliant: DataFrame, block: Column, n_col: str = "added_volume") -> DataFrame:
+    """``planned`` (one row per configuration) with ``covered``: how many of its units get a vehicle.
+
+    Counts are enough. Units take vehicles of their own configuration first; of what is left, units of a
+    block in order of their configuration take any unused compliant vehicle of the block (by similarity,
+    but some vehicle is always the most similar one), so the first as many as there are vehicles get one.
+    ``stock`` has config_string and n, ``compliant`` config_string; ``block`` is an expression over it.
+    """
+    wanted = materialize(
+        planned.filter(F.col(n_col) > 0).join(stock, "config_string", "left")
+        .withColumn("exact", F.least(F.col(n_col), F.coalesce("n", F.lit(0)))).drop("n")
+        .withColumns({"open": F.col(n_col) - F.col("exact"), "block": block, "ord": F.concat("config_string", F.lit("#"))})
+    )
+    unused = (
+        stock.join(compliant.select("config_string").distinct(), "config_string", "left_semi")
+        .join(wanted.select("config_string", "exact"), "config_string", "left")
+        .groupBy(block.alias("block")).agg(F.sum(F.col("n") - F.coalesce("exact", F.lit(0))).alias("unused"))
+    )
+    turns = number_rows(wanted, ["block"], ["ord"], "_n", {"upto": "open"}).join(unused, "block", "left")
+    before = F.col("upto") - F.col("open")
+    close = F.least(F.greatest(F.coalesce("unused", F.lit(0)) - before, F.lit(0)), F.col("open"))
+    return turns.withColumn("covered", F.col("exact") + close).select(*planned.columns, "covered")

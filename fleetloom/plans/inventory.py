@@ -12,7 +12,6 @@ from fleetloom.functions.config_key import (
 from fleetloom.operators import allocate as A
 from fleetloom.operators import supply_demand as SD
 from fleetloom.operators.joins import enrich, small
-from fleetloom.operators.ordered import number_rows
 from fleetloom.operators.pairing import exact_match
 from fleetloom.operators.similar import similar_match
 from fleetloom.plans import params as P
@@ -226,23 +225,17 @@ def freeze_instructions(spark: SparkSession, root: str) -> DataFrame:
 def freeze_summary(spark: SparkSession, root: str) -> DataFrame:
     """Units with a vehicle, exact or similar, per model and configuration, most first.
 
-    Demands of a model year take similar vehicles in order, and any vehicle will do when no
-    better one is left: the first as many as there are unused vehicles get one. Which one does
-    not matter for the count.
+    Which vehicle a unit gets does not matter for the count, so configurations are counted and no unit
+    is paired.
     """
-    exact = materialize(_exact(spark, root))
-    year = F.split_part("config_string", F.lit("_"), F.lit(1)).alias("block")
-    unused = _unused(spark, root, exact).groupBy(year).agg(F.count(F.lit(1)).alias("unused"))
-    wanting = exact.filter("supply_id is null").select("id", "ord", "config_string", "model_powertrain", year)
-    turns = number_rows(wanting, ["block"], ["ord", "id"], "turn").join(unused, "block", "left")
-    taken = turns.withColumn("supply_id", F.when(F.col("turn") <= F.col("unused"), F.lit("similar")))
-    columns = ["id", "supply_id", "config_string", "model_powertrain"]
-    every = exact.filter("supply_id is not null").select(*columns).unionByName(taken.select(*columns))
+    stock = liquid_vehicles(spark, root).groupBy("config_string").agg(F.count(F.lit(1)).alias("n"))
+    items = D.item_master(spark, root).filter("is_inventory_policy_eligible = 1")
+    year = F.split_part("config_string", F.lit("_"), F.lit(1))
+    planned = _allocated(spark, root).select("config_string", "model_powertrain", "added_volume")
+    counted = A.covered_counts(planned, materialize(stock), items, year)
     return (
-        _instruction(every, None)
-        .filter("model_powertrain is not null and configuration_string is not null")
-        .groupBy("model_powertrain", F.col("configuration_string").alias("config_string"))
-        .agg(F.count("vehicle_id").alias("vehicle_id_count"))
+        counted.filter("model_powertrain is not null and config_string is not null")
+        .select("model_powertrain", "config_string", F.col("covered").alias("vehicle_id_count"))
         .orderBy(F.desc("model_powertrain"), F.desc("vehicle_id_count"))
     )
 
