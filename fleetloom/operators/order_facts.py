@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetloom.operators.ordered import first_per_key
+
 # Forecast versions from the most to the least complete year.
 VERSION_ORDER = ("12+0", "9+3", "6+6", "3+9", "0+12")
 GRAINS = ("week", "month", "quarter")
@@ -31,16 +33,23 @@ def version_ranking(revenue: DataFrame) -> DataFrame:
     )
 
 
+def packed_version() -> Column:
+    """The version order as one number, the smallest first: the year above the place of the version."""
+    known, year, place = version_order()
+    return F.when(~known, 0).otherwise(F.lit(1 << 40) + year.cast("long")) * 8 + place.cast("long")
+
+
 def latest_version(revenue: DataFrame, key: str = "oms_order_id", tie: str = "row_id") -> DataFrame:
     """The row of the best version per order (ties: the lowest ``tie``).
 
-    The version order is compared inside a partial aggregate: neither a join with the ranking
-    nor a window over all rows of an order is needed.
+    The version order is one long, so its minimum per order is a hash aggregate that tasks combine before
+    they send; rows meet it in a join on the order, and only equal versions of one order are compared
+    by ``tie``.
     """
-    rest = [c for c in revenue.columns if c != key]
-    rank = F.struct(*version_order(), F.col(tie))
-    best = revenue.groupBy(key).agg(F.min_by(F.struct(*rest), rank).alias("row"))
-    return best.select(key, "row.*")
+    ranked = revenue.withColumn("_rank", packed_version())
+    best = ranked.groupBy(key).agg(F.min("_rank").alias("_rank"))
+    left = ranked.join(best.select(F.col(key).alias("_key"), F.col("_rank").alias("_best")), (F.col(key).eqNullSafe(F.col("_key"))) & (F.col("_rank") == F.col("_best")))
+    return first_per_key(left.select(*revenue.columns), [key], [tie])
 
 
 MONEY = ("revenue", "base_price", "referral_discount", "price_adjustments", "lease_down_payment_credit",

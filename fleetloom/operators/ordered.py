@@ -72,9 +72,7 @@ def _number_ranges(
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the first in ``order`` (NULLs first). A partial aggregate, so a key
-    that holds much of the table is reduced before the shuffle."""
-    rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(*[F.struct(F.col(o).isNotNull(), F.col(o)) for o in order])
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), rank).alias("_row"))
-    return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+    """One row per key, the first in ``order`` (NULLs first). Each task keeps its own first row of a key
+    before rows are sent (the planner's group limit), so a key that holds much of the table stays small."""
+    first = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_first(o) for o in order])
+    return df.withColumn("_place", F.row_number().over(first)).filter("_place = 1").select(*df.columns)
