@@ -9,8 +9,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import combinations
 from math import exp, log, pi
+from statistics import NormalDist
 
 import numpy as np
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, Window
@@ -158,3 +160,136 @@ def mean_absolute_error(df: DataFrame, y: str, predicted: str, period: Column) -
     return df.groupBy(period.alias("period")).agg(
         F.avg(F.abs(F.col(y) - F.col(predicted))).alias("mae"), F.count(F.lit(1)).alias("n")
     )
+
+
+def rolling_backtest(df: DataFrame, time: str, y: str, x: str, min_train: int, horizon: int) -> DataFrame:
+    """Errors of y on x when only earlier periods are known: (origin, ahead, actual, predicted).
+
+    Every row is laid out to the origins that may train on it or that it tests (``horizon`` periods from
+    the origin on), and one aggregate per origin fits the line from its training rows. ``df`` has a row
+    per ``time``; an origin has at least ``min_train`` of them before it. Origins without a line (one
+    value of x) predict nothing.
+    """
+    known = df.select(time, F.col(y).cast("double").alias("_y"), F.col(x).cast("double").alias("_x")).dropna()
+    at = known.groupBy(time).agg(F.first("_y").alias("_y"), F.first("_x").alias("_x"))
+    # One row per period, so the global order is as small as the calendar.
+    placed = at.withColumn("_n", F.row_number().over(Window.orderBy(time)).cast("long"))
+    last = placed.agg(F.max("_n")).first()[0] or 0
+    laid = placed.filter(F.col("_n") < last).withColumn(
+        "origin", F.explode(F.filter(F.sequence(F.col("_n"), F.lit(last - 1)), lambda o: o >= min_train)))
+    fitted = laid.groupBy("origin").agg(F.regr_slope("_y", "_x").alias("_b"), F.regr_intercept("_y", "_x").alias("_a"))
+    tested = placed.filter(F.col("_n") > min_train).withColumn("ahead", F.explode(F.sequence(F.lit(1), F.lit(horizon)))).withColumn("origin", F.col("_n") - F.col("ahead"))
+    return tested.join(fitted.dropna(), "origin").select(
+        "origin", "ahead", F.col(time), F.col("_y").alias("actual"), (F.col("_a") + F.col("_b") * F.col("_x")).alias("predicted"))
+
+
+def error_drift(errors: DataFrame) -> DataFrame:
+    """Mean absolute and mean signed error by how far ahead the prediction is."""
+    e = F.col("actual") - F.col("predicted")
+    return errors.groupBy("ahead").agg(F.avg(F.abs(e)).alias("mae"), F.avg(e).alias("bias"), F.count(F.lit(1)).alias("n"))
+
+
+def prediction_interval(train: DataFrame, df: DataFrame, y: str, xs: Sequence[str], share: float = 0.95) -> DataFrame:
+    """``df`` with fitted, leverage, lower and upper of an OLS fit on ``train``.
+
+    One aggregate gives the cross products of (1, xs, y) around the means; the inverse of the k by k part
+    becomes an expression, so rows are scored where they are. The bounds hold a new observation with
+    probability ``share`` under the normal limit of the t distribution. NULL where the fit leaves no
+    degree of freedom or the predictors are collinear.
+    """
+    cols = [*xs, y]
+    known = train.dropna(subset=cols).select(*[F.col(c).cast("double").alias(c) for c in cols])
+    means = known.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols]).first()
+    n, k = means["n"], len(xs)
+    none = {c: F.lit(None).cast("double") for c in ("fitted", "leverage", "lower", "upper")}
+    if n <= k + 1:
+        return df.withColumns(none)
+    apart = {c: F.col(c) - F.lit(means[c]) for c in cols}
+    sums = known.agg(*[F.sum(apart[a] * apart[b]).alias(f"{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]).first()
+    cross = np.array([[sums[f"{min(i, j)}_{max(i, j)}"] for j in range(k + 1)] for i in range(k + 1)])
+    xx = cross[:k, :k]
+    scale = np.sqrt(np.diag(xx))
+    if not scale.all() or np.linalg.matrix_rank(xx / np.outer(scale, scale), tol=1e-9) < k:
+        return df.withColumns(none)
+    inverse = np.linalg.inv(xx / np.outer(scale, scale)) / np.outer(scale, scale)
+    slopes = inverse @ cross[:k, k]
+    variance = (cross[k, k] - slopes @ cross[:k, k]) / (n - k - 1)
+    moved = [F.col(c).cast("double") - F.lit(means[c]) for c in xs]
+    fitted = sum((F.lit(float(b)) * m for b, m in zip(slopes, moved)), F.lit(means[y]))
+    leverage = sum((F.lit(float(inverse[i, j])) * moved[i] * moved[j] for i in range(k) for j in range(k)), F.lit(1.0 / n))
+    z = NormalDist().inv_cdf((1 + share) / 2)
+    width = z * F.sqrt(F.lit(max(float(variance), 0.0)) * (1 + F.col("leverage")))
+    return df.withColumns({"fitted": fitted, "leverage": leverage}).withColumns({"lower": F.col("fitted") - width, "upper": F.col("fitted") + width})
+
+
+def two_stage(df: DataFrame, y: str, drivers: Mapping[str, Sequence[str]], xs: Sequence[str] = ()) -> PipelineModel:
+    """Driver models that feed a main model, as one fitted pipeline.
+
+    Every driver is regressed on its own predictors; y is then regressed on the fitted drivers
+    (``<driver>_fitted``) and ``xs``. Where only the drivers' predictors are known, as in a plan, the pipeline
+    still gives ``fitted``. Rows that lack any input are left out of the fit.
+    """
+    inputs = sorted({y, *xs, *drivers, *(c for own in drivers.values() for c in own)})
+    known = df.dropna(subset=inputs).select("*", *[F.col(c).cast("double").alias(f"_{c}") for c in (y, *drivers)])
+    stages = []
+    for driver, own in drivers.items():
+        stages += [
+            VectorAssembler(inputCols=list(own), outputCol=f"_{driver}_features", handleInvalid="skip"),
+            LinearRegression(featuresCol=f"_{driver}_features", labelCol=f"_{driver}", predictionCol=f"{driver}_fitted", solver="normal"),
+        ]
+    stages += [
+        VectorAssembler(inputCols=[*(f"{d}_fitted" for d in drivers), *xs], outputCol="_main_features", handleInvalid="skip"),
+        LinearRegression(featuresCol="_main_features", labelCol=f"_{y}", predictionCol="fitted", solver="normal"),
+    ]
+    return Pipeline(stages=stages).fit(known)
+
+
+def _correlations(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
+    pairs = list(combinations(range(len(cols)), 2))
+    found = df.agg(*[F.corr(cols[i], cols[j]).alias(f"{i}_{j}") for i, j in pairs]).first()
+    r = np.eye(len(cols))
+    for i, j in pairs:
+        r[i, j] = r[j, i] = found[f"{i}_{j}"] if found[f"{i}_{j}"] is not None else 0.0
+    return r
+
+
+def stepwise(df: DataFrame, y: str, xs: Sequence[str], enter: float = 0.05, leave: float = 0.1, both: bool = True) -> DataFrame | None:
+    """The regression table after forward (``both``: two-way) selection; None if no predictor enters.
+
+    One aggregate gives all correlations. The next candidate is the predictor with the largest partial
+    correlation with y, given those chosen; it enters if its p is below ``enter`` in the fit. With ``both``,
+    chosen ones whose p is ``leave`` or more go, the worst first. Ties go to the earlier name.
+    """
+    if enter > leave:
+        raise ValueError("a predictor that may enter must be allowed to stay: enter <= leave")
+    cols = [y, *xs]
+    known = df.dropna(subset=cols).select(*[F.col(c).cast("double").alias(c) for c in cols])
+    r = _correlations(known, cols)
+    place = {c: i for i, c in enumerate(cols)}
+    chosen: list[str] = []
+    table, seen = None, set()
+
+    def partial(c: str) -> float:
+        at = [0, place[c], *(place[x] for x in chosen)]
+        p = np.linalg.pinv(r[np.ix_(at, at)])
+        return abs(p[0, 1]) / (p[0, 0] * p[1, 1]) ** 0.5 if p[0, 0] > 0 and p[1, 1] > 0 else 0.0
+
+    def p_values(t: DataFrame) -> dict[str, float]:
+        return {row["term"]: row["p_value"] for row in t.collect() if row["term"] != "const"}
+
+    while len(chosen) < len(xs):
+        best = max((c for c in xs if c not in chosen), key=partial)
+        trial = multiple_ols(known, y, [*chosen, best])
+        p = p_values(trial)
+        if not p[best] < enter or frozenset([*chosen, best]) in seen:
+            break
+        chosen, table = [*chosen, best], trial
+        seen.add(frozenset(chosen))
+        while both and len(chosen) > 1:
+            worst = max(chosen, key=lambda c: p[c])
+            if p[worst] < leave:
+                break
+            chosen = [c for c in chosen if c != worst]
+            table = multiple_ols(known, y, chosen)
+            p = p_values(table)
+    return table

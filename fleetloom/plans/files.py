@@ -39,11 +39,27 @@ def parameterised(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def repeated_run(spark: SparkSession, root: str) -> DataFrame:
+    """Forecast lines per day and model of two years, saved by year; the second year is saved first with
+    double numbers and then again, as a repeated run does."""
+    lines = D.forecast(spark, root).withColumn("order_year", F.year("order_date"))
+    yearly = lines.groupBy("order_year", "model_powertrain", "order_date").agg(F.count(F.lit(1)).alias("orders"))
+    path = f"{scratch_dir(spark).rstrip('/')}/fleetloom/{uuid.uuid4().hex}"
+    both = yearly.filter(F.col("order_year").isin(*RUN_YEARS))
+    T.save_partitions(both.withColumn("orders", F.when(F.col("order_year") == RUN_YEARS[1], 2 * F.col("orders")).otherwise(F.col("orders"))), path, ["order_year"])
+    T.save_partitions(yearly.filter(F.col("order_year") == RUN_YEARS[1]), path, ["order_year"])
+    return T.load_file(spark, path, schema=both.schema)
+
+
+RUN_YEARS = (1996, 1997)
 _DAILY = with_views("forecast", "select model_powertrain, order_date, count(*) as orders from forecast group by 1, 2")
 
 QUERIES = {
     "save_load_csv": (saved_csv, _DAILY),
     "save_load_orc": (saved_orc, _DAILY),
+    "save_repeated_run": (repeated_run, with_views("forecast", """
+select cast(year(order_date) as int) as order_year, model_powertrain, order_date, count(*) as orders from forecast
+where year(order_date) in (1996, 1997) group by all""")),
     "run_sql": (parameterised, with_views("forecast", """
 select model_powertrain, count(*) as orders, max(order_date) as last_day from forecast
 where model_powertrain in ('M1 LARGE', 'M2 SMALL') and order_date >= date '1995-01-01' group by 1""")),

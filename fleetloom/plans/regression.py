@@ -154,6 +154,31 @@ def backtest_mae(spark: SparkSession, root: str) -> DataFrame:
     return mae.withColumn("mae", F.round("mae", 5))
 
 
+def rolling_backtest(spark: SparkSession, root: str) -> DataFrame:
+    """How the error of the discount line grows with the months ahead."""
+    drift = M.error_drift(M.rolling_backtest(_input(spark, root), "order_month", Y, X, min_train=24, horizon=6))
+    return drift.select("ahead", "n", *[F.round(c, 4).alias(c) for c in ("mae", "bias")])
+
+
+def prediction_interval(spark: SparkSession, root: str) -> DataFrame:
+    df = _input(spark, root)
+    bounds = M.prediction_interval(df, df, Y, [X])
+    return bounds.select("order_month", *[F.round(c, 4).alias(c) for c in ("fitted", "leverage", "lower", "upper")])
+
+
+def two_stage_orders(spark: SparkSession, root: str) -> DataFrame:
+    """Leads follow from spend, orders from the leads that spend explains."""
+    df = _input(spark, root).dropna(subset=["total_spend", "total_leads", Y])
+    scored = M.two_stage(df, Y, {"total_leads": ["total_spend"]}).transform(df.withColumns({"_total_leads": F.lit(0.0), f"_{Y}": F.lit(0.0)}))
+    return scored.select("order_month", F.round("total_leads_fitted", 3).alias("leads_fitted"), F.round("fitted", 3).alias("fitted"))
+
+
+def stepwise_selection(spark: SparkSession, root: str) -> DataFrame:
+    df = _input(spark, root)
+    table = M.stepwise(df, Y, PREDICTORS, enter=0.15, leave=0.2)
+    return table if table is not None else M.multiple_ols(df, Y, PREDICTORS).limit(0)
+
+
 _PLACE = ("case when forecast_version is null then 0 when forecast_version = '12+0' then 1 when forecast_version = '9+3' then 2 "
           "when forecast_version = '6+6' then 3 when forecast_version = '3+9' then 4 when forecast_version = '0+12' then 5 else 6 end")
 _ORDER = f"(forecast_version_year is not null), forecast_version_year desc nulls last, {_PLACE}"
@@ -201,8 +226,8 @@ _STEPS = {
 }
 
 
-def _sql(body: str) -> str:
-    return with_views("revenue placed_orders marketing_daily", body, _STEPS)
+def _sql(body: str, more: dict[str, str] | None = None) -> str:
+    return with_views("revenue placed_orders marketing_daily", body, _STEPS | (more or {}))
 
 
 def _matrix_sql() -> str:
@@ -260,5 +285,24 @@ select forecast_version_rank, count(*) as n, count(r.forecast_version) as named
     "scenario_forecast": (scenario_forecast, _sql(f"""select order_month, round(1850.0 + 0.21 * {X} + 0.04 * prev
   + 500.0 * (case when month(order_month) in (10,11,12) then 1 else 0 end), 4)::double as predicted_orders
 from (select *, lag(total_spend) over (order by order_month) as prev from input) where prev is not null and total_spend is not null""")),
+    "rolling_backtest": (rolling_backtest, _sql(f"""
+select cast(ahead as int) as ahead, count(*) as n, round(avg(abs(e)), 4) as mae, round(avg(e), 4) as bias from (
+  select ahead, p.{Y} - (o.a + o.b * p.{X}) as e from placed p, (select unnest(generate_series(1, 6)) as ahead) h, origins o
+  where o.origin = p.k - ahead) group by 1""", {
+        "placed": f"select {X}::double as {X}, {Y}::double as {Y}, row_number() over (order by order_month) as k from input",
+        "origins": f"""select origin, regr_slope({Y}, {X}) as b, regr_intercept({Y}, {X}) as a from (
+  select unnest(generate_series(24, (select max(k) - 1 from placed))) as origin) join placed on k <= origin group by 1"""})),
+    "prediction_interval": (prediction_interval, _sql(f"""
+select order_month, round(fitted, 4) as fitted, round(h, 4) as leverage, round(fitted - w, 4) as lower, round(fitted + w, 4) as upper
+from (select *, 1.959963984540054::double * sqrt((1 - r2) * syy / (n - 2) * (1 + h)) as w from (
+  select order_month, a + b * {X} as fitted, 1.0::double / n + pow({X} - mx, 2) / sxx as h, r2, syy, n
+  from input, line, (select avg({X}) as mx from input)))""")),
+    "two_stage_orders": (two_stage_orders, _sql(f"""
+select order_month, round(l, 3) as leads_fitted, round(c + d * l, 3) as fitted from stage_one, (
+  select regr_slope({Y}, l) as d, regr_intercept({Y}, l) as c from stage_one)""", {
+        "known": f"select * from input where total_spend is not null and total_leads is not null and {Y} is not null",
+        "stage_one": f"""select order_month, {Y}, a1 + b1 * total_spend as l from known, (
+  select regr_slope(total_leads, total_spend) as b1, regr_intercept(total_leads, total_spend) as a1 from known)"""})),
+    "stepwise_selection": (stepwise_selection, None),
     "backtest_mae": (backtest_mae, _sql("select cast(year(order_month) as int) as period, round(avg(abs(e)),5) as mae, count(*) as n from res group by 1")),
 }

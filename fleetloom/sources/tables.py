@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 READERS = ("parquet", "csv", "json", "orc")
+# Tasks that write one partition of a table at most.
+SPREAD = 32
 
 
 def load_table(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
@@ -43,6 +45,20 @@ def save(
     writer.save(path)
 
 
+def save_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
+    """Write the partitions that ``df`` has and leave all others as they are.
+
+    A run that is repeated replaces what it wrote before, so a day written twice stands there once.
+    Rows are dealt by partition and a part of their hash, so that a task holds few open files and a
+    large day is written by several tasks.
+    """
+    if not partition_by:
+        raise ValueError("a repeatable write needs the columns that name a partition")
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD))
+    dealt = df.repartition(*[F.col(c) for c in partition_by], spread)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt).partitionBy(*partition_by).save(path)
+
+
 def inline_table(spark: SparkSession, rows: Sequence[Sequence[Any]], schema: str) -> DataFrame:
     """A few literal rows as a table (``schema`` in ``name type, …`` form), without a Python RDD."""
     fields = [f.strip().split(" ", 1) for f in schema.split(",")]
