@@ -17,10 +17,13 @@ def compliant(col: str = "inventory_policy_compliance") -> Column:
     return F.col(col) == L.COMPLIANT
 
 
-def in_scope(unmatched: Column, generation: str = "GEN-2") -> Column:
-    """Customer vehicles of the generation that exist and are not yet handed over."""
+def in_scope(unmatched: Column, generation: str = "GEN-2", models: Sequence[str] | None = None) -> Column:
+    """Customer vehicles of the generation, and of ``models`` if given, that exist and are not yet
+    handed over. An empty list of models leaves nothing."""
+    listed = F.lit(True) if models is None else F.col("model").isin(*models) if models else F.lit(False)
     return (
-        (F.col("vehicle_generation") == generation)
+        listed
+        & (F.col("vehicle_generation") == generation)
         & ~F.col("vehicle_status").isin("DECOMMISSIONED", "DELIVERED")
         & (F.col("vehicle_record_status") == "ACTIVE")
         & (F.col("vehicle_usage") == "CUSTOMER_DELIVERY")
@@ -36,13 +39,13 @@ def policy_flags(item_master: DataFrame) -> DataFrame:
 
 def dashboard_vehicles(
     vehicles: DataFrame, item_master: DataFrame, exclude_source: str, launch_source: str,
-    launch_builds: Sequence[str],
+    launch_builds: Sequence[str], models: Sequence[str] | None = None,
 ) -> DataFrame:
     """Unmatched vehicles in scope with stage, flags, region and compliance (NULL if unknown).
 
     A NULL source order is kept, unlike in the supply view.
     """
-    keep = in_scope(F.col("is_matched") == 0) & ~F.coalesce(
+    keep = in_scope(F.col("is_matched") == 0, models=models) & ~F.coalesce(
         "metadata_source_order", F.lit("missing")
     ).like(exclude_source)
     scoped = (
@@ -137,10 +140,12 @@ def compliance_table(df: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def field_vehicles(vehicles: DataFrame, item_master: DataFrame, missing_region: str | None = None) -> DataFrame:
+def field_vehicles(
+    vehicles: DataFrame, item_master: DataFrame, missing_region: str | None = None, models: Sequence[str] | None = None,
+) -> DataFrame:
     """Unmatched vehicles built or in progress in the field; unknown items are not compliant."""
     field = (
-        vehicles.filter(in_scope(F.col("match_status").isNull()))
+        vehicles.filter(in_scope(F.col("match_status").isNull(), models=models))
         .withColumn("production_zone", L.production_zone(L.DASHBOARD_ZONES))
         .filter(F.col("production_zone") == L.DASHBOARD_ZONES.built_field)
         .select(

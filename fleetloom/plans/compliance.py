@@ -93,6 +93,19 @@ def region_compliance(spark: SparkSession, root: str) -> DataFrame:
     return C.compliance_table(field, ["location_region"]).orderBy("location_region")
 
 
+def _field_of_one_model(spark: SparkSession, root: str, missing_region: str | None = None) -> DataFrame:
+    return C.field_vehicles(D.vehicles(spark, root, sites=True), D.item_master(spark, root), missing_region, ["M1"])
+
+
+def site_compliance_of_model(spark: SparkSession, root: str) -> DataFrame:
+    """Site compliance of the listed models only."""
+    return C.compliance_table(_field_of_one_model(spark, root), ["location_name", "location_id", "location_region"])
+
+
+def region_compliance_of_model(spark: SparkSession, root: str) -> DataFrame:
+    return C.compliance_table(_field_of_one_model(spark, root, "other"), ["location_region"]).orderBy("location_region")
+
+
 def _launch(df: DataFrame) -> DataFrame:
     return df.filter(
         L.launch_flag(P.LAUNCH_SOURCE, P.LAUNCH_BUILDS)
@@ -217,6 +230,10 @@ from base where production_zone = '3. Frozen/VINned' group by 1,2""")),
 from base group by 1,2,3""")),
     "site_compliance": (site_compliance, _sql(f"select location_name, location_id, region as location_region, {_TABLE} group by 1,2,3")),
     "region_compliance": (region_compliance, _sql(f"select coalesce(region,'other') as location_region, {_TABLE} group by 1")),
+    "site_compliance_of_model": (site_compliance_of_model, _sql(
+        f"select location_name, location_id, region as location_region, {_TABLE} where model = 'M1' group by 1,2,3")),
+    "region_compliance_of_model": (region_compliance_of_model, _sql(
+        f"select coalesce(region,'other') as location_region, {_TABLE} where model = 'M1' group by 1")),
     "launch_pivot_by_label": (launch_pivot_by_label, with_views("vehicles", _pivot_sql(
         f"(select *, {STORED_SQL} as production_zone from vehicles)", "1", "Already Built/ WIP", "Frozen/ VINned", "Firm",
         extra="vehicle_usage = 'CUSTOMER_DELIVERY' and wheels_id <> 'WHL-3'"))),
