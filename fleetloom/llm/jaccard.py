@@ -10,9 +10,10 @@ few parts more are used, so that as many empty ones can be left out.
 
 Equal part words meet in buckets. First each bucket links its members to its smallest one; sizes
 and sketches (1024 bits in the join, then about a bit per element) rule pairs out before the sets
-are compared exactly. Then members
-of a bucket that are still in different components are paired, so a large group of near copies
-costs its members and not its pairs, and no link between different components is lost.
+are compared exactly. Rounds with other pivots follow, one per bucket, as long as they merge
+components. Then members of a bucket that are still in different components are paired, so a large
+group of near copies costs its members and not its pairs, and no link between different components
+is lost.
 
 Equal sets are one node with a 64-bit hash of the set; counts of copies are narrow rows. A bucket
 that holds much of the corpus is split by the join (adaptive skew handling) and its size bounds
@@ -48,6 +49,9 @@ SPARE_SIGMAS = 2.2
 # Rows up to which a list of text hashes is broadcast; longer lists meet the texts in a shuffle.
 BROADCAST_ROWS = 1_000_000
 
+# Another round of pivots follows while the last one left at most this share of the open memberships.
+STILL_MERGING = 0.9
+
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -272,6 +276,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, n: int, percen
     return edges
 
 
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, sign, label) of the buckets whose members are in different components."""
+    labelled = members.join(labels, "node", "left").select("node", "sign", F.coalesce("label", "node").alias("label"))
+    several = labelled.groupBy("sign").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l != h")
+    return labelled.join(several.select("sign"), "sign", "left_semi")
+
+
 def link(df: DataFrame, n: int, percent: int) -> DataFrame:
     """``doc_id``, ``text_hash``, ``n_shingles``, ``node`` (hash of the set, null without words) and
     ``label`` (one node of its component) per row of ``df`` (doc_id, text)."""
@@ -295,27 +306,46 @@ def link(df: DataFrame, n: int, percent: int) -> DataFrame:
     edges = _verified(written(_nearer(pairs, known, percent)), docs, sets, n, percent)
     labels = components(edges)
 
-    # Members of a bucket in different components, each pair of them once.
-    labelled = known.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "n", "sketch")
-    members = buckets.join(labelled, "node")
-    open_signs = (
-        buckets.join(labelled.select("node", "label"), "node").groupBy("sign")
-        .agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l != h").select("sign")
-    )
-    members = members.join(open_signs, "sign", "left_semi")
+    # Members of the buckets that still hold several components meet other pivots, a pivot per bucket
+    # and round: a round costs its members, and groups that their smallest member does not reach merge.
+    checked, left = [pairs], written(_open(buckets.join(known.select("node"), "node"), labels))
+    before, now, turn = None, left.count(), 0
+    while now and (before is None or now <= STILL_MERGING * before):
+        turn += 1
+        pivots = left.groupBy("sign").agg(
+            F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(turn))).alias("p"))
+        stars = (
+            left.join(pivots, "sign").filter(F.col("p.label") != F.col("label"))
+            .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+        )
+        for old in checked:
+            stars = stars.join(old, ["a", "b"], "left_anti")
+        pairs = written(stars.join(one, "a").join(two, "b").filter(_near("x", "y", percent)).select("a", "b"))
+        checked.append(pairs)
+        edges = edges.union(_verified(written(_nearer(pairs, known, percent)), docs, sets, n, percent))
+        labels = components(edges)
+        old_left, left = left, written(_open(left.drop("label"), labels))
+        dropped(old_left)
+        before, now = now, left.count()
+
+    # What is left: members of a bucket in different components, each pair of them once.
+    members = left.join(known.select("node", "n", "sketch"), "node")
     x = members.select("sign", F.col("node").alias("a"), F.struct("label", "n", "sketch").alias("x"))
     y = members.select("sign", F.col("node").alias("b"), F.struct("label", "n", "sketch").alias("y"))
-    rest = written(
+    rest = (
         x.join(y, (x["sign"] == y["sign"]) & (F.col("a") < F.col("b")) & (F.col("x.label") != F.col("y.label")) & _near("x", "y", percent))
-        .select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+        .select("a", "b").distinct()
     )
+    for old in checked:
+        rest = rest.join(old, ["a", "b"], "left_anti")
+    rest = written(rest)
     more = _verified(written(_nearer(rest, known, percent)), docs, sets, n, percent)
     labels = components(edges.union(more))
     result = sets.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "node").join(labels, "node", "left").select(
         "doc_id", "text_hash", "n_shingles", "node", F.coalesce("label", "node").alias("label")
     )
     result = written(result)
-    dropped(sets, copies, buckets, known, pairs, rest)
+    dropped(sets, copies, buckets, known, left, rest, *checked)
     return result
 
 
