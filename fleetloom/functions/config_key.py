@@ -24,6 +24,8 @@ OPTION_PREFIXES = {
     "ACTBDG": "badging",
     "UTL": "utility",
 }
+# An instruction also names the camp speaker, which few keys hold.
+INSTRUCTION_PREFIXES = OPTION_PREFIXES | {"SPKR": "camp_speaker"}
 # Country code in the key → region code.
 REGION_CODES = {"US": "RGN-USA", "CA": "RGN-CAN"}
 # Wheel sets that come with the all-terrain package.

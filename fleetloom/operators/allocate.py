@@ -72,6 +72,48 @@ def allocate_units(state: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
+def apportion_units(weights: DataFrame, plan: DataFrame) -> DataFrame:
+    """Planned units split by take rate, in whole units that add up to the plan (largest remainder).
+
+    ``weights`` has config_string, model_powertrain and ``weight`` (a whole number, e.g. orders); its share
+    of the model's total is the take rate. A model without any weight is split evenly. Equal remainders go
+    to the lower configuration key.
+    """
+    weight = F.greatest(F.coalesce("weight", F.lit(0)), F.lit(0)).cast("decimal(19,0)")
+    shares = materialize(
+        weights.select("config_string", "model_powertrain", weight.alias("weight"))
+        .join(plan.filter(F.col("units") > 0), "model_powertrain")
+    )
+    totals = shares.groupBy("model_powertrain").agg(
+        F.sum("weight").cast("decimal(19,0)").alias("_total"), F.count(F.lit(1)).alias("_n"))
+    split = shares.join(totals, "model_powertrain").withColumns({
+        "_part": F.col("units").cast("decimal(18,0)") * F.when(F.col("_total") > 0, F.col("weight")).otherwise(F.lit(1).cast("decimal(19,0)")),
+        "_whole": F.when(F.col("_total") > 0, F.col("_total")).otherwise(F.col("_n").cast("decimal(19,0)")),
+    }).withColumns({"_sure": F.expr("_part div _whole"), "_rest": F.expr("-(_part % _whole)")})
+    ranked = number_rows(split, ["model_powertrain"], ["_rest", "config_string"], "_place")
+    left = split.groupBy("model_powertrain").agg((F.min("units") - F.sum("_sure")).alias("_left"))
+    added = F.col("_sure") + F.when(F.col("_place") <= F.col("_left"), 1).otherwise(0)
+    return ranked.join(left, "model_powertrain").select(
+        "config_string", "model_powertrain", F.col("weight").cast("long").alias("weight"), added.cast("long").alias("added_volume")
+    )
+
+
+def allocate_or_apportion(state: DataFrame, plan: DataFrame) -> DataFrame:
+    """Units per configuration: to the scarcest ones, or by take rate for models without any supply.
+
+    ``state`` has ``supply`` and ``demand`` besides what ``allocate_units`` needs.
+    """
+    stocked = materialize(
+        state.groupBy("model_powertrain").agg(F.coalesce(F.sum("supply"), F.lit(0)).alias("_s"))
+        .filter("_s > 0").select("model_powertrain")
+    )
+    filled = allocate_units(state, plan.join(stocked, "model_powertrain", "left_semi"))
+    rated = apportion_units(
+        state.withColumn("weight", F.col("demand")), plan.join(stocked, "model_powertrain", "left_anti"))
+    columns = ["config_string", "model_powertrain", "added_volume"]
+    return filled.select(*columns).unionByName(rated.select(*columns))
+
+
 def unplaced_units(state: DataFrame, plan: DataFrame) -> DataFrame:
     """Planned units of models without any configuration to put them on."""
     return plan.filter(F.col("units") > 0).join(

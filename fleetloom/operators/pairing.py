@@ -23,6 +23,12 @@ STEP_ORDER = (
     "powertrain_constant_ext_int_whl_grouped_accessories_agnostic",
     "powertrain_constant_ext_int_grouped_accessories_agnostic", "powertrain_constant",
 )
+# Steps that a run may add.
+OPTIONAL_STEPS = (
+    "dual_dualper_quad_agnostic", "battery_flexible", "battery_flex_ext_int_whl",
+    "battery_flex_ext_int_whl_aud_roof", "battery_flex_ext_int", "exterior_interior_wheels_agnostic",
+    "exterior_interior_agnostic", "exterior_agnostic", "battery_constant", "only_location_based",
+)
 # Attributes that the steps group or leave out.
 _ACCESSORIES = ("utility", "badging")
 _BODY = ("exterior", "interior", "wheels", "atp", "offroad", "roof", "audio", "utility", "badging")

@@ -21,12 +21,16 @@ def week_count(orders: DataFrame) -> DataFrame:
 
 def demand_history(
     orders: DataFrame, remap: DataFrame, items: DataFrame, plan: DataFrame, zips: DataFrame,
-    factory: str = FACTORY,
+    factory: str = FACTORY, flags_by: str = "successor",
 ) -> DataFrame:
     """Orders with successor configuration, compliance, class and field location.
 
-    Orders of the factory and of zips without a service centre drop out.
+    Orders of the factory and of zips without a service centre drop out. The location type is that of
+    the order's own ``location_name``. Flags and class are those of the successor, so orders without one
+    are not compliant and have no class; ``flags_by="either"`` takes the ordered configuration there.
     """
+    if flags_by not in ("successor", "either"):
+        raise ValueError(f"unknown flags_by {flags_by!r}")
     attributes = [c for c in CONFIG_PARTS]
     new = remap.select(
         "config_string_original", "mapped_config_string",
@@ -34,7 +38,8 @@ def demand_history(
     )
     mapped = enrich(orders, small(new), {"config_string": "config_string_original"}).withColumns(
         {c: F.coalesce(f"new_{c}", c) for c in attributes}
-        | {"mapped_config_string": F.coalesce("mapped_config_string", "config_string")}
+        | {"_flagged": F.col("mapped_config_string") if flags_by == "successor" else F.coalesce("mapped_config_string", "config_string"),
+           "mapped_config_string": F.coalesce("mapped_config_string", "config_string")}
     ).drop(*[f"new_{c}" for c in attributes])
     located = locate(mapped, zips, factory)
     flags = items.select(
@@ -44,11 +49,11 @@ def demand_history(
     plans = plan.select(
         "config_string", L.compliance_flag("is_product_plan_eligible", L.PLAN_COMPLIANT).alias("product_plan_compliance")
     )
-    flagged = enrich(located, small(flags), {"mapped_config_string": "config_string"})
-    flagged = enrich(flagged, small(plans), {"mapped_config_string": "config_string"})
+    flagged = enrich(located, small(flags), {"_flagged": "config_string"})
+    flagged = enrich(flagged, small(plans), {"_flagged": "config_string"}).drop("_flagged")
     return flagged.withColumns({
         c: F.coalesce(c, F.lit(L.NOT_COMPLIANT)) for c in ("inventory_policy_compliance", "product_plan_compliance")
-    } | {"order_week": F.trunc("order_date", "week"), "location_type": L.location_type("sc_name")})
+    } | {"order_week": F.trunc("order_date", "week"), "location_type": L.location_type("location_name")})
 
 
 def locate(orders: DataFrame, zips: DataFrame, factory: str = FACTORY) -> DataFrame:

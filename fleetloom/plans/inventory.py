@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetloom.functions import labels as L
 from fleetloom.functions.config_key import (
-    build_option_id, decode_config, encode_config, region_code, roll_model_year,
+    INSTRUCTION_PREFIXES, build_option_id, decode_config, encode_config, region_code, roll_model_year,
 )
 from fleetloom.operators import allocate as A
 from fleetloom.operators import supply_demand as SD
@@ -96,6 +96,19 @@ def allocate_units(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def apportion_units(spark: SparkSession, root: str) -> DataFrame:
+    """The plan split over each model's configurations by their share of its demand."""
+    state, plan = _state_and_plan(spark, root)
+    return A.apportion_units(state.withColumn("weight", F.col("demand")), plan)
+
+
+def allocate_or_apportion(spark: SparkSession, root: str) -> DataFrame:
+    """Stock of large powertrains counts as none here, so that both ways are taken."""
+    state, plan = _state_and_plan(spark, root)
+    no_stock = F.col("model_powertrain").like("% LARGE%")
+    return A.allocate_or_apportion(state.withColumn("supply", F.when(no_stock, 0).otherwise(F.col("supply"))), plan)
+
+
 def unplaced_units(spark: SparkSession, root: str) -> DataFrame:
     state, plan = _state_and_plan(spark, root)
     return A.unplaced_units(state.filter(~F.col("model_powertrain").like("M1 L%")), plan)
@@ -213,12 +226,12 @@ def freeze_instructions(spark: SparkSession, root: str) -> DataFrame:
         F.col("model").alias("build_model"), F.col("powertrain").alias("build_powertrain"),
         F.col("build_id").alias("build_option_id"), F.col("charging_port_id").alias("build_charger_id"),
     )
-    parts = {f"build_{k}": v for k, v in decode_config("configuration_string").items() if k != "model_year"}
+    parts = {f"build_{k}": v for k, v in decode_config("configuration_string", INSTRUCTION_PREFIXES).items() if k != "model_year"}
     return enrich(plan.withColumns(parts), build, {"vehicle_id": "vehicle_id"}).select(
         "id", F.col("vehicle_id"), "action", "configuration_string", "build_model_powertrain",
         "build_model", "build_powertrain", "build_country", "build_exterior", "build_interior",
         "build_wheels", "build_tonneau", "build_badging", "build_roof", "build_audio",
-        "build_utility", "build_software_upgrade_id", "build_option_id", "build_charger_id",
+        "build_utility", "build_camp_speaker", "build_software_upgrade_id", "build_option_id", "build_charger_id",
     )
 
 
@@ -295,6 +308,18 @@ _ALLOC = _STATE | {
   from state st join plan p on p.model_powertrain = st.model_powertrain
   left join taken t on t.config_string = st.config_string where p.units > 0""",
 }
+_RATED = _ALLOC | {
+    "quota": """select st.config_string, st.model_powertrain, st.demand, p.units,
+  cast(sum(st.demand) over (partition by st.model_powertrain) as bigint) as total, count(*) over (partition by st.model_powertrain) as n
+  from state st join plan p on p.model_powertrain = st.model_powertrain where p.units > 0""",
+    "quota2": """select *, case when total > 0 then units * demand else units end as part, case when total > 0 then total else n end as whole from quota""",
+    "quota3": """select *, units - sum(part // whole) over (partition by model_powertrain) as spare,
+  row_number() over (partition by model_powertrain order by part % whole desc, config_string) as place from quota2""",
+    "rated": """select config_string, model_powertrain, cast(demand as bigint) as weight,
+  cast(part // whole + case when place <= spare then 1 else 0 end as bigint) as added_volume from quota3""",
+    "bare": """select model_powertrain from state group by 1
+  having coalesce(sum(case when model_powertrain like '% LARGE%' then 0 else supply end), 0) = 0""",
+}
 _EXACT = _ALLOC | {
     "planned": """select config_string||'#'||unit as id, unit, config_string, model_powertrain
   from (select *, unnest(generate_series(1, added_volume)) as unit from allocated where added_volume > 0)""",
@@ -329,6 +354,10 @@ select config_string, model_powertrain, inventory_policy_compliance, supply, dem
         "select config_string, round(net_supply/velocity,6) as dos from state", _STATE)),
     "allocate_units": (allocate_units, _sql("""
 select config_string, model_powertrain, net_supply, added_volume, new_net_supply, round(new_dos,6) as new_dos from allocated""", _ALLOC)),
+    "apportion_units": (apportion_units, _sql("select config_string, model_powertrain, weight, added_volume from rated", _RATED)),
+    "allocate_or_apportion": (allocate_or_apportion, _sql("""
+select config_string, model_powertrain, added_volume from allocated where model_powertrain not in (select * from bare)
+union all select config_string, model_powertrain, added_volume from rated where model_powertrain in (select * from bare)""", _RATED)),
     "unplaced_units": (unplaced_units, _sql("""
 select * from plan where units > 0 and model_powertrain not in (
   select model_powertrain from state where model_powertrain not like 'M1 L%')""", _STATE)),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,9 +68,9 @@ def other_generation(spark: SparkSession, root: str) -> DataFrame:
     return H.drop_generation(run, mapping, "GEN-2").select("oms_order_id", "items_vehicle_generation_id")
 
 
-def _cascade(spark: SparkSession, root: str, purpose: str) -> DataFrame:
+def _cascade(spark: SparkSession, root: str, purpose: str, order: Sequence[str] = G.STEP_ORDER) -> DataFrame:
     local = purpose in H.LOCAL_KEY_PURPOSES
-    steps = G.step_keys(local)
+    steps = G.step_keys(local, order)
     run = D.matching_run(spark, root)
     inputs = _inputs(spark, root, run)
 
@@ -87,6 +88,11 @@ def cascade_match(spark: SparkSession, root: str) -> DataFrame:
     return _cascade(spark, root, "anywhere_to_anywhere")
 
 
+def cascade_match_optional(spark: SparkSession, root: str) -> DataFrame:
+    """Exact matches, then the steps that are not part of the usual order."""
+    return _cascade(spark, root, "anywhere_to_anywhere", ("exact_matches", *G.OPTIONAL_STEPS))
+
+
 def cascade_match_local(spark: SparkSession, root: str) -> DataFrame:
     return _cascade(spark, root, "unmatched_configured_customers_local_sc")
 
@@ -253,8 +259,24 @@ def _groups_sql() -> str:
     return ", ".join(cols)
 
 
-def _cascade_sql(local: bool, demand: str, supply: str) -> str:
-    steps = G.step_keys(local)
+# Keys of the optional steps, written out.
+_OPTIONAL_KEYS = {
+    "exact_matches": "sku trim motor battery exterior interior wheels offroad atp tonneau build_country roof audio utility badging",
+    "dual_dualper_quad_agnostic": "sku trim battery exterior interior wheels offroad atp tonneau build_country roof audio utility badging agnostic_motor",
+    "battery_flexible": "sku trim motor exterior interior wheels offroad atp tonneau build_country roof audio utility badging",
+    "battery_flex_ext_int_whl": "sku trim motor exterior interior wheels tonneau build_country",
+    "battery_flex_ext_int_whl_aud_roof": "sku trim motor exterior interior wheels tonneau build_country roof audio",
+    "battery_flex_ext_int": "sku trim motor exterior interior tonneau build_country",
+    "exterior_interior_wheels_agnostic": "sku trim motor battery offroad atp tonneau build_country roof audio utility badging",
+    "exterior_interior_agnostic": "sku trim motor battery wheels offroad atp tonneau build_country roof audio utility badging",
+    "exterior_agnostic": "sku trim motor battery interior wheels offroad atp tonneau build_country roof audio utility badging",
+    "battery_constant": "sku battery tonneau build_country agnostic_motor exterior_agnostic_grouped interior_agnostic_grouped",
+    "only_location_based": "sku tonneau build_country exterior_agnostic_grouped interior_agnostic_grouped",
+}
+
+
+def _cascade_sql(local: bool, demand: str, supply: str, steps: Mapping[str, Sequence[str]] | None = None) -> str:
+    steps = steps or G.step_keys(local)
     ctes = {
         "pool": _POOL,
         "d0": f"select oms_order_id as id, *, {_groups_sql()} from ({demand})",
@@ -342,6 +364,8 @@ select delivery_location_name, count(unique_build_id) as builds from matching_ru
 select oms_order_id, case when build_batch <> 5 then items_vehicle_generation_id end as items_vehicle_generation_id
 from matching_run where items_vehicle_generation_id <> 'GEN-2' or build_batch = 5""")),
     "cascade_match": (cascade_match, _cascade_sql(False, _ANY, f"select * from pool where {_LOCAL}")),
+    "cascade_match_optional": (cascade_match_optional, _cascade_sql(
+        False, _ANY, f"select * from pool where {_LOCAL}", {step: keys.split() for step, keys in _OPTIONAL_KEYS.items()})),
     "cascade_match_local": (cascade_match_local, _cascade_sql(True, _LOCAL_DEMAND, _LOCAL_SUPPLY)),
     "nearest_config": (nearest, _near_sql(f"""select vehicle_id, cfg as config_string,
   coalesce(other, '{NO_CANDIDATE}') as best_match_config_string, score as best_match_score from near""")),

@@ -45,4 +45,12 @@ GROUPS = {
     "audio_agnostic": ("", {}),
     "offroad_agnostic": ("", {}),
     "atp_agnostic": ("", {}),
+    "agnostic_motor": ("motor", {"MOT-0": "dual", "MOT-1": "dual"}),
+    "total_trim_agnostic": ("", {}),
+    "total_motor_agnostic": ("", {}),
+    "total_battery_agnostic": ("", {}),
+    "total_exterior_agnostic": ("", {}),
+    "total_interior_agnostic": ("", {}),
+    "total_wheel_agnostic": ("", {}),
+    "roof_agnostic": ("", {}),
 }

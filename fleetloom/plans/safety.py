@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,11 +39,10 @@ def zip_codes(spark: SparkSession, root: str) -> DataFrame:
     return z.groupBy("zip").agg(F.count(F.lit(1)).alias("orders"))
 
 
-def demand_history(spark: SparkSession, root: str) -> DataFrame:
+def demand_history(spark: SparkSession, root: str, flags_by: str = "successor") -> DataFrame:
     items = materialize(D.item_master(spark, root))
     history = S.demand_history(
-        _orders(spark, root).withColumn("country", F.lit("US")), materialize(_remap(spark, root)),
-        items, items, D.zip_map(spark, root),
+        _orders(spark, root), materialize(_remap(spark, root)), items, items, D.zip_map(spark, root), flags_by=flags_by
     )
     return history.select(
         "order_id", "order_week", S.KEY, "sap_sc_code", "location_type", "sku_classification",
@@ -144,7 +145,8 @@ _STEPS = {
     "weeks": "select count(distinct date_trunc('week', order_date)) as num_of_weeks from open_orders",
     "history": f"""select o.order_id, o.order_date, cast(date_trunc('week', o.order_date) as date) as order_week,
   coalesce(r.mapped_config_string, o.config_string) as mapped, z.sap_sc_code, z.sc_name,
-  coalesce(r.mapped_config_string, o.config_string)||' | '||z.sc_name as {S.KEY}, 'US' as country,
+  coalesce(r.mapped_config_string, o.config_string)||' | '||z.sc_name as {S.KEY}, coalesce(r.country, o.country) as country,
+  r.mapped_config_string as successor, o.location_name,
   {', '.join(f'coalesce(r.{c}, o.{c}) as {c}' for c in _ATTRS)}
   from open_orders o left join remap r on o.config_string = r.config_string_original
   join zip_map z on z.customer_zip_code = {_ZIP.format('o.zip_code')} where z.sap_sc_code <> '8101'""",
@@ -179,15 +181,20 @@ def _sql(body: str) -> str:
     return with_views("order_lines zip_map item_master lanes service_levels", body, _STEPS)
 
 
+def _history_sql(flagged: str) -> str:
+    return _sql(f"""
+select h.order_id, order_week, {S.KEY}, sap_sc_code, case when location_name like '%Normal%' then 'Normal' else 'Field' end as location_type,
+  i.sku_classification, coalesce(i.compliance,'Not Compliant') as inventory_policy_compliance,
+  case when i.is_product_plan_eligible = 1 then 'Product Plan Compliant' else 'Not Compliant' end as product_plan_compliance,
+  {', '.join('h.' + c for c in CONFIG_PARTS)} from history h left join item_master i on i.config_string = {flagged}""")
+
+
 QUERIES = {
     "remap_config": (remap, _sql("select * from remap")),
     "open_order_counts": (open_order_counts, _sql("select model_year, country, count(*) as orders from open_orders group by 1,2")),
     "zip_codes": (zip_codes, _sql(f"select {_ZIP.format('zip_code')} as zip, count(*) as orders from order_lines group by 1")),
-    "demand_history": (demand_history, _sql(f"""
-select h.order_id, order_week, {S.KEY}, sap_sc_code, case when sc_name like '%Normal%' then 'Normal' else 'Field' end as location_type,
-  i.sku_classification, coalesce(i.compliance,'Not Compliant') as inventory_policy_compliance,
-  case when i.is_product_plan_eligible = 1 then 'Product Plan Compliant' else 'Not Compliant' end as product_plan_compliance,
-  {', '.join('h.' + c for c in CONFIG_PARTS)} from history h left join item_master i on i.config_string = h.mapped""")),
+    "demand_history": (demand_history, _history_sql("h.successor")),
+    "demand_history_either_key": (partial(demand_history, flags_by="either"), _history_sql("h.mapped")),
     "daily_orders": (daily_orders, _sql(f"select {S.KEY}, order_date, count(*) as num_orders_on_date from history group by 1,2")),
     "weekly_demand_view": (weekly_demand_view, _sql(f"""
 select {S.KEY}, order_week, x as weekly_orders, cast(sum(x) over (partition by {S.KEY}) as bigint) as total_orders, num_of_weeks,

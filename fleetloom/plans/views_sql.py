@@ -82,6 +82,7 @@ select {UNIT_ID} as order_id, cast(o_orderdate as date) as order_date,
   case when l_partkey % 17 = 1 then 1 else 0 end as is_cancelled,
   case when l_suppkey % 10 = 0 then 'CA' else 'US' end as country,
   lpad(cast(o_custkey % 100000 as varchar), 5, '0')||(case when o_custkey % 7 = 0 then '-1234' else '' end) as zip_code,
+  case when l_suppkey % 6 = 0 then 'Plant Normal' else 'Site '||(l_suppkey % 12) end as location_name,
   case when l_linenumber % 2 = 0 then '2025' else '2026' end as model_year,
   case when l_partkey % 53 = 1 then 'GEN-1' else 'GEN-2' end as vehicle_generation,
   model, powertrain, model_powertrain, paint_id, interior_id, wheels_id, audio_id, roof_id, tonneau_id,

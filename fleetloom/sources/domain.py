@@ -169,6 +169,7 @@ def order_lines(spark: SparkSession, root: str) -> DataFrame:
             "if(l_partkey % 17 = 1, 1, 0) as is_cancelled",
             "if(l_suppkey % 10 = 0, 'CA', 'US') as country",
             "lpad(o_custkey % 100000, 5, '0') || if(o_custkey % 7 = 0, '-1234', '') as zip_code",
+            "if(l_suppkey % 6 = 0, 'Plant Normal', 'Site ' || l_suppkey % 12) as location_name",
             f"{year} as model_year",
             "if(l_partkey % 53 = 1, 'GEN-1', 'GEN-2') as vehicle_generation",
             f"{year} || '_US_' || {OPTIONS_KEY} as config_string",
