@@ -34,6 +34,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +50,8 @@ SPARE_SIGMAS = 2.2
 # Rows up to which a list of text hashes is broadcast; longer lists meet the texts in a shuffle.
 BROADCAST_ROWS = 1_000_000
 
+# Bytes of text whose sets a task holds at a time, or one text.
+SLICE_BYTES = 1 << 21
 # Another round of pivots follows while the last one left at most this share of the open memberships.
 STILL_MERGING = 0.9
 
@@ -170,13 +173,23 @@ def folded(fine: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduce(fine.reshape(-1, SKETCH_WORDS), axis=0)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of rows with about ``SLICE_BYTES`` of text, or a single row beyond that."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        run = np.cumsum(sizes.astype(np.int64)) // SLICE_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(run)) + 1), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            yield batch.slice(int(a), int(b - a))
+
+
 def _sets(df: DataFrame, n: int, percent: int) -> DataFrame:
     """Per document: id, hash of the text, size and hash of its set, signatures and sketch."""
     kind = df.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, bands, longs = Cache(word_hash), Bands(percent), pa.list_(pa.int64())
-        for batch in batches:
+        for batch in _slices(batches, 2):
             sizes, nodes, signs, sketches, fine = [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 elements = shingles(words_of(text or ""), hashes, n)
@@ -207,7 +220,7 @@ def _elements(df: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Cache(word_hash)
-        for batch in batches:
+        for batch in _slices(batches, 0):
             found = [shingles(words_of(t), hashes, n) for t in batch.column(0).to_pylist()]
             nodes = [int.from_bytes(hashlib.blake2b(e.tobytes(), digest_size=8).digest(), "little", signed=True) for e in found]
             yield pa.RecordBatch.from_arrays(
