@@ -31,9 +31,9 @@ def load(json_text: str):
 
 
 class Cache(dict):
-    """``cache[piece]``: computed on first use by ``make``."""
+    """``cache[piece]``: computed on first use by ``make``, or for many pieces at once by ``fill``."""
 
-    def __init__(self, make, entries: int = CACHE_ENTRIES):
+    def __init__(self, make=None, entries: int = CACHE_ENTRIES):
         super().__init__()
         self.make, self.entries, self.old = make, entries, {}
 
@@ -47,6 +47,21 @@ class Cache(dict):
         self[piece] = value
         return value
 
+    def fill(self, wanted: set, make_all) -> None:
+        """Hold all of ``wanted``; ``make_all`` turns the list of unknown ones into their values."""
+        new = wanted - self.keys()
+        if len(self) + len(new) > self.entries:
+            self.old = dict(self)
+            self.clear()
+            new = wanted
+        if self.old:
+            known = new & self.old.keys()
+            self.update((k, self.old[k]) for k in known)
+            new -= known
+        if new:
+            unknown = list(new)
+            self.update(zip(unknown, make_all(unknown)))
+
 
 def byte_letters(tokenizer) -> dict[int, str]:
     """How byte-level vocabularies write the first 256 characters, for ``str.translate``."""
@@ -54,3 +69,19 @@ def byte_letters(tokenizer) -> dict[int, str]:
 
     write = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
     return {code: write(chr(code))[0][0] for code in range(256)}
+
+
+def piece_merger(tokenizer):
+    """A tokenizer that merges pieces set between blanks, for vocabularies that mark the last token of a
+    piece by a suffix, and for each id whether it has that suffix."""
+    import numpy as np
+    from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
+
+    suffix, ids = tokenizer.model.end_of_word_suffix, tokenizer.get_vocab()
+    assert suffix and all(c in ids and c + suffix in ids for c in ByteLevel.alphabet())
+    merger = Tokenizer(tokenizer.model)
+    merger.pre_tokenizer = CharDelimiterSplit(" ")
+    ends = np.zeros(max(ids.values()) + 1, bool)
+    ends[[i for token, i in ids.items() if token.endswith(suffix)]] = True
+    return merger, ends
