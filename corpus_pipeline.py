@@ -20,7 +20,7 @@ SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a rule rejects go; null and empty texts are rejected."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang")
     return quality_rules.judge(rows).filter("kept").select("_row.*")
 
 
