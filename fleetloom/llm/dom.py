@@ -12,20 +12,29 @@ TEXT_BLOCKS = frozenset(
     "p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote figure figcaption address table thead tbody tfoot "
     "tr td th caption hr hgroup summary".split()
 )
+ARTICLES = frozenset("article main".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Elements whose content is no text of the page.
 UNSEEN = frozenset("script style noscript template textarea select button svg iframe object title datalist canvas audio video".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
-# Containers nested deeper than this are read as text blocks of the one around them.
+# Containers nested deeper than this are read as text blocks of the one around them; what is marked as
+# surrounding an article is left out at any depth.
 MAX_DEPTH = 100
-# Containers, and words in class, id or role, that mark what surrounds an article.
-AROUND = frozenset("nav header footer aside form dialog menu".split())
+# Containers, and words in class, id or role, that mark what surrounds an article. A name that is such a
+# word (``comments``) marks for sure, one that only holds it (``no-comments``, ``with-sidebar``) does not, nor does
+# a form, which may enclose a whole page.
+AROUND = frozenset("nav header footer aside dialog menu".split())
 AROUND_WORDS = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices pagination "
     "popup promo promoted related share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 
+NONE, PERHAPS, SURE = range(3)
+# Without any article, a mark that is not sure counts unless the unmarked text is less than this share of
+# the text so marked.
+UNMARKED_SHARE = 0.1
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(>|\Z)",
@@ -42,18 +51,83 @@ class Node:
     around: bool
     children: list[Node] = field(default_factory=list)
     id: int = -1
+    mark: int = NONE
+    size: int = 0  # characters of its own blocks
 
     def text(self) -> str:
         inner = ",".join(c.text() for c in self.children)
         return f"{self.label}{'!' if self.around else ''}({inner})"
 
 
-def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    found = _ATTRIBUTE.findall(attributes) if attributes else ()
-    names = [w for _, v in found for w in _LETTERS.findall(v.lower())]
-    around = tag in AROUND or (tag != "body" and any(w in AROUND_WORDS for w in names))
-    first = next((_LETTERS.findall(v.lower()) for k, v in found if k.lower() == "class"), [])
-    return tag + ("." + first[0] if first else ""), around
+def _label(tag: str, attributes: str) -> tuple[str, int]:
+    found = [(k.lower(), v.strip("\"'").lower()) for k, v in _ATTRIBUTE.findall(attributes)] if attributes else ()
+    names = [w for _, v in found for w in v.split()]
+    if tag in AROUND or (tag not in ARTICLES and any(w in AROUND_WORDS for w in names)):
+        mark = SURE
+    elif tag == "form" or any(w in AROUND_WORDS for name in names for w in _LETTERS.findall(name)):
+        mark = PERHAPS
+    else:
+        mark = NONE
+    first = next((_LETTERS.findall(v) for k, v in found if k == "class"), [])
+    return tag + ("." + first[0] if first else ""), mark
+
+
+def is_article(node: Node) -> bool:
+    return node.label.split(".")[0] in ARTICLES
+
+
+def _settle(root: Node) -> None:
+    """Decide which marks count: all that are sure, and of the others those that do not enclose the
+    article (an element that says so and is longer than all unmarked text), or, without one, nearly all
+    of the text."""
+    # (length, path) of the longest article or main element outside of sure marks: in plain containers, in
+    # doubtful ones, marked itself.
+    best: dict[int, tuple[int, list[Node]]] = {}
+
+    def walk(node: Node, path: list[Node], doubtful: bool) -> int:
+        """Visible characters in ``node``; sets marks aside that are not sure."""
+        node.around = node.mark != NONE
+        if node.mark == SURE:
+            return 0
+        path = [*path, node]
+        length = node.size + sum(walk(c, path, doubtful or node.around) for c in node.children)
+        if is_article(node) and length:
+            # A page's own article in plain containers leaves all marks as they are.
+            kind = 0 if not doubtful and not node.around else 1 if not node.around else 2
+            if kind not in best or length > best[kind][0]:
+                best[kind] = (length, path)
+        return length
+
+    walk(root, [], False)
+    if 0 in best:
+        return
+
+    def visible(node: Node, marked: list[tuple[int, Node]]) -> int:
+        """Unmarked characters; the outermost doubtful containers with theirs go into ``marked``."""
+        if node.mark == SURE:
+            return 0
+        if node.around:
+            marked.append((_length(node), node))
+            return 0
+        return node.size + sum(visible(c, marked) for c in node.children)
+
+    if best:
+        length, path = best[min(best)]
+        if visible(root, []) < length:
+            for node in path:
+                node.around = False
+            return
+    while True:
+        marked: list[tuple[int, Node]] = []
+        plain = visible(root, marked)
+        length, node = max(marked, key=lambda m: m[0], default=(0, None))
+        if not length or plain >= UNMARKED_SHARE * sum(n for n, _ in marked):
+            return
+        node.around = False
+
+
+def _length(node: Node) -> int:
+    return 0 if node.mark == SURE else node.size + sum(map(_length, node.children))
 
 
 def read(page: str) -> tuple[str, list[tuple[int, str]]]:
@@ -64,22 +138,31 @@ def read(page: str) -> tuple[str, list[tuple[int, str]]]:
     stack: list[tuple[str, Node | None]] = [("body", root)]  # open elements; containers with their node
     blocks: list[tuple[Node, str]] = []
     parts: list[str] = []
-    here, unseen, around, depth = root, 0, 0, 0
+    here, unseen, depth = root, 0, 0
 
     def close_block() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
-            if text and not unseen and not around:
+            if text and not unseen:
                 blocks.append((here, text))
+                here.size += len(text)
+
+    def enter(tag: str, label: str, mark: int) -> None:
+        nonlocal here, depth
+        node = Node(label, False, mark=mark)
+        if depth < MAX_DEPTH:
+            here.children.append(node)  # a deeper one has no place in the tree, so its text goes
+        stack.append((tag, node))
+        here = node
+        depth += 1
 
     def pop(i: int) -> None:
-        nonlocal here, unseen, around, depth
+        nonlocal here, unseen, depth
         for tag, node in reversed(stack[i:]):
             if tag in UNSEEN:
                 unseen -= 1
             if node is not None:
-                around -= node.around
                 depth -= 1
         del stack[i:]
         here = next(n for _, n in reversed(stack) if n is not None)
@@ -90,7 +173,7 @@ def read(page: str) -> tuple[str, list[tuple[int, str]]]:
         if m is None:
             parts.append(page[at:])
             break
-        if m.start() > at and not unseen and not around:
+        if m.start() > at and not unseen:
             parts.append(page[at:m.start()])
         at = m.end()
         tag = m.group(2)
@@ -130,34 +213,37 @@ def read(page: str) -> tuple[str, list[tuple[int, str]]]:
                     break
         if tag in VOID or m.group(3).endswith("/"):
             continue
-        if tag in CONTAINERS and depth < MAX_DEPTH:
-            depth += 1
-            label, is_around = _label(tag, m.group(3))
-            node = Node(label, is_around)
-            here.children.append(node)
-            stack.append((tag, node))
-            here = node
-            around += is_around
-        elif tag in UNSEEN:
+        if tag in UNSEEN:
             close_block()
             stack.append((tag, None))
             unseen += 1
         elif tag in TEXT_BLOCKS or tag in CONTAINERS:
-            label, is_around = _label(tag, m.group(3))
-            if is_around and depth < MAX_DEPTH:  # a marked list or paragraph counts as a container of its own
-                node = Node(label, True)
-                here.children.append(node)
-                stack.append((tag, node))
-                here = node
-                depth += 1
-                around += 1
+            label, mark = _label(tag, m.group(3))
+            # A marked list or paragraph counts as a container of its own. Far down only sure marks count.
+            if mark == SURE or (depth < MAX_DEPTH and (mark or tag in CONTAINERS)):
+                enter(tag, label, mark)
             else:
                 stack.append((tag, None))
-        elif len(stack) < 500:
-            stack.append((tag, None))
     close_block()
+    _settle(root)
     skeleton = _numbered(root)
-    return skeleton, [(node.id, text) for node, text in blocks]
+    left_out = _inside_marks(root)
+    return skeleton, [(node.id, text) for node, text in blocks if node.id >= 0 and node.id not in left_out]
+
+
+def _inside_marks(root: Node) -> set[int]:
+    """Numbers of the containers that surround the article, with all in them."""
+    found: set[int] = set()
+
+    def walk(node: Node, inside: bool) -> None:
+        inside = inside or node.around
+        if inside:
+            found.add(node.id)
+        for c in node.children:
+            walk(c, inside)
+
+    walk(root, False)
+    return found
 
 
 def _numbered(root: Node) -> str:

@@ -7,7 +7,7 @@ the same is template, one whose text varies is content; where nothing varies, no
 The wrapper is the path from the root to the smallest container that holds most
 of the varying text; a page's main text are the blocks in it, without templates inside it and
 without containers that by their element or name surround an article (menus, adverts, forms,
-comments, …).
+comments, …). A name that only holds such a word counts unless the container encloses the article.
 
 Pages are counted per (host, tree) before anything is shuffled, so a host that holds a third of
 all pages is a few rows when trees are aligned; pages meet their wrapper in a join whose wrapper
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetloom.llm.common import written
-from fleetloom.llm.dom import Node, parse, read, tree_match
+from fleetloom.llm.dom import Node, is_article, parse, read, tree_match
 
 # A container is template if at least so many different pages have it, and this share of them
 # with the same text.
@@ -87,10 +87,6 @@ def parsed(pages: DataFrame, keys: Sequence[str], html: str = "html", url: str =
     return source.mapInArrow(run, schema)
 
 
-def _is_article(node: Node) -> bool:
-    return node.label.split(".")[0] in ("article", "main")
-
-
 def _root(tree: Node, size: dict[int, int], varies: dict[int, bool]) -> int:
     """The number of the smallest container that holds most of the text, varying text if there is any."""
     if not any(size.get(k, 0) for k, v in varies.items() if v):
@@ -103,11 +99,11 @@ def _root(tree: Node, size: dict[int, int], varies: dict[int, bool]) -> int:
         return own + sum(map(mass, node.children))
 
     node = tree
-    while not _is_article(node) or not mass(node):
+    while not is_article(node) or not mass(node):
         inside = max(node.children, key=mass, default=None)
         if inside is None or not mass(inside):
             break
-        if mass(inside) < (ARTICLE_SHARE if _is_article(inside) else DESCEND_SHARE) * mass(node):
+        if mass(inside) < (ARTICLE_SHARE if is_article(inside) else DESCEND_SHARE) * mass(node):
             break
         node = inside
     return node.id
