@@ -37,6 +37,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def spare(df: DataFrame) -> str:
+    """A prefix for helper columns that begins no column of ``df``."""
+    return "_" * (1 + max((len(c) - len(c.lstrip("_")) for c in df.columns), default=0))
+
+
 @contextmanager
 def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
     before = spark.conf.get(_CLEANUP, None)

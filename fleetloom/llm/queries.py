@@ -79,7 +79,7 @@ def op9_wrapper_induction(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, root: str) -> DataFrame:
-    judged = quality_rules.judge(documents(spark, root, "doc_id", "text"))
+    judged = quality_rules.judge(documents(spark, root, "doc_id", "text", "lang"))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept",
@@ -106,7 +106,9 @@ _STOP_SQL = """('the','of','and','to','in','is','that','it','was','for','on','wi
 
 OP10_SQL = rf"""
 with t as (
-  select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents
+  select row_number() over () as rid, doc_id, coalesce(text, '') as text,
+    coalesce(split_part(replace(lower(lang), '_', '-'), '-', 1) in ('en', 'de', 'fr', 'es'), false) as listed
+  from documents
 ), w as (
   select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as ws,
          [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as ls
@@ -120,7 +122,7 @@ with t as (
   select rid, cast(sum(least(8, coalesce(nxt - i, 8))) as bigint) as n
   from (select rid, i, lead(i) over (partition by rid order by i) as nxt from repeated) group by rid
 ), m as (
-  select doc_id, cast(len(ws) as bigint) as n_words,
+  select doc_id, listed, cast(len(ws) as bigint) as n_words,
     cast(length(array_to_string(ws, '')) as bigint) as word_chars,
     cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
     cast(len(ls) as bigint) as n_lines,
@@ -133,8 +135,8 @@ with t as (
   select *, (n_words < 20 or 100 * n_repeat_words > 30 * n_words) as base_failed from m
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  (not base_failed and n_words <= 10000000 and word_chars >= 2.0 * n_words and word_chars <= 14.0 * n_words
-   and 4 * n_symbols <= n_words and (n_words < 50 or n_stop >= 0.04 * n_words)
+  (not base_failed and (not listed or word_chars >= 2.0 * n_words and word_chars <= 14.0 * n_words)
+   and 4 * n_symbols <= n_words and (not listed or n_words < 50 or n_stop >= 0.04 * n_words)
    and n_dup_lines <= 0.6 * n_lines) as kept
 from b
 """

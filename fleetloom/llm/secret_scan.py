@@ -28,7 +28,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetloom.llm.common import let, words, written
+from fleetloom.llm.common import let, spare, words, written
 
 TRAINING_ROWS = 20_000
 TREES, DEPTH, SEED = 40, 6, 7
@@ -171,22 +171,23 @@ def redacted(
     Only texts with a candidate meet the findings in a join. Rows are matched by id and text, so
     null and repeated ids do no harm.
     """
-    source = F.col(f"`{text}`")
+    source, helper = F.col(f"`{text}`"), spare(df)
+    place, values = f"{helper}row", f"{helper}secrets"
     marked = F.coalesce(source.rlike(CANDIDATE), F.lit(False))
     row = F.sha2(F.concat_ws("|", F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")), source), 256)
-    suspects = df.filter(marked).withColumn("_row", row)
+    suspects = df.filter(marked).withColumn(place, row)
     secrets = (
-        scan(suspects, ("_row",), text, path, labelled).filter("is_secret")
+        scan(suspects, (place,), text, path, labelled).filter("is_secret")
         # At most the words of one text.
-        .groupBy("_row").agg(F.array_distinct(F.collect_list("value")).alias("_secrets"))
+        .groupBy(place).agg(F.array_distinct(F.collect_list("value")).alias(values))
     )
     # Longer values first, so that no value is cut by one that is part of it.
     ordered = F.array_sort(
-        F.coalesce("_secrets", F.array().cast("array<string>")),
+        F.coalesce(values, F.array().cast("array<string>")),
         lambda a, b: F.when(F.char_length(a) > F.char_length(b), -1).when(F.char_length(a) < F.char_length(b), 1)
         .when(a < b, -1).when(a > b, 1).otherwise(0),
     )
-    cleaned = suspects.join(secrets, "_row", "left").withColumn(
+    cleaned = suspects.join(secrets, place, "left").withColumn(
         text, F.aggregate(ordered, source, lambda t, s: F.replace(t, s, F.lit(mark)))
     ).select(*[F.col(f"`{c}`") for c in df.columns])
     return df.filter(~marked).unionByName(cleaned)

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetloom.llm.common import dropped, written
+from fleetloom.llm.common import dropped, spare, written
 from fleetloom.session import shuffle_partitions
 from fleetloom.sources.tables import inline_table
 
@@ -151,14 +151,16 @@ def shard(
     below = [0, *(b.rows for b in found)]
     first = [below[i // per_shard * per_shard] for i in range(n)]
     splitters = [b.key for b in found if b.key is not None]
-    in_range = Window.partitionBy("_range").orderBy("_key", *order)
+    mark = spare(df)
+    place, span, at = f"{mark}key", f"{mark}range", f"{mark}at"
+    in_range = Window.partitionBy(span).orderBy(place, *order)
     return (
-        df.drop("shard", "slot").withColumn("_key", key)
-        .withColumn("_range", _count_at_or_below(splitters, F.col("_key")).cast("long"))
-        .withColumn("_at", F.count(F.lit(1)).over(in_range.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+        df.drop("shard", "slot").withColumn(place, key)
+        .withColumn(span, _count_at_or_below(splitters, F.col(place)).cast("long"))
+        .withColumn(at, F.count(F.lit(1)).over(in_range.rowsBetween(Window.unboundedPreceding, 0)) - 1)
         .withColumns({
-            "shard": F.floor(F.col("_range") / per_shard).cast("int"),
-            "slot": F.col("_at") + F.get(_array([b - f for b, f in zip(below, first)]), F.col("_range").cast("int")),
+            "shard": F.floor(F.col(span) / per_shard).cast("int"),
+            "slot": F.col(at) + F.get(_array([b - f for b, f in zip(below, first)]), F.col(span).cast("int")),
         })
-        .drop("_key", "_range", "_at")
+        .drop(place, span, at)
     )

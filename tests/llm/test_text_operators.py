@@ -90,6 +90,29 @@ def test_quality_counts(docs, rows, none):
     assert quality_rules.judge(none).count() == 0
 
 
+def test_quality_rules_by_language(spark):
+    body = " ".join(f"слово{i}" for i in range(60))
+    long_words = " ".join("вода" * 4 + str(i) for i in range(30))
+    source = [(1, body, "ru", "s", 0), (2, body, "en", "s", 0), (3, body, "de_AT", "s", 0), (4, body, None, "s", 0),
+              (5, long_words, "zh", "s", 0), (6, long_words, "en-US", "s", 0)]
+    df = spark.createDataFrame(source, SCHEMA).withColumns({c: F.lit("x") for c in ("_words", "_lines", "_stop", "n_words")})
+    got = {r.doc_id: r for r in quality_rules.judge(df).collect()}
+    assert [i for i in got if got[i].kept] == [1, 4, 5]
+    assert got[2].failed_rules == got[3].failed_rules == ["stop_words"] and got[6].failed_rules == ["word_length"]
+    assert got[1]["_words"] == got[1]["_lines"] == got[1]["_stop"] == "x" and got[1].n_words == 60
+    assert all(r.kept for r in quality_rules.judge(df, lang=None).collect())
+
+
+def test_helper_columns_do_not_clash(spark):
+    source = [(i, f'api_key = "AKIA4Q7RZ2M8K1X9{i:04d}" word', "en", "s", 0) for i in range(40)]
+    df = spark.createDataFrame(source, SCHEMA).withColumns({c: F.lit(7) for c in ("_row", "_secrets", "_key", "_range", "_at")})
+    for got in (secret_scan.redacted(df, "doc_id", path="source"),
+                sharding.shard(df, 4, F.xxhash64("doc_id"), F.lit(1).cast("long"), ("doc_id",))):
+        rows = got.collect()
+        assert set(df.columns) <= set(got.columns) and len(rows) == 40
+        assert all(r["_row"] == r["_secrets"] == r["_key"] == r["_range"] == r["_at"] == 7 for r in rows)
+
+
 @tables
 @pytest.mark.parametrize("name", ["op10_quality_rules", "op5_parity_sketch_join", "op6_de_bruijn_dedup"])
 def test_query_equals_its_twin(spark, name):
@@ -465,6 +488,51 @@ def test_tree_match():
     assert size == 4 and (0, 0) in pairs and (4, 1) in pairs
 
 
+def plain_match(a, b):
+    """The largest order-keeping match, by trying every child with or without every other."""
+    if a.label != b.label or a.around != b.around:
+        return 0
+
+    def best(x, y):
+        if not x or not y:
+            return 0
+        inner = plain_match(x[0], y[0])
+        return max(best(x[1:], y), best(x, y[1:]), inner + best(x[1:], y[1:]) if inner else 0)
+
+    return 1 + best(a.children, b.children)
+
+
+def test_tree_matching_equals_brute_force():
+    rng = random.Random(17)
+
+    def tree(depth):
+        inner = ",".join(tree(depth - 1) for _ in range(rng.randrange(4))) if depth else ""
+        return f"{rng.choice(['div', 'div.a', 'nav!'])}({inner})"
+
+    for _ in range(300):
+        a, b = (dom.parse(f"body({tree(2)},{tree(2)})") for _ in range(2))
+        size, pairs = dom.tree_match(a, b)
+        assert size == plain_match(a, b) == len(set(pairs))
+
+
+def test_marks_that_enclose_the_article():
+    article = "<p>" + "The article itself. " * 20 + "</p>"
+    around = "<nav>MENU</nav>{}<div class=ads>Buy</div><footer>foot</footer>"
+    for page in (
+        '<main class="no-comments">{}</main>', '<div class="with-sidebar">{}</div>', '<div class="header-fixed">{}</div>',
+        '<article class="social-post">{}</article>', '<form id="page">{}</form>', '<article class="promoted">{}</article>',
+        '<div class="with-sidebar"><div class="sidebar">links</div><article>{}</article></div>',
+        '<div class="post">{}</div><section class="comment-list"><article class="comment-body">well said</article></section>',
+        '<article>{}</article><section class="comment-list"><article class="comment">well said</article></section>',
+    ):
+        for text in (page.format(article), around.format(page.format(article))):
+            assert [t for _, t in dom.read(f"<html><body>{text}</body></html>")[1]] == [("The article itself. " * 20).strip()]
+    for depth in (10, 120, 3000):
+        page = "<div>" * depth + "<nav>MENU HOME</nav>" + "<i>" * 700 + article + "<p>in i</p><div class=ads>Buy</div>" + "</div>" * depth
+        assert [t for _, t in dom.read(page + "<p>end</p>")[1]][1:] == ["in i", "end"]
+
+
+
 # Secrets
 
 def test_secrets(spark, none):
