@@ -18,6 +18,7 @@ ids and repeated ids are separate documents. Only the named key columns are retu
 from __future__ import annotations
 
 import re
+from array import array
 from collections import deque
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -29,14 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetloom.llm.tokens import Cache, byte_letters, content, load, piece_merger
+from fleetloom.llm.tokens import Cache, byte_letters, content, load
 
 SIZES = (256, 512, 1024, 2048)
 # A task packs what it holds at this many tokens or waiting pieces.
 BUFFER_TOKENS = 4_000_000
 BUFFER_PIECES = 100_000
-# Texts are tokenised in groups of about this many characters.
-GROUP_CHARACTERS = 1 << 20
 STEP_SEQUENCES = 16
 
 # White space that the library drops; the four separators \\x1c-\\x1f are none to it.
@@ -56,10 +55,9 @@ class Piece:
 
 
 # The vocabulary's own splitting rule, written out for the first 256 characters.
-_PIECES = (
+_PIECES = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºÀ-ÖØ-öø-ÿ]+|[0-9²³¹¼½¾]|[^\sa-zªµºÀ-ÖØ-öø-ÿ0-9²³¹¼½¾]+"
 )
-_PIECES_AND_BLANKS = re.compile(_PIECES + "| ")
 
 
 def _latin(text: str) -> bool:
@@ -71,79 +69,42 @@ def _latin(text: str) -> bool:
 
 
 class Encoder:
-    """Ids of texts whose vocabulary drops white space and case, word by word from a cache.
-
-    The new words of a group of texts are learnt together: those within the first 256 characters
-    are split here and their new pieces merged in one call, any other word goes through the whole
-    library."""
+    """Ids of a text whose vocabulary drops white space and case. A text within the first 256
+    characters is split here, and its pieces are merged once each and kept in a cache. Of other texts the
+    words come one by one from a cache; those beyond these characters go through the whole library."""
 
     def __init__(self, json_text: str):
         self.tokenizer = load(json_text)
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.code = np.dtype(self.kind).char
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.letters = {c: x for c, x in byte_letters(self.tokenizer).items() if c != ord(" ")}
-        self.merge, self.ends = piece_merger(self.tokenizer)
-        self.words, self.pieces = Cache(), Cache()
-
-    def _merged(self, pieces: list[str]) -> list[bytes]:
-        ids = np.asarray(self.merge.encode(" ".join(pieces).translate(self.letters), add_special_tokens=False).ids, self.kind)
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        assert len(ends) == len(pieces), "every piece ends with a token that says so"
-        data = ids.tobytes()
-        stops = (ends * ids.itemsize).tolist()
-        return [data[i:j] for i, j in zip([0, *stops], stops)]
-
-    def _learnt(self, words: list[str]) -> list[bytes]:
-        plain = words if _latin("".join(words)) else [w for w in words if _latin(w)]
-        if any(s in "".join(plain) for s in self.special):
-            plain = [w for w in plain if not any(s in w for s in self.special)]
-        known, found = {}, []
-        if plain:
-            pieces = _PIECES_AND_BLANKS.findall(" ".join(plain).lower())
-            self.pieces.fill(set(pieces) - {" "}, self._merged)
-            ids: list[bytes] = []
-            for p in pieces:
-                if p == " ":
-                    found.append(b"".join(ids))
-                    ids = []
-                else:
-                    ids.append(self.pieces[p])
-            found.append(b"".join(ids))
-            if len(plain) == len(words):
-                return found
-            known = dict(zip(plain, found))
-        return [known[w] if w in known else self._whole(w) for w in words]
+        self.letters, self.merge = byte_letters(self.tokenizer), self.tokenizer.model.tokenize
+        self.words, self.pieces = Cache(self._word), Cache(self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        return array(self.code, [t.id for t in self.merge(piece.translate(self.letters))]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        return b"".join(self._split(word)) if self._plain(word) else self._whole(word)
+
+    def _plain(self, text: str) -> bool:
+        return _latin(text) and not any(s in text for s in self.special)
+
+    def _split(self, text: str) -> list[bytes]:
+        return list(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def __call__(self, text: str, end: int) -> np.ndarray:
-        return self.many([text], end)[0]
-
-    def many(self, texts: Sequence[str], end: int) -> list[np.ndarray]:
-        words = [None if any(c in t for c in _SEPARATORS) else t.split() for t in texts]
-        self.words.fill(set().union(*[w for w in words if w]), self._learnt)
-        last = np.asarray([end], self.kind).tobytes()
-        found = []
-        for text, own in zip(texts, words):
-            parts = [self._whole(text)] if own is None else list(map(self.words.__getitem__, own))
-            parts.append(last)
-            found.append(np.frombuffer(b"".join(parts), self.kind))
-        return found
-
-
-def _groups(texts: list[str | None]) -> Iterator[list[str]]:
-    """Consecutive texts of about ``GROUP_CHARACTERS`` together, null as empty."""
-    group: list[str] = []
-    held = 0
-    for t in texts:
-        group.append(t or "")
-        held += len(group[-1])
-        if held >= GROUP_CHARACTERS:
-            yield group
-            group, held = [], 0
-    if group:
-        yield group
+        if any(c in text for c in _SEPARATORS):
+            parts = [self._whole(text)]
+        elif self._plain(text):
+            parts = self._split(text)
+        else:
+            parts = list(map(self.words.__getitem__, text.split()))
+        parts.append(np.asarray([end], self.kind).tobytes())
+        return np.frombuffer(b"".join(parts), self.kind)
 
 
 @dataclass
@@ -290,8 +251,8 @@ def pack(
                 arrow_types = [batch.schema.field(f"_k{i}").type for i in range(len(keys))] + [
                     pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             key_rows = zip(*[batch.column(f"_k{i}").to_pylist() for i in range(len(keys))])
-            encoded = (ids for group in _groups(batch.column("_text").to_pylist()) for ids in encoder.many(group, end_id))
-            for key, ids in zip(key_rows, encoded):
+            for key, t in zip(key_rows, batch.column("_text").to_pylist()):
+                ids = encoder(t or "", end_id)
                 held_keys[row] = (key, len(ids))
                 for window in packer.add(Piece(row, 0, ids)):
                     emit(window)
