@@ -216,12 +216,17 @@ def score(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Dat
     for block in _blocks(size):
         part = texts.filter(F.col("used").isin(block)) if len(block) < len(size) else texts
         # At most len(SYMBOLS) ** ORDER entries per language, MODEL_ROWS or one language per block.
-        sent = spark.sparkContext.broadcast(Model(probabilities.filter(F.col("lang").isin(block)).toArrow()))
+        # Only the rows are sent: an object of this package cannot be read where the package is not installed.
+        # A worker keeps the model built from them next to them, for its next task.
+        sent = spark.sparkContext.broadcast({"rows": probabilities.filter(F.col("lang").isin(block)).toArrow()})
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            held = sent.value
+            if "model" not in held:
+                held["model"] = Model(held["rows"])
             for batch in batches:
                 found = [
-                    sent.value.perplexity(lang, text) if text else None
+                    held["model"].perplexity(lang, text) if text else None
                     for lang, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
                 ]
                 yield pa.RecordBatch.from_arrays(

@@ -4,8 +4,11 @@ import hashlib
 import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -759,3 +762,22 @@ def test_registered_queries_carry_their_columns(spark):
     crc = queries.QUERIES["op1_histogram_shards"][0](spark, ROOT).filter("doc_id = 14").first()
     text = spark.read.parquet(f"{ROOT}/documents.parquet").filter("doc_id = 14").first().text.encode()
     assert crc.text_crc32 == zlib.crc32(text) and crc["size"] == len(text) + 1
+
+
+@tables
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """Queries whose tasks run Python, from a folder and with a path that do not show workers the package."""
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).parents[2])!r})
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "4").config("spark.checkpoint.dir", {str(tmp_path / "scratch")!r}).getOrCreate())
+for name in ("op3_kneser_ney_quality", "op4_qgram_decontamination", "op7_tiered_packing", "op8_token_counts", "op9_wrapper_induction"):
+    assert e.queries()[name](spark, {ROOT!r}).count() > 0
+print("all ran")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert done.stdout.strip().endswith("all ran"), done.stderr[-3000:]
