@@ -90,7 +90,8 @@ def residuals(df: DataFrame, y: str, xs: Sequence[str], keep: Sequence[str] = ()
 
 def fit_diagnostics(df: DataFrame, y: str, xs: Sequence[str], order: str) -> DataFrame:
     """Fit statistics in long form: R², F, likelihood, information criteria, residual shape,
-    Durbin-Watson along ``order`` and the condition number of the design."""
+    Durbin-Watson along ``order`` and the condition number of the design. NULL where a statistic is not
+    defined: without degrees of freedom, without variance, or for a perfect fit."""
     res = residuals(df, y, xs, [order, *xs])
     step = F.col("residual") - F.lag("residual").over(Window.orderBy(order))
     n, sse, syy, dw, skew, kurt = res.withColumn("step", step).agg(
@@ -98,18 +99,23 @@ def fit_diagnostics(df: DataFrame, y: str, xs: Sequence[str], order: str) -> Dat
         F.sum(F.col("step") ** 2), F.skewness("residual"), F.kurtosis("residual") + 3,
     ).first()
     k = len(xs)
-    r2 = 1 - sse / syy
-    f = (r2 / k) / ((1 - r2) / (n - k - 1))
-    loglik = -n / 2 * (log(2 * pi) + log(sse / n) + 1)
-    jb = n / 6 * (skew ** 2 + (kurt - 3) ** 2 / 4)
+    free = n - k - 1
+    r2 = 1 - sse / syy if syy else None
+    varied = bool(sse) and free > 0  # residuals that estimate a variance
+    f = (r2 / k) / ((1 - r2) / free) if varied and r2 is not None and r2 < 1 else None
+    loglik = -n / 2 * (log(2 * pi) + log(sse / n) + 1) if sse else None
+    jb = n / 6 * (skew ** 2 + (kurt - 3) ** 2 / 4) if sse and skew is not None and kurt is not None else None
     values = {
-        "n": float(n), "r2": r2, "adj_r2": 1 - (1 - r2) * (n - 1) / (n - k - 1), "f": f,
-        "f_p_value": f_upper(f, k, n - k - 1), "log_likelihood": loglik,
-        "aic": 2 * (k + 1) - 2 * loglik, "bic": (k + 1) * log(n) - 2 * loglik,
-        "durbin_watson": dw / sse, "jarque_bera": jb, "jarque_bera_p_value": exp(-jb / 2),
+        "n": n, "r2": r2, "adj_r2": 1 - (1 - r2) * (n - 1) / free if r2 is not None and free > 0 else None, "f": f,
+        "f_p_value": f_upper(f, k, free) if f is not None else None, "log_likelihood": loglik,
+        "aic": 2 * (k + 1) - 2 * loglik if loglik is not None else None,
+        "bic": (k + 1) * log(n) - 2 * loglik if loglik is not None else None,
+        "durbin_watson": dw / sse if sse and dw is not None else None, "jarque_bera": jb,
+        "jarque_bera_p_value": exp(-jb / 2) if jb is not None else None,
         "skew": skew, "kurtosis": kurt, "condition_number": _condition_number(res, xs),
     }
-    return inline_table(df.sparkSession, [(a, float(b)) for a, b in values.items()], "statistic string, value double")
+    rows = [(name, None if v is None else float(v)) for name, v in values.items()]
+    return inline_table(df.sparkSession, rows, "statistic string, value double")
 
 
 def _condition_number(df: DataFrame, xs: Sequence[str]) -> float:

@@ -125,3 +125,14 @@ def test_lag_and_holiday(spark):
     got = O.lag_features(df, ["s"], 3).orderBy("order_month").collect()
     assert len(got) == 9 and got[0].s_lag_3 == 1.0
     assert df.agg(F.sum(O.holiday_flag())).first()[0] == 3
+
+
+def test_diagnostics_without_degrees_of_freedom(spark):
+    """As many rows as coefficients, and a y that does not vary: no statistic that divides by them."""
+    two = spark.createDataFrame([(1, 1.0, 2.0), (2, 2.0, 5.0)], "t int, x double, y double")
+    got = {r.statistic: r.value for r in M.fit_diagnostics(two, "y", ["x"], "t").collect()}
+    assert got["n"] == 2 and got["f"] is None and got["f_p_value"] is None and got["adj_r2"] is None
+    assert abs(got["r2"] - 1) < 1e-9 and got["condition_number"] > 1
+    flat = spark.createDataFrame([(i, float(i), 3.0) for i in range(6)], "t int, x double, y double")
+    got = {r.statistic: r.value for r in M.fit_diagnostics(flat, "y", ["x"], "t").collect()}
+    assert got["n"] == 6 and got["r2"] is None and got["f"] is None
