@@ -298,6 +298,15 @@ def test_near_duplicates(spark, docs, rows, none, n, percent):
     assert jaccard.near_duplicates(none, n, percent).count() == 0
 
 
+def test_pairs_of_near_copies_come_from_one_bucket(spark):
+    """Members of the same many buckets, in different components, give each pair of them once."""
+    nodes, signs = range(1, 13), range(40)
+    members = spark.createDataFrame([(v, 7 * s, v % 6) for v in nodes for s in signs if s >= v % 3], "node long, sign long, label long")
+    known = spark.createDataFrame([(v, 100, [0] * jaccard.SKETCH_WORDS) for v in nodes], "node long, n long, sketch array<long>")
+    got = [(r.a, r.b) for r in jaccard._rest(members, known, 80).collect()]
+    assert sorted(got) == [(a, b) for a in nodes for b in nodes if a < b and a % 6 != b % 6]
+
+
 def test_one_per_component(docs, rows, none):
     kept = jaccard.one_per_component(docs, 5, 80).collect()
     sets, _, groups = plain_components(rows, 5, 80)
