@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 from fleetloom.operators import cohorts as H
 from fleetloom.operators import compliance as C
 from fleetloom.operators import joins as J
+from fleetloom.sources import domain
 from fleetloom.sources.tables import inline_table, load_file, load_table, run_sql, save
 
 
@@ -81,3 +82,16 @@ def test_cohorts_need_their_tables(spark):
         H.select_cohort(run, "nonsense", H.CohortInputs())
     ids = spark.createDataFrame([(1,), (9,)], "oms_order_id long")
     assert H.select_cohort(run, "delayed_at_risk_customers_normal", H.CohortInputs(delayed=ids)).count() == 1
+
+
+@pytest.mark.parametrize("view", [domain.order_lines, domain.matching_run])
+def test_orders_are_joined_before_the_wide_parts(spark, tmp_path, view):
+    """The options of a part come last, so no shuffle of the lines by order carries them."""
+    spark.sql("select 1L l_orderkey, 1 l_linenumber, 1L l_partkey, 1L l_suppkey, date'1999-05-05' l_shipdate, 'F' l_linestatus, 'N' l_returnflag, 3.0 l_quantity"
+              ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("select 1L p_partkey, 'blue x' p_name, 'Brand#12' p_brand, 'LARGE' p_type, 3 p_size").write.parquet(f"{tmp_path}/part.parquet")
+    spark.sql("select 1L o_orderkey, 1L o_custkey, date'1999-05-01' o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = view(spark, str(tmp_path))
+    joins = [x for x in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in x]
+    assert "p_partkey" in joins[0] and "o_orderkey" in joins[1]
+    assert rows.count() == 1
