@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetloom.llm.common import dropped, written
-from fleetloom.llm.jaccard import BROADCAST_ROWS, mixed, word_hash
+from fleetloom.llm.jaccard import BROADCAST_ROWS, mixed, slices, word_hash
 from fleetloom.llm.shared import shared_values
 from fleetloom.llm.tokens import Cache
 
@@ -67,7 +68,11 @@ def windows(words: list[bytes], hashes: Cache, both: bool = True) -> tuple[np.nd
     """Hash (if asked for ``both``) and minimizer of every window of ``K`` words."""
     if len(words) < K:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    return _windows_of(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), both)
+
+
+def _windows_of(h: np.ndarray, both: bool) -> tuple[np.ndarray, np.ndarray]:
+    """``windows`` of at least ``K`` words, from their hashes."""
     pairs, least = minimizers(h)
     if not both:
         return np.empty(0, np.uint64), least
@@ -76,6 +81,24 @@ def windows(words: list[bytes], hashes: Cache, both: bool = True) -> tuple[np.nd
     return _next(twelves, h[12:], _A), least
 
 
+def runs_of_windows(texts: list[list[bytes]], hashes: Cache, both: bool) -> tuple[np.ndarray, ...]:
+    """All texts in one go. Per window that lies in one text: its text, its place there, its hash (if asked
+    for ``both``) and its minimizer; then, of the runs of windows with one minimizer, where each begins."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    if sizes.sum() < K:
+        none = np.empty(0, np.int64)
+        return none, none, np.empty(0, np.uint64), np.empty(0, np.uint64), none
+    edge, least = _windows_of(np.fromiter(map(hashes.__getitem__, chain.from_iterable(texts)), np.uint64, int(sizes.sum())), both)
+    of = np.repeat(np.arange(len(texts)), sizes)
+    # A window that begins in one text and ends in the next one is none.
+    inside = np.flatnonzero(of[:len(least)] == of[K - 1:])
+    of, least = of[inside], least[inside]
+    at = inside - (np.cumsum(sizes) - sizes)[of]
+    begins = np.ones(len(least), bool)
+    begins[1:] = (least[1:] != least[:-1]) | (of[1:] != of[:-1])
+    return of, at, edge[inside] if both else edge, least, np.flatnonzero(begins)
+
+
 def _sha(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
@@ -89,16 +112,19 @@ def _read(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Cache(word_hash)
-        for batch in batches:
-            n, shas, named = [], [], []
-            for text in batch.column(2).to_pylist():
-                words = words_of(text)
-                n.append(len(words))
-                shas.append(_sha(words))
-                named.append(np.unique(windows(words, hashes, both=False)[1]).view(np.int64))
+        for batch in slices(batches, 2):
+            texts = [words_of(text) for text in batch.column(2).to_pylist()]
+            n, shas = [len(words) for words in texts], [_sha(words) for words in texts]
+            of, _, _, least, begins = runs_of_windows(texts, hashes, both=False)
+            of, least = of[begins], least[begins]
+            order = np.lexsort((least, of))
+            of, least = of[order], least[order]
+            new = np.ones(len(of), bool)
+            new[1:] = (of[1:] != of[:-1]) | (least[1:] != least[:-1])
+            ends = np.searchsorted(of[new], np.arange(len(texts) + 1))
+            named = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(least[new].view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(shas, pa.string()),
-                 pa.array(named, pa.list_(pa.int64()))],
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(shas, pa.string()), named],
                 names=["ord", "th", "n_words", "sha", "minimizers"],
             )
 
@@ -110,16 +136,23 @@ def _windows(work: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Cache(word_hash)
-        for batch in batches:
-            for ord_, th, text, shared in zip(*[batch.column(i).to_pylist() for i in range(4)]):
-                edge, least = windows(words_of(text), hashes)
-                at = np.flatnonzero(np.isin(least, np.array(shared, np.int64).view(np.uint64)))
-                if len(at):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(edge[at].view(np.int64)), pa.array(np.full(len(at), ord_)),
-                         pa.array(np.full(len(at), th)), pa.array(at.astype(np.int64))],
-                        names=["edge", "ord", "th", "at"],
-                    )
+        for batch in slices(batches, 2):
+            texts = [words_of(text) for text in batch.column(2).to_pylist()]
+            of, at, edge, least, begins = runs_of_windows(texts, hashes, both=True)
+            lists = batch.column(3)
+            owner = np.repeat(np.arange(len(texts), dtype=np.uint64), lists.value_lengths().to_numpy())
+            shared = np.sort(mixed(lists.flatten().to_numpy().view(np.uint64) * _A + owner))
+            if not len(begins) or not len(shared):
+                continue
+            # A hash of two windows' names that happens to be equal keeps a window that nothing meets.
+            asked = mixed(least[begins] * _A + of[begins].astype(np.uint64))
+            found = shared[np.minimum(np.searchsorted(shared, asked), len(shared) - 1)] == asked
+            keep = np.flatnonzero(np.repeat(found, np.diff(np.append(begins, len(of)))))
+            ords, ths = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(edge[keep].view(np.int64)), pa.array(ords[of[keep]]), pa.array(ths[of[keep]]), pa.array(at[keep])],
+                names=["edge", "ord", "th", "at"],
+            )
 
     return work.select("ord", "th", "text", "minimizers").mapInArrow(run, "edge long, ord long, th long, at long")
 

@@ -389,6 +389,23 @@ def test_repeated_spans(spark, docs, rows, none):
     assert substring.dedup(none).count() == 0
 
 
+def test_windows_of_many_texts_at_once():
+    """The windows of several texts in one go are those of each text."""
+    from fleetloom.llm.tokens import Cache
+    rng = random.Random(12)
+    hashes = Cache(jaccard.word_hash)
+    for sizes in ((), (0, 3), (12, 13, 0, 40, 1, 14, 100), (5, 6, 7)):
+        texts = [[rng.choice([b"a", b"b"]) for _ in range(n)] for n in sizes]
+        of, at, edge, least, begins = substring.runs_of_windows(texts, hashes, both=True)
+        want = [substring.windows(words, hashes) for words in texts]
+        assert of.tolist() == [i for i, (e, _) in enumerate(want) for _ in e]
+        assert at.tolist() == [k for e, _ in want for k in range(len(e))]
+        assert edge.tolist() == [int(x) for e, _ in want for x in e] and least.tolist() == [int(x) for _, m in want for x in m]
+        names = list(zip(of, least))
+        assert begins.tolist() == [i for i in range(len(names)) if i == 0 or names[i] != names[i - 1]]
+        assert len(substring.runs_of_windows(texts, hashes, both=False)[2]) == 0
+
+
 def test_equal_windows_name_equal_minimizers():
     from fleetloom.llm.tokens import Cache
     rng = random.Random(8)
