@@ -26,11 +26,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetloom.llm.byte_words import WordHasher, column_bytes, spans as word_spans
 from fleetloom.llm.common import dropped, written
-from fleetloom.llm.jaccard import BROADCAST_ROWS, mixed, slices, word_hash
+from fleetloom.llm.jaccard import BROADCAST_ROWS, mixed, slices
 from fleetloom.llm.shared import shared_values
 from fleetloom.llm.tokens import Cache
 
@@ -40,6 +42,7 @@ K = 13
 M = 5
 LAST = (1 << 63) - 1
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x165667B19E3779F9)
+_BLANK = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -85,11 +88,16 @@ def runs_of_windows(texts: list[list[bytes]], hashes: Cache, both: bool) -> tupl
     """All texts in one go. Per window that lies in one text: its text, its place there, its hash (if asked
     for ``both``) and its minimizer; then, of the runs of windows with one minimizer, where each begins."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    if sizes.sum() < K:
+    return _runs_of(np.fromiter(map(hashes.__getitem__, chain.from_iterable(texts)), np.uint64, int(sizes.sum())), sizes, both)
+
+
+def _runs_of(h: np.ndarray, sizes: np.ndarray, both: bool) -> tuple[np.ndarray, ...]:
+    """``runs_of_windows`` from the hashes of all words and the number of words of each text."""
+    if len(h) < K:
         none = np.empty(0, np.int64)
         return none, none, np.empty(0, np.uint64), np.empty(0, np.uint64), none
-    edge, least = _windows_of(np.fromiter(map(hashes.__getitem__, chain.from_iterable(texts)), np.uint64, int(sizes.sum())), both)
-    of = np.repeat(np.arange(len(texts)), sizes)
+    edge, least = _windows_of(h, both)
+    of = np.repeat(np.arange(len(sizes)), sizes)
     # A window that begins in one text and ends in the next one is none.
     inside = np.flatnonzero(of[:len(least)] == of[K - 1:])
     of, least = of[inside], least[inside]
@@ -99,6 +107,23 @@ def runs_of_windows(texts: list[list[bytes]], hashes: Cache, both: bool) -> tupl
     return of, at, edge[inside] if both else edge, least, np.flatnonzero(begins)
 
 
+def hashed(texts: pa.Array, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts; per text the number of its words, and their bytes."""
+    data, offsets = column_bytes(pc.fill_null(texts, ""))
+    starts, ends = word_spans((data != 32) & ((data < 9) | (data > 13)), offsets)
+    first = np.searchsorted(starts, offsets)
+    letters = np.concatenate([[0], np.cumsum(ends - starts)])
+    return hasher(data, starts, ends), np.diff(first), np.diff(letters[first])
+
+
+def joined_words(text: bytes | None, n: int, letters: int) -> bytes:
+    """The ``n`` words of a text, of ``letters`` bytes in all, with one space between them."""
+    if not n:
+        return b""
+    # As many other bytes as gaps between words: each gap is one blank.
+    return text.translate(_BLANK) if len(text) == letters + n - 1 else b" ".join(text.split())
+
+
 def _sha(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
@@ -111,11 +136,12 @@ def _read(docs: DataFrame) -> DataFrame:
     """Per document: key, number and digest of its words, its minimizers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Cache(word_hash)
+        hasher = WordHasher()
         for batch in slices(batches, 2):
-            texts = [words_of(text) for text in batch.column(2).to_pylist()]
-            n, shas = [len(words) for words in texts], [_sha(words) for words in texts]
-            of, _, _, least, begins = runs_of_windows(texts, hashes, both=False)
+            h, n, letters = hashed(batch.column(2), hasher)
+            texts = batch.column(2).cast(pa.binary()).to_pylist()
+            shas = [hashlib.sha256(joined_words(*row)).hexdigest() for row in zip(texts, n.tolist(), letters.tolist())]
+            of, _, _, least, begins = _runs_of(h, n, both=False)
             of, least = of[begins], least[begins]
             order = np.lexsort((least, of))
             of, least = of[order], least[order]
@@ -135,12 +161,12 @@ def _windows(work: DataFrame) -> DataFrame:
     """(edge, ord, th, at) for the windows whose minimizer is shared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Cache(word_hash)
+        hasher = WordHasher()
         for batch in slices(batches, 2):
-            texts = [words_of(text) for text in batch.column(2).to_pylist()]
-            of, at, edge, least, begins = runs_of_windows(texts, hashes, both=True)
+            h, n, _ = hashed(batch.column(2), hasher)
+            of, at, edge, least, begins = _runs_of(h, n, both=True)
             lists = batch.column(3)
-            owner = np.repeat(np.arange(len(texts), dtype=np.uint64), lists.value_lengths().to_numpy())
+            owner = np.repeat(np.arange(len(n), dtype=np.uint64), lists.value_lengths().to_numpy())
             shared = np.sort(mixed(lists.flatten().to_numpy().view(np.uint64) * _A + owner))
             if not len(begins) or not len(shared):
                 continue

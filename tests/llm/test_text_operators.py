@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -406,6 +407,20 @@ def test_windows_of_many_texts_at_once():
         assert len(substring.runs_of_windows(texts, hashes, both=False)[2]) == 0
 
 
+def test_words_of_a_column_at_once():
+    """Hashes, numbers of words and joined words of a column are those of its texts one by one; equal words have equal hashes."""
+    texts = [None, "", " \t", "a b", "a  b", "\na\x0bb ", "x", "é\u00a0b\x85 ü\r\na", "a b\tc\nd", " a"]
+    column = pa.array(["unused", *texts], pa.string()).slice(1)
+    h, n, letters = substring.hashed(column, substring.WordHasher())
+    words = [w for t in texts for w in (t or "").encode().split()]
+    assert n.tolist() == [len((t or "").encode().split()) for t in texts]
+    assert letters.tolist() == [len(b"".join((t or "").encode().split())) for t in texts]
+    name = dict(zip(words, h.tolist()))
+    assert h.tolist() == [name[w] for w in words] and len(set(name.values())) == len(name)
+    for t, k, m in zip(texts, n.tolist(), letters.tolist()):
+        assert substring.joined_words(t and t.encode(), k, m) == b" ".join((t or "").encode().split())
+
+
 def test_equal_windows_name_equal_minimizers():
     from fleetloom.llm.tokens import Cache
     rng = random.Random(8)
