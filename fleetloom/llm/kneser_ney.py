@@ -108,10 +108,14 @@ def counts(docs: DataFrame) -> DataFrame:
     return written(own.filter(F.col("lang") != ALL).union(pooled))
 
 
-def _discounts(level: DataFrame, model: str = "lang", count: str = "c") -> DataFrame:
+def _discounts(level: DataFrame) -> DataFrame:
     """The three discounts of a language from its counts of counts."""
-    n = [F.sum(F.when(F.col(count) == k, 1).otherwise(0)).cast("double") for k in (1, 2, 3, 4)]
-    found = level.groupBy(model).agg(*[x.alias(f"n{k}") for k, x in enumerate(n, 1)])
+    n = [F.sum(F.when(F.col("c") == k, 1).otherwise(0)).cast("double") for k in (1, 2, 3, 4)]
+    return discounts(level.groupBy("lang").agg(*[x.alias(f"n{k}") for k, x in enumerate(n, 1)]), "lang")
+
+
+def discounts(found: DataFrame, model: str) -> DataFrame:
+    """``model``, ``d1`` to ``d3`` from the doubles ``n1`` to ``n4``: how many runs have these counts."""
     y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
 
     def discount(k: int) -> Column:
@@ -239,8 +243,8 @@ def score(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Dat
             run, f"doc_id {kind}, lang string, used string, row long, perplexity double"
         )
         scored = found if scored is None else scored.union(found)
-    readable = texts.filter(F.length("text") > 0)
-    by_words = word_model.perplexities(readable, readable.join(trusted, "doc_id", "left_semi"), _discounts)
+    readable = texts.filter(F.length("text") > 0).join(trusted.withColumn("teaches", F.lit(True)), "doc_id", "left")
+    by_words = word_model.perplexities(readable.withColumn("teaches", F.coalesce("teaches", F.lit(False))), [*size], ALL, discounts)
     scored = written(written(scored).join(by_words, "row", "left"))
     good = scored.join(trusted, "doc_id", "left_semi")
     limit = [F.percentile_approx(c, quantile, 100_000).alias(t) for c, t in (

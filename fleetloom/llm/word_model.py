@@ -1,14 +1,20 @@
-"""Interpolated modified Kneser-Ney over words, by joins with sharded count tables.
+"""Interpolated modified Kneser-Ney over words, by exchanges of packed counts.
 
 Texts are read as words in lower case, single signs, and single characters of scripts that write
 no blanks, followed by an end mark; every script keeps its own words. Trusted texts give the counts
-of all runs of three words, added up in tasks before they are sent; the tables grow with the
-trusted texts and are never broadcast. Documents send their runs, distinct per batch, to the
-tables, and get a mean log probability back, which is the same for all copies of a text.
+of all runs of three words; they grow with the trusted texts and are never broadcast.
 
 Texts are dealt into ``FOLDS`` by their hash, and each is scored by the model of the trusted texts
 outside of its own fold, so a trusted text meets no model that has read it or a copy of it.
 
+How it is spread: texts are read once into blocks of about ``BLOCK_TOKENS``. A block asks (for every text)
+and teaches (by trusted ones, once per model). It sends its distinct runs as sorted
+arrays by ranges of the key space (``packed.py``), in ``PASSES`` by the first word, so that a part of all
+keys is on the way at a time, and gets counts back. A run of three that training text has is named
+by one block, which adds it up for its two pairs; likewise pairs for their words. So a text gets
+five lookups for each run: the run, its context and its suffix as pairs, their contexts and last words, and
+the probability is put together where the text is. Blocks meet their answers in ``GROUPS``, one after another.
+
 Runs are named by 64-bit hashes that hold the model's name too. A text whose model has no trusted
 text has no score.
 """
@@ -20,22 +26,38 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetloom.llm.byte_words import WordHasher, spans
 from fleetloom.llm.common import dropped, written
 from fleetloom.llm.jaccard import _A, mixed, word_hash
-from fleetloom.llm.tokens import Cache
+from fleetloom.llm.packed import in_order, range_bits, ranges
+from fleetloom.llm.pitman_yor import _in_parts, _with_answers, _written_by_block
+from fleetloom.session import shuffle_partitions
 
 FOLDS = 2
-# Runs of counts that a task holds before it adds them up and sends them.
-HELD_RUNS = 2_000_000
+BLOCK_TOKENS = 1_000_000
+# The highest bits of a key are those of its first word's: parts that are exchanged one after another.
+PASS_BITS = 3
+PASSES = 1 << PASS_BITS
+_TOP = np.uint64(((1 << PASS_BITS) - 1) << (64 - PASS_BITS))
+# Parts of the blocks that meet their answers one after another.
+GROUPS = 4
+# Tokens up to which one exchange holds all keys; more go in 2, 4 or ``PASSES`` passes.
+PASS_TOKENS = 20_000_000
 # Scripts without blanks between words (Thai to Khmer, kana, Han).
-_SINGLE = "฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff"
+_SINGLE = "฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff"
 _WORD = re.compile(rf"[{_SINGLE}]|[^\W{_SINGLE}]+|[^\w\s]")
-_END, _START = word_hash(b"\xff end"), np.uint64(word_hash(b"\xff start"))
-# A run of three, its first two, its last two, its middle and its last word.
-KEYS = ("abc", "ab", "bc", "b", "c")
+_ONE = re.compile(rf"[{_SINGLE}]|[^\w\s]")
+_END, _START = np.uint64(word_hash(b"\xff end")), np.uint64(word_hash(b"\xff start"))
+
+_BLOCKS = "block long, rows binary, models binary, teaches binary, lengths binary, tokens binary, words binary"
+_SENT = "block long, bucket long, keys binary, counts binary"
+_FOUND = "block long, bucket long, found binary, wide boolean"
+# Rows that hold no block's keys: sums per word, and counts of counts of a level of a model.
+_WORDS, _LEVELS = -2, -3
 
 
 def fold(text: Column) -> Column:
@@ -46,131 +68,478 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def _hash(word: str) -> int:
-    return word_hash(word.encode("utf-8", "surrogatepass"))
+class Reader:
+    """The hashes of the ``words`` of many texts at once, each text ended by its end mark."""
+
+    def __init__(self):
+        self.hasher = WordHasher(0x110000)
+        self.classes = np.full(0x110000, 255, np.uint8)
+
+    def _class(self, codes: np.ndarray) -> np.ndarray:
+        """Of each character: 0 between words, 1 in a word, 2 a word of its own."""
+        found = self.classes[codes]
+        if (found == 255).any():
+            for code in np.unique(codes[found == 255]):
+                ch = chr(code)
+                self.classes[code] = 0 if ch.isspace() and not _ONE.match(ch) else 2 if _ONE.match(ch) else 1
+            found = self.classes[codes]
+        return found
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes, and their number per text."""
+        encoded = [t.lower().encode("utf-32-le", "surrogatepass") for t in texts]
+        codes = np.frombuffer(b"".join(encoded), np.uint32)
+        offsets = np.concatenate([[0], np.cumsum([len(e) // 4 for e in encoded])])
+        kind = self._class(codes)
+        # A single sign is a span of its own; letters in a row are one.
+        starts, ends = spans(kind == 1, offsets)
+        single = np.flatnonzero(kind == 2)
+        starts, ends = np.concatenate([starts, single]), np.concatenate([ends, single + 1])
+        order = np.argsort(starts, kind="stable")
+        starts, ends = starts[order], ends[order]
+        per_text = np.searchsorted(starts, offsets[1:]) - np.searchsorted(starts, offsets[:-1])
+        out = np.full(len(starts) + len(texts), _END, np.uint64)
+        out[np.arange(len(starts)) + np.repeat(np.arange(len(texts)), per_text)] = self.hasher(codes, starts, ends)
+        return out, per_text + 1
+
+
+# ---- blocks -----------------------------------------------------------------------------------
+
+
+def blocks(texts: DataFrame, langs: list[str]) -> DataFrame:
+    """Blocks of ``row``, ``used`` (one of ``langs``), ``teaches``, ``fold`` and ``text``. Models are numbered by
+    fold and language."""
+    number = {lang: k for k, lang in enumerate(langs)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, next_block = Reader(), TaskContext.get().partitionId() << 32
+        held, size = [], 0
+        for part in (batch.slice(at, 100) for batch in batches for at in range(0, batch.num_rows, 100)):
+            tokens, lengths = reader(part.column(4).to_pylist())
+            models = [own * len(langs) + number[used] for used, own in zip(part.column(1).to_pylist(), part.column(3).to_pylist())]
+            held.append((part.column(0).to_numpy(), np.array(models, np.int32), part.column(2).to_numpy(zero_copy_only=False), lengths, tokens))
+            size += len(tokens)
+            if size >= BLOCK_TOKENS:
+                yield block(next_block, held)
+                next_block, held, size = next_block + 1, [], 0
+        if held:
+            yield block(next_block, held)
+
+    def block(number: int, held: list[tuple]) -> pa.RecordBatch:
+        rows, models, teaches, lengths, tokens = (np.concatenate(x) for x in zip(*held))
+        # In order of first sight, so that frequent words have small numbers, and byte by byte, so that these take little room.
+        known = pa.array(tokens).dictionary_encode()
+        tokens = known.indices.to_numpy().astype(np.uint16 if len(known.dictionary) <= 1 << 16 else np.uint32)
+        values = [rows.astype(np.int64), models, teaches.astype(bool), lengths.astype(np.int32), tokens, known.dictionary.to_numpy()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int64()), *[pa.array([_planes(v) if v is tokens else v.tobytes()], pa.binary()) for v in values]],
+            names=["block", "rows", "models", "teaches", "lengths", "tokens", "words"],
+        )
+
+    return written(texts.select("row", "used", "teaches", "fold", "text").mapInArrow(run, _BLOCKS))
+
+
+class _Models:
+    """Hashes of the models' names, and the number of the language that all trusted texts teach, if any."""
+
+    def __init__(self, langs: list[str], pooled: str | None):
+        self.n_langs, self.n = len(langs), FOLDS * len(langs)
+        self.bases = np.array([word_hash(f"{f}/{lang}".encode()) for f in range(FOLDS) for lang in langs], np.uint64)
+        self.pooled = langs.index(pooled) if pooled is not None else None
+
+    def taught(self, models: np.ndarray, teaches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text, model) for each model outside of its fold that a text teaches."""
+        text = np.flatnonzero(teaches)
+        own, lang = np.divmod(models[text], self.n_langs)
+        out = [(text, (own + k) % FOLDS * self.n_langs + lang) for k in range(1, FOLDS)]
+        if self.pooled is not None:
+            on = lang != self.pooled
+            out += [(text[on], (own[on] + k) % FOLDS * self.n_langs + self.pooled) for k in range(1, FOLDS)]
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+
+class _Runs:
+    """The runs of a row of ``blocks`` that it asks for, numbered by the doubled number of the block, or those that it
+    ``teaches``, numbered by the next."""
+
+    def __init__(self, row: dict, models: _Models, teaches: bool):
+        self.number, self.teaches = row["block"], teaches
+        self.rows, self.models = np.frombuffer(row["rows"], np.int64), np.frombuffer(row["models"], np.int32)
+        lengths = np.frombuffer(row["lengths"], np.int32).astype(np.int64)
+        tokens = _of_planes(row["tokens"], f"u{len(row['tokens']) // lengths.sum()}")
+        known = np.append(np.frombuffer(row["words"], np.uint64), _START)
+        begins = np.cumsum(lengths) - lengths
+        if teaches:
+            of, self.models = models.taught(self.models, np.frombuffer(row["teaches"], bool))
+            lengths, begins = lengths[of], begins[of]
+        # Two starts before each text.
+        size = lengths + 2
+        ends = np.cumsum(size)
+        self.text = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        at = np.arange(len(self.text)) + np.repeat(begins - (ends - size) - 2, size)
+        inside = np.ones(len(at), bool)
+        inside[ends - size] = inside[ends - size + 1] = False
+        self.ids = np.full(len(at), len(known) - 1, np.int32)
+        self.ids[inside] = tokens[at[inside]]
+        self.used, own = np.unique(self.models, return_inverse=True)
+        self.word_keys = mixed(models.bases[self.used][:, None] * _A + known).ravel()
+        self.known, self.lengths = known, lengths
+        # Each position's word in its model.
+        self.code = np.repeat(own * len(known), size) + self.ids
+        inside[:] = True
+        inside[ends - 1] = False
+        self.at_two = np.flatnonzero(inside)
+        inside[ends - 2] = False
+        self.at_three = np.flatnonzero(inside)
+
+    def _key(self, at: np.ndarray, n: int) -> np.ndarray:
+        first = self.word_keys[self.code[at]]
+        key = first
+        for k in range(1, n):
+            key = mixed(key * _A + self.known[self.ids[at + k]])
+        return (key >> np.uint64(PASS_BITS)) | (first & _TOP)
+
+    def _at(self, at: np.ndarray, turn: int, turns: int) -> np.ndarray:
+        if turns == 1:
+            return at
+        own = (self.word_keys >> np.uint64(64 - PASS_BITS)) // np.uint64(PASSES // turns) == turn
+        return at[own[self.code[at]]]
+
+    def two(self, turn: int = 0, turns: int = 1) -> np.ndarray:
+        return self._key(self._at(self.at_two, turn, turns), 2)
+
+    def three(self, turn: int = 0, turns: int = 1) -> np.ndarray:
+        return self._key(self._at(self.at_three, turn, turns), 3)
+
+    def context(self) -> np.ndarray:
+        """The number, among ``two``, of each run's first two words; its last two are the next."""
+        return self.at_three - self.text[self.at_three]
+
+    def model_of(self, position: np.ndarray) -> np.ndarray:
+        return self.models[self.text[position]]
+
+    def distinct_words(self) -> tuple[np.ndarray, np.ndarray]:
+        """Codes in order of their keys, and these."""
+        seen = np.zeros(len(self.word_keys), bool)
+        seen[self.code] = True
+        codes = np.flatnonzero(seen)
+        order, keys = in_order(self.word_keys[codes])
+        return codes[order], keys
+
+
+class _Distinct:
+    """Distinct ``keys`` in order, where each stands first, how often, and (``number``) each key's place among them."""
+
+    def __init__(self, keys: np.ndarray):
+        order, ordered = in_order(keys)
+        new = np.ones(len(keys), bool)
+        new[1:] = ordered[1:] != ordered[:-1]
+        first = np.flatnonzero(new)
+        self.order, self.new = order, new
+        self.keys, self.first = ordered[first], order[first]
+        self.n = np.diff(np.append(first, len(keys)))
+
+    def number(self) -> np.ndarray:
+        out = np.empty(len(self.order), np.int32)
+        out[self.order] = np.cumsum(self.new) - 1
+        return out
+
+
+def _each(batches: Iterator[pa.RecordBatch], models: _Models, *kinds: bool) -> Iterator[tuple[dict, _Runs]]:
+    """Rows of blocks, which ask, teach or both, with their numbers of ``_view``."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
+            for teaches in kinds:
+                yield row, _Runs(row if len(kinds) == 1 else row | {"block": 2 * row["block"] + teaches}, models, teaches)
+
+
+def _view(blocked: DataFrame, teaches: bool) -> DataFrame:
+    return blocked.withColumn("block", 2 * F.col("block") + int(teaches))
+
+
+def _rows(rows: list[tuple], names: tuple[str, ...]) -> pa.RecordBatch:
+    kinds = {"block": pa.int64(), "bucket": pa.int64(), "wide": pa.bool_()}
+    return pa.RecordBatch.from_arrays([pa.array(x, kinds.get(n, pa.binary())) for n, x in zip(names, zip(*rows))], names=[*names])
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Byte by byte, so that small numbers take little room when compressed."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _of_planes(planes: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _sent(number: int, keys: np.ndarray, body: np.ndarray | None, bits: int) -> Iterator[pa.RecordBatch]:
+    """Sorted keys by ranges, with the columns of ``body`` one after another."""
+    cut = [(number, b, keys[a:z].tobytes(), b"" if body is None else _planes(body[..., a:z]))
+           for b, a, z in ranges(keys, bits)]
+    if cut:
+        yield _rows(cut, ("block", "bucket", "keys", "counts"))
+
+
+def _levels(level: int, models: np.ndarray, counts: np.ndarray, n_models: int) -> Iterator[tuple]:
+    """For each model: how many runs have the counts 1 to 4, their sum and their number."""
+    for model in np.unique(models):
+        c = counts[models == model]
+        found = [*np.bincount(np.minimum(c, 5), minlength=6)[1:5], c.sum(), len(c)]
+        yield _LEVELS, level * n_models + int(model), np.array(found, np.int64).tobytes()
 
 
-def keys(text: str, model: str, hashes: Cache) -> np.ndarray:
-    """One row per run of three words, with the five ``KEYS``."""
-    found = [hashes[w] for w in words(text)]
-    h = np.array([_START, _START, *found, _END], np.uint64)
-    base = np.array([word_hash(model.encode())], np.uint64)
-    one = mixed(base * _A + h)
-    two = mixed(one[:-1] * _A + h[1:])
-    three = mixed(two[:-1] * _A + h[2:])
-    return np.stack([three, two[:-1], two[1:], one[1:-1], one[2:]], axis=1).view(np.int64)
+def _context_sums(at: np.ndarray, n: np.ndarray, size: int) -> list[np.ndarray]:
+    """Per context: the sum of the counts ``n``, and how many of them are 1, 2 and more."""
+    return [np.bincount(at, n, size).astype(np.int64), *[np.bincount(at[k], minlength=size) for k in (n == 1, n == 2, n > 2)]]
 
 
-def _counts(texts: DataFrame) -> DataFrame:
-    """(model, the five keys, n) over ``model`` and ``text``."""
+# ---- exchanges --------------------------------------------------------------------------------
 
-    def summed(model: str, held: list[np.ndarray]) -> pa.RecordBatch:
-        rows = np.concatenate(held)
-        _, first, n = np.unique(rows[:, 0], return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([model] * len(first), pa.string()), *[pa.array(rows[first, k]) for k in range(len(KEYS))], pa.array(n, pa.int64())],
-            names=["model", *KEYS, "n"],
-        )
+
+def _received(batches: Iterator[pa.RecordBatch], width: int, kind) -> tuple[list[tuple], list[np.ndarray], np.ndarray, np.ndarray]:
+    """(block, bucket, whether it teaches) and keys of each row; of the keys of teaching rows, where they stand
+    among all, and their counts."""
+    rows, keys, places, body, size = [], [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty((width, 0), kind)], 0
+    for batch in batches:
+        for block, bucket, k, counts in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            k = np.frombuffer(k, np.uint64)
+            rows.append((block, bucket, len(counts) > 0))
+            keys.append(k)
+            if counts:
+                places.append(np.arange(size, size + len(k)))
+                body.append(_of_planes(counts, kind).reshape(width, -1))
+            size += len(k)
+    return rows, keys[1:], np.concatenate(places), np.concatenate(body, axis=1).astype(np.int64)
+
+
+def _totals(found: _Distinct, places: np.ndarray, body: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per key its number among the distinct ones; the sums of these; and the first teaching place of each that has one."""
+    number = found.number()
+    of = number[places]
+    totals = np.stack([np.bincount(of, x, len(found.keys)).astype(np.int64) for x in body])
+    owner = np.full(len(found.keys), -1)
+    owner[of[::-1]] = places[::-1]
+    return number, totals, owner
+
+
+def _answered(rows: list[tuple], keys: list[np.ndarray], number: np.ndarray, totals: np.ndarray, owner: np.ndarray) -> Iterator[tuple]:
+    """A teaching row gets the first total times two, one more where it names the key; others get all totals."""
+    at = 0
+    for (block, bucket, teaches), k in zip(rows, keys):
+        here = slice(at, at + len(k))
+        at += len(k)
+        if teaches:
+            out = 2 * totals[0, number[here]] + (owner[number[here]] == np.arange(here.start, here.stop))
+        elif block >= 0:
+            out = totals[:, number[here]]
+        else:
+            continue
+        wide = bool(len(k)) and int(out.max()) >= 1 << 31
+        yield block, bucket, _planes(out.astype(np.int64 if wide else np.int32)), wide
+
+
+def exchanged(sent: DataFrame, width: int, kind, tasks: int, levels: int = 0) -> DataFrame:
+    """Answers to the rows ``sent``. With ``levels`` (the number of models) the first of the columns is a model, teaching rows
+    get no answer, and there are counts of counts of the next column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size = Cache(_hash), {}, 0
-        for batch in batches:
-            for model, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows = keys(text, model, hashes)
-                held.setdefault(model, []).append(rows)
-                size += len(rows)
-                if size > HELD_RUNS:
-                    yield from (summed(m, h) for m, h in held.items())
-                    held, size = {}, 0
-        yield from (summed(m, h) for m, h in held.items())
-
-    sent = texts.select("model", "text").mapInArrow(run, "model string, abc long, ab long, bc long, b long, c long, n long")
-    others = [F.min(k).alias(k) for k in KEYS[1:]]
-    return written(sent.groupBy("model", "abc").agg(*others, F.sum("n").alias("n")))
-
-
-def _level(level: DataFrame, discounts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, suffix, own) and (context, weight) of (model, key, context, suffix, n)."""
-    cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    seen = level.join(F.broadcast(discounts), "model").withColumn("cut", cut)
-    contexts = written(
-        seen.groupBy("context").agg(F.sum("cut").alias("cuts"), F.sum("n").alias("total"))
-        .select("context", (F.col("cuts") / F.col("total")).alias("weight"), "total")
-    )
-    own = seen.join(contexts, "context").select(
-        "model", "key", "suffix", "weight", ((F.col("n") - F.col("cut")) / F.col("total")).alias("own"))
-    return own, contexts.select("context", "weight")
-
-
-def tables(texts: DataFrame, discounts) -> dict[str, DataFrame]:
-    """The tables of ``model`` and ``text``: ``p1`` to ``p3`` (key, p), ``w2`` and ``w3`` (context,
-    weight), and ``unseen`` (model, p of a word that no trusted text has)."""
-    three = _counts(texts)
-    two = written(three.groupBy("model", F.col("bc").alias("key")).agg(
-        F.min("b").alias("context"), F.min("c").alias("suffix"), F.count(F.lit(1)).alias("n")))
-    one = written(two.groupBy("model", F.col("suffix").alias("key")).agg(F.count(F.lit(1)).alias("n")))
-    three = three.select("model", F.col("abc").alias("key"), F.col("ab").alias("context"), F.col("bc").alias("suffix"), "n")
-    # One row per model: its words, one more for all others.
-    cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    seen = one.join(F.broadcast(discounts(one, "model", "n")), "model").withColumn("cut", cut)
-    whole = written(seen.groupBy("model").agg(
-        F.sum("cut").alias("cuts"), F.sum("n").alias("total"), (F.count(F.lit(1)) + 1).alias("size")))
-    unseen = written(whole.select("model", (F.col("cuts") / F.col("total") / F.col("size")).alias("unseen")))
-    p1 = written(seen.join(F.broadcast(whole.select("model", "total")), "model").join(F.broadcast(unseen), "model").select(
-        "key", ((F.col("n") - F.col("cut")) / F.col("total") + F.col("unseen")).alias("p")))
-    out, lower = {"unseen": unseen, "p1": p1}, p1
-    for k, level in ((2, two), (3, three)):
-        own, weights = _level(level, discounts(level, "model", "n"))
-        below = lower.select(F.col("key").alias("suffix"), F.col("p").alias("below"))
-        lower = written(own.join(below, "suffix").select("key", (F.col("own") + F.col("weight") * F.col("below")).alias("p")))
-        out |= {f"p{k}": lower, f"w{k}": weights}
+        rows, keys, places, body = _received(batches, width, kind)
+        if not rows:
+            return
+        number, totals, owner = _totals(_Distinct(np.concatenate(keys)), places, body[1 if levels else 0:])
+        if levels:
+            rows = [(block, bucket, False) for block, bucket, _ in rows]
+            model = np.empty(len(owner), np.int64)
+            model[number[places]] = body[0]
+            on = totals[0] > 0
+            out = [(*x, True) for x in _levels(1, model[on], totals[0, on], levels)]
+            if out:
+                yield _rows(out, ("block", "bucket", "found", "wide"))
+        out = list(_answered(rows, keys, number, totals, owner))
+        if out:
+            yield from _in_parts(_rows(out, ("block", "bucket", "found", "wide")))
+
+    return sent.repartition(tasks, "bucket").mapInArrow(run, _FOUND)
+
+
+def _found(rows: list[dict] | None, width: int) -> np.ndarray:
+    parts = [_of_planes(r["found"], np.int64 if r["wide"] else np.int32).reshape(width, -1) for r in rows or []]
+    return np.concatenate([np.empty((width, 0), np.int32), *parts], axis=1)
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.union(t)
     return out
 
 
-def _runs(texts: DataFrame) -> DataFrame:
-    """(row, model, the five keys, n) per distinct run of a text, over ``row``, ``model`` and ``text``."""
+# ---- probabilities ----------------------------------------------------------------------------
+
+
+def _discounted(n: np.ndarray, cuts: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """(n - discount) / total; 0 for a run that no training text has. ``cuts`` has the discounts of each."""
+    cut = np.where(n == 1, cuts[0], np.where(n == 2, cuts[1], cuts[2]))
+    return np.where(n > 0, (n - cut) / np.maximum(total, 1), 0.0)
+
+
+def _weight(context: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """What a context (total, ones, twos, more) hands to the lower order; all, if no training text has it."""
+    total = context[0]
+    return np.where(total > 0, (context[1] * cuts[0] + context[2] * cuts[1] + context[3] * cuts[2]) / np.maximum(total, 1), 1.0)
+
+
+def perplexities(texts: DataFrame, langs: list[str], pooled: str, discounts) -> DataFrame:
+    """(row, word_perplexity) over ``row``, ``used`` (one of ``langs``), ``teaches`` and ``text``; the texts that
+    teach make up the language ``pooled`` too. Texts are not null."""
+    spark = texts.sparkSession
+    # The model of all languages is counted if a text asks for it.
+    asked = not texts.filter(F.col("used") == pooled).isEmpty()
+    langs = sorted({*langs, pooled})
+    models = _Models(langs, pooled if asked else None)
+    blocked = blocks(texts.withColumn("fold", fold("text")), langs)
+    size = blocked.agg(F.sum(F.length("tokens") / 2).cast("long").alias("n"), F.sum(F.length("words") / 8).cast("long").alias("words")).first()
+    turn_bits = min(PASS_BITS, max(0, -(-(size["n"] or 0) // PASS_TOKENS) - 1).bit_length())
+    turns = 1 << turn_bits
+    groups = min(GROUPS, turns)
+    tasks, bits = range_bits(2 * (size["n"] or 0) // turns, shuffle_partitions(spark))
+    word_tasks, word_bits = range_bits(size["words"] or 0, shuffle_partitions(spark))
+    # A quarter of the usual ranges, as each pass has as many.
+    bits = max(bits - 2 + turn_bits, PASS_BITS + 2)
+    asking, teaching = (_view(blocked, teaches) for teaches in (False, True))
+
+    def send_threes(turn: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, block in _each(batches, models, False, True):
+                found = _Distinct(block.three(turn, turns))
+                yield from _sent(block.number, found.keys, found.n.astype(np.int32) if block.teaches else None, bits)
+
+        return run
+
+    def send_twos(turn: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, block in _each(batches, models, False):
+                yield from _sent(block.number, _Distinct(block.two(turn, turns)).keys, None, bits)
+
+        return run
+
+    def own_threes(row: dict, block: _Runs) -> tuple[np.ndarray, np.ndarray]:
+        """Of the runs that the block names: where they stand first, and their counts."""
+        answer = _found(row["threes"], 1)[0]
+        own = np.flatnonzero(answer & 1)
+        return _Distinct(block.three()).first[own], answer[own] >> 1
+
+    def name_threes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, block in _each(batches, models, True):
+            first, n = own_threes(row, block)
+            pairs, context = _Distinct(block.two()), block.context()[first]
+            number, size = pairs.number(), len(pairs.keys)
+            sums = np.stack([np.bincount(number[context + 1], minlength=size), *_context_sums(number[context], n, size)]).astype(np.int64)
+            on = np.flatnonzero(sums.any(axis=0))
+            yield from _sent(block.number, pairs.keys[on], sums[:, on], bits)
+            levels = [(b, k, b"", x) for b, k, x in _levels(3, block.model_of(block.at_three[first]), n, models.n)]
+            if levels:
+                yield _rows(levels, ("block", "bucket", "keys", "counts"))
+
+    def name_twos(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, block in _each(batches, models, True):
+            first, _ = own_threes(row, block)
+            pairs, context = _Distinct(block.two()), block.context()[first]
+            number, on = pairs.number(), np.zeros(len(pairs.keys), bool)
+            on[number[context]] = on[number[context + 1]] = True
+            answer = _found(row["twos"], 1)[0]
+            own = np.flatnonzero((answer & 1) & (answer > 1))
+            at = block.at_two[pairs.first[np.flatnonzero(on)[own]]]
+            n, size = answer[own] >> 1, len(block.word_keys)
+            codes, keys = block.distinct_words()
+            sums = [np.bincount(block.code[at + 1], minlength=size), *_context_sums(block.code[at], n, size)]
+            model = block.used[codes // len(block.known)]
+            yield from _sent(_WORDS, keys, np.stack([model, *[x[codes] for x in sums]]).astype(np.int64), word_bits)
+            levels = [(b, k, b"", x) for b, k, x in _levels(2, block.model_of(at), n, models.n)]
+            if levels:
+                yield _rows(levels, ("block", "bucket", "keys", "counts"))
+
+    def send_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, block in _each(batches, models, False):
+            yield from _sent(block.number, block.distinct_words()[1], None, word_bits)
+
+    def in_groups(view: DataFrame, run, kinds: str, **answers: DataFrame) -> list[DataFrame]:
+        turn = F.pmod(F.xxhash64(F.shiftright("block", 1)), F.lit(groups))
+        return [
+            _written_by_block(_with_answers(view.filter(turn == k), **{name: t.filter(turn == k) for name, t in answers.items()}).mapInArrow(run, kinds))
+            for k in range(groups)
+        ]
+
+    def kept(tables: list[DataFrame], block: int) -> list[DataFrame]:
+        return [t.filter(F.col("block") == block).select("bucket", "counts") for t in tables]
+
+    threes = [_written_by_block(exchanged(blocked.mapInArrow(send_threes(k), _SENT), 1, np.int32, tasks)) for k in range(turns)]
+    taught = _union(threes).filter(F.col("block") % 2 == 1)
+    named = in_groups(teaching, name_threes, _SENT, threes=taught)
+    pairs = _union(named).filter(F.col("block") >= 0)
+    twos = []
+    for k in range(turns):
+        part = pairs.filter(F.shiftright("bucket", bits - turn_bits) == k)
+        twos.append(_written_by_block(exchanged(part.union(asking.mapInArrow(send_twos(k), _SENT)), 5, np.int64, tasks)))
+    levels = [written(_union(kept(named, _LEVELS)))]
+    dropped(*named)
+    named = in_groups(teaching, name_twos, _SENT, threes=taught, twos=_union(twos).filter(F.col("block") % 2 == 1))
+    sums = _union(named).filter(F.col("block") == _WORDS)
+    ones = _written_by_block(exchanged(sums.union(asking.mapInArrow(send_words, _SENT)), 6, np.int64, word_tasks, models.n))
+    levels += [*kept(named, _LEVELS), *kept([ones.withColumnRenamed("found", "counts")], _LEVELS)]
+    cuts, total, unseen = _by_model(_union(levels), models.n, discounts)
+    dropped(*named, levels[0])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, block in _each(batches, models, False):
+            at = block.at_three
+            own = block.model_of(at)
+            codes, _ = block.distinct_words()
+            place = np.empty(len(block.word_keys), np.int32)
+            place[codes] = np.arange(len(codes))
+            one = _found(row["ones"], 5)
+            n = one[0, place[block.code[at + 2]]]
+            p = _discounted(n, cuts[1][:, own], total[own]) + unseen[own]
+            number, context = _Distinct(block.two()).number(), block.context()
+            two = _found(row["twos"], 5)
+            n, above = two[0, number[context + 1]], one[1:, place[block.code[at + 1]]]
+            p = _discounted(n, cuts[2][:, own], above[0]) + _weight(above, cuts[2][:, own]) * p
+            above = two[1:, number[context]]
+            n = _found(row["threes"], 1)[0, _Distinct(block.three()).number()]
+            p = _discounted(n, cuts[3][:, own], above[0]) + _weight(above, cuts[3][:, own]) * p
+            begins = np.cumsum(block.lengths) - block.lengths
+            known = np.flatnonzero(total[block.models] > 0)
+            with np.errstate(divide="ignore"):
+                mean = np.add.reduceat(np.log(p), begins) / block.lengths
+            yield pa.RecordBatch.from_arrays([pa.array(block.rows[known]), pa.array(np.exp(-mean[known]))], names=["row", "word_perplexity"])
+
+    asks = {name: t.filter(F.col("block") % 2 == 0) for name, t in (("threes", _union(threes)), ("twos", _union(twos)), ("ones", ones))}
+    scored = in_groups(asking, score, "row long, word_perplexity double", **asks)
+    dropped(blocked, ones, *threes, *twos)
+    # Copies of a text have the same row.
+    return written(_union(scored).groupBy("row").agg(F.min("word_perplexity").alias("word_perplexity")))
+
+
+def _by_model(levels: DataFrame, n_models: int, discounts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By level and count (1, 2, more) the discounts of each model; each model's pairs of words, and the probability
+    of a word that it does not know."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Cache(_hash)
         for batch in batches:
-            for row, model, text in zip(*[batch.column(k).to_pylist() for k in range(3)]):
-                found = keys(text, model, hashes)
-                _, first, n = np.unique(found[:, 0], return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(first), row, np.int64)), pa.array([model] * len(first), pa.string()),
-                     *[pa.array(found[first, k]) for k in range(len(KEYS))], pa.array(n, pa.int64())],
-                    names=["row", "model", *KEYS, "n"],
-                )
-
-    return texts.select("row", "model", "text").mapInArrow(
-        run, "row long, model string, abc long, ab long, bc long, b long, c long, n long")
-
-
-def probabilities(runs: DataFrame, found: dict[str, DataFrame]) -> DataFrame:
-    """(abc, log_p) for each distinct run."""
-    distinct = runs.groupBy("abc").agg(F.min("model").alias("model"), *[F.min(k).alias(k) for k in KEYS[1:]])
-    for k, name in ((3, "abc"), (2, "bc"), (1, "c")):
-        distinct = distinct.join(found[f"p{k}"].select(F.col("key").alias(name), F.col("p").alias(f"p{k}")), name, "left")
-    for k, name in ((3, "ab"), (2, "b")):
-        distinct = distinct.join(found[f"w{k}"].select(F.col("context").alias(name), F.col("weight").alias(f"w{k}")), name, "left")
-    p1 = F.coalesce("p1", "unseen")
-    p2 = F.coalesce(F.col("p2"), F.coalesce(F.col("w2"), F.lit(1.0)) * p1)
-    p3 = F.coalesce(F.col("p3"), F.coalesce(F.col("w3"), F.lit(1.0)) * p2)
-    return distinct.join(F.broadcast(found["unseen"]), "model").select("abc", F.log(p3).alias("log_p"))
-
-
-def perplexities(texts: DataFrame, trusted: DataFrame, discounts) -> DataFrame:
-    """(row, word_perplexity) over ``row``, ``used`` (the language) and ``text``; ``trusted`` has
-    ``lang`` and ``text``, of which all together are the language '*'. Texts are not null."""
-    own = trusted.select(F.explode(F.array_distinct(F.array("lang", F.lit("*")))).alias("lang"), "text", fold("text").alias("_f"))
-    rest = own.select(
-        F.explode(F.filter(F.array(*[F.lit(k) for k in range(FOLDS)]), lambda k: k != F.col("_f"))).alias("_f"), "lang", "text")
-    found = tables(rest.select(F.concat_ws("/", F.col("_f"), F.col("lang")).alias("model"), "text"), discounts)
-    runs = _runs(texts.select("row", F.concat_ws("/", fold("text"), F.col("used")).alias("model"), "text"))
-    # Copies of a text have the same row: their sums and numbers grow alike.
-    result = written(
-        runs.select("row", "abc", "n").join(written(probabilities(runs, found)), "abc").groupBy("row")
-        .agg(F.exp(-F.sum(F.col("n") * F.col("log_p")) / F.sum("n")).alias("word_perplexity"))
-    )
-    dropped(*[t for name, t in found.items() if name.startswith("p")])
-    return result
+            body = np.array([np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]).reshape(-1, 6)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x) for x in body.T.astype(np.float64)]], names=["bucket", *names])
+
+    names = ["n1", "n2", "n3", "n4", "total", "size"]
+    kinds = ", ".join(["bucket long", *[f"{c} double" for c in names]])
+    found = written(levels.mapInArrow(run, kinds).groupBy("bucket").agg(*[F.sum(c).alias(c) for c in names]))
+    cuts, total, unseen = np.zeros((4, 3, n_models)), np.zeros(n_models), np.zeros(n_models)
+    # One row per model and level.
+    for r in found.join(discounts(found, "bucket"), "bucket").collect():
+        level, model = divmod(r["bucket"], n_models)
+        d = np.array([r["d1"], r["d2"], r["d3"]])
+        cuts[level, :, model] = d
+        if level == 1:
+            total[model] = r["total"]
+            unseen[model] = d @ [r["n1"], r["n2"], r["size"] - r["n1"] - r["n2"]] / r["total"] / (r["size"] + 1)
+    return cuts, total, unseen

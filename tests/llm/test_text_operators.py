@@ -757,6 +757,39 @@ def test_outliers_among_labels_do_not_open_the_filter(spark):
     assert sum(kept[i] for i in range(400, 500)) >= 92
 
 
+def test_words_of_many_texts_are_read_like_one_by_one():
+    wm = kneser_ney.word_model
+    texts = ["Тест 漢字, it's İstanbul_x\u3000a\ud800b ไทย…", "", " \t ", "a\x1cb a", "THE the. Ärger 9_"]
+    hashes, lengths = wm.Reader()(texts)
+    read = [wm.words(t) for t in texts]
+    assert list(lengths) == [len(r) + 1 for r in read]
+    flat = [w for r in read for w in [*r, None]]
+    assert len(set(zip(flat, hashes.tolist()))) == len(set(flat)) == len(set(hashes.tolist()))
+
+
+def test_runs_of_words_are_sent_packed(spark, monkeypatch):
+    """A table with a row per run of words takes several times the room of the texts."""
+    wm, rng, made = kneser_ney.word_model, random.Random(8), []
+    for name in ("written", "_written_by_block"):
+        def count(df, own=getattr(wm, name)):
+            made.append(own(df))
+            assert made[-1].count() < 5000
+            return made[-1]
+
+        monkeypatch.setattr(wm, name, count, raising=False)
+    vocab = [f"w{k}" for k in range(300)]
+    source = [(i, " ".join(rng.choice(vocab) for _ in range(200)), "en", "s", 0) for i in range(100)]
+    marks = spark.createDataFrame([(i, 1) for i in range(60)], "doc_id long, quality int")
+    docs = spark.createDataFrame(source, SCHEMA)
+    whole = {r.doc_id: r.word_perplexity for r in kneser_ney.score(docs, marks).collect()}
+    assert made and len(whole) == 100
+    # In passes and groups, and in several blocks, the result is the same.
+    monkeypatch.setattr(wm, "PASS_TOKENS", 3000)
+    monkeypatch.setattr(wm, "BLOCK_TOKENS", 2000)
+    parts = {r.doc_id: r.word_perplexity for r in kneser_ney.score(docs, marks).collect()}
+    assert parts == pytest.approx(whole, rel=1e-9)
+
+
 # Pipeline and registered queries
 
 def test_pipeline_stages(spark, docs, rows, none, tmp_path):
