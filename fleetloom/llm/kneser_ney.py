@@ -1,7 +1,7 @@
 """Quality by two interpolated modified Kneser-Ney models: of words and of symbols.
 
-The words (``word_model.py``) see order and vocabulary in every script; their count tables grow
-with the trusted texts and meet the documents' runs in joins. The symbols see spelling.
+The words (``word_model.py``) see order and vocabulary in every script; their counts grow
+with the trusted texts and meet the documents' runs in exchanges. The symbols see spelling.
 
 For the symbols, texts are read as symbols: small letters, common accented letters, any capital, any digit, blank,
 line end and a few groups of punctuation, ``len(SYMBOLS)`` in all. Trusted documents give the
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetloom.llm import word_model
-from fleetloom.llm.common import written
+from fleetloom.llm.common import small_batches, written
 
 ORDER = 4
 # A stated loss of about 3 % of good texts over both models, see README; nearer to 1 a few outliers
@@ -43,11 +43,14 @@ ALL = "*"
 # Entries of the models that travel together, and rows up to which a list of ids is broadcast.
 MODEL_ROWS = 8_000_000
 BROADCAST_IDS = 1_000_000
+# Runs of symbols that a task adds up at a time, and languages whose model it holds as a table of every run.
+HELD_RUNS = 1_000_000
+LAID = 4
 
 
 def _table() -> np.ndarray:
     base = len(LETTERS)
-    table = np.full(0x250, base + 5, np.int64)
+    table = np.full(0x250, base + 5, np.int32)
     for code in range(0x250):
         ch = chr(code)
         if ch in LETTERS:
@@ -70,10 +73,12 @@ def runs(text: str) -> np.ndarray:
     """The number of the run of ``ORDER`` symbols that ends at each character; line ends stand
     before the text."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    symbols = np.concatenate([np.zeros(ORDER - 1, np.int64), _TABLE[np.minimum(codes, len(_TABLE) - 1)]])
-    n, found = len(codes), np.zeros(len(codes), np.int64)
-    for k in range(ORDER):
-        found = found * SYMBOLS + symbols[k:k + n]
+    symbols = np.concatenate([np.zeros(ORDER - 1, np.int32), _TABLE[np.minimum(codes, len(_TABLE) - 1)]])
+    n = len(codes)
+    found = symbols[:n].copy()
+    for k in range(1, ORDER):
+        found *= SYMBOLS
+        found += symbols[k:k + n]
     return found
 
 
@@ -81,29 +86,45 @@ def counts(docs: DataFrame) -> DataFrame:
     """(lang, run, c) over ``lang`` and ``text``. Each task adds up what it reads before it sends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
+        held: dict[str, list[np.ndarray]] = {}
+        sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        size = 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if text:
-                    if lang not in sums:
-                        sums[lang] = np.zeros(SYMBOLS**ORDER, np.int64)
-                    found, n = np.unique(runs(text), return_counts=True)
-                    sums[lang][found] += n
-                    if len(sums) > 8:  # texts of many languages in one task: send what there is
-                        yield from send(sums)
-                        sums.clear()
+                    held.setdefault(lang, []).append(runs(text))
+                    size += len(text)
+                    if size >= HELD_RUNS:
+                        add(sums, held)
+                        size = 0
+                        if sum(len(c) for _, c in sums.values()) >= HELD_RUNS:  # send what there is
+                            yield from send(sums)
+                            sums.clear()
+        add(sums, held)
         yield from send(sums)
 
-    def send(sums: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for lang, c in sums.items():
-            found = np.flatnonzero(c)
+    def add(sums: dict, held: dict) -> None:
+        for lang, parts in held.items():
+            found, n = np.unique(np.concatenate(parts), return_counts=True)
+            if lang in sums:
+                both = np.concatenate([sums[lang][0], found])
+                order = np.argsort(both, kind="stable")
+                both, n = both[order], np.concatenate([sums[lang][1], n])[order]
+                first = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+                found, n = both[first], np.add.reduceat(n, first)
+            sums[lang] = found, n
+        held.clear()
+
+    def send(sums: dict) -> Iterator[pa.RecordBatch]:
+        for lang, (found, n) in sums.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(found), pa.string()), pa.array(found, pa.int64()), pa.array(c[found], pa.int64())],
+                [pa.array([lang] * len(found), pa.string()), pa.array(found, pa.int64()), pa.array(n, pa.int64())],
                 names=["lang", "run", "c"],
             )
 
     sent = docs.select("lang", "text").mapInArrow(run, "lang string, run long, c long")
-    own = written(sent.groupBy("lang", "run").agg(F.sum("c").alias("c")))
+    with small_batches(docs.sparkSession):
+        own = written(sent.groupBy("lang", "run").agg(F.sum("c").alias("c")))
     pooled = own.groupBy("run").agg(F.sum("c").alias("c")).select(F.lit(ALL).alias("lang"), "run", "c")
     return written(own.filter(F.col("lang") != ALL).union(pooled))
 
@@ -160,39 +181,47 @@ def model(full: DataFrame) -> DataFrame:
     return out
 
 
+def _parts(rows: pa.Table) -> dict[str, list[tuple]]:
+    """Per language and level: runs, probabilities and weights, of four bytes each."""
+    lang = rows.column("lang").combine_chunks().dictionary_encode()
+    lang, names = lang.indices.to_numpy(), lang.dictionary.to_pylist()
+    level, run, p, weight = (rows.column(c).to_numpy().astype(t) for c, t in (("level", np.int8), ("run", np.int32), ("p", np.float32), ("weight", np.float32)))
+    return {
+        name: [(run[m], p[m], weight[m]) for k in range(1, ORDER + 1) for m in [(lang == names.index(name)) & (level == k)]]
+        for name in sorted(names)
+    }
+
+
 class Model:
-    """Models of a block of languages as arrays; a language is laid out when it is first used."""
-
-    def __init__(self, rows: pa.Table):
-        lang = rows.column("lang").to_numpy(zero_copy_only=False)
-        level, run = rows.column("level").to_numpy(), rows.column("run").to_numpy()
-        p, weight = rows.column("p").to_numpy().astype(np.float32), rows.column("weight").to_numpy().astype(np.float32)
-        self.parts = {
-            name: [(run[m], p[m], weight[m]) for k in range(1, ORDER + 1) for m in [(lang == name) & (level == k)]]
-            for name in sorted(set(lang))
-        }
+    """Models of a block of languages (rows of ``model``, or ``_parts`` of them) as arrays; a language is laid out when it is
+    first used."""
+
+    def __init__(self, rows: pa.Table | dict):
+        self.parts = rows if isinstance(rows, dict) else _parts(rows)
         self.laid: dict[str, np.ndarray] = {}
 
     def logs(self, lang: str) -> np.ndarray:
         """log p for every possible run."""
         if lang not in self.laid:
-            if len(self.laid) >= 6:
-                self.laid.clear()
+            if len(self.laid) >= LAID:
+                self.laid.pop(next(iter(self.laid)))
             below = np.full(SYMBOLS, 1.0 / SYMBOLS, np.float32)
             for k, (run, p, weight) in enumerate(self.parts[lang], 1):
                 # An unseen run has the lower order's probability, times its context's weight.
                 share = np.ones(SYMBOLS ** (k - 1), np.float32)
                 share[run // SYMBOLS] = weight
-                if k > 1:
-                    below = np.tile(below.reshape(-1, SYMBOLS), (SYMBOLS, 1)) if k > 2 else np.tile(below, (SYMBOLS, 1))
-                table = (below.reshape(-1, SYMBOLS) * share[:, None]).ravel()
-                table[run] = p
-                below = table
-            self.laid[lang] = np.log(below)
+                first = min(SYMBOLS, len(share))
+                below = (share.reshape(first, -1, 1) * below.reshape(1, -1, SYMBOLS)).ravel()
+                below[run] = p
+            self.laid[lang] = np.log(below, out=below)
         return self.laid[lang]
 
-    def perplexity(self, lang: str, text: str) -> float:
-        return float(np.exp(-self.logs(lang)[runs(text)].mean(dtype=np.float64)))
+    def perplexities(self, langs: list[str], texts: list[str | None]) -> list[float | None]:
+        """Of each text in its language; None of an empty one. A language after the other."""
+        out: list[float | None] = [None] * len(texts)
+        for k in sorted((k for k, text in enumerate(texts) if text), key=lambda k: langs[k]):
+            out[k] = float(np.exp(-self.logs(langs[k])[runs(texts[k])].mean(dtype=np.float64)))
+        return out
 
 
 def _trusted_ids(labels: DataFrame) -> DataFrame:
@@ -220,19 +249,18 @@ def score(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Dat
     for block in _blocks(size):
         part = texts.filter(F.col("used").isin(block)) if len(block) < len(size) else texts
         # At most len(SYMBOLS) ** ORDER entries per language, MODEL_ROWS or one language per block.
-        # Only the rows are sent: an object of this package cannot be read where the package is not installed.
-        # A worker keeps the model built from them next to them, for its next task.
-        sent = spark.sparkContext.broadcast({"rows": probabilities.filter(F.col("lang").isin(block)).toArrow()})
+        # Only arrays are sent: an object of this package cannot be read where the package is not installed.
+        # A worker keeps the model built on them next to them, for its next task.
+        rows = probabilities.filter(F.col("lang").isin(block)).select(
+            "lang", F.col("level").cast("tinyint"), F.col("run").cast("int"), F.col("p").cast("float"), F.col("weight").cast("float"))
+        sent = spark.sparkContext.broadcast({"parts": _parts(rows.toArrow())})
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             held = sent.value
             if "model" not in held:
-                held["model"] = Model(held["rows"])
+                held["model"] = Model(held["parts"])
             for batch in batches:
-                found = [
-                    held["model"].perplexity(lang, text) if text else None
-                    for lang, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-                ]
+                found = held["model"].perplexities(batch.column(2).to_pylist(), batch.column(3).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(k) for k in (0, 1, 2, 4)], pa.array(found, pa.float64())],
                     names=["doc_id", "lang", "used", "row", "perplexity"],
@@ -245,7 +273,9 @@ def score(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Dat
         scored = found if scored is None else scored.union(found)
     readable = texts.filter(F.length("text") > 0).join(trusted.withColumn("teaches", F.lit(True)), "doc_id", "left")
     by_words = word_model.perplexities(readable.withColumn("teaches", F.coalesce("teaches", F.lit(False))), [*size], ALL, discounts)
-    scored = written(written(scored).join(by_words, "row", "left"))
+    with small_batches(spark):
+        scored = written(scored)
+    scored = written(scored.join(by_words, "row", "left"))
     good = scored.join(trusted, "doc_id", "left_semi")
     limit = [F.percentile_approx(c, quantile, 100_000).alias(t) for c, t in (
         ("perplexity", "threshold"), ("word_perplexity", "word_threshold"))]
