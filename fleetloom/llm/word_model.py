@@ -59,7 +59,7 @@ _WORD = re.compile(rf"[{_SINGLE}]|[^\W{_SINGLE}]+|[^\w\s]")
 _ONE = re.compile(rf"[{_SINGLE}]|[^\w\s]")
 _END, _START = np.uint64(word_hash(b"\xff end")), np.uint64(word_hash(b"\xff start"))
 
-_BLOCKS = "block long, teaches boolean, n long, rows binary, models binary, lengths binary, tokens binary, words binary, entries binary"
+_BLOCKS = "block long, n long, rows binary, models binary, lengths binary, tokens binary, words binary, entries binary"
 _STATE = "block long, models binary, lengths binary, tokens binary, words binary, entries binary, threes binary, twos binary, ones binary"
 _SENT = "block long, bucket long, keys binary, counts binary"
 _FOUND = "block long, bucket long, found binary"
@@ -115,18 +115,17 @@ class Reader:
 # ---- blocks -----------------------------------------------------------------------------------
 
 
-def blocks(texts: DataFrame, models: _Models) -> DataFrame:
-    """Blocks of ``row``, ``used`` (a language), ``teaches``, ``fold`` and ``text``."""
+def blocks(texts: DataFrame, models: _Models, teaches: bool) -> DataFrame:
+    """Blocks of ``row``, ``used`` (a language), ``fold`` and ``text``, numbered apart from those that teach or do not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, next_block = Reader(), TaskContext.get().partitionId() << 32
+        reader, next_block = Reader(), 2 * TaskContext.get().partitionId() + teaches << 32
         held, size = [], 0
         for part in (batch.slice(at, 100) for batch in batches for at in range(0, batch.num_rows, 100)):
-            rows, used, teaches, own, texts = (part.column(k).to_pylist() for k in range(5))
+            rows, used, own, texts = (part.column(k).to_pylist() for k in range(4))
             tokens, lengths = reader(texts)
             ends = np.cumsum(lengths).tolist()
-            held += [(t, f * models.n_langs + models.number[u], r, tokens[a:z])
-                     for t, u, f, r, a, z in zip(teaches, used, own, rows, [0, *ends], ends)]
+            held += [(f * models.n_langs + models.number[u], r, tokens[a:z]) for u, f, r, a, z in zip(used, own, rows, [0, *ends], ends)]
             size += len(tokens)
             if size >= HELD_BLOCKS * BLOCK_TOKENS:
                 for texts in cut(held):
@@ -139,18 +138,18 @@ def blocks(texts: DataFrame, models: _Models) -> DataFrame:
 
     def cut(held: list[tuple]) -> Iterator[list[tuple]]:
         part, size = [], 0
-        for text in sorted(held, key=lambda t: t[:2]):
-            if part and (size >= BLOCK_TOKENS or text[0] != part[0][0]):
+        for text in sorted(held, key=lambda t: t[0]):
+            if size >= BLOCK_TOKENS:
                 yield part
                 part, size = [], 0
             part.append(text)
-            size += len(text[3])
+            size += len(text[2])
         if part:
             yield part
 
     def block(number: int, texts: list[tuple]) -> pa.RecordBatch:
-        own, rows = (np.array([t[k] for t in texts], kind) for k, kind in ((1, np.int32), (2, np.int64)))
-        tokens, lengths = np.concatenate([t[3] for t in texts]), np.array([len(t[3]) for t in texts], np.int32)
+        own, rows = (np.array([t[k] for t in texts], kind) for k, kind in ((0, np.int32), (1, np.int64)))
+        tokens, lengths = np.concatenate([t[2] for t in texts]), np.array([len(t[2]) for t in texts], np.int32)
         used, own_place = np.unique(own, return_inverse=True)
         # Entries are words of a model, in order of first sight: those of a model stand together, frequent ones
         # first. After them come the models' starts, two of which stand before each text.
@@ -160,12 +159,11 @@ def blocks(texts: DataFrame, models: _Models) -> DataFrame:
         numbers = np.insert(numbers, np.repeat(begins, 2), np.repeat(len(first) + own_place, 2))
         values = [rows, own, lengths, _of_numbers(numbers, len(first) + len(used)), tokens[first], entries]
         return pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int64()), pa.array([texts[0][0]], pa.bool_()), pa.array([len(tokens)], pa.int64()),
-             *[pa.array([v if isinstance(v, bytes) else v.tobytes()], pa.binary()) for v in values]],
-            names=["block", "teaches", "n", "rows", "models", "lengths", "tokens", "words", "entries"],
+            [pa.array([number], pa.int64()), pa.array([len(tokens)], pa.int64()), *[pa.array([v if isinstance(v, bytes) else v.tobytes()], pa.binary()) for v in values]],
+            names=["block", "n", "rows", "models", "lengths", "tokens", "words", "entries"],
         )
 
-    return _written_by_block(texts.select("row", "used", "teaches", "fold", "text").mapInArrow(run, _BLOCKS))
+    return _written_by_block(texts.select("row", "used", "fold", "text").mapInArrow(run, _BLOCKS))
 
 
 class _Models:
@@ -418,11 +416,10 @@ def exchanged(sent: DataFrame, width: int, tasks: int) -> DataFrame:
     return _written_by_block(sent.repartitionById(tasks, F.col("bucket").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")).mapInArrow(run, _FOUND))
 
 
-def _met(states: DataFrame, found: DataFrame, run, kinds: str, groups: int = 1) -> list[DataFrame]:
+def _met(states: list[DataFrame], found: DataFrame, run, kinds: str) -> list[DataFrame]:
     """Tables of ``run`` over pairs of a row of ``states`` and its list of ``found``, in order of the ranges. They meet in a
-    sorted stream, so that no task holds more than one of them, one group of the rows after another."""
-    both = states.withColumns({"bucket": F.lit(-1).cast("long"), "found": F.lit(None).cast("binary")}).unionByName(
-        found.select("block", F.col("bucket").cast("long").alias("bucket"), "found"), allowMissingColumns=True)
+    sorted stream, so that no task holds more than one of them. The tables of ``states`` (groups of ``_group``, or one) are
+    taken one after another, and removed."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[bytes]]]:
         state, parts = None, []
@@ -436,12 +433,19 @@ def _met(states: DataFrame, found: DataFrame, run, kinds: str, groups: int = 1)
         if state is not None:
             yield state, parts
 
-    def group(k: int) -> DataFrame:
-        part = both.filter(F.pmod(F.xxhash64("block"), F.lit(groups)) == k) if groups > 1 else both
-        dealt = part.repartition(shuffle_partitions(states.sparkSession), "block").sortWithinPartitions("block", "bucket")
-        return _written_by_block(dealt.mapInArrow(lambda batches: run(pairs(batches)), kinds))
+    out = []
+    for k, part in enumerate(states):
+        got = found.select("block", F.col("bucket").cast("long").alias("bucket"), "found")
+        both = part.withColumns({"bucket": F.lit(-1).cast("long"), "found": F.lit(None).cast("binary")}).unionByName(
+            got.filter(_group(len(states)) == k) if len(states) > 1 else got, allowMissingColumns=True)
+        dealt = both.repartition(shuffle_partitions(part.sparkSession), "block").sortWithinPartitions("block", "bucket")
+        out.append(_written_by_block(dealt.mapInArrow(lambda batches: run(pairs(batches)), kinds)))
+        dropped(part)
+    return out
+
 
-    return [group(k) for k in range(groups)]
+def _group(groups: int) -> Column:
+    return F.pmod(F.xxhash64("block"), F.lit(groups))
 
 
 def _union(tables: list[DataFrame]) -> DataFrame:
@@ -465,7 +469,7 @@ def _counted(taught: DataFrame, models: _Models, n_keys: int, n_words: int, scor
     what follows. ``ones`` has the same of each word as of a pair, the first one times two, one more where the block names it."""
     spark = taught.sparkSession
     n_kinds = len(models.kinds)
-    units = taught.drop("rows", "teaches", "n").withColumn("kind", F.explode(F.array(*[F.lit(k) for k in range(n_kinds)])))
+    units = taught.drop("rows", "n").withColumn("kind", F.explode(F.array(*[F.lit(k) for k in range(n_kinds)])))
     units = units.withColumn("block", F.col("block") * n_kinds + F.col("kind")).drop("kind")
     turns = _turns(n_keys)
     groups = min(GROUPS, turns)
@@ -564,14 +568,16 @@ def _counted(taught: DataFrame, models: _Models, n_keys: int, n_words: int, scor
             yield _state(row, ones=_ints(columns))
 
     answers = [exchanged(units.mapInArrow(send_threes(k), _SENT), 1, tasks) for k in range(turns)]
-    states = _met(units, _union(answers), take_threes, _STATE, groups)
-    dropped(taught, *answers)
+    grouped = [_written_by_block(units.filter(_group(groups) == k)) for k in range(groups)]
+    dropped(taught)
+    states = _met(grouped, _union(answers), take_threes, _STATE)
+    dropped(*answers)
     answers = [exchanged(_union(states).mapInArrow(send_twos(k), _SENT), 5, tasks) for k in range(turns)]
-    before, states = states, _met(_union(states).drop("twos", "ones"), _union(answers), take_twos, _STATE, groups)
-    dropped(*before, *answers)
+    states = _met([t.drop("twos", "ones") for t in states], _union(answers), take_twos, _STATE)
+    dropped(*answers)
     answers = [exchanged(_union(states).mapInArrow(send_ones, _SENT), 5, word_tasks)]
-    before, states = states, _met(_union(states).drop("ones"), _union(answers), take_ones, _STATE, groups)
-    dropped(*before, *answers)
+    states = _met([t.drop("ones") for t in states], _union(answers), take_ones, _STATE)
+    dropped(*answers)
     return states
 
 
@@ -686,7 +692,7 @@ def _scored(blocked: DataFrame, states: DataFrame, models: _Models, numbers: _Nu
                 text = [block.text_of(x).astype(np.uint16 if len(block.lengths) <= 1 << 16 else np.uint32) for x in at]
                 found = _Distinct(np.concatenate([block.key(x, n) for n, x in enumerate(at, 1)]))
                 text = np.concatenate(text)[found.order]
-                counts = found.n.astype(np.uint32)
+                counts = found.n.astype(np.uint8 if found.n.max(initial=0) < 256 else np.uint32)
                 edges = np.append(0, np.cumsum(found.n))
                 cut = [(row["block"], b, _planes(found.keys[a:z]), _planes(counts[a:z]), _planes(text[edges[a]:edges[z]]))
                        for b, a, z in _ranges(found.keys, tasks)]
@@ -709,9 +715,10 @@ def _scored(blocked: DataFrame, states: DataFrame, models: _Models, numbers: _Nu
         values = np.concatenate(values)[order]
         part, size = [], 0
         for k, row in enumerate(asks):
-            counts = _of_planes(row["counts"], np.uint32)
+            asked = _of_planes(row["keys"], np.uint64)
+            counts = _of_planes(row["counts"], f"u{len(row['counts']) // len(asked)}")
             kind = f"u{len(row['texts']) // int(counts.sum())}"
-            part.append((row["block"], row["bucket"], _of_planes(row["keys"], np.uint64), counts, _of_planes(row["texts"], kind).astype(np.int64)))
+            part.append((row["block"], row["bucket"], asked, counts, _of_planes(row["texts"], kind).astype(np.int64)))
             size += len(counts)
             asks[k] = None
             if size >= 50_000 or k + 1 == len(asks):
@@ -751,7 +758,7 @@ def _scored(blocked: DataFrame, states: DataFrame, models: _Models, numbers: _Nu
         rows = blocked.mapInArrow(ask(k), _ASKED).union(states.mapInArrow(teach(k), _ASKED))
         partial = rows.repartitionById(tasks, "bucket").mapInArrow(answer, _SUMS)
         sums.append(_written_by_block(partial.repartition(shuffle_partitions(spark), "block").mapInArrow(add(k), _FOUND)))
-    scored, = _met(meta, _union(sums), close, "row long, word_perplexity double")
+    scored, = _met([meta], _union(sums), close, "row long, word_perplexity double")
     dropped(*sums)
     sent.unpersist()
     return scored
@@ -763,23 +770,21 @@ def perplexities(texts: DataFrame, langs: list[str], pooled: str, discounts) ->
     # The model of all languages is counted if a text asks for it.
     asked = not texts.filter(F.col("used") == pooled).isEmpty()
     models = _Models(sorted({*langs, pooled}), pooled if asked else None)
-    blocked = blocks(texts.withColumn("fold", fold("text")), models)
-    n = {r["teaches"]: (r["n"], r["words"]) for r in blocked.groupBy("teaches").agg(
-        F.sum("n").alias("n"), F.sum(F.length("words") / 8).cast("long").alias("words")).collect()}
-    n_taught, n_words = n.get(True, (0, 0))
-    # Distinct runs of three, pairs and words come to less than twice the tokens.
-    n_keys = 2 * sum(x[0] for x in n.values())
+    texts = texts.withColumn("fold", fold("text"))
     # Blocks that teach are kept with what they get back, the others ask only.
-    rest, taught = (_written_by_block(blocked.filter(F.col("teaches") == teaches)) for teaches in (False, True))
-    meta = written(blocked.select("block", "rows", "models", "lengths"))
-    dropped(blocked)
+    rest, taught = (blocks(texts.filter(F.col("teaches") == teaches), models, teaches) for teaches in (False, True))
+    (n_rest, _), (n_taught, n_words) = (
+        t.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.length("words") / 8).cast("long"), F.lit(0))).first() for t in (rest, taught))
+    # Distinct runs of three, pairs and words come to less than twice the tokens.
+    n_keys = 2 * (n_rest + n_taught)
+    meta = written(rest.union(taught).select("block", "rows", "models", "lengths"))
     states = _counted(taught, models, len(models.kinds) * n_taught, len(models.kinds) * n_words, _turns(n_keys))
     numbers = _Numbers(*_by_model(_written_by_block(_level_sums(_union(states), models, _turns(n_keys))), models.n, discounts))
     n_kinds = len(models.kinds)
     asking = ["block", "models", "lengths", "tokens", "words", "entries"]
     own = _union(states).filter(F.col("block") % n_kinds == 0).withColumn("block", F.expr(f"block div {n_kinds}"))
     scored = _scored(rest.select(asking).union(own.select(asking)), _union(states), models, numbers, n_keys, meta)
-    dropped(rest, meta, *states)
+    dropped(rest, *states)
     # Copies of a text have the same row.
     return written(scored.groupBy("row").agg(F.min("word_perplexity").alias("word_perplexity")))
 

@@ -790,6 +790,89 @@ def test_runs_of_words_are_sent_packed(spark, monkeypatch):
     assert parts == pytest.approx(whole, rel=1e-9)
 
 
+def test_words_are_scored_like_by_the_recursion(spark):
+    """Perplexities of words by interpolated Kneser-Ney with dictionaries, out of fold; a null language has all texts' model."""
+    wm, rng = kneser_ney.word_model, random.Random(12)
+    vocab = [f"w{k}" for k in range(25)]
+    made = [(i, " ".join(rng.choice(vocab[:rng.randint(2, 25)]) for _ in range(rng.randint(1, 40))), ("en", "de", None)[i % 3], "s", 0) for i in range(90)]
+    made += [(i + 100, *made[i][1:]) for i in range(9)]
+    marks = spark.createDataFrame([(i, 1) for i in (*range(60), 100, 101, 102)], "doc_id long, quality int")
+    docs = spark.createDataFrame(made, SCHEMA)
+    fold = {r.doc_id: r.f for r in docs.select("doc_id", wm.fold(F.col("text")).alias("f")).collect()}
+    trusted = {*range(60), 100, 101, 102}
+
+    def trained(own, lang):
+        threes = Counter()
+        for i, text, other, *_ in made:
+            if i in trusted and fold[i] != own and lang in (other, None):
+                read = ["<", "<", *wm.words(text), ">"]
+                threes.update(zip(read, read[1:], read[2:]))
+        levels = [threes]
+        for _ in range(2):
+            levels.insert(0, Counter(run[1:] for run in levels[0]))
+        cuts = []
+        for c in levels:
+            n = [sum(1 for x in c.values() if x == k) for k in (1, 2, 3, 4)]
+            y = n[0] / (n[0] + 2 * n[1]) if n[0] + n[1] else None
+            cuts.append([0.5 * k if y is None else max(0.1 * k, min(0.9 * k, k - (k + 1) * y * n[k] / n[k - 1] if n[k - 1] else 0.5 * k)) for k in (1, 2, 3)])
+        followed = [defaultdict(list) for _ in levels]
+        for c, out in zip(levels, followed):
+            for run, x in c.items():
+                out[run[:-1]].append(x)
+
+        def p(run):
+            k = len(run) - 1
+            below = p(run[1:]) if k else 1 / (len(levels[0]) + 1)
+            n = followed[k].get(run[:-1], [])
+            if not n:
+                return below
+            d, c = cuts[k], levels[k][run]
+            return ((c - d[min(c, 3) - 1] if c else 0) + sum(d[min(x, 3) - 1] for x in n) * below) / sum(n)
+
+        return p
+
+    models = {(f, lang): trained(f, lang) for f in range(wm.FOLDS) for lang in ("en", "de", None)}
+    got = {r.doc_id: r.word_perplexity for r in kneser_ney.score(docs, marks).collect()}
+    for i, text, lang, *_ in made:
+        read = ["<", "<", *wm.words(text), ">"]
+        logs = [np.log(models[fold[i], lang](run)) for run in zip(read, read[1:], read[2:])]
+        assert got[i] == pytest.approx(np.exp(-np.mean(logs)), rel=1e-9)
+
+
+def test_workers_hold_little_however_many_languages_there_are(spark, monkeypatch, tmp_path):
+    """Arrays of Python tasks, at the most, with a dozen languages in each task."""
+    rng, frame = random.Random(13), type(spark.range(1))
+    made = []
+    for k in range(12):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(800)]
+        made += [(len(made) + i, " ".join(rng.choice(words) for _ in range(150)), f"l{k}", "s", 0) for i in range(10)]
+    rng.shuffle(made)
+    docs = spark.createDataFrame(made, SCHEMA).coalesce(1)
+    marks = spark.createDataFrame([(r[0], 1) for r in made], "doc_id long, quality int")
+    folder = str(tmp_path)
+
+    def watched(self, run, *args, own=frame.mapInArrow, **kwargs):
+        def traced(batches):
+            import os
+            import tracemalloc
+            import uuid
+
+            tracemalloc.start()
+            try:
+                yield from run(batches)
+            finally:
+                with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+                    f.write(str(tracemalloc.get_traced_memory()[1]))
+                tracemalloc.stop()
+
+        return own(self, traced, *args, **kwargs)
+
+    monkeypatch.setattr(frame, "mapInArrow", watched)
+    assert kneser_ney.score(docs, marks).filter("word_perplexity > 0 and perplexity > 0").count() == len(made)
+    peaks = [int(p.read_text()) for p in tmp_path.iterdir()]
+    assert len(peaks) > 10 and max(peaks) < 250e6
+
+
 # Pipeline and registered queries
 
 def test_pipeline_stages(spark, docs, rows, none, tmp_path):
